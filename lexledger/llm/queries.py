@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexledger.llm import fingerprints, language, mixing, packing
+from lexledger.llm import embeddings, fingerprints, language, minhash, mixing, packing
 from lexledger.llm.common import table
 
 
@@ -14,6 +14,16 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings by cosine."""
+    return embeddings.similar(table(spark, sf_dir, "embeddings"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document; learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -32,7 +42,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op7_language_id, op9_fingerprints, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op3_packing, op5_minhash, op6_embeddings, op7_language_id, op9_fingerprints, op10_mixing)}
 
 #: The mixture: rates from characters per source, the Poisson distribution function summed term by term.
 OP10_SQL = """
