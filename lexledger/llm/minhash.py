@@ -168,3 +168,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     found = found.select("id", "n", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
     found = found.join(joined.select(F.col("node").alias("class_id"), "component"), "class_id", "left").withColumn("component_id", F.coalesce("component", "class_id"))
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", (F.coalesce(F.col("id"), F.lit(-1)) == F.coalesce("component_id", F.lit(-1))).alias("kept"), "class_id", "class_size")
+
+
+def without_near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """docs with one document of each near-duplicate component: the one with the smallest id.
+
+    Of rows that repeat both id and text one stays. Rows without an id are linked with nothing and stay.
+    """
+    ids = near_duplicates(docs, key).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    left = docs.withColumn(key, F.col(key).cast("long")).join(ids, key, "left_semi").withColumn("_h", F.xxhash64("text"))
+    once = left.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_h").orderBy("_h"))).where("_r = 1").drop("_h", "_r")
+    return once.unionByName(docs.where(F.col(key).isNull()).withColumn(key, F.col(key).cast("long"))).select(*docs.columns)

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexledger.llm import embeddings, fingerprints, language, minhash, mixing, packing
+from lexledger.llm import embeddings, fingerprints, language, minhash, mixing, packing, suffixes
 from lexledger.llm.common import table
 
 
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated byte strings removed from all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.repeated_bytes(docs).drop("spans")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in length buckets and token-budget batches."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -42,7 +48,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op5_minhash, op6_embeddings, op7_language_id, op9_fingerprints, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_suffixes, op3_packing, op5_minhash, op6_embeddings, op7_language_id, op9_fingerprints, op10_mixing)}
 
 #: The mixture: rates from characters per source, the Poisson distribution function summed term by term.
 OP10_SQL = """
