@@ -10,10 +10,10 @@ from lexledger.llm.common import table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with a margin; lang becomes the predicted language."""
+    """Documents whose language is told with a margin; a missing lang becomes the predicted one."""
     model = language.fit(docs)
     found = language.identify(docs, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= language.MARGIN))
-    return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

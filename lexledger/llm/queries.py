@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexledger.llm import embeddings, fingerprints, language, minhash, mixing, packing, suffixes
+from lexledger.llm import embeddings, fingerprints, htmltext, language, minhash, mixing, packing, quality, suffixes, toxicity
 from lexledger.llm.common import table
 
 
@@ -15,11 +15,24 @@ def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_bytes(docs).drop("spans")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by co-trained views."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text", "source", "lang", "n_chars"), model).select("doc_id", "score", "text_score", "metadata_score", "keep")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in length buckets and token-budget batches."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by category."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -38,6 +51,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(language.held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprints.edit_report(table(spark, sf_dir, "documents"))
@@ -48,7 +66,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffixes, op3_packing, op5_minhash, op6_embeddings, op7_language_id, op9_fingerprints, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_suffixes, op2_quality, op3_packing, op4_toxicity, op5_minhash, op6_embeddings, op7_language_id, op8_html, op9_fingerprints, op10_mixing)}
 
 #: The mixture: rates from characters per source, the Poisson distribution function summed term by term.
 OP10_SQL = """
