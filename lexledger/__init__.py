@@ -1,0 +1 @@
+"""Regulation catalogs on Spark: extraction, validation, diff, review and publication of field definitions."""

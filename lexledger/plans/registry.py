@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from lexledger.plans import catalog, scalars, structure, versioning
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+for _module in (catalog, versioning, scalars, structure):
+    QUERIES |= _module.QUERIES
+    ORACLES |= _module.ORACLES
