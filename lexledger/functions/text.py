@@ -187,13 +187,12 @@ def _literal(c: Column) -> Column:
 
 def example_value(block: Column, path: Column) -> Column:
     """The sample value that a block shows for a path: its attribute, its element, or the first text in a tag."""
-    after = F.when(F.contains(block, F.lit("Example of use:")), F.expr("1")).isNotNull()
-    shown = F.when(after, F.substring(block, F.instr(block, F.lit("Example of use:")) + 15, F.length(block))).otherwise(block)
+    shown = F.when(F.contains(block, F.lit("Example of use:")), F.substring(block, F.instr(block, F.lit("Example of use:")) + 15, F.length(block))).otherwise(block)
     shown = F.replace(F.regexp_replace(shown, r"(?m)^\d+$", ""), F.lit("…"), F.lit(""))
     tag, attribute = path_tag(path), path_attribute(path)
     name = F.concat(F.lit(r"(?:[A-Za-z0-9_]+:)?"), _literal(tag))
-    by_attribute = F.when(attribute != "", stripped(F.regexp_extract(shown, F.concat(_literal(attribute), F.lit('="([^"]+)"')), F.lit(1))))
-    by_tag = F.when(tag != "", squash(F.regexp_extract(shown, F.concat(F.lit("(?s)<"), name, F.lit(r"(?:\s[^>]*)?>\s*([^<\n]+?)\s*</"), name, F.lit(">")), F.lit(1))))
+    by_attribute = F.when(attribute != "", stripped(F.call_function("regexp_extract", shown, F.concat(_literal(attribute), F.lit('="([^"]+)"')), F.lit(1))))
+    by_tag = F.when(tag != "", squash(F.call_function("regexp_extract", shown, F.concat(F.lit("(?s)<"), name, F.lit(r"(?:\s[^>]*)?>\s*([^<\n]+?)\s*</"), name, F.lit(">")), F.lit(1))))
     any_text = F.try_element_at(F.filter(F.transform(F.regexp_extract_all(shown, F.lit(r">\s*([^<\n]+?)\s*<"), F.lit(1)), squash), lambda v: ~v.isin("", "...", "…")), F.lit(1))
     return F.coalesce(or_null(by_attribute), or_null(by_tag), any_text, F.lit(""))
 

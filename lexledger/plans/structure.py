@@ -1 +1,144 @@
-QUERIES, ORACLES = {}, {}
+"""Queries of the ordered folds and of whole extraction, over small specifications written out below."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lexledger.functions import text as t
+from lexledger.operators import extract, folds
+from lexledger.plans.registering import registrar
+from lexledger.plans.scalars import values_sql
+
+QUERIES, ORACLES, query = registrar()
+
+HEADER = ("ID", "Business term", "Description", "Note on use", "Type", "Card.")
+#: page, table_no, row_no, six cells
+TABLE_ROWS = [
+    (1, 1, 1, *HEADER), (1, 1, 2, "BT-1", "Invoice number", "A unique", "Note a", "Identifier", "1..1"), (1, 1, 3, "", "(continued)", "identification", "", "", ""),
+    (1, 1, 4, "", "UBL Invoice Path", "", "", "", "Remark"), (1, 1, 5, "", "/Invoice/cbc:ID\n/CreditNote/cbc:ID", "", "", "", "R1"), (1, 2, 1, "x", "y", "table without header: ignored", "", "", ""),
+    (2, 1, 1, *HEADER), (2, 1, 2, "", "", "text tail", "", "", "0..1"), (2, 1, 3, "BG-2", "Group", "grp", "", "", ""), (2, 1, 4, "HR-BT-5", "Mark", "d", "", "At", "0..n"),
+]
+ROW_SCHEMA = "doc int, page int, table_no int, row_no int, c0 string, c1 string, c2 string, c3 string, c4 string, c5 string"
+LINES = ["BT-1 Invoice number ........ 12", "BT-2 Date ........ 13", "BT-1 Invoice number", "Business Rule", "BR-1 x", "17", "BT-1 more", "BT-2 Date", "/Invoice/cbc:IssueDate"]
+RULE_LINES = ["BT-1 Invoice number", "Business Rule", "Description", "BR-1 The invoice shall have", "a number.", "Next sentence not part.", "BR-2 Two", "BR-1 The invoice shall have a number.", "Example of use:", "BR-9 hidden"]
+PATH_LINES = ["BT-2 Date", "/Invoice/cac:A/", "cbc:IssueDate", "/CreditNote/cbc:IssueDate", "not a path"]
+
+
+def table_rows(v):
+    return v.spark.createDataFrame([(1, *r) for r in TABLE_ROWS], ROW_SCHEMA)
+
+
+def lines(v, some: list[str] = LINES):
+    return v.spark.createDataFrame([(1, i + 1, x) for i, x in enumerate(some)], "doc int, line_no int, line string")
+
+
+_RECORDS = [
+    ("BT-1", "Invoice number (continued) Group", "A unique identification text tail grp", "Note a", "Identifier", "1..1", "/Invoice/cbc:ID", "/CreditNote/cbc:ID", "R1", "1,1,1,2,2"),
+    ("HR-BT-5", "Mark", "d", "", "Code", "0..n", "", "", "", "2"),
+]
+_RECORD_COLUMNS = ("field_code", "field_name", "description", "note", "data_type", "cardinality", "invoice_path", "credit_note_path", "remark", "pages")
+
+
+@query(values_sql(_RECORDS, _RECORD_COLUMNS))
+def table_fold(v):
+    found = folds.table_records(table_rows(v))
+    return found.withColumn("pages", F.array_join("pages", ",")).select(*_RECORD_COLUMNS)
+
+
+@query(values_sql([("BT-1", 3, 3, "BT-1 Invoice number\nBusiness Rule\nBR-1 x\nBT-1 more"), ("BT-2", 8, -2, "BT-2 Date\n/Invoice/cbc:IssueDate")], ("code", "start", "score", "block")))
+def detail_blocks(v):
+    return folds.best_blocks(folds.line_blocks(lines(v)), folds.detail_score(F.col("block"))).select("code", "start", "score", "block")
+
+
+@query(values_sql([("BT-1", 7, 0, "BT-1 more"), ("BT-2", 8, 5, "BT-2 Date\n/Invoice/cbc:IssueDate")], ("code", "start", "score", "block")))
+def table_blocks(v):
+    return folds.best_blocks(folds.line_blocks(lines(v)), folds.table_score(F.col("block"))).select("code", "start", "score", "block")
+
+
+def _cases(v, rows, schema):
+    return v.spark.createDataFrame(rows, schema)
+
+
+@query(values_sql([(0, "BR-1 The invoice shall have a number."), (1, "BR-2 Two")], ("pos", "rule")))
+def extract_rules(v):
+    return _cases(v, [("\n".join(RULE_LINES),)], "block string").select(F.posexplode(folds.rules_of(F.col("block"))).alias("pos", "rule"))
+
+
+@query(values_sql([("/Invoice/cac:A/cbc:IssueDate", "/CreditNote/cbc:IssueDate")], ("invoice", "credit_note")))
+def path_fragments(v):
+    joined = folds.path_text(F.col("block"))
+    return _cases(v, [("\n".join(PATH_LINES),)], "block string").select(t.invoice_path(joined).alias("invoice"), t.credit_note_path(joined).alias("credit_note"))
+
+
+_SHOWN = "BT-1 x\nExample of use:\n<cbc:ID>  380 </cbc:ID>\n<cbc:Name>z</cbc:Name>"
+_TWO_PATHS = "Invoice: /Invoice/cbc:ID\nCreditNote: /CreditNote/cbc:ID"
+
+
+@query(values_sql([(1, "z"), (2, "380"), (3, "EUR"), (4, "")], ("id", "sample")))
+def example_value(v):
+    rows = [(1, _SHOWN, "/Invoice/cbc:Name"), (2, _SHOWN, _TWO_PATHS), (3, '<cbc:Amt currencyID="EUR">5</cbc:Amt>', "/Invoice/cbc:Amt/@currencyID"), (4, "no tags", "")]
+    return _cases(v, rows, "id int, block string, path string").select("id", t.example_value(F.col("block"), F.col("path")).alias("sample"))
+
+
+@query(values_sql([(1, "/Invoice/hrextac:Right"), (2, "/Invoice/hrextac:Wrong"), (3, "/Invoice/cbc:ID")], ("id", "path")))
+def extension_repair(v):
+    block = "<hrextac:Right>5</hrextac:Right> <hrextac:Other>6</hrextac:Other>"
+    rows = [(1, "/Invoice/hrextac:Wrong", "5", block), (2, "/Invoice/hrextac:Wrong", "7", block), (3, "/Invoice/cbc:ID", "5", block)]
+    fixed = t.repaired_extension(F.col("path"), F.concat(F.lit("Invoice: "), F.col("path")), F.col("sample"), F.col("block"))
+    return _cases(v, rows, "id int, path string, sample string, block string").select("id", fixed.alias("path"))
+
+
+@query(values_sql([(1, "UNTDID 1001; 380 – Commercial invoice; bullet; two; Remark: R"), (2, "true|false"), (3, "")], ("id", "value_set")))
+def value_set(v):
+    rows = [(1, "Use UNTDID 1001", "R", "BT-3 Type\n380 – Commercial invoice\n• bullet; two", "Code"), (2, "", "", "", "Boolean (true)"), (3, "", "", "BR-1 - rule\n<x>", "Text")]
+    return _cases(v, rows, "id int, note string, remark string, block string, data_type string").select("id", t.value_set(F.col("note"), F.col("remark"), F.col("block"), F.col("data_type")).alias("value_set"))
+
+
+@query(values_sql([(1, "Payment code"), (2, "A The B"), (3, "x" * 120), (4, " - ")], ("id", "name")))
+def infer_name(v):
+    return _cases(v, [(1, "Payment code The seller must"), (2, "A The B Description c"), (3, "x" * 130), (4, " - ")], "id int, raw string").select("id", t.inferred_name(F.col("raw")).alias("name"))
+
+
+@query(values_sql([(1, '{"updates": []}'), (2, "[1]")], ("id", "answer")))
+def response_cleanup(v):
+    return _cases(v, [(1, '```json\n{"updates": []}\n```'), (2, " [1] ")], "id int, raw string").select("id", t.response_json(F.col("raw")).alias("answer"))
+
+
+_PAGES = [
+    (1, "BT-7 Tax point ..... 9\nBT-8 Other"), (2, "BT-7 Tax point date The seller\nBusiness Rule\nBR-7 BT-7 must have a value\nExample of use:\n<cbc:TaxPointDate>2020-01-01</cbc:TaxPointDate>\n/Invoice/cbc:TaxPointDate"),
+    (3, "BT-7 Tax point date The seller\nBusiness Rule\nBR-7 BT-7 must have a value\nExample of use:\n<cbc:TaxPointDate>2021-02-02</cbc:TaxPointDate>\n/Invoice/cbc:TaxPointDate"),
+]
+
+
+@query(values_sql([("BT-7", "Tax point date", "/Invoice/cbc:TaxPointDate", None, "2021-02-02", 3, 16)], ("field_code", "field_name", "invoice_path", "credit_note_path", "sample", "page_number", "score")))
+def fallback_fields(v):
+    pages = _cases(v, _PAGES, "page_number int, text string")
+    rules = _cases(v, [("BR-7", "BT-7"), ("BR-7", "BT-1"), ("BR-8", "BG-4"), ("BR-8", "BT-99")], "rule_code string, ref string")
+    found = extract.fallback_fields(pages, rules, _cases(v, [("BT-1",)], "field_code string"))
+    return found.select("field_code", "field_name", "invoice_path", "credit_note_path", "sample", "page_number", "score")
+
+
+SPECIFICATION = [
+    "BT-1 Invoice number ........ 12", "BT-1 Invoice number", "Business Rule", "BR-1 BT-1 must have a value. See BT-9", "and BT-3.", "Example of use:", "<cbc:ID>33445566</cbc:ID>", "maximum of 20 characters",
+    "HR-BT-5 Mark", "/Invoice/ext:Ext/hrextac:Wrong",
+]
+_DEFINED = [
+    ("BT-1", "Invoice number", "Identifier", 1, "1", "/Invoice/cbc:ID", "/CreditNote/cbc:ID", "33445566", None, 20, "A unique identification text tail grp Note a Remark: R1", "1,2"),
+    ("HR-BT-5", "Mark", "Code", 0, "n", "/Invoice/ext:Ext/hrextac:Wrong", None, None, None, None, "d", "2"),
+]
+_DEFINED_COLUMNS = ("field_code", "field_name", "data_type", "occurrence_min", "occurrence_max", "invoice_path", "credit_note_path", "sample", "min_char_length", "max_char_length", "notes", "pages")
+
+
+def _extracted(v):
+    return extract.with_text(folds.table_records(table_rows(v)), lines(v, SPECIFICATION))
+
+
+@query(values_sql(_DEFINED, _DEFINED_COLUMNS).replace("NULL, 20", "NULL::INT, 20"))
+def extract_fields(v):
+    found = extract.field_definitions(_extracted(v))
+    return found.withColumn("pages", F.array_join(F.transform("evidence", lambda e: e["page_number"].cast("string")), ",")).select(*_DEFINED_COLUMNS)
+
+
+@query(values_sql([("BR-1", "presence", "BR-1 BT-1 must have a value. See BT-9 and BT-3.", "BT-1,BT-3,BT-9", "error")], ("rule_code", "rule_type", "expression_text", "refs", "severity")))
+def extract_rule_definitions(v):
+    return extract.rule_definitions(_extracted(v)).select("rule_code", "rule_type", "expression_text", F.array_join("refs", ",").alias("refs"), "severity")
