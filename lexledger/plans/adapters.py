@@ -60,7 +60,7 @@ VIEWS = {
                CASE d.doc_id % 3 WHEN 0 THEN 'Amount' WHEN 1 THEN 'Text' ELSE 'Code' END AS data_type,
                CASE WHEN quality = 1 THEN 'explicit' ELSE 'inferred' END AS origin, CASE WHEN d.doc_id % 4 = 0 THEN '' ELSE substring(text, 1, 20) END AS notes,
                CASE d.doc_id % 5 WHEN 0 THEN 'true' WHEN 1 THEN '' ELSE 'abc' END AS sample, CASE WHEN d.doc_id % 2 = 0 THEN 'x' END AS format_hint,
-               round(0.5 + (d.doc_id % 50) / 100.0, 2) AS confidence
+               CAST(0.5 + (d.doc_id % 50) / 100.0 AS DOUBLE) AS confidence
         FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id""",
     "code_entries": "SELECT r_name AS code_list_name, CAST(n_nationkey AS STRING) AS code, n_name AS label, n_nationkey AS ord FROM {nation} JOIN {region} ON n_regionkey = r_regionkey",
 }

@@ -110,7 +110,7 @@ _PAGES = [
 ]
 
 
-@query(values_sql([("BT-7", "Tax point date", "/Invoice/cbc:TaxPointDate", None, "2021-02-02", 3, 16)], ("field_code", "field_name", "invoice_path", "credit_note_path", "sample", "page_number", "score")))
+@query(values_sql([("BT-7", "Tax point date", "/Invoice/cbc:TaxPointDate", None, "2021-02-02", 3, 16)], ("field_code", "field_name", "invoice_path", "credit_note_path", "sample", "page_number", "score")).replace("NULL", "NULL::VARCHAR"))
 def fallback_fields(v):
     pages = _cases(v, _PAGES, "page_number int, text string")
     rules = _cases(v, [("BR-7", "BT-7"), ("BR-7", "BT-1"), ("BR-8", "BG-4"), ("BR-8", "BT-99")], "rule_code string, ref string")

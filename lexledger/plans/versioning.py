@@ -146,8 +146,8 @@ def llm_batches(v):
     return enrich.batched(due, ["confidence", "field_code"]).select("field_code", "batch")
 
 
-_UPDATES = """SELECT field_code, CASE WHEN confidence > 0.6 THEN ' new notes ' END AS notes, 'hint ' AS format_hint, CASE WHEN confidence < 0.9 THEN ' smp' END AS sample, confidence + 0.1 AS confidence, field_name
-  FROM {notes_fields} WHERE confidence <> 0.75 UNION ALL SELECT 'BT-unknown', 'x', 'x', 'x', 1.0, 'x'"""
+_UPDATES = """SELECT field_code, CASE WHEN confidence > 0.6 THEN ' new notes ' END AS notes, 'hint ' AS format_hint, CASE WHEN confidence < 0.9 THEN ' smp' END AS sample, confidence + CAST(0.1 AS DOUBLE) AS confidence, field_name
+  FROM {notes_fields} WHERE confidence <> 0.75 UNION ALL SELECT 'BT-unknown', 'x', 'x', 'x', CAST(1.0 AS DOUBLE), 'x'"""
 
 
 @query(f"""WITH u AS ({_UPDATES}), f AS (SELECT f.*, u.notes AS un, u.format_hint AS uh, u.sample AS us, u.confidence AS uc, u.field_name AS ur FROM {{notes_fields}} f LEFT JOIN u USING (field_code))
