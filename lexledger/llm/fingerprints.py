@@ -84,7 +84,7 @@ def with_next(df: DataFrame, key: str, carried: list[str], buckets: int) -> Data
     are all that the driver or a broadcast gets.
     """
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted({float(x) for x in (df.agg(F.percentile_approx(key, probs, 10 * buckets)).first()[0] or [])})
+    bounds = sorted({float(x) for x in (df.agg(F.percentile_approx(key, probs, 10 * buckets)).first()[0] or [])}) or [0.0]
     splits = [float("-inf"), *bounds, float("inf")]
     place = Bucketizer(splits=splits, inputCol="_place", outputCol="_slot")
     ranged = lambda x: place.transform(x.withColumn("_place", F.coalesce(F.col(key).cast("double"), F.lit(float("-inf"))))).withColumn("_bucket", F.col("_slot").cast("int")).drop("_place", "_slot")
