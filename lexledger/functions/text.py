@@ -122,7 +122,7 @@ def excerpt(text: Column, anchor: Column) -> Column:
     at = F.instr(flat, anchor)
     start = F.greatest(at - 1 - 240, F.lit(0))
     end = F.least(at - 1 + F.length(anchor) + 620, F.length(flat))
-    return F.when(at == 0, F.left(flat, F.lit(700))).otherwise(F.trim(F.substring(flat, start + 1, end - start)))
+    return F.when(at == 0, F.left(flat, F.lit(700))).otherwise(F.substring(flat, start + 1, end - start))
 
 
 def matches_search(query: Column, *columns: Column) -> Column:

@@ -68,3 +68,61 @@ def enriched(batches: DataFrame, client: Callable[[list[dict]], list[dict]], sch
                 yield pd.DataFrame(client(part.to_dict("records")))
 
     return batches.repartition("batch").sortWithinPartitions("batch").mapInPandas(run, schema)
+
+
+def evidence_pages(fields: DataFrame, pages: DataFrame, most: int = 3) -> DataFrame:
+    """(field_code, page_number, place): the pages of a field's evidence in first-seen order; without evidence the
+    pages that contain its code, in page order; without those page 1. At most ``most`` of them.
+
+    fields: field_code, evidence (array of structs with page_number).
+    """
+    cited = fields.select("field_code", F.array_distinct(F.transform(F.coalesce("evidence", F.array()), lambda e: e["page_number"])).alias("cited")) if "evidence" in fields.columns else fields.select("field_code", F.array().cast("array<int>").alias("cited"))
+    open_ = cited.where(F.size("cited") == 0).select("field_code")
+    # a code is looked for in every page that has its text, with or without more digits behind it
+    codes = open_.agg(F.collect_set("field_code").alias("codes"))  # codes of one catalog's uncited fields: one row
+    hits = pages.crossJoin(F.broadcast(codes)).select("page_number", F.explode(F.filter("codes", lambda c: F.contains(F.col("text"), c))).alias("field_code"))
+    found = hits.groupBy("field_code").agg(F.array_sort(F.collect_set("page_number")).alias("found"))
+    chosen = F.when(F.size("cited") > 0, F.col("cited")).otherwise(F.coalesce("found", F.array(F.lit(1))))
+    return cited.join(found, "field_code", "left").select("field_code", F.posexplode(F.slice(chosen, 1, most)).alias("place", "page_number"))
+
+
+#: What a model is told with every batch.
+INSTRUCTIONS = (
+    "Use only the supplied source excerpts.",
+    "Return updates only when the excerpts support them directly.",
+    "Do not invent code lists, examples, or formatting hints.",
+    "Keep semantic_notes concise and business-facing.",
+    "Preserve existing values by returning null or an empty list when no improvement is justified.",
+)
+
+
+def prompts(batches: DataFrame, pages: DataFrame, document: dict[str, str]) -> DataFrame:
+    """(batch, prompt): one JSON request for each batch of fields, with excerpts of their pages around their codes."""
+    from lexledger.functions import text as t
+
+    where = evidence_pages(batches, pages).join(pages, "page_number")
+    excerpts = where.groupBy("field_code").agg(F.array_sort(F.collect_list(F.struct("place", "page_number", t.excerpt(F.col("text"), F.col("field_code")).alias("excerpt")))).alias("x"))
+    shown = F.struct(
+        "field_code", "field_name", "data_type", F.when(~_suspicious(), F.col("sample")).alias("sample_value"), F.when(~notes_missing(F.col("notes")), F.col("notes")).alias("semantic_notes"), "origin", "confidence",
+    )
+    sources = F.transform(F.coalesce("x", F.array().cast("array<struct<place:int,page_number:int,excerpt:string>>")), lambda s: F.struct(s["page_number"].alias("page_number"), s["excerpt"].alias("excerpt")))
+    each = batches.join(excerpts, "field_code", "left").select("batch", F.struct(F.col("field_code").alias("k"), F.struct(shown.alias("field"), sources.alias("source_excerpts")).alias("f")).alias("f"))
+    per_batch = each.groupBy("batch").agg(F.transform(F.array_sort(F.collect_list("f"), lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)), lambda s: s["f"]).alias("fields"))
+    head = F.struct(*[F.lit(document.get(k)).alias(k) for k in ("jurisdiction", "tax_domain", "language_code", "version_label")])
+    body = F.struct(head.alias("document"), F.array(*map(F.lit, INSTRUCTIONS)).alias("instructions"), "fields")
+    return per_batch.select("batch", F.to_json(body, {"ignoreNullFields": "false"}).alias("prompt"))
+
+
+def with_evidence(fields: DataFrame, cited: DataFrame, pages: DataFrame) -> DataFrame:
+    """Fields with the first two pages that a model cited as evidence, each quote once, after what they had.
+
+    fields: field_code, evidence. cited: field_code, page_numbers.
+    """
+    from lexledger.functions import text as t
+
+    wanted = cited.select("field_code", F.posexplode(F.slice("page_numbers", 1, 2)).alias("place", "page_number")).join(pages, "page_number")
+    quote = F.left(t.excerpt(F.col("text"), F.col("field_code")), F.lit(280))
+    new = wanted.groupBy("field_code").agg(F.array_sort(F.collect_list(F.struct("place", F.struct("page_number", F.lit("llm_page_excerpt").alias("source_kind"), quote.alias("quote_text")).alias("e")))).alias("n"))
+    added = F.transform(F.coalesce("n", F.array().cast("array<struct<place:int,e:struct<page_number:int,source_kind:string,quote_text:string>>>")), lambda s: s["e"])
+    merged_ = F.concat("evidence", F.array_except(F.array_distinct(added), F.col("evidence")))
+    return fields.join(new, "field_code", "left").withColumn("evidence", merged_).drop("n")

@@ -49,3 +49,63 @@ def diagnostics(fields: DataFrame) -> DataFrame:
 def replaced_paths(c, rules: list[tuple[str, str]]):
     """Ordered literal replacements of a profile."""
     return reduce(lambda x, r: F.replace(x, F.lit(r[0]), F.lit(r[1])), rules, c)
+
+
+#: Columns that a table of fields may have.
+HEADER_KEYS = ("field_id", "business_term", "description", "note_on_use", "data_type", "cardinality", "invoice_path", "credit_note_path", "remark")
+
+
+def canonical_header(c, aliases: dict[str, list[str]]):
+    """The column that a header cell names, by a profile's aliases; null for others."""
+    pairs = [x for key, names in aliases.items() for n in names for x in (F.lit(n.lower()), F.lit(key))]
+    return F.element_at(F.create_map(*pairs), F.lower(F.trim(c))) if pairs else F.lit(None).cast("string")
+
+
+def block_score(block, signals: dict[str, int]):
+    """Sum of the weights of a profile's signals: contains:<text> for each occurrence, first_line_regex:<pattern>,
+    line_startswith_path."""
+    score = F.lit(0)
+    for name, weight in signals.items():
+        kind, _, what = name.partition(":")
+        if kind == "contains":
+            score = score + weight * (F.size(F.split(block, rf"\Q{what}\E")) - 1)
+        elif kind == "first_line_regex":
+            score = score + F.when(F.substring_index(block, "\n", 1).rlike(what), weight).otherwise(0)
+        elif kind == "line_startswith_path":
+            score = score + F.when(F.exists(F.split(block, "\n"), lambda x: x.rlike("^(/Invoice|/invoice|/CreditNote)")), weight).otherwise(0)
+        else:
+            raise ValueError(f"unknown signal {name}")
+    return score
+
+
+def rule_constraints(text, rules: list[dict], names: tuple[str, ...] = ("min_char_length", "max_char_length", "min_decimal_scale", "max_decimal_scale", "format_hint")):
+    """Ordered regex rules of a profile: ``set`` overwrites, ``set_if_empty`` fills in."""
+    out = {n: F.lit("") for n in names}
+    for rule in rules:
+        hit = text.rlike(rule["regex"])
+        for n, v in rule.get("set", {}).items():
+            out[n] = F.when(hit, v).otherwise(out[n])
+        for n, v in rule.get("set_if_empty", {}).items():
+            out[n] = F.when(hit & (out[n] == ""), v).otherwise(out[n])
+    return out
+
+
+def repair_outcome(before: DataFrame, after: DataFrame, target: str) -> DataFrame:
+    """One row: does a repaired profile fix its target without new issues? before, after: code, field_code, severity."""
+    counts = lambda df, name: df.agg(F.count("*").alias(f"{name}_issues"), F.count_if(F.col("code") == target).alias(f"{name}_target"), F.count_if(F.col("severity") == "error").alias(f"{name}_errors"))
+    both = counts(before, "old").crossJoin(F.broadcast(counts(after, "new")))  # a row each
+    return both.withColumn("accepted", (F.col("new_target") < F.col("old_target")) & (F.col("new_issues") <= F.col("old_issues")) & (F.col("new_errors") <= F.col("old_errors")))
+
+
+def generated_checks(fields: DataFrame) -> DataFrame:
+    """(field_code, predicate): Spark SQL conditions that invoices must meet, from cardinalities and constraints."""
+    c = F.concat(F.lit("`"), F.col("field_code"), F.lit("`"))
+    tests = F.array_compact(
+        F.array(
+            F.when(F.col("occurrence_min") > 0, F.concat(c, F.lit(" IS NOT NULL"))),
+            F.when(F.col("max_char_length").isNotNull(), F.concat(F.lit("coalesce(length("), c, F.lit("), 0) <= "), F.col("max_char_length").cast("string"))),
+            F.when(F.col("min_char_length").isNotNull(), F.concat(F.lit("coalesce(length("), c, F.lit(") >= "), F.col("min_char_length").cast("string"), F.lit(", true)"))),
+            F.when(F.col("max_decimal_scale").isNotNull(), F.concat(F.lit("coalesce(length(substring_index("), c, F.lit(", '.', -1)) <= "), F.col("max_decimal_scale").cast("string"), F.lit(" OR NOT contains("), c, F.lit(", '.'), true)"))),
+        )
+    )
+    return fields.select("field_code", F.explode(tests).alias("predicate"))

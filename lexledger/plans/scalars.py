@@ -60,7 +60,7 @@ def quote_text(v):
     return v["documents"].select("doc_id", t.quote(F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text")), F.col("source")).alias("quote"))
 
 
-@query("""SELECT doc_id, CASE WHEN k = 0 THEN left(f, 700) ELSE trim(substring(f, greatest(k - 241, 0) + 1, least(k - 1 + 5 + 620, length(f)) - greatest(k - 241, 0))) END AS excerpt
+@query("""SELECT doc_id, CASE WHEN k = 0 THEN left(f, 700) ELSE substring(f, greatest(k - 241, 0) + 1, least(k - 1 + 5 + 620, length(f)) - greatest(k - 241, 0)) END AS excerpt
   FROM (SELECT doc_id, f, strpos(f, ' the ') AS k FROM (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS f FROM documents))""")
 def excerpt_window(v):
     return v["documents"].select("doc_id", t.excerpt(F.col("text"), F.lit(" the ")).alias("excerpt"))
