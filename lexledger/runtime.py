@@ -37,10 +37,16 @@ class Result:
     folders: dict[str, str] = field(default_factory=dict)
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """df with its plan cut off: extraction makes large expressions, which later plans need not carry along. Without
+    a checkpoint folder it is only kept."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+
+
 def extracted(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(fields, rules) of decoded pages, fields that only rules know of included. One document's pages."""
-    records = extract.with_text(folds.table_records(pages.table_rows(found)), pages.lines(found)).persist()
-    fields, rules = extract.field_definitions(records), extract.rule_definitions(records)
+    records = _settled(extract.with_text(_settled(folds.table_records(pages.table_rows(found))), pages.lines(found)))
+    fields, rules = _settled(extract.field_definitions(records)), _settled(extract.rule_definitions(records))
     refs = rules.select("rule_code", F.explode("refs").alias("ref"))
     more = extract.fallback_fields(found.select("page_number", "text"), refs, fields.select("field_code"))
     quoted = F.array(F.struct("page_number", F.lit("paragraph").alias("source_kind"), "field_name"))
@@ -53,13 +59,13 @@ def run(found: DataFrame, published: DataFrame | None, steps: Steps | None = Non
     changes."""
     steps = steps or Steps()
     fields, rules = extracted(found)
-    fields = steps.enrich(fields, found.select("page_number", "text")).persist()
+    fields = _settled(steps.enrich(fields, found.select("page_number", "text")))
     refs = rules.select("rule_code", F.explode("refs").alias("ref"))
     evidence = fields.where(F.size("evidence") > 0).select("field_code")
-    issues = steps.validate(fields, refs, evidence).persist()
+    issues = _settled(steps.validate(fields, refs, evidence))
     changes = steps.compare(fields.limit(0) if published is None else published, fields)
-    changes = (changes.limit(0) if published is None else changes).persist()
-    items = steps.review(issues, changes).persist()
+    changes = _settled(changes.limit(0) if published is None else changes)
+    items = _settled(steps.review(issues, changes))
     result = Result(fields, rules, issues, changes, items)
     result.published = steps.publish_when_clean and items.isEmpty() and issues.isEmpty()
     return result
@@ -106,6 +112,8 @@ def main(arguments: list[str] | None = None) -> None:
     ask.add_argument("--auto-publish", action="store_true")
     got = ask.parse_args(arguments)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(f"{got.outdir}/_checkpoints")
     published = bundles.fields(bundles.read(spark, got.published_bundle)) if got.published_bundle else None
     result = run(spark.read.schema(pages.PAGE).json(got.pages), published, Steps(publish_when_clean=got.auto_publish))
     for name, place in save(result, got.outdir).items():
