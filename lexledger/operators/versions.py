@@ -98,3 +98,15 @@ def code_lists(refs: DataFrame) -> DataFrame:
     entries = refs.where(~t.is_reference_name(F.col("ref"))).select("record_ord", "pos", t.entry_code(F.col("ref")).alias("code"), t.entry_label(F.col("ref")).alias("label")).where("code <> ''")
     first = first_of(named.join(entries, "record_ord"), ["code_list_name", "code"], F.col("record_ord"), F.col("pos"))
     return first.select("code_list_name", "code", "label", F.row_number().over(Window.partitionBy("code_list_name").orderBy("record_ord", "pos")).alias("position"))
+
+
+def path_rows(fields: DataFrame) -> DataFrame:
+    """(field_code, remark, doc_kind, path_text): a row for each path that is not empty."""
+    each = fields.select("field_code", "remark", F.expr("stack(2, 'invoice', invoice_path, 'credit_note', credit_note_path) AS (doc_kind, path_text)"))
+    return each.where("path_text IS NOT NULL AND path_text <> ''")
+
+
+def paths_of(rows: DataFrame, *keys: str) -> DataFrame:
+    """Path rows put together again: invoice_path, credit_note_path and remark of each field."""
+    kind = lambda name: F.max(F.when(F.col("doc_kind") == name, F.col("path_text")))
+    return rows.groupBy(*keys, "field_code").agg(kind("invoice").alias("invoice_path"), kind("credit_note").alias("credit_note_path"), F.max("remark").alias("remark"))

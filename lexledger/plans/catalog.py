@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexledger.operators import diff, profiles, review, validate
+from lexledger.operators import diff, profiles, review, validate, versions
 from lexledger.plans.registering import registrar
 
 QUERIES, ORACLES, query = registrar()
@@ -208,3 +208,37 @@ def diagnostics(v):
   SELECT doc_id, profile_id, score FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, profile_id) = 1""")
 def profile_routing(v):
     return profiles.routed(v["documents"].select("doc_id", F.col("source").alias("name"), "text"), [("alpha", ["src1"], ["the", "rights"]), ("beta", ["src2"], ["der ", "que "]), ("gamma", [], ["license"])])
+
+
+@query("""SELECT field_code, unnest(list_filter([
+    CASE WHEN occurrence_min > 0 THEN concat('`', field_code, '` IS NOT NULL') END, CASE WHEN max_char_length IS NOT NULL THEN concat('coalesce(length(`', field_code, '`), 0) <= ', max_char_length) END,
+    CASE WHEN max_decimal_scale IS NOT NULL THEN concat('coalesce(length(substring_index(`', field_code, '`, ''.'', -1)) <= ', max_decimal_scale, ' OR NOT contains(`', field_code, '`, ''.''), true)') END], lambda x: x IS NOT NULL)) AS predicate
+  FROM {cand_fields}""")
+def generated_checks(v):
+    return profiles.generated_checks(v["cand_fields"])
+
+
+@query("""WITH o AS (SELECT * FROM (SELECT severity, code, field_code FROM {dup_fields} f, (VALUES ('error', 'invalid_cardinality')) x(severity, code) WHERE try_cast(occurrence_max AS INT) < occurrence_min)), n AS (SELECT * FROM o WHERE field_code NOT LIKE '%7')
+  SELECT a.*, b.*, new_target < old_target AND new_issues <= old_issues AND new_errors <= old_errors AS accepted FROM
+    (SELECT count(*) AS old_issues, count(*) FILTER (code = 'invalid_cardinality') AS old_target, count(*) FILTER (severity = 'error') AS old_errors FROM o) a,
+    (SELECT count(*) AS new_issues, count(*) FILTER (code = 'invalid_cardinality') AS new_target, count(*) FILTER (severity = 'error') AS new_errors FROM n) b""")
+def repair_comparison(v):
+    before = validate.reversed_cardinality(v["dup_fields"])
+    return profiles.repair_outcome(before, before.where("field_code NOT LIKE '%7'"), "invalid_cardinality")
+
+
+@query("""SELECT field_code, replace(replace(invoice_path, 'Brand', 'brand'), '/Invoice/', '/inv/') AS path FROM {base_fields}""")
+def replaced_paths(v):
+    return v["base_fields"].select("field_code", profiles.replaced_paths(F.col("invoice_path"), [("Brand", "brand"), ("/Invoice/", "/inv/")]).alias("path"))
+
+
+_STORED = """SELECT field_code, concat('see ', field_code) AS remark, CASE WHEN ord % 9 = 0 THEN NULL ELSE invoice_path END AS invoice_path, CASE WHEN ord % 2 = 0 THEN '' ELSE credit_note_path END AS credit_note_path FROM {base_fields}"""
+
+
+@query(f"""WITH s AS ({_STORED}) SELECT field_code, nullif(invoice_path, '') AS invoice_path, nullif(credit_note_path, '') AS credit_note_path,
+  CASE WHEN coalesce(invoice_path, '') <> '' OR coalesce(credit_note_path, '') <> '' THEN remark END AS remark FROM s""")
+def roundtrip_loss(v):
+    """What the store gives back of paths and remarks: a remark is kept with a path only."""
+    fields = v.spark.sql(_STORED, base_fields=v["base_fields"])
+    stored = versions.path_rows(fields)
+    return fields.select("field_code").join(versions.paths_of(stored), "field_code", "left")

@@ -166,6 +166,11 @@ def tumbling_metrics(v):
     return metrics.tumbling(v["events"], "1 hour").withColumn("total", F.round("total", 4))
 
 
+@query("""SELECT time_bucket(INTERVAL '1 hour', ts) - o * INTERVAL '1 hour' AS window_start, event_type, CAST(count(*) AS BIGINT) AS runs FROM events, (VALUES (0), (1)) x(o) GROUP BY 1, 2""")
+def sliding_metrics(v):
+    return metrics.sliding(v["events"], "2 hours", "1 hour")
+
+
 @query("""WITH m AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL '2 hours' THEN 0 ELSE 1 END AS n FROM events),
   s AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM m)
   SELECT user_id, min(ts) AS session_start, CAST(count(*) AS BIGINT) AS runs FROM s GROUP BY user_id, sid""")

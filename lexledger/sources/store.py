@@ -59,7 +59,7 @@ class Store:
         vid = spark.range(1).select(key.alias("k")).first()["k"]
         tag = lambda df: df.withColumn("document_version_id", F.lit(vid))
         stored = versions.first_of(fields, ["field_code"], F.desc("ord"))
-        paths = stored.select("field_code", "remark", F.expr("stack(2, 'invoice', invoice_path, 'credit_note', credit_note_path) AS (doc_kind, path_text)")).where("path_text IS NOT NULL AND path_text <> ''")
+        paths = versions.path_rows(stored)
         old = self.table("version").where(F.col("document_version_id") == vid)
         created = F.coalesce(F.lit(old.agg(F.min("created_at")).first()[0]).cast("timestamp"), F.current_timestamp())
         values = {c: F.lit(document.get(c)) for c in ("version_label", "jurisdiction", "tax_domain", "language_code", "issued_on", "effective_from", "effective_to")}
@@ -87,5 +87,5 @@ class Store:
         """Fields of the latest published version, paths put back."""
         known = self.table("version").where((F.col("jurisdiction") == jurisdiction) & (F.col("tax_domain") == tax_domain))
         latest = versions.latest_published(known).select("document_version_id")
-        paths = self.table("path").groupBy("document_version_id", "field_code").agg(F.max(F.when(F.col("doc_kind") == "invoice", F.col("path_text"))).alias("invoice_path"), F.max(F.when(F.col("doc_kind") == "credit_note", F.col("path_text"))).alias("credit_note_path"))
+        paths = versions.paths_of(self.table("path"), "document_version_id")
         return self.table("field").join(latest, "document_version_id", "left_semi").join(paths, ["document_version_id", "field_code"], "left")
