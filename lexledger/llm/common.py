@@ -23,9 +23,19 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors."""
+#: Rows of ids in a file of an intermediate table whose size is known beforehand.
+FILE_ROWS = 100_000
+
+
+def written(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    rows: how many narrow rows there are at most, where that is known; then no more files are written than they
+    need, instead of one for each shuffle partition.
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -55,18 +65,19 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     edges = written(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).distinct(), "edges")
+    most = 2 * edges.count()  # nodes, and what any table below holds
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = both.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("component"))
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = written(both.groupBy(F.col("a").alias("n")).agg(F.least(F.col("n"), F.min("b")).alias("p")), "up")
+        up = written(both.groupBy(F.col("a").alias("n")).agg(F.least(F.col("n"), F.min("b")).alias("p")), "up", most)
         while True:
             q = up.select(F.col("n").alias("m"), F.col("p").alias("pp"))
-            jumped = written(up.join(q, up.p == q.m).select("n", F.col("p").alias("old"), F.col("pp").alias("p")), "up")
+            jumped = written(up.join(q, up.p == q.m).select("n", F.col("p").alias("old"), F.col("pp").alias("p")), "up", most)
             up = jumped.select("n", "p")
             if jumped.where("old <> p").isEmpty():
                 break
-        labels = written(labels.join(up, labels.component == up.n, "left").select("node", F.coalesce("p", "component").alias("component")), "labels")
+        labels = written(labels.join(up, labels.component == up.n, "left").select("node", F.coalesce("p", "component").alias("component")), "labels", most)
         pa, pb = (up.select(F.col("n").alias(c), F.col("p").alias(f"p{c}")) for c in "ab")
-        edges = written(edges.join(pa, "a").join(pb, "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
+        edges = written(edges.join(pa, "a").join(pb, "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges", most)
     return labels

@@ -6,8 +6,9 @@
    rarest of either document (prefix filtering); only those enter lists, and passages that very many documents
    hold make no long lists unless a document consists of them.
 3. In each list every member is paired with the list's most typical member and with its neighbour. Lists whose
-   members are then all in one component are finished; in the others every pair that may still join two components
-   is looked at. So a group of n similar documents costs n pairs, not n squared, and no link that matters is lost.
+   members are then all in one component are finished: a group of n similar documents costs n pairs, not n squared.
+   In the others all members are compared block by block by larger sketches, and pairs that may join two components
+   go on, so no link that matters is lost.
 4. Pairs pass an estimate from the sketch of the union, then the exact comparison of the full sets.
 """
 
@@ -32,6 +33,10 @@ PERCENT = 85
 SHARED_AT_LEAST = 36
 #: Estimated likeness below which a pair is not compared in full: six standard errors under 0.85.
 ESTIMATE_AT_LEAST = 0.58
+#: Size of the sketches by which the members of unfinished lists are compared, and members in a block of a list.
+WIDE_K, BLOCK = 512, 512
+#: Rows that are held as Python objects at a time.
+ROWS = 500
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -49,11 +54,17 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b]) for a, b in zip(starts, stops, strict=True)), np.uint64, n))
 
 
+def in_slices(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def sketches(docs: DataFrame, key: str = "doc_id", k: int = K) -> DataFrame:
     """(id, n, set_hash, sketch): size, 128-bit digest and k smallest hashes (as bigint) of each document's set."""
 
     def run(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             n, whole, low = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text)
@@ -96,20 +107,70 @@ def star_pairs(entries: DataFrame) -> DataFrame:
     return both.where(F.col("other").isNotNull() & (F.col("id") != F.col("other")) & _close_sizes("n", "other_n")).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
 
 
-def remaining_pairs(entries: DataFrame, joined: DataFrame, tested: DataFrame) -> DataFrame:
-    """(a, b): pairs of lists with several components, of two components, not tested yet. In each list all but the
-    members of its largest component look at every member."""
+def _products(values: list[np.ndarray], below: int | None = None) -> np.ndarray:
+    """How many values each two rows share; with ``below``, of the values less than it."""
+    row = np.repeat(np.arange(len(values)), [len(x) for x in values])
+    flat = np.concatenate(values)
+    if below is not None:
+        row, flat = row[flat < below], flat[flat < below]
+    unique, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+    column = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[column] if len(unique) else column
+    row, column = row[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(values), len(values)), np.float32)
+    for k in range(0, int(column[-1]) + 1 if len(column) else 0, 1024):
+        a, b = np.searchsorted(column, [k, k + 1024])
+        x = np.zeros((len(values), 1024), np.float32)
+        x[row[a:b], column[a:b] - k] = 1
+        both += x @ x.T
+    return both
+
+
+def _likely(percent: int = PERCENT):
+    """Of the members of two blocks of a list, the pairs of different components that may be linked: by exact
+    overlap of sets that fit in their larger sketch, else by the least overlap of linked sketches, five standard
+    errors under the mean. A pair that meets in several lists is named in that of the smallest value."""
+    least = int(WIDE_K * percent / 100 - 5 * (WIDE_K * 0.85 * 0.15) ** 0.5)
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, n, component, block = (table.column(c).to_numpy() for c in ("id", "n", "component", "block"))
+        both = _products([np.frombuffer(x, np.uint32) for x in table.column("low").to_pylist()])
+        fits = (n[:, None] <= WIDE_K) & (n[None, :] <= WIDE_K)
+        near = np.where(fits, (100 + percent) * both >= percent * (n[:, None] + n[None, :]), both >= least)
+        near &= component[:, None] != component[None, :]
+        if table.column("i")[0].as_py() != table.column("j")[0].as_py():
+            near &= block[:, None] != block[None, :]
+        if near.any():
+            near &= _products([np.frombuffer(x, np.int64) for x in table.column("keys").to_pylist()], table.column("v")[0].as_py()) == 0
+        a, b = np.nonzero(np.triu(near, 1))
+        return pa.table({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b])})
+
+    return run
+
+
+def remaining_pairs(entries: DataFrame, joined: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): pairs in lists with several components that may link two of them.
+
+    All pairs of such a list are looked at, but as a product of matrices inside a group: members are dealt to
+    blocks of about BLOCK, each pair of blocks is a group, and only likely pairs become rows.
+    """
     known = entries.join(joined.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    per = known.groupBy("v", "component").agg(F.count("*").alias("members"))
-    by = Window.partitionBy("v")
-    mixed = per.withColumn("kinds", F.count("*").over(by)).withColumn("rank", F.row_number().over(by.orderBy(F.desc("members"), "component"))).where("kinds > 1")
-    rows = written(known.join(mixed.select("v", "component", "rank"), ["v", "component"]).select("v", "id", "n", "component", "rank"), "mixed-lists")
-    x = rows.where("rank > 1").select("v", F.col("id").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"), F.col("rank").alias("ar"))
-    y = rows.select("v", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"), F.col("rank").alias("br"))
-    pairs = x.join(y, "v").where((F.col("ac") != F.col("bc")) & ((F.col("br") == 1) | (F.col("a") < F.col("b"))) & _close_sizes("an", "bn"))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(done, ["a", "b"], "left_anti")
+    per = known.groupBy("v").agg(F.count("*").alias("members"), (F.min("component") != F.max("component")).alias("mixed")).where("mixed")
+    rows = written(known.join(per.select("v", "members"), "v"), "mixed-lists", entries.count())
+    keyed = rows.groupBy("id").agg(F.collect_set("v").alias("keys"))  # at most a prefix of a sketch for each id
+
+    def widened(batches):
+        for batch in in_slices(batches):
+            low = [np.unique(shingle_set(t)[:WIDE_K].astype(np.uint32)).tobytes() for t in batch.column("text").to_pylist()]
+            keys = [np.array(k, np.int64).tobytes() for k in batch.column("keys").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(low, pa.binary()), pa.array(keys, pa.binary())], names=["id", "low", "keys"])
+
+    wide = written(texts.join(keyed, "id").select("id", "text", "keys").mapInArrow(widened, "id long, low binary, keys binary"), "wide-sketches")
+    placed = rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    to = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("block"), o).alias("i"), F.greatest(F.col("block"), o).alias("j")))
+    spread = placed.select("v", "id", "n", "component", "block", F.explode(to).alias("p")).select("v", "id", "n", "component", "block", "p.i", "p.j")
+    return spread.join(wide, "id").groupBy("v", "i", "j").applyInArrow(_likely(), "a long, b long").distinct()
 
 
 def estimated(pairs: DataFrame, sets: DataFrame, k: int = K) -> DataFrame:
@@ -123,15 +184,13 @@ def estimated(pairs: DataFrame, sets: DataFrame, k: int = K) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough. texts: id, text. Only texts of pairs move."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    held = written(texts.join(used, "id"), "pair-texts")
-    with_a = pairs.join(held.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    with_b = with_a.join(held.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    """The pairs (a, b) whose full shingle sets are similar enough. texts: id, text."""
+    with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches):
         of = lru_cache(maxsize=512)(shingle_set)  # a typical member comes in many pairs
-        for batch in batches:
+        for batch in in_slices(batches):
             keep = []
             for ta, tb in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
                 x, y = of(ta), of(tb)
@@ -151,18 +210,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     Other columns are not used. Empty table: no rows.
     """
     sets = written(sketches(docs, key), "sketches")
+    documents = sets.count()
     filled = sets.where("n > 0 AND id IS NOT NULL")
-    classes = written(filled.groupBy("set_hash").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size")), "classes")
+    classes = written(filled.groupBy("set_hash").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size")), "classes", documents)
     # of each class the row with its smallest id
     heads = classes.select(F.col("class_id").alias("id"), F.col("set_hash"))
     reps = written(sets.join(heads, ["id", "set_hash"]).select("id", "n", "set_hash", "sketch"), "class-sets")
     entries = written(list_entries(reps), "list-entries")
-    texts = docs.select(F.col(key).cast("long").alias("id"), "text")
-    first = written(star_pairs(entries), "star-pairs")
+    most = 2 * entries.count()
+    # from here on only documents in lists matter: their texts and sketches are set aside once
+    listed = entries.select("id").distinct()
+    texts = written(docs.select(F.col(key).cast("long").alias("id"), "text").join(listed, "id"), "list-texts")
+    reps = written(reps.join(listed, "id"), "list-sets")
+    first = written(star_pairs(entries), "star-pairs", most)
     links = written(verified(written(estimated(first, reps), "likely-pairs"), texts), "links")
-    second = written(remaining_pairs(entries, components(links), first), "more-pairs")
+    second = written(remaining_pairs(entries, components(links), texts), "more-pairs", most)
     if not second.isEmpty():
-        links = links.unionByName(verified(written(estimated(second, reps), "likely-pairs"), texts))
+        links = links.unionByName(verified(second, texts))
     joined = components(links)
     found = sets.select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("set_hash")).alias("set_hash")).join(classes, "set_hash", "left")
     found = found.select("id", "n", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
