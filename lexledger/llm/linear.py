@@ -91,11 +91,11 @@ _KINDS = np.full(256, 0)
 for _c in range(256):
     _KINDS[_c] = 1 if 65 <= _c <= 90 else 2 if 97 <= _c <= 122 or _c >= 128 else 3 if 48 <= _c <= 57 else 4 if _c in b" \t\r\n\x0b\x0c" else 5 if _c in b".,;:?'\"()-" else 6
 #: Names of the columns of shapes().
-SHAPES = ("upper", "letters", "digits", "blanks", "stops", "symbols", "distinct words", "words on a line", "word length", "log words")
+SHAPES = ("upper", "letters", "digits", "blanks", "stops", "symbols", "distinct words", "words on a line", "word length", "log words", "repeats")
 
 
 def shapes(texts: list[str | None]) -> np.ndarray:
-    """What a text looks like, in ten numbers; zeros for None and for texts without words."""
+    """What a text looks like, in eleven numbers; zeros for None and for texts without words."""
     out = np.zeros((len(texts), len(SHAPES)))
     for k, t in enumerate(texts):
         raw = (t or "").encode("utf-8", "replace")
@@ -103,7 +103,8 @@ def shapes(texts: list[str | None]) -> np.ndarray:
         if not words:
             continue
         kinds = np.bincount(_KINDS[np.frombuffer(raw, np.uint8)], minlength=7)[1:] / len(raw)
-        out[k] = [*kinds, len(set(words)) / len(words) * min(1.0, len(words) / 50), min(len(words) / (raw.count(b"\n") + 1) / 50, 2.0), len(raw) / len(words) / 10, np.log1p(len(words)) / 5]
+        again = sum(a == b for a, b in zip(words, words[1:], strict=False)) / len(words)
+        out[k] = [*kinds, len(set(words)) / len(words) * min(1.0, len(words) / 50), min(len(words) / (raw.count(b"\n") + 1) / 50, 2.0), len(raw) / len(words) / 10, np.log1p(len(words)) / 5, again]
     return out
 
 
