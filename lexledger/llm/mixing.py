@@ -37,10 +37,10 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, epochs: floa
         weight = F.pow(F.col("chars"), F.lit(temperature))
     else:
         weight = F.coalesce(F.element_at(F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))]), F.coalesce("source", F.lit(""))), F.lit(0.0))
-    shares = chars.withColumn("weight", weight)
-    total = shares.agg(F.sum("chars").alias("_chars"), F.sum("weight").alias("_weight"))  # one row
-    rate = F.when(F.col("chars") == 0, 1.0).otherwise(F.lit(epochs) * F.col("_chars") * F.col("weight") / F.col("_weight") / F.col("chars"))
-    out = shares.crossJoin(F.broadcast(total)).select("source", "chars", rate.alias("rate"))
+    shares = written(chars.withColumn("weight", weight), "source-sizes")
+    total = shares.agg(F.sum("chars").alias("chars"), F.sum("weight").alias("weight")).first()
+    per_weight = epochs * (total["chars"] or 0.0) / (total["weight"] or 1.0)
+    out = shares.select("source", "chars", F.when(F.col("chars") == 0, 1.0).otherwise(F.lit(per_weight) * F.col("weight") / F.col("chars")).alias("rate"))
     out = out.withColumn("parts", F.greatest(F.ceil(F.col("rate") / PART_MEAN), F.lit(1)).cast("int")).withColumn("mean", F.col("rate") / F.col("parts"))
     start = F.struct(F.exp(-F.col("mean")).alias("p"), F.exp(-F.col("mean")).alias("c"), F.array(F.exp(-F.col("mean"))).alias("cdf"))
 
