@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 DICTIONARY_BYTES = 64 * 1024
 SAMPLE_DOCUMENTS = 64
 LEVEL = 6
+#: Bytes of normalised text that are compressed at a time. The dictionary saves a bounded number of bytes in each
+#: piece, so the margin of a long text does not shrink with its length.
+PIECE_BYTES = 32 * 1024
 #: Where the smallest sizes are equal, the next levels decide.
 TIE_LEVELS = (12, 19)
 #: Share of the second-best size by which the best must be smaller; below it a document is rejected.
@@ -59,13 +62,15 @@ def compressors(model: list[tuple[str, bytes]], level: int) -> list:
 
 
 def predict(model: list[tuple[str, bytes]]):
-    """text -> (language, margin). The margin is the share of the second-best size that the best size is smaller."""
+    """text -> (language, margin). The margin is the share of the second-best size that the best size is smaller;
+    sizes are sums over the pieces of the text."""
     made: dict[int, list] = {}
 
     def sizes(data: bytes, level: int) -> list[int]:
         if level not in made:
             made[level] = compressors(model, level)
-        return [len(c.compress(data)) for c in made[level]]
+        pieces = [data[at : at + PIECE_BYTES] for at in range(0, len(data), PIECE_BYTES)]
+        return [sum(len(c.compress(piece)) for piece in pieces) for c in made[level]]
 
     def one(text: str | None) -> tuple[str, float]:
         data = normalised(text or "")

@@ -116,6 +116,20 @@ def test_language_edge_cases(spark):
     assert language.identify(df.limit(0), language.fit(train)).count() == 0
 
 
+def test_margin_does_not_shrink_with_length(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("text IS NOT NULL AND n_chars > 200")
+    one = language.predict(language.fit(docs.where(~language.held_out())))
+    rows = docs.where(language.held_out()).select("lang", "text").collect()
+    rng = random.Random(3)
+    for lang in ("de", "en", "es", "fr"):
+        own = [r.text for r in rows if r.lang == lang]
+        words = " ".join(own).split()
+        long = " ".join(rng.choice(words) for _ in range(3_000_000))[: 16 << 20]
+        assert len(long) > 15e6
+        found, margin = one(long)
+        assert found == lang and margin >= language.MARGIN
+
+
 # mixing
 
 
