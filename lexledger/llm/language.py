@@ -7,7 +7,7 @@ import re
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,6 @@ TIE_LEVELS = (12, 19)
 #: Share of the second-best size by which the best must be smaller; below it a document is rejected.
 MARGIN = 0.005
 UNKNOWN = "und"
-_SAMPLE_SPACE = 1 << 20
 
 
 def normalised(text: str) -> bytes:
@@ -35,16 +34,17 @@ def fit(training: DataFrame, documents: int = SAMPLE_DOCUMENTS, size: int = DICT
     """(language, dictionary), the most frequent language first; languages with equal counts by name.
 
     training: text, lang. Rows without either are not used. Counts cover all rows. The dictionaries come from a
-    bounded sample: of each language the ``documents`` texts with the smallest hashes, cut at ``size`` bytes.
+    bounded sample: of each language the ``documents`` distinct texts with the smallest hashes, cut at ``size`` bytes.
     """
     rows = training.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return []
-    share = {k: min(_SAMPLE_SPACE, -(-3 * documents * _SAMPLE_SPACE // n)) for k, n in counts.items()}
-    below = F.element_at(F.create_map(*[F.lit(x) for pair in share.items() for x in pair]), F.col("lang"))
+    # repeated texts count once before the smallest hashes are taken, however many copies there are
     hashed = rows.withColumn("h", F.xxhash64("text"))
-    picked = hashed.where(F.pmod("h", F.lit(_SAMPLE_SPACE)) < below).select("lang", "h", F.substring("text", 1, size).alias("text")).distinct().collect()
+    order = Window.partitionBy("lang").orderBy("h")
+    least = hashed.select("lang", "h").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= documents).select("lang", "h")
+    picked = hashed.join(F.broadcast(least), ["lang", "h"]).select("lang", "h", F.substring("text", 1, size).alias("text")).distinct().collect()
     found = []
     for lang in sorted(counts, key=lambda k: (-counts[k], k)):
         texts = sorted((r["h"], r["text"]) for r in picked if r["lang"] == lang)[:documents]

@@ -130,6 +130,16 @@ def test_margin_does_not_shrink_with_length(spark):
         assert found == lang and margin >= language.MARGIN
 
 
+def test_dictionaries_of_languages_that_are_nearly_all_copies(spark):
+    copies = spark.range(40_000).select(F.concat(F.lit("kopie "), F.translate((F.col("id") % 20).cast("string"), "0123456789", "abcdefghij")).alias("text"), F.lit("xx").alias("lang"))
+    hot = spark.range(60_000).select(F.when(F.col("id") < 59_000, "hot copy").otherwise(F.concat(F.lit("own "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))).alias("text"), F.lit("yy").alias("lang"))
+    model = language.fit(copies.unionByName(hot))
+    assert [lang for lang, _ in model] == ["yy", "xx"]
+    found = dict(model)
+    assert found["xx"].count(b"kopie") == 20
+    assert len(re.findall(b"own|hot", found["yy"])) == language.SAMPLE_DOCUMENTS
+
+
 # mixing
 
 
