@@ -30,12 +30,17 @@ def _suspicious() -> Column:
     return sample_suspicious(F.col("sample"), F.col("origin"), F.col("field_name"))
 
 
+def due(fields: DataFrame) -> DataFrame:
+    """All fields worth asking about: inferred ones, missing notes, suspicious samples, missing formats."""
+    missing, odd = notes_missing(F.col("notes")), _suspicious()
+    wants_format = (F.coalesce("format_hint", F.lit("")) == "") & F.lower(F.coalesce("data_type", F.lit(""))).isin(*FORMAT_TYPES)
+    return fields.where((F.col("field_kind") == "atomic") & ((F.col("origin") == "inferred") | missing | odd | wants_format))
+
+
 def candidates(fields: DataFrame, most: int = 24) -> DataFrame:
     """The fields most in need: missing notes, then explicit ones, suspicious samples, low confidence, code."""
     missing, odd = notes_missing(F.col("notes")), _suspicious()
-    wants_format = (F.coalesce("format_hint", F.lit("")) == "") & F.lower(F.coalesce("data_type", F.lit(""))).isin(*FORMAT_TYPES)
-    due = fields.where((F.col("field_kind") == "atomic") & ((F.col("origin") == "inferred") | missing | odd | wants_format))
-    return due.orderBy(F.desc(missing), F.desc(F.col("origin") == "explicit"), F.desc(odd), "confidence", "field_code").limit(most)
+    return due(fields).orderBy(F.desc(missing), F.desc(F.col("origin") == "explicit"), F.desc(odd), "confidence", "field_code").limit(most)
 
 
 def batched(fields: DataFrame, order: list[str], size: int = 8) -> DataFrame:

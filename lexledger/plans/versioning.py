@@ -142,8 +142,7 @@ def llm_candidates(v):
 
 @query(f"WITH {_DUE} SELECT field_code, CAST(floor((row_number() OVER (ORDER BY confidence, field_code) - 1) / 8) AS INT) AS batch FROM due")
 def llm_batches(v):
-    due = enrich.candidates(v["notes_fields"], most=1_000_000)
-    return enrich.batched(due, ["confidence", "field_code"]).select("field_code", "batch")
+    return enrich.batched(enrich.due(v["notes_fields"]), ["confidence", "field_code"]).select("field_code", "batch")
 
 
 _UPDATES = """SELECT field_code, CASE WHEN confidence > 0.6 THEN ' new notes ' END AS notes, 'hint ' AS format_hint, CASE WHEN confidence < 0.9 THEN ' smp' END AS sample, confidence + CAST(0.1 AS DOUBLE) AS confidence, field_name

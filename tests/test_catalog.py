@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexledger.operators import diff, enrich, folds, review
-from lexledger.plans import registry, structure
+from lexledger.plans import registry, structure, versioning
 from lexledger.plans.adapters import TABLES, Views
 from lexledger.sources import bundles, exports, pages
 from lexledger.sources.store import Store
@@ -70,6 +70,13 @@ def test_enrichment_client_gets_whole_batches(spark):
     assert sorted(r["n"] for r in got) == [4, 8, 8]
 
 
+def test_batches_hold_all_due_fields(spark):
+    n = 1_000_050
+    fields = spark.range(n).selectExpr("concat('BT-', id) AS field_code", "'f' AS field_name", "'atomic' AS field_kind", "'Text' AS data_type", "'inferred' AS origin", "'' AS notes", "'' AS sample", "'x' AS format_hint", "0.5D AS confidence")
+    got = versioning.llm_batches({"notes_fields": fields}).agg(F.count("*"), F.max("batch")).first()
+    assert tuple(got) == (n, (n - 1) // 8)
+
+
 BUNDLE = {
     "document": {"jurisdiction": "HR", "tax_domain": "einvoice", "language_code": "en", "version_label": "v1", "issued_on": "2024-01-01", "source_path": "x.pdf"},
     "fields": [
