@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from lexledger.llm import language, minhash, mixing, packing, suffixes
 from lexledger.llm.common import table, written
 
+#: Documents that share this percent of their shingles are near duplicates to the pipeline.
+NEAR_PERCENT = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a margin; a missing lang becomes the predicted one."""
@@ -18,7 +21,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component."""
-    return minhash.without_near_duplicates(docs)
+    return minhash.without_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

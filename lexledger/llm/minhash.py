@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 from functools import lru_cache
+from math import comb, floor
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +27,32 @@ from lexledger.llm.common import components, written
 
 SHINGLE_WORDS = 5
 K = 64
-#: Linked: 100 * |intersection| >= 85 * |union|.
+#: Linked: 100 * |intersection| >= percent * |union|; this is the percent where none is given.
 PERCENT = 85
-#: Retained values that two linked sets share at least if either is larger than its sketch: of the K smallest of the
-#: union each is shared with probability 0.85 or more; fewer than 36 of 64 has a chance below 1e-7.
-SHARED_AT_LEAST = 36
-#: Estimated likeness below which a pair is not compared in full: six standard errors under 0.85.
-ESTIMATE_AT_LEAST = 0.58
 #: Size of the sketches by which the members of unfinished lists are compared, and members in a block of a list.
 WIDE_K, BLOCK = 512, 512
 #: Rows that are held as Python objects at a time.
 ROWS = 500
 
 
+def shared_at_least(percent: int, k: int = K) -> int:
+    """Retained values that two linked sets share at least if either is larger than its sketch: of the k smallest of
+    the union each is shared with probability percent / 100 or more; fewer has a chance below 1e-7. 36 of 64 at 85."""
+    p, chance = percent / 100, 0.0
+    for shared in range(k + 1):
+        chance += comb(k, shared) * p**shared * (1 - p) ** (k - shared)
+        if chance >= 1e-7:
+            return max(1, shared - 1)
+    return k
+
+
+def estimate_at_least(percent: int, k: int = K) -> float:
+    """Estimated likeness below which a pair is not compared in full: six standard errors under the percent,
+    rounded down. 0.58 at 85."""
+    p = percent / 100
+    return floor(100 * (p - 6 * (p * (1 - p) / k) ** 0.5)) / 100
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the five-word shingles of a text; lower case of A-Z, words between ASCII
     white space. Fewer words: all of them as one shingle. None: empty."""
@@ -76,15 +90,15 @@ def sketches(docs: DataFrame, key: str = "doc_id", k: int = K) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("id"), "text").mapInArrow(run, "id long, n long, set_hash string, sketch array<long>")
 
 
-def _prefix(n: Column, k: int = K) -> Column:
+def _prefix(n: Column, percent: int = PERCENT, k: int = K) -> Column:
     """How many of its rarest retained values a document enters into lists."""
     size = F.least(n, F.lit(k))
-    shared = F.ceil(n * PERCENT / 100)
-    needed = F.when(n * 100 <= PERCENT * k, shared).otherwise(F.least(shared, F.lit(SHARED_AT_LEAST)))
+    shared = F.ceil(n * percent / 100)
+    needed = F.when(n * 100 <= percent * k, shared).otherwise(F.least(shared, F.lit(shared_at_least(percent, k))))
     return size - needed + 1
 
 
-def list_entries(sets: DataFrame) -> DataFrame:
+def list_entries(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(v, id, n, weight): the retained values by which a document is looked up, of those that other documents
     retain as well. weight: how common the document's values are."""
     values = sets.select("id", "n", F.explode("sketch").alias("v"))
@@ -92,19 +106,19 @@ def list_entries(sets: DataFrame) -> DataFrame:
     own = Window.partitionBy("id")
     ranked = shared.select("*", F.row_number().over(own.orderBy("c", "v")).alias("r"), F.count("*").over(own).alias("m"), F.sum("c").over(own).alias("weight"))
     alone = F.least("n", F.lit(K)) - F.col("m")  # values of this document only are its rarest
-    return ranked.where(F.col("r") <= _prefix(F.col("n")) - alone).select("v", "id", "n", "weight")
+    return ranked.where(F.col("r") <= _prefix(F.col("n"), percent) - alone).select("v", "id", "n", "weight")
 
 
-def _close_sizes(a: str, b: str) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _close_sizes(a: str, b: str, percent: int) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def star_pairs(entries: DataFrame) -> DataFrame:
+def star_pairs(entries: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b), b the more typical: every list member with the list's most typical member and with its neighbour."""
     order = Window.partitionBy("v").orderBy(F.desc("weight"), "id")
     at = entries.select("id", "n", *[f(c).over(order).alias(f"{c}{i}") for i, f in enumerate((F.first, F.lag)) for c in ("id", "n")])
     both = at.select(F.explode(F.array(F.struct("id", "n", F.col("id0").alias("other"), F.col("n0").alias("other_n")), F.struct("id", "n", F.col("id1").alias("other"), F.col("n1").alias("other_n")))).alias("p")).select("p.*")
-    return both.where(F.col("other").isNotNull() & (F.col("id") != F.col("other")) & _close_sizes("n", "other_n")).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
+    return both.where(F.col("other").isNotNull() & (F.col("id") != F.col("other")) & _close_sizes("n", "other_n", percent)).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
 
 
 def _products(values: list[np.ndarray], below: int | None = None) -> np.ndarray:
@@ -127,11 +141,12 @@ def _products(values: list[np.ndarray], below: int | None = None) -> np.ndarray:
     return both
 
 
-def _likely(percent: int = PERCENT):
+def _likely(percent: int):
     """Of the members of two blocks of a list, the pairs of different components that may be linked: by exact
     overlap of sets that fit in their larger sketch, else by the least overlap of linked sketches, five standard
     errors under the mean. A pair that meets in several lists is named in that of the smallest value."""
-    least = int(WIDE_K * percent / 100 - 5 * (WIDE_K * 0.85 * 0.15) ** 0.5)
+    p = percent / 100
+    least = int(WIDE_K * p - 5 * (WIDE_K * p * (1 - p)) ** 0.5)
 
     def run(table: pa.Table) -> pa.Table:
         ids, n, component, block = (table.column(c).to_numpy() for c in ("id", "n", "component", "block"))
@@ -149,7 +164,7 @@ def _likely(percent: int = PERCENT):
     return run
 
 
-def remaining_pairs(entries: DataFrame, joined: DataFrame, texts: DataFrame) -> DataFrame:
+def remaining_pairs(entries: DataFrame, joined: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b): pairs in lists with several components that may link two of them.
 
     All pairs of such a list are looked at, but as a product of matrices inside a group: members are dealt to
@@ -170,20 +185,20 @@ def remaining_pairs(entries: DataFrame, joined: DataFrame, texts: DataFrame) ->
     placed = rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     to = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("block"), o).alias("i"), F.greatest(F.col("block"), o).alias("j")))
     spread = placed.select("v", "id", "n", "component", "block", F.explode(to).alias("p")).select("v", "id", "n", "component", "block", "p.i", "p.j")
-    return spread.join(wide, "id").groupBy("v", "i", "j").applyInArrow(_likely(), "a long, b long").distinct()
+    return spread.join(wide, "id").groupBy("v", "i", "j").applyInArrow(_likely(percent), "a long, b long").distinct()
 
 
-def estimated(pairs: DataFrame, sets: DataFrame, k: int = K) -> DataFrame:
+def estimated(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT, k: int = K) -> DataFrame:
     """The pairs whose likeness, estimated from the sketch of the union, does not rule them out."""
     low = sets.select("id", "sketch")
     with_a = pairs.join(low.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a")
     with_b = with_a.join(low.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     seen = with_b.select("a", "b", F.size(union).alias("u"), F.size(F.array_intersect(F.array_intersect(union, F.col("sa")), F.col("sb"))).alias("i"))
-    return seen.where(F.col("i") >= F.col("u") * ESTIMATE_AT_LEAST).select("a", "b")
+    return seen.where(F.col("i") >= F.col("u") * estimate_at_least(percent, k)).select("a", "b")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough. texts: id, text."""
     with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
     with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
@@ -195,15 +210,16 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for ta, tb in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
                 x, y = of(ta), of(tb)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return with_b.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, class_id, class_size): one row per document.
 
+    Linked are documents that share ``percent`` of 100 of their shingles or more, of those in either.
     class_id: smallest id among documents with the same set; component_id: smallest id reachable over links;
     kept: doc_id = component_id. Null or blank text: no shingles, linked with nothing, kept. Ids must be integers;
     rows with equal ids are one node to links; null ids are linked with nothing.
@@ -216,17 +232,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     # of each class the row with its smallest id
     heads = classes.select(F.col("class_id").alias("id"), F.col("set_hash"))
     reps = written(sets.join(heads, ["id", "set_hash"]).select("id", "n", "set_hash", "sketch"), "class-sets")
-    entries = written(list_entries(reps), "list-entries")
+    entries = written(list_entries(reps, percent), "list-entries")
     most = 2 * entries.count()
     # from here on only documents in lists matter: their texts and sketches are set aside once
     listed = entries.select("id").distinct()
     texts = written(docs.select(F.col(key).cast("long").alias("id"), "text").join(listed, "id"), "list-texts")
     reps = written(reps.join(listed, "id"), "list-sets")
-    first = written(star_pairs(entries), "star-pairs", most)
-    links = written(verified(written(estimated(first, reps), "likely-pairs"), texts), "links")
-    second = written(remaining_pairs(entries, components(links), texts), "more-pairs", most)
+    first = written(star_pairs(entries, percent), "star-pairs", most)
+    links = written(verified(written(estimated(first, reps, percent), "likely-pairs"), texts, percent), "links")
+    second = written(remaining_pairs(entries, components(links), texts, percent), "more-pairs", most)
     if not second.isEmpty():
-        links = links.unionByName(verified(second, texts))
+        links = links.unionByName(verified(second, texts, percent))
     joined = components(links)
     found = sets.select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("set_hash")).alias("set_hash")).join(classes, "set_hash", "left")
     found = found.select("id", "n", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
@@ -234,12 +250,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", (F.coalesce(F.col("id"), F.lit(-1)) == F.coalesce("component_id", F.lit(-1))).alias("kept"), "class_id", "class_size")
 
 
-def without_near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+def without_near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """docs with one document of each near-duplicate component: the one with the smallest id.
 
     Of rows that repeat both id and text one stays. Rows without an id are linked with nothing and stay.
     """
-    ids = near_duplicates(docs, key).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    ids = near_duplicates(docs, key, percent).where("kept").select(F.col("doc_id").alias(key)).distinct()
     left = docs.withColumn(key, F.col(key).cast("long")).join(ids, key, "left_semi").withColumn("_h", F.xxhash64("text"))
     once = left.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_h").orderBy("_h"))).where("_r = 1").drop("_h", "_r")
     return once.unionByName(docs.where(F.col(key).isNull()).withColumn(key, F.col(key).cast("long"))).select(*docs.columns)

@@ -35,7 +35,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

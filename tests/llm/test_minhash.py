@@ -60,6 +60,35 @@ def test_components_equal_brute_force(spark):
         assert got == brute(rows)
 
 
+def near_copies(seed=7):
+    """Rows of pairs whose likeness runs from 0.7 to 0.95, and the pairs' likeness."""
+    rng = random.Random(seed)
+    rows = []
+    for k in range(60):
+        words = [f"d{k}w{i}" for i in range(rng.choice([30, 60, 150, 400]))]
+        other = list(words)
+        for at in rng.sample(range(len(words)), max(1, len(words) * rng.randrange(1, 5) // 100)):
+            other[at] = f"x{k}y{at}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    return rows
+
+
+def likeness(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def test_percent_is_kept_at_80_and_85(spark):
+    rows = near_copies()
+    alike = {rows[i][0]: likeness(rows[i][1], rows[i + 1][1]) for i in range(0, len(rows), 2)}
+    assert sum(0.8 <= x < 0.85 for x in alike.values()) >= 3 and sum(x < 0.8 for x in alike.values()) >= 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent in (80, 85):
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, percent=percent).collect()}
+        assert {d for d in alike if got[d + 1] == d} == {d for d, x in alike.items() if 100 * x >= percent - 1e-9}
+    assert (minhash.shared_at_least(85), minhash.estimate_at_least(85)) == (36, 0.58)
+
+
 def test_empty_table_and_repeated_rows(spark):
     schema = "doc_id long, text string"
     assert minhash.near_duplicates(spark.createDataFrame([], schema)).count() == 0

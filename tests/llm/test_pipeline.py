@@ -51,6 +51,13 @@ def test_repeated_rows_and_missing_ids(spark):
     assert sorted((str(r.doc_id) for r in got)) == ["1", "None", "None"]
 
 
+def test_near_copies_of_80_percent_go(spark):
+    words = [f"w{i}" for i in range(100)]
+    other = [f"x{i}" if i in (10, 50) else w for i, w in enumerate(words)]
+    docs = spark.createDataFrame([(1, " ".join(words), "en", "s", 1), (2, " ".join(other), "en", "s", 1)], DOC)  # 86 of 106 shingles
+    assert [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()] == [1]
+
+
 def test_whole_run_and_empty_table(spark, tmp_path):
     docs = documents(spark)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
