@@ -1,21 +1,32 @@
-"""HTML to text as it is laid out: a tree with implied tags, visibility, block spacing, lists and aligned tables."""
+"""HTML to text as it is laid out: a tree with implied tags, visibility, block spacing, lists and aligned tables.
+
+A page is read once from front to back, as the HTML standard reads it: a tag ends at the first ``>`` outside its
+quoted values, a tag or comment that never ends takes the rest of the page. Elements may nest without bound; the tree
+is built and walked with explicit stacks, so no page, however long, deep or malformed, takes more than time in
+proportion to its length and its text.
+"""
 
 from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-_TAG = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</[^a-zA-Z>][^>]*>", re.S
-)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_RULE = re.compile(r"([^{}@]+)\{([^{}]*)\}")
-_HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
-_SHOWS = re.compile(r"(?:^|;)\s*(?:display\s*:\s*(?!none)[a-z]|visibility\s*:\s*visible)", re.I)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTRIBUTE = re.compile(r"[\s/]*+(=?[^\s/>=]*+)(\s*+=\s*+)?")
+_VALUE = re.compile(r"[^\s>]*")
+_BRACE = re.compile(r"[{}]")
+#: Decimal references of so many digits name no character.
+_HUGE = re.compile(r"&#0*[1-9][0-9]{7,};?")
+_HIDES = re.compile(r"(?:^|;)\s*visibility\s*:\s*(?:hidden|collapse)", re.I)
+_REMOVES = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+_SHOWS = re.compile(r"(?:^|;)\s*visibility\s*:\s*visible", re.I)
+_SELECTOR = re.compile(r"[\w-]*[.#]?[\w-]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is text up to their end tag; of the second kind with character references.
@@ -28,6 +39,7 @@ _LINED = frozenset(
     "address article aside body center details dialog dd div dt figcaption footer form header hgroup html legend li main nav optgroup option search section summary caption tr thead tbody tfoot td th colgroup".split()
 )
 _BLOCKS = _SPACED | _LINED
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CLOSE_P = (_BLOCKS - frozenset("body html option optgroup caption tr thead tbody tfoot td th colgroup legend".split())) | {"hr"}
 #: A start tag of the key closes open elements of the first set, looked for up to one of the second.
 _LIST = frozenset("ul ol menu dir".split())
@@ -47,141 +59,254 @@ _IMPLIED = {
 #: End tags of these don't close what lies outside the nearest of the second.
 _SCOPES = frozenset("table td th caption body html button".split())
 _HEAD_ONLY = frozenset("head title meta link base script style noscript template".split())
-#: Deeper elements become siblings, as in browsers, which also bounds the recursion below.
-_DEPTH = 150
+_VALUED = frozenset("text submit button reset search email url tel number".split())
+#: Layout only, no text is lost to any of these: columns that a line is indented at most and that cells are aligned
+#: to at most, the widest column that cells are aligned to, rows or columns that a cell spans at most, and tables
+#: inside each other that are laid out in columns (those inside them: cell under cell).
+INDENT, ALIGNED, COLUMN, SPAN, TABLES = 200, 2000, 200, 100, 16
+
+
+def unescape(text: str) -> str:
+    return html.unescape(_HUGE.sub("\N{REPLACEMENT CHARACTER}", text)) if "&" in text else text
 
 
 class Element:
     __slots__ = ("attributes", "children", "tag")
 
-    def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.attributes, self.children = tag, attributes, []
+    def __init__(self, tag: str, attributes: dict[str, str] | None = None):
+        self.tag, self.attributes, self.children = tag, attributes or {}, []
 
     def attribute(self, name: str) -> str | None:
-        if not self.attributes.strip():
-            return None
-        for m in _ATTRIBUTE.finditer(self.attributes):
-            if m[1].lower() == name:
-                return html.unescape(next((g for g in m.groups()[1:] if g is not None), ""))
-        return None
+        value = self.attributes.get(name)
+        return None if value is None else unescape(value)
+
+
+def attributes_from(source: str, at: int) -> tuple[dict[str, str], int]:
+    """The attributes of a tag (the first of a name counts) and the place behind its ``>``, -1 if it never ends."""
+    found: dict[str, str] = {}
+    while True:
+        m = _ATTRIBUTE.match(source, at)
+        name, at = m[1].lower(), m.end()
+        if not name:
+            return found, at + 1 if at < len(source) else -1
+        value = ""
+        if m[2]:
+            quote = source[at : at + 1]
+            if quote == '"' or quote == "'":
+                end = source.find(quote, at + 1)
+                if end < 0:
+                    return found, -1
+                value, at = source[at + 1 : end], end + 1
+            else:
+                m = _VALUE.match(source, at)
+                value, at = m[0], m.end()
+        if name not in found:
+            found[name] = value
 
 
-def parse(source: str) -> Element:
-    """The tree of a page; whatever is missing is implied, whatever is out of place is closed."""
-    root = Element("html")
-    open_: list[Element] = [root]
-    at, n = 0, len(source)
+@lru_cache(maxsize=64)
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I)
 
-    def close_to(k: int) -> None:
-        del open_[max(k, 1) :]
 
-    def find(tags, stops) -> int | None:
-        for k in range(len(open_) - 1, 0, -1):
-            if open_[k].tag in tags:
-                return k
-            if open_[k].tag in stops:
-                return None
-        return None
+class Builder:
+    """The open elements, and for each tag the places of those that are open, the innermost last."""
+
+    def __init__(self):
+        self.root = Element("html")
+        self.open = [self.root]
+        self.places: dict[str, list[int]] = defaultdict(list)
+
+    def push(self, element: Element) -> None:
+        self.places[element.tag].append(len(self.open))
+        self.open.append(element)
 
-    def text(raw: str) -> None:
+    def close_to(self, k: int) -> None:
+        while len(self.open) > max(k, 1):
+            self.places[self.open.pop().tag].pop()
+
+    def find(self, tags, stops) -> int | None:
+        """The innermost open element of ``tags``, if none of ``stops`` lies inside it."""
+        k = max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+        return k if k and all(p[-1] <= k for t in stops if (p := self.places.get(t))) else None
+
+    def text(self, raw: str) -> None:
         if raw:
-            if open_[-1].tag == "head" and raw.strip():
-                open_.pop()
-            open_[-1].children.append(html.unescape(raw))
+            if self.open[-1].tag == "head" and raw.strip():
+                self.close_to(len(self.open) - 1)
+            self.open[-1].children.append(unescape(raw))
 
-    def start(tag: str, attributes: str) -> None:
-        if tag == "html" or (tag == "body" and any(e.tag == "body" for e in open_)):
+    def start(self, tag: str, attributes: dict[str, str]) -> None:
+        if tag == "html" or (tag == "body" and self.places.get("body")):
             return
-        if any(e.tag == "head" for e in open_) and tag not in _HEAD_ONLY:
-            close_to(next(k for k, e in enumerate(open_) if e.tag == "head"))
-        if tag in _CLOSE_P and (k := find({"p"}, _SCOPES)) is not None:
-            close_to(k)
+        if tag not in _HEAD_ONLY and (heads := self.places.get("head")):
+            self.close_to(heads[0])
+        if tag in _CLOSE_P and (k := self.find(("p",), _SCOPES)) is not None:
+            self.close_to(k)
         if tag in _IMPLIED:
             tags, stops = _IMPLIED[tag]
-            while (k := find(tags, stops)) is not None:
-                close_to(k)
-            if tag in ("td", "th") and open_[-1].tag in ("table", "thead", "tbody", "tfoot"):
-                start("tr", "")
-        if tag in ("h1", "h2", "h3", "h4", "h5", "h6") and re.fullmatch("h[1-6]", open_[-1].tag):
-            open_.pop()
-        if tag == "a" and (k := find({"a"}, _SCOPES)) is not None:
-            close_to(k)
+            while (k := self.find(tags, stops)) is not None:
+                self.close_to(k)
+            if tag in ("td", "th") and self.open[-1].tag in ("table", "thead", "tbody", "tfoot"):
+                self.start("tr", {})
+        if tag in _HEADINGS and self.open[-1].tag in _HEADINGS:
+            self.close_to(len(self.open) - 1)
+        if tag == "a" and (k := self.find(("a",), _SCOPES)) is not None:
+            self.close_to(k)
         element = Element(tag, attributes)
-        open_[-1].children.append(element)
-        if tag not in _VOID and len(open_) < _DEPTH:
-            open_.append(element)
+        self.open[-1].children.append(element)
+        if tag not in _VOID:
+            self.push(element)
+
+    def end(self, tag: str) -> None:
+        if tag == "p" and self.find(("p",), _SCOPES) is None:
+            self.start("p", {})
+        if tag == "br":
+            self.start("br", {})
+            return
+        if tag in ("body", "html"):
+            return
+        if tag == "table":
+            stops = ()
+        elif tag in ("tr", "td", "th", "thead", "tbody", "tfoot", "caption"):
+            stops = ("table",)
+        else:
+            stops = _SCOPES - {tag}
+        if (k := self.find((tag,), stops)) is not None:
+            self.close_to(k)
 
-    while at < n:
-        m = _TAG.search(source, at)
-        if m is None:
-            text(source[at:])
+
+def parse(source: str) -> Element:
+    """The tree of a page; whatever is missing is implied, whatever is out of place is closed."""
+    tree = Builder()
+    at, n = 0, len(source)
+    since, sections = 0, True  # where the text before the next tag starts; whether a CDATA section can still end
+    while True:
+        at = source.find("<", at)
+        if at < 0 or at + 1 >= n:
             break
-        text(source[at : m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
+        following = source[at + 1]
+        if following in "!?":
+            tree.text(source[since:at])
+            if source.startswith("<!--", at):
+                end = source.find("-->", at + 2)
+                at = n if end < 0 else end + 3
+            else:
+                end = -1
+                if sections and source.startswith("<![CDATA[", at):
+                    end = source.find("]]>", at)
+                    sections = end >= 0
+                end = end + 3 if end >= 0 else source.find(">", at) + 1
+                at = end or n
+            since = at
             continue
-        if m[1]:
-            if tag == "p" and find({"p"}, _SCOPES) is None:
-                start("p", "")
-            stops = {"table"} if tag in ("tr", "td", "th", "thead", "tbody", "tfoot", "caption") else _SCOPES - {tag}
-            if tag == "br":
-                start("br", "")
-            elif (k := find({tag}, frozenset() if tag in ("table", "body", "html") else stops)) is not None and tag not in ("body", "html"):
-                close_to(k)
+        closing = following == "/"
+        m = _NAME.match(source, at + 1 + closing)
+        if m is None:
+            if not closing:  # a plain <
+                at += 1
+                continue
+            tree.text(source[since:at])
+            at = since = source.find(">", at) + 1 or n
+            continue
+        tree.text(source[since:at])
+        tag, at = m[0].lower(), m.end()
+        if source.startswith(">", at):
+            attributes, at = {}, at + 1
+        else:
+            attributes, at = attributes_from(source, at)
+        if at < 0:
+            return tree.root
+        since = at
+        if closing:
+            tree.end(tag)
             continue
-        attributes = m[3] or ""
-        start(tag, attributes[:-1] if attributes.endswith("/") else attributes)
+        tree.start(tag, attributes)
+        if tag == "plaintext":
+            tree.text(source[at:])
+            return tree.root
         if tag in _RAW or tag in _ESCAPABLE:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
+            end = _end_of(tag).search(source, at)
             raw = source[at : end.start()] if end else source[at:]
-            at = end.end() if end else n
-            (open_[-1] if open_[-1].tag == tag else Element(tag)).children.append(html.unescape(raw) if tag in _ESCAPABLE else raw)
-            if open_[-1].tag == tag:
-                open_.pop()
-        elif tag == "plaintext":
-            text(source[at:])
-            break
-    return root
-
-
-def hidden_selectors(root: Element) -> frozenset[str]:
-    """Simple selectors (tag, .class, #id, tag.class, tag#id) that the page's style sheets hide."""
-    hidden, stack = set(), [root]
+            tree.open[-1].children.append(unescape(raw) if tag in _ESCAPABLE else raw)
+            tree.close_to(len(tree.open) - 1)
+            at = since = end.end() if end else n
+    tree.text(source[since:])
+    return tree.root
+
+
+def rules(sheet: str):
+    """(selectors, declarations) of a style sheet, but for rules that only hold in print."""
+    sheet = re.sub(r"/\*.*?(?:\*/|\Z)", "", sheet, flags=re.S)
+    outer: list[str] = []
+    since = 0
+    for m in _BRACE.finditer(sheet):
+        piece, since = sheet[since : m.start()], m.end()
+        if m[0] == "{":
+            outer.append(piece.rpartition(";")[2].strip().lower())
+        elif outer:
+            selectors = outer.pop()
+            printed = any(x.startswith("@media") and "print" in x and "screen" not in x for x in outer[-3:])
+            if not selectors.startswith("@") and not printed:
+                yield selectors, piece
+
+
+def hidden_selectors(root: Element) -> dict[str, bool]:
+    """Simple selectors (tag, .class, #id, tag.class, tag#id) that the page's style sheets hide: True if they are not
+    laid out, False if they are only invisible."""
+    hidden: dict[str, bool] = {}
+    stack = [root]
     while stack:
         e = stack.pop()
         if e.tag == "style":
-            sheet = re.sub(r"/\*.*?\*/", "", "".join(c for c in e.children if isinstance(c, str)), flags=re.S)
-            for m in _RULE.finditer(sheet):
-                if _HIDES.search(m[2]):
-                    hidden.update(s for part in m[1].split(",") if re.fullmatch(r"[\w-]*[.#]?[\w-]+", s := part.strip()))
+            for selectors, body in rules("".join(c for c in e.children if isinstance(c, str))):
+                removed = bool(_REMOVES.search(body))
+                if removed or _HIDES.search(body):
+                    for s in selectors.split(","):
+                        if _SELECTOR.fullmatch(s := s.strip()):
+                            hidden[s] = hidden.get(s, False) or removed
         stack.extend(c for c in e.children if isinstance(c, Element))
-    return frozenset(hidden)
+    return hidden
 
 
 class Flow:
-    """Lines of text; blocks ask for line ends and empty lines, which collapse."""
+    """Lines of text; blocks ask for line ends and empty lines, which collapse. ``marker``: what stands before the
+    next line, as a chain (what came before, string, length of both) that is put together when the line ends."""
 
     def __init__(self):
         self.lines: list[str] = []
-        self.line = ""
+        self.line: list[str] = []
+        self.shown = False  # whether the line has more than blanks
         self.gap = 0
         self.space = False
-        self.marker = ""
-        self.indent = ""
+        self.marker: tuple | None = None
+        self.indent = 0
+
+    def mark(self, text: str) -> None:
+        self.marker = (self.marker, text, len(text) + (self.marker[2] if self.marker else 0))
+
+    def put(self, text: str) -> None:
+        if text:
+            self.line.append(text)
+            self.shown = self.shown or not text.isspace()
 
     def block(self, gap: int) -> None:
-        if self.line.strip():
+        if self.shown:
             self._end()
-        self.line, self.space = "", False
+        self.line, self.shown, self.space = [], False, False
         if self.lines:
             self.gap = max(self.gap, gap)
 
     def _end(self) -> None:
-        self.lines.extend([""] * (self.gap - 1 if self.lines and self.gap > 1 else 0))
-        self.lines.append(self.indent + self.marker + self.line.rstrip(" "))
-        self.indent += " " * len(self.marker)
-        self.marker, self.line, self.gap, self.space = "", "", 1, False
+        if self.lines and self.gap > 1:
+            self.lines.append("")
+        marks, chain = [], self.marker
+        while chain:
+            marks.append(chain[1])
+            chain = chain[0]
+        self.lines.append(" " * min(self.indent, INDENT) + "".join(reversed(marks)) + "".join(self.line).rstrip(" "))
+        self.indent += self.marker[2] if self.marker else 0
+        self.marker, self.line, self.shown, self.gap, self.space = None, [], False, 1, False
 
     def words(self, text: str) -> None:
         first = text[:1].isspace()
@@ -190,57 +315,84 @@ class Flow:
             self.space |= bool(text)
             return
         glue = " " if self.line and (self.space or first) else ""
-        self.line += glue + " ".join(words).replace("", " ")
+        self.put(glue + " ".join(words).replace("", " "))
         self.space = text[-1].isspace()
 
     def br(self) -> None:
-        if self.line.strip():
+        if self.shown:
             self._end()
         else:
             self.gap = 2 if self.lines else 0
         self.space = False
 
+    def verbatim_end(self) -> None:
+        """The line ends as it is; an empty one leaves an empty line."""
+        if self.shown:
+            self._end()
+        elif self.lines:
+            self.gap = 2
+        self.line, self.shown = [], False
+
     def verbatim(self, lines: list[str]) -> None:
         for line in lines:
-            if line.strip():
-                self.line = line
-                self._end()
-            elif self.lines:
-                self.gap = 2
+            self.line, self.shown = [line], bool(line.strip())
+            self.verbatim_end()
 
 
-def _shown(e: Element, sheet: frozenset[str], visible: bool) -> tuple[bool, bool]:
-    """(laid out, visible) of an element within something visible or not."""
+def _shown(e: Element, sheet: dict[str, bool], visible: bool) -> tuple[bool, bool]:
+    """(laid out, visible) of an element within something visible or not. What is not laid out is gone with all that
+    it holds; what is invisible may hold something visible."""
     if e.tag in _NEVER_SHOWN:
         return False, False
-    if e.attributes.strip():
+    if e.attributes:
         style = e.attribute("style") or ""
-        if e.attribute("hidden") is not None or re.search(r"display\s*:\s*none", style, re.I) or (e.tag == "input" and (e.attribute("type") or "").lower() == "hidden"):
+        if "hidden" in e.attributes or _REMOVES.search(style) or (e.tag == "input" and (e.attribute("type") or "").lower() == "hidden"):
             return False, False
+    if sheet:
+        names = [e.tag]
+        if e.attributes:
+            names += [x for c in (e.attribute("class") or "").lower().split() for x in (f".{c}", f"{e.tag}.{c}")]
+            if i := (e.attribute("id") or "").lower():
+                names += [f"#{i}", f"{e.tag}#{i}"]
+        found = [sheet[x] for x in names if x in sheet]
+        if any(found):
+            return False, False
+        if found:
+            visible = False
+    if e.attributes:
         if _HIDES.search(style):
             return True, False
         if _SHOWS.search(style):
             return True, True
-        if sheet:
-            names = [f".{c}" for c in (e.attribute("class") or "").split()] + ([f"#{i}"] if (i := e.attribute("id")) else [])
-            if any(x in sheet or e.tag + x in sheet for x in names):
-                return False, False
-    return (False, False) if e.tag in sheet else (True, visible)
+    return True, visible
+
 
+def walked(task):
+    """The result of a generator that yields the generators whose results it needs: recursion on a list, not the stack."""
+    stack, value = [task], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+    return value
 
-def _render(e: Element, flow: Flow, sheet: frozenset[str], pre: bool, visible: bool) -> None:
+
+def _render(e: Element, flow: Flow, sheet: dict[str, bool], pre: bool, visible: bool, tables: int):
     number = _start_number(e) if e.tag == "ol" else 0
-    closed = e.tag == "details" and e.attribute("open") is None
+    closed = e.tag == "details" and "open" not in e.attributes
     for c in e.children:
         if isinstance(c, str):
             if not visible or closed:
                 continue
             if pre:
                 first, *more = c.replace("\r\n", "\n").split("\n")
-                flow.line += first
+                flow.put(first)
                 for line in more:
-                    flow.verbatim([flow.line])
-                    flow.line = line
+                    flow.verbatim_end()
+                    flow.put(line)
             else:
                 flow.words(c)
             continue
@@ -251,9 +403,9 @@ def _render(e: Element, flow: Flow, sheet: frozenset[str], pre: bool, visible: b
             continue
         if c.tag == "br":
             flow.br()
-        elif c.tag == "table":
+        elif c.tag == "table" and tables < TABLES:
             flow.block(2)
-            flow.verbatim(_table(c, sheet, seen))
+            flow.verbatim((yield _table(c, sheet, seen, tables + 1)))
             flow.block(2)
         elif c.tag in _BLOCKS:
             gap = 2 if c.tag in _SPACED and not (c.tag in _LIST and e.tag == "li") else 1
@@ -261,99 +413,102 @@ def _render(e: Element, flow: Flow, sheet: frozenset[str], pre: bool, visible: b
             if c.tag == "hr":
                 flow.block(2)
                 continue
-            before = flow.indent, flow.marker
+            indent, marker = flow.indent, flow.marker
             if c.tag == "li":
-                flow.marker += "- " if e.tag != "ol" else f"{number}. "
+                flow.mark("- " if e.tag != "ol" else f"{number}. ")
                 number += 1
             elif c.tag in ("dd", "blockquote"):
-                flow.marker += "  "
-            _render(c, flow, sheet, pre or c.tag in ("pre", "xmp", "listing"), seen)
+                flow.mark("  ")
+            yield _render(c, flow, sheet, pre or c.tag in ("pre", "xmp", "listing"), seen, tables)
             flow.block(gap)
             # what stands below the first line is indented as far as the markers before this block
-            flow.indent, flow.marker = before if flow.marker else (before[0] + " " * len(before[1]), "")
+            if flow.marker:
+                flow.indent, flow.marker = indent, marker
+            else:
+                flow.indent, flow.marker = indent + (marker[2] if marker else 0), None
         else:
-            if c.tag in ("input", "button") and seen and (value := c.attribute("value")) and (c.attribute("type") or "text").lower() in ("text", "submit", "button", "reset", "search", "email", "url", "tel", "number"):
+            if c.tag in ("input", "button") and seen and (value := c.attribute("value")) and (c.attribute("type") or "text").lower() in _VALUED:
                 flow.words(value)
-            _render(c, flow, sheet, pre or c.tag == "textarea", seen)
+            yield _render(c, flow, sheet, pre or c.tag == "textarea", seen, tables)
 
 
 def _start_number(e: Element) -> int:
     value = e.attribute("start") or ""
-    return int(value) if re.fullmatch(r"-?\d{1,9}", value) else 1
+    return int(value) if re.fullmatch(r"-?[0-9]{1,9}", value) else 1
 
 
 def _span(e: Element, name: str) -> int:
     value = e.attribute(name) or ""
-    return min(max(int(value), 1), 1000) if value.isdigit() and len(value) < 9 else 1
+    return min(max(int(value), 1), SPAN) if re.fullmatch(r"[0-9]{1,9}", value) else 1
 
 
-def _lines(e: Element, sheet: frozenset[str], visible: bool) -> list[str]:
+def _lines(e: Element, sheet: dict[str, bool], visible: bool, tables: int):
     flow = Flow()
-    _render(e, flow, sheet, False, visible)
+    yield _render(e, flow, sheet, False, visible, tables)
     flow.block(1)
     return flow.lines
 
 
-def _table(table: Element, sheet: frozenset[str], visible: bool) -> list[str]:
+def _table(table: Element, sheet: dict[str, bool], visible: bool, tables: int):
     """A table's lines, its cells padded to columns; captions and stray content come first."""
     out: list[str] = []
     rows: list[list[tuple[Element, bool]]] = []
     stray = Element("div")
-
-    def walk(e: Element, seen: bool) -> None:
-        for c in e.children:
-            if isinstance(c, str):
-                stray.children.append(c)
-                continue
-            shown, inner = _shown(c, sheet, seen)
-            if not shown or c.tag in ("colgroup", "col"):
-                continue
-            if c.tag in ("thead", "tbody", "tfoot"):
-                walk(c, inner)
-            elif c.tag == "tr":
+    todo = [(c, visible) for c in reversed(table.children)]
+    while todo:
+        c, seen = todo.pop()
+        if isinstance(c, str):
+            stray.children.append(c)
+            continue
+        shown, inner = _shown(c, sheet, seen)
+        if not shown or c.tag in ("colgroup", "col"):
+            continue
+        if c.tag in ("thead", "tbody", "tfoot", "tr"):
+            if c.tag == "tr":
                 rows.append([])
-                walk(c, inner)
-            elif c.tag in ("td", "th") and rows:
-                rows[-1].append((c, inner))
-            elif c.tag == "caption":
-                out.extend(_lines(c, sheet, inner))
-            else:
-                stray.children.append(c)
-
-    walk(table, visible)
-    out.extend(_lines(stray, sheet, visible))
-    taken: dict[tuple[int, int], bool] = {}
+            todo.extend((x, inner) for x in reversed(c.children))
+        elif c.tag in ("td", "th") and rows:
+            rows[-1].append((c, inner))
+        elif c.tag == "caption":
+            out.extend((yield _lines(c, sheet, inner, tables)))
+        else:
+            stray.children.append(c)
+    out.extend((yield _lines(stray, sheet, visible, tables)))
+    until: dict[int, int] = {}  # the row from which on a column is free of cells from above
     grid: list[list[tuple[int, int, list[str]]]] = []
     for r, row in enumerate(rows):
         at, cells = 0, []
         for cell, seen in row:
-            while taken.get((r, at)):
+            while until.get(at, 0) > r:
                 at += 1
             wide, high = _span(cell, "colspan"), _span(cell, "rowspan")
-            for k in range(1, min(high, len(rows) - r)):
-                for j in range(wide):
-                    taken[r + k, at + j] = True
-            cells.append((at, wide, _lines(cell, sheet, seen)))
+            if high > 1:
+                until.update((at + j, r + high) for j in range(wide))
+            cells.append((at, wide, (yield _lines(cell, sheet, seen, tables))))
             at += wide
         grid.append(cells)
     widths: dict[int, int] = {}
     for cells in grid:
         for at, wide, lines in cells:
             if wide == 1:
-                widths[at] = max(widths.get(at, 0), *(len(x) for x in lines), 0) if lines else widths.get(at, 0)
-    columns = sorted({at for cells in grid for at, _, _ in cells})
+                widths[at] = max(widths.get(at, 0), *(min(len(x), COLUMN) for x in lines), 0)
     left, x = {}, 0
-    for c in range((columns[-1] if columns else 0) + 1):
-        left[c] = x
+    for c in range(max((at for cells in grid for at, _, _ in cells), default=-1) + 1):
+        left[c] = min(x, ALIGNED)
         x += widths.get(c, 0) + 2 if widths.get(c, 0) else 0
     for cells in grid:
-        for k in range(max((len(lines) for _, _, lines in cells), default=0)):
-            line = ""
-            for at, _, lines in cells:
-                if k < len(lines) and lines[k]:
-                    line = line.ljust(left[at]) if len(line) <= left[at] or not line else line + "  "
-                    line += lines[k]
-            out.append(line)
+        open_ = [(left[at], lines) for at, _, lines in cells if lines]
+        k = 0
+        while open_:
+            parts, size = [], 0
+            for to, lines in open_:
+                if lines[k]:
+                    gap = max(to - size, 0) if size <= to or not size else 2
+                    parts += [" " * gap, lines[k]]
+                    size += gap + len(lines[k])
+            out.append("".join(parts))
+            k += 1
+            open_ = [x for x in open_ if k < len(x[1])]
     return out
 
 
@@ -363,14 +518,18 @@ def to_text(source: str | None) -> str | None:
         return None
     root = parse(source)
     flow = Flow()
-    _render(root, flow, hidden_selectors(root), False, True)
+    walked(_render(root, flow, hidden_selectors(root), False, True, 0))
     flow.block(1)
     return "\n".join(flow.lines)
 
 
 def extract(pages: DataFrame, column: str = "html") -> DataFrame:
     """pages, its HTML column replaced by ``text``. One row per input row; null HTML: null text; a column named text
-    in the input is replaced. Empty table: no rows."""
+    in the input is replaced. Repeated rows give repeated rows. Empty table: no rows.
+
+    Not laid out: elements with ``hidden`` or display:none (inline or by a simple selector of the page's style sheets)
+    with all that they hold. Invisible: visibility:hidden, but for elements inside that are made visible again.
+    """
     names = [c for c in pages.columns if c not in (column, "text")]
     schema = T.StructType([*(pages.schema[c] for c in names), T.StructField("text", T.StringType())])
 

@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from lexledger.llm.htmltext import extract, to_text
@@ -28,8 +31,66 @@ CASES = {
     "unclosed script": ("a<script>b", "a"),
     "block in inline": ("<b>x<div>y</div>z</b>", "x\ny\nz"),
     "nothing": ("", ""),
+    "invisible by a class": ("<style>.x{visibility:hidden} .y{visibility:visible}</style><div class=x>no<b style='visibility:visible'>yes</b></div>", "yes"),
+    "rules of print": ("<style>@media print {.x{display:none} .y{display:none}} @media screen{.z{display:none}}</style><i class=x>a</i><i class=y>b</i><i class=z>no</i>", "ab"),
+    "unclosed tag": ("a<b title='x", "a"),
+    "quote in a tag": ("<p don't>a<p it's>b", "a\n\nb"),
+    "attribute signs": ("<p = hidden>no</p><p a=hidden>yes</p>", "yes"),
+    "no tag": ("a </> b <1 </1x> c", "a b <1 c"),
+    "huge reference": ("&#" + "9" * 6000 + "; &#00065;", "\ufffd A"),
+    "table in a table": ("<table><tr><td>a<td><table><tr><td>b<td>c<tr><td>d<td>e</table></table>", "a  b  c\n   d  e"),
 }
 
+#: Of what hidden and shown elements nest, for the comparison with a plain recursion.
+KINDS = {"div": "<div>{}</div>", "gone": "<div hidden>{}</div>", "span": "<span>{}</span>", "unseen": '<i style="visibility:hidden">{}</i>', "seen": '<b style="visibility:visible">{}</b>', "table": "<table><tr><td>{}</table>"}
+
+
+def nested(rng, depth):
+    """(HTML, visible words) of random nested elements, worked out beside the tree builder."""
+
+    def make(depth, laid_out, visible):
+        text, words = "", []
+        for _ in range(rng.randrange(1, 4)):
+            if depth == 0 or rng.random() < 0.4:
+                word = f"w{rng.randrange(10**9)}"
+                text += f" {word} "
+                words += [word] if laid_out and visible else []
+            else:
+                kind = rng.choice(list(KINDS))
+                inner, found = make(depth - 1, laid_out and kind != "gone", {"unseen": False, "seen": True}.get(kind, visible))
+                text += KINDS[kind].format(inner)
+                words += found
+        return text, words
+
+    return make(depth, True, True)
+
+
+def test_visible_words_equal_brute_force():
+    rng = random.Random(3)
+    for k in range(300):
+        source, words = nested(rng, k % 9)
+        assert to_text(source).split() == words
+
+
+def test_hidden_stays_hidden_at_any_depth():
+    for depth in (10, 160, 10_000):
+        assert to_text("<div>" * depth + "<div hidden>SECRET</div>" + "ok") == "ok"
+        assert to_text("<div hidden>" + "<div>" * depth + "SECRET" + "</div>" * depth + "</div>ok") == "ok"
+
+
+PAGES = {
+    "unclosed tags": "<a " * 300_000, "deep lists": "<ul><li>x" * 20_000, "deep tables": "<table><tr><td>x<td>" * 5_000, "sections": "<![CDATA[>" * 100_000, "style": "<style>" + "a" * 2_000_000 + "</style>",
+    "comments": "<style>" + "/*" * 1_000_000, "spans": "<table>" + "<tr>" + "<td colspan=1000 rowspan=1000>x" * 3_000, "wide": "<table><tr><td>" + "w" * 500_000 + "<td>y" + "<tr><td>a<td>b" * 20_000, "quotes": "<p a='" * 100_000,
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_malformed_pages_take_time_in_proportion(name):
+    began = time.perf_counter()
+    out = to_text(PAGES[name])
+    assert time.perf_counter() - began < 10
+    assert out.count("x") == (PAGES[name].count("x") if name != "unclosed tags" else 0)
+
 
 @pytest.mark.parametrize("name", CASES)
 def test_case(name):
