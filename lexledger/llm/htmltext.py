@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"[\s/]*+(=?[^\s/>=]*+)(\s*+=\s*+)?")
 _VALUE = re.compile(r"[^\s>]*")
+#: A word; no-break spaces belong to words and become blanks that don't collapse.
+_WORD = re.compile(r"[\S\xa0]+")
 _BRACE = re.compile(r"[{}]")
 #: Decimal references of so many digits name no character.
 _HUGE = re.compile(r"&#0*[1-9][0-9]{7,};?")
@@ -310,12 +312,12 @@ class Flow:
 
     def words(self, text: str) -> None:
         first = text[:1].isspace()
-        words = text.replace(" ", "").split()
+        words = _WORD.findall(text) if "\xa0" in text else text.split()
         if not words:
             self.space |= bool(text)
             return
         glue = " " if self.line and (self.space or first) else ""
-        self.put(glue + " ".join(words).replace("", " "))
+        self.put(glue + " ".join(words).replace("\xa0", " "))
         self.space = text[-1].isspace()
 
     def br(self) -> None:
