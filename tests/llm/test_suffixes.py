@@ -34,6 +34,8 @@ def corpus(seed):
         s = rng.choice(shared)
         a = rng.randrange(len(s) - 100)
         texts.append(make(rng.randrange(90)) + s[a:] + make(50))
+    morse = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    texts += [morse[:256], morse[256:512], morse, "ab" * 40 + morse[100:420], "aab" * 200, "aab" * 90 + "b" + "aab" * 90]
     texts += ["ab" * 300, "x" * 199, "y" * 200, "z" * 201, make(30) * 20, None, ""]
     texts += texts[:12] + [texts[3]] * 3
     return list(zip(range(len(texts)), texts, strict=True))
@@ -69,3 +71,42 @@ def test_kept_text_and_other_columns(spark):
 
 def test_empty_table(spark):
     assert suffixes.repeated_bytes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+class Weak(suffixes.Hasher):
+    """Keys of two bits: different strings have equal keys."""
+
+    def at(self, buf, positions, length):
+        return super().at(buf, positions, length) & np.uint64(3)
+
+
+def test_equal_keys_of_different_strings_are_found_out():
+    import pyarrow as pa
+
+    def block(texts, hasher, notes=()):
+        sink = pa.BufferOutputStream()
+        table = pa.table({"text": pa.array(texts)})
+        with pa.ipc.new_stream(sink, table.schema) as w:
+            w.write_table(table)
+        parts = pa.table({"block": pa.array([0], pa.int32()), "part": ["p"], "packed": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+        side = pa.concat_tables([suffixes._note(kind, [0], [data]) for kind, data in notes]) if notes else suffixes._note("copy", [], [])
+        return suffixes.Block(parts, side, hasher)
+
+    rng = random.Random(8)
+    make = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared, other = make(300), make(300)
+    spans = lambda n: suffixes.packed(np.array([[0, n - 199]], np.int64))
+    sent = lambda t: suffixes.packed(np.concatenate([np.array([1, len(t)], np.int32).view(np.uint8), np.frombuffer(t.encode(), np.uint8)]))
+    sound, weak = suffixes.Hasher(1), Weak(1)
+    assert block([shared], sound, [("repeated", spans(300)), ("sent", sent(shared))]).confirmed()
+    assert block([shared + shared], sound, [("repeated", suffixes.packed(np.array([[0, 101], [300, 401]], np.int64)))]).confirmed()
+    assert not block([shared], weak, [("repeated", spans(300))]).confirmed()
+    assert not block([shared], sound, [("repeated", spans(300)), ("sent", sent(other))]).confirmed()
+    assert not block([shared + "x"], sound, [("repeated", spans(300)), ("sent", sent(shared[1:] + "x"))]).confirmed()
+
+
+def test_many_copies_and_repeated_rows(spark):
+    rows = [(k % 7, "same text, " * 40) for k in range(500)] + [(None, "same text, " * 40), (None, None), (None, None)]
+    got = suffixes.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert len(got) == 503
+    assert all(r.n_removed == r.n_bytes for r in got)
