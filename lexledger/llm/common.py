@@ -55,6 +55,50 @@ def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
 
 
+#: Keys are heavy if they hold more than one in so many rows; there are never more of them than this.
+HEAVY_KEYS = 10_000
+
+
+def by_weight(rows: DataFrame, per_key: DataFrame, key: str, count: str, total: int) -> tuple[DataFrame, DataFrame]:
+    """rows joined with a table of one row a key, in two parts: heavy keys, whose rows stay where they are (their
+    entries, fewer than HEAVY_KEYS, are broadcast), and all others, which are shuffled and hold at most one in
+    HEAVY_KEYS rows each. count: the column of per_key with a key's rows; total: all rows."""
+    bar = total / HEAVY_KEYS
+    heavy = F.broadcast(per_key.where(F.col(count) > bar))
+    light = rows.join(heavy.select(key), key, "left_anti").join(per_key.where(F.col(count) <= bar), key)
+    return rows.join(heavy, key), light
+
+
+#: Rows of a key that are joined in one group, unless a HEAVY_KEYS-th of all rows is more.
+KEY_ROWS = 200
+
+
+def attached(pairs: DataFrame, rows: DataFrame, side: DataFrame, key: str, other: str, total: int) -> DataFrame:
+    """rows (the written table of pairs, maybe with more columns) joined with side (id and other columns) on
+    key = id. total: number of pairs. A heavy key's rows are dealt, by their other key, to
+    several groups, for each of which there is a copy of side's row: at most 2 * HEAVY_KEYS copies in all."""
+    bar = max(KEY_ROWS, total / HEAVY_KEYS)
+    per = pairs.groupBy(F.col(key).alias("heavy")).agg(F.count("*").alias("c")).where(F.col("c") > bar)
+    heavy = written(per.select("heavy", F.ceil(F.col("c") / bar).cast("int").alias("groups")), "heavy", HEAVY_KEYS)
+    if heavy.isEmpty():
+        return rows.join(side, F.col(key) == F.col("id")).drop("id")
+    heavy = F.broadcast(heavy)
+    groups = F.coalesce("groups", F.lit(1))
+    left = rows.join(heavy, F.col(key) == F.col("heavy"), "left").withColumn("group", F.pmod(F.xxhash64(other), groups).cast("int")).drop("heavy", "groups")
+    right = side.join(heavy, F.col("id") == F.col("heavy"), "left").withColumn("g", F.explode(F.sequence(F.lit(0), groups - 1))).drop("heavy", "groups")
+    return left.join(right, (F.col(key) == F.col("id")) & (F.col("group") == F.col("g"))).drop("id", "group", "g")
+
+
+def row_of(docs: DataFrame):
+    """All columns of docs as one struct, in which names clash with nothing."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])
+
+
+def row_hash(docs: DataFrame):
+    """A 64-bit hash of all columns, of maps and other unhashable ones by their JSON: an order that holds on every run."""
+    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b: long); the component is its smallest node.
 

@@ -10,6 +10,11 @@
    In the others all members are compared block by block by larger sketches, and pairs that may join two components
    go on, so no link that matters is lost.
 4. Pairs pass an estimate from the sketch of the union, then the exact comparison of the full sets.
+
+Sketches of sets that are larger than they are leave a chance (below 1e-7 for a linked pair in step 2, five and six
+standard errors in steps 3 and 4) of missing a link; with exact=True the "sketches" are the full sets, and no step
+can. No key is hot: values, lists and typical members that hold many rows are counted before the shuffle, and their
+rows joined where they are or dealt to several groups (common.by_weight and common.attached).
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexledger.llm.common import components, written
+from lexledger.llm.common import attached, by_weight, components, row_hash, row_of, written
 
 SHINGLE_WORDS = 5
 K = 64
@@ -31,6 +36,8 @@ K = 64
 PERCENT = 85
 #: Size of the sketches by which the members of unfinished lists are compared, and members in a block of a list.
 WIDE_K, BLOCK = 512, 512
+#: Members of a heavy list that are ordered in one task to pair neighbours.
+NEIGHBOURS = 1000
 #: Rows that are held as Python objects at a time.
 ROWS = 500
 
@@ -74,8 +81,9 @@ def in_slices(batches):
             yield batch.slice(at, ROWS)
 
 
-def sketches(docs: DataFrame, key: str = "doc_id", k: int = K) -> DataFrame:
-    """(id, n, set_hash, sketch): size, 128-bit digest and k smallest hashes (as bigint) of each document's set."""
+def sketches(docs: DataFrame, key: str = "doc_id", k: int | None = K) -> DataFrame:
+    """(id, n, set_hash, sketch): size, 128-bit digest and k smallest hashes (as bigint; None: all) of each document's
+    set."""
 
     def run(batches):
         for batch in in_slices(batches):
@@ -90,35 +98,49 @@ def sketches(docs: DataFrame, key: str = "doc_id", k: int = K) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("id"), "text").mapInArrow(run, "id long, n long, set_hash string, sketch array<long>")
 
 
-def _prefix(n: Column, percent: int = PERCENT, k: int = K) -> Column:
+def _retained(n: Column, k: int | None) -> Column:
+    return n if k is None else F.least(n, F.lit(k))
+
+
+def _prefix(n: Column, percent: int = PERCENT, k: int | None = K) -> Column:
     """How many of its rarest retained values a document enters into lists."""
-    size = F.least(n, F.lit(k))
-    shared = F.ceil(n * percent / 100)
-    needed = F.when(n * 100 <= percent * k, shared).otherwise(F.least(shared, F.lit(shared_at_least(percent, k))))
-    return size - needed + 1
+    needed = F.ceil(n * percent / 100)
+    if k is not None:
+        needed = F.when(n * 100 <= percent * k, needed).otherwise(F.least(needed, F.lit(shared_at_least(percent, k))))
+    return _retained(n, k) - needed + 1
 
 
-def list_entries(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def list_entries(sets: DataFrame, percent: int = PERCENT, k: int | None = K) -> DataFrame:
     """(v, id, n, weight): the retained values by which a document is looked up, of those that other documents
     retain as well. weight: how common the document's values are."""
     values = sets.select("id", "n", F.explode("sketch").alias("v"))
-    shared = values.withColumn("c", F.count("*").over(Window.partitionBy("v"))).where("c > 1")
+    counts = written(values.groupBy("v").agg(F.count("*").alias("c")).where("c > 1"), "value-counts")
+    heavy, light = by_weight(values, counts, "v", "c", counts.agg(F.sum("c")).first()[0] or 0)
     own = Window.partitionBy("id")
-    ranked = shared.select("*", F.row_number().over(own.orderBy("c", "v")).alias("r"), F.count("*").over(own).alias("m"), F.sum("c").over(own).alias("weight"))
-    alone = F.least("n", F.lit(K)) - F.col("m")  # values of this document only are its rarest
-    return ranked.where(F.col("r") <= _prefix(F.col("n"), percent) - alone).select("v", "id", "n", "weight")
+    ranked = heavy.unionByName(light).select("*", F.row_number().over(own.orderBy("c", "v")).alias("r"), F.count("*").over(own).alias("m"), F.sum("c").over(own).alias("weight"))
+    alone = _retained(F.col("n"), k) - F.col("m")  # values of this document only are its rarest
+    return ranked.where(F.col("r") <= _prefix(F.col("n"), percent, k) - alone).select("v", "id", "n", "weight")
 
 
 def _close_sizes(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def star_pairs(entries: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b), b the more typical: every list member with the list's most typical member and with its neighbour."""
-    order = Window.partitionBy("v").orderBy(F.desc("weight"), "id")
-    at = entries.select("id", "n", *[f(c).over(order).alias(f"{c}{i}") for i, f in enumerate((F.first, F.lag)) for c in ("id", "n")])
-    both = at.select(F.explode(F.array(F.struct("id", "n", F.col("id0").alias("other"), F.col("n0").alias("other_n")), F.struct("id", "n", F.col("id1").alias("other"), F.col("n1").alias("other_n")))).alias("p")).select("p.*")
-    return both.where(F.col("other").isNotNull() & (F.col("id") != F.col("other")) & _close_sizes("n", "other_n", percent)).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
+def star_pairs(entries: DataFrame, total: int, percent: int = PERCENT) -> DataFrame:
+    """(a, b), b the more typical: every list member with the list's most typical member and with its neighbour.
+    Heavy lists are dealt to parts of about NEIGHBOURS members, in which neighbours are found."""
+    typical = F.max(F.struct("weight", (-F.col("id")).alias("k"), F.col("n").alias("top_n"), F.col("id").alias("top")))
+    lists = entries.groupBy("v").agg(F.count("*").alias("m"), typical.alias("t")).where("m > 1").select("v", "m", "t.top", "t.top_n")
+    heavy, light = by_weight(entries, written(lists, "lists", total), "v", "m", total)
+    heavy = heavy.withColumn("part", F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / NEIGHBOURS)))
+    found = []
+    for part, keys in ((light, ["v"]), (heavy, ["v", "part"])):
+        order = Window.partitionBy(*keys).orderBy(F.desc("weight"), "id")
+        at = part.select("id", "n", "top", "top_n", F.lag("id").over(order).alias("next"), F.lag("n").over(order).alias("next_n"))
+        other = F.explode(F.array(*[F.struct(F.col(c).alias("other"), F.col(f"{c}_n").alias("other_n")) for c in ("top", "next")]))
+        both = at.select("id", "n", other.alias("o")).select("id", "n", "o.*")
+        found.append(both.where(F.col("other").isNotNull() & (F.col("id") != F.col("other")) & _close_sizes("n", "other_n", percent)))
+    return found[0].unionByName(found[1]).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
 
 
 def _products(values: list[np.ndarray], below: int | None = None) -> np.ndarray:
@@ -141,17 +163,18 @@ def _products(values: list[np.ndarray], below: int | None = None) -> np.ndarray:
     return both
 
 
-def _likely(percent: int):
+def _likely(percent: int, wide: int | None):
     """Of the members of two blocks of a list, the pairs of different components that may be linked: by exact
     overlap of sets that fit in their larger sketch, else by the least overlap of linked sketches, five standard
     errors under the mean. A pair that meets in several lists is named in that of the smallest value."""
     p = percent / 100
-    least = int(WIDE_K * p - 5 * (WIDE_K * p * (1 - p)) ** 0.5)
+    least = 0 if wide is None else int(wide * p - 5 * (wide * p * (1 - p)) ** 0.5)
 
     def run(table: pa.Table) -> pa.Table:
         ids, n, component, block = (table.column(c).to_numpy() for c in ("id", "n", "component", "block"))
-        both = _products([np.frombuffer(x, np.uint32) for x in table.column("low").to_pylist()])
-        fits = (n[:, None] <= WIDE_K) & (n[None, :] <= WIDE_K)
+        both = _products([np.frombuffer(x, np.uint64) for x in table.column("low").to_pylist()])
+        fits = (n <= (n.max() if wide is None else wide))[:, None]
+        fits = fits & fits.T
         near = np.where(fits, (100 + percent) * both >= percent * (n[:, None] + n[None, :]), both >= least)
         near &= component[:, None] != component[None, :]
         if table.column("i")[0].as_py() != table.column("j")[0].as_py():
@@ -164,20 +187,22 @@ def _likely(percent: int):
     return run
 
 
-def remaining_pairs(entries: DataFrame, joined: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+def remaining_pairs(entries: DataFrame, total: int, joined: DataFrame, texts: DataFrame, percent: int = PERCENT, wide_k: int | None = WIDE_K) -> DataFrame:
     """(a, b): pairs in lists with several components that may link two of them.
 
     All pairs of such a list are looked at, but as a product of matrices inside a group: members are dealt to
     blocks of about BLOCK, each pair of blocks is a group, and only likely pairs become rows.
     """
     known = entries.join(joined.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    per = known.groupBy("v").agg(F.count("*").alias("members"), (F.min("component") != F.max("component")).alias("mixed")).where("mixed")
-    rows = written(known.join(per.select("v", "members"), "v"), "mixed-lists", entries.count())
+    known = written(known, "list-components", total)
+    per = known.groupBy("v").agg(F.count("*").alias("members"), (F.min("component") != F.max("component")).alias("mixed")).where("mixed").drop("mixed")
+    heavy, light = by_weight(known, written(per, "mixed", total), "v", "members", total)
+    rows = written(heavy.unionByName(light), "mixed-lists", total)
     keyed = rows.groupBy("id").agg(F.collect_set("v").alias("keys"))  # at most a prefix of a sketch for each id
 
     def widened(batches):
         for batch in in_slices(batches):
-            low = [np.unique(shingle_set(t)[:WIDE_K].astype(np.uint32)).tobytes() for t in batch.column("text").to_pylist()]
+            low = [shingle_set(t)[:wide_k].tobytes() for t in batch.column("text").to_pylist()]
             keys = [np.array(k, np.int64).tobytes() for k in batch.column("keys").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(low, pa.binary()), pa.array(keys, pa.binary())], names=["id", "low", "keys"])
 
@@ -185,23 +210,24 @@ def remaining_pairs(entries: DataFrame, joined: DataFrame, texts: DataFrame, per
     placed = rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     to = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("block"), o).alias("i"), F.greatest(F.col("block"), o).alias("j")))
     spread = placed.select("v", "id", "n", "component", "block", F.explode(to).alias("p")).select("v", "id", "n", "component", "block", "p.i", "p.j")
-    return spread.join(wide, "id").groupBy("v", "i", "j").applyInArrow(_likely(percent), "a long, b long").distinct()
+    return spread.join(wide, "id").groupBy("v", "i", "j").applyInArrow(_likely(percent, wide_k), "a long, b long").distinct()
 
 
 def estimated(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT, k: int = K) -> DataFrame:
-    """The pairs whose likeness, estimated from the sketch of the union, does not rule them out."""
-    low = sets.select("id", "sketch")
-    with_a = pairs.join(low.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a")
-    with_b = with_a.join(low.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
+    """The pairs (a written table) whose likeness, estimated from the sketch of the union, does not rule them out."""
+    low, total = sets.select("id", "sketch"), pairs.count()
+    with_a = attached(pairs, pairs, low.withColumnRenamed("sketch", "sa"), "a", "b", total)
+    with_b = attached(pairs, with_a, low.withColumnRenamed("sketch", "sb"), "b", "a", total)
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     seen = with_b.select("a", "b", F.size(union).alias("u"), F.size(F.array_intersect(F.array_intersect(union, F.col("sa")), F.col("sb"))).alias("i"))
     return seen.where(F.col("i") >= F.col("u") * estimate_at_least(percent, k)).select("a", "b")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough. texts: id, text."""
-    with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    """The pairs (a, b), a written table, whose full shingle sets are similar enough. texts: id, text."""
+    total = pairs.count()
+    with_a = attached(pairs, pairs, texts.withColumnRenamed("text", "ta"), "a", "b", total)
+    with_b = attached(pairs, with_a, texts.withColumnRenamed("text", "tb"), "b", "a", total)
 
     def run(batches):
         of = lru_cache(maxsize=512)(shingle_set)  # a typical member comes in many pairs
@@ -216,31 +242,35 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
     return with_b.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = PERCENT, exact: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, class_id, class_size): one row per document.
 
     Linked are documents that share ``percent`` of 100 of their shingles or more, of those in either.
     class_id: smallest id among documents with the same set; component_id: smallest id reachable over links;
     kept: doc_id = component_id. Null or blank text: no shingles, linked with nothing, kept. Ids must be integers;
     rows with equal ids are one node to links; null ids are linked with nothing.
-    Other columns are not used. Empty table: no rows.
+    Other columns are not used. Empty table: no rows. exact: look documents up by their full sets, which costs more
+    and leaves no chance of missing a link.
     """
-    sets = written(sketches(docs, key), "sketches")
+    k, wide = (None, None) if exact else (K, WIDE_K)
+    sets = written(sketches(docs, key, k), "sketches")
     documents = sets.count()
     filled = sets.where("n > 0 AND id IS NOT NULL")
     classes = written(filled.groupBy("set_hash").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size")), "classes", documents)
     # of each class the row with its smallest id
     heads = classes.select(F.col("class_id").alias("id"), F.col("set_hash"))
     reps = written(sets.join(heads, ["id", "set_hash"]).select("id", "n", "set_hash", "sketch"), "class-sets")
-    entries = written(list_entries(reps, percent), "list-entries")
-    most = 2 * entries.count()
+    entries = written(list_entries(reps, percent, k), "list-entries")
+    total = entries.count()
+    most = 2 * total
     # from here on only documents in lists matter: their texts and sketches are set aside once
     listed = entries.select("id").distinct()
     texts = written(docs.select(F.col(key).cast("long").alias("id"), "text").join(listed, "id"), "list-texts")
-    reps = written(reps.join(listed, "id"), "list-sets")
-    first = written(star_pairs(entries, percent), "star-pairs", most)
-    links = written(verified(written(estimated(first, reps, percent), "likely-pairs"), texts, percent), "links")
-    second = written(remaining_pairs(entries, components(links), texts, percent), "more-pairs", most)
+    first = written(star_pairs(entries, total, percent), "star-pairs", most)
+    if not exact:
+        first = written(estimated(first, written(reps.join(listed, "id"), "list-sets"), percent), "likely-pairs", most)
+    links = written(verified(first, texts, percent), "links")
+    second = written(remaining_pairs(entries, total, components(links), texts, percent, wide), "more-pairs", most)
     if not second.isEmpty():
         links = links.unionByName(verified(second, texts, percent))
     joined = components(links)
@@ -250,12 +280,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = PERCENT
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", (F.coalesce(F.col("id"), F.lit(-1)) == F.coalesce("component_id", F.lit(-1))).alias("kept"), "class_id", "class_size")
 
 
-def without_near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = PERCENT, exact: bool = False) -> DataFrame:
     """docs with one document of each near-duplicate component: the one with the smallest id.
 
-    Of rows that repeat both id and text one stays. Rows without an id are linked with nothing and stay.
+    Of rows that repeat both id and text one stays: the one whose columns hash smallest. Rows without an id are
+    linked with nothing and stay. Any further columns are carried along as they are, whatever their names.
     """
-    ids = near_duplicates(docs, key, percent).where("kept").select(F.col("doc_id").alias(key)).distinct()
-    left = docs.withColumn(key, F.col(key).cast("long")).join(ids, key, "left_semi").withColumn("_h", F.xxhash64("text"))
-    once = left.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_h").orderBy("_h"))).where("_r = 1").drop("_h", "_r")
-    return once.unionByName(docs.where(F.col(key).isNull()).withColumn(key, F.col(key).cast("long"))).select(*docs.columns)
+    ids = near_duplicates(docs, key, percent, exact).where("kept").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64("text").alias("same"), row_hash(docs).alias("at"), row_of(docs).alias("row"))
+    order = Window.partitionBy("id", "same").orderBy("at")
+    once = rows.join(ids, "id", "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1")
+    return once.select("row").unionByName(rows.where("id IS NULL").select("row")).select("row.*")

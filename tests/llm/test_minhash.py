@@ -1,7 +1,7 @@
 import random
 import re
 
-from lexledger.llm import minhash
+from lexledger.llm import common, minhash
 
 
 def brute(rows):
@@ -58,6 +58,31 @@ def test_components_equal_brute_force(spark):
         df = spark.createDataFrame([(d, t, "src") for d, t in rows], "doc_id long, text string, kept string").repartition(3)
         got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect()}
         assert got == brute(rows)
+        exact = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(df, exact=True).collect()}
+        assert exact == got
+
+
+def test_heavy_keys_are_dealt(spark, monkeypatch):
+    """Every value, list and typical member counts as heavy: the same components."""
+    monkeypatch.setattr(common, "HEAVY_KEYS", 1 << 40)
+    monkeypatch.setattr(common, "KEY_ROWS", 1)
+    monkeypatch.setattr(minhash, "NEIGHBOURS", 3)
+    rows = corpus(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+
+
+def test_clashing_columns_and_repeated_rows_stay(spark):
+    words = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, words, "b", {"k": 1}), (1, words, "a", {"k": 2}), (2, words + " x", "c", None), (None, words, "d", None), (3, None, "e", None)]
+    names = ("_h", "id", "row", "same", "place", "component_id", "kept", "n")
+    df = spark.createDataFrame([(d, t, *[x] * len(names), m) for d, t, x, m in rows], f"doc_id int, text string, {', '.join(f'{c} string' for c in names)}, more map<string,int>")
+    got = minhash.without_near_duplicates(df)
+    assert got.schema == df.schema
+    out = got.collect()
+    assert sorted((r.doc_id or 0, *[r[c] for c in names]) for r in out if r.doc_id != 1) == [(0, *"d" * len(names)), (3, *"e" * len(names))]
+    assert [r._h for r in out if r.doc_id == 1] in (["a"], ["b"])
+    assert [tuple(r) for r in minhash.without_near_duplicates(df.repartition(3)).collect() if r.doc_id == 1] == [tuple(r) for r in out if r.doc_id == 1]
 
 
 def near_copies(seed=7):
