@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """A folder of this application below the one that all executors share, spark.checkpoint.dir; it can be deleted
+    when the application has ended. Where the setting is missing, a local master (as in tests) gets a folder of its
+    own, a cluster an error, as it has no folder that survives a lost executor."""
     where = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set")
         where = tempfile.mkdtemp(prefix="lexledger-")
         spark.sparkContext.setCheckpointDir(where)
-    return where.rstrip("/")
+    return f"{where.rstrip('/')}/lexledger-{spark.sparkContext.applicationId}"
 
 
 #: Rows of ids in a file of an intermediate table whose size is known beforehand.
@@ -89,6 +94,17 @@ def attached(pairs: DataFrame, rows: DataFrame, side: DataFrame, key: str, other
     return left.join(right, (F.col(key) == F.col("id")) & (F.col("group") == F.col("g"))).drop("id", "group", "g")
 
 
+def keeping(docs: DataFrame, added: tuple[str, ...], apply: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """apply(docs) with docs' columns only, those included that have the names of columns that apply adds."""
+    taken = {c.lower() for c in docs.columns} | set(added)
+    own = {}
+    for c in docs.columns:
+        if c.lower() in added:
+            own[c] = next(x for k in range(len(taken) + 1) if (x := f"own_{c}_{k}").lower() not in taken)
+    out = apply(docs.withColumnsRenamed(own))
+    return out.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def row_of(docs: DataFrame):
     """All columns of docs as one struct, in which names clash with nothing."""
     return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])

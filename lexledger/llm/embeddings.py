@@ -134,8 +134,12 @@ def similar(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
 
     Null, empty or zero vectors and those with null or non-finite components link with nothing. Vectors of different
     lengths have no cosine and don't link. Equal vectors form a class and are compared as one; n_links counts every
-    other vector, copies included. Repeated ids: each row counts as a vector, they share a node. Empty table: no rows.
+    other vector, copies included. Repeated ids: each row is compared as a vector of its own, and the rows of an id
+    belong to one component. Other columns are not used. Empty table: no rows. A column that holds no arrays of
+    numbers is an error.
     """
+    if not isinstance(vectors.schema[column].dataType, T.ArrayType):
+        raise TypeError(f"{column} is {vectors.schema[column].dataType.simpleString()}, not an array of numbers")
     kind = "<f4" if vectors.schema[column].dataType.elementType == T.FloatType() else "<f8"
     number = "float" if kind == "<f4" else "double"
     base = vectors.select(F.col(key).cast("long").alias("id"), F.col(column).cast(f"array<{number}>").alias("e"))
@@ -149,10 +153,13 @@ def similar(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
 
     rows = base.select("id", F.when(F.coalesce(sound, F.lit(False)), F.col("e")).alias("e")).mapInArrow(pack, "id long, packed binary")
     rows = written(rows.select("id", "packed", F.sha2("packed", 256).alias("same")), "vectors")
-    classes = written(rows.where("same IS NOT NULL").groupBy("same").agg(F.min("id").alias("class_id"), F.count("*").alias("size")), "vector-classes")
+    classes = rows.where("same IS NOT NULL").groupBy("same").agg(F.min("id").alias("class_id"), F.count("*").alias("size"))
+    # a class is known by a number of its own, fixed when it is written, since one id may have several vectors
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     width = F.lit(int(kind[2]))
     reps = rows.join(classes.withColumnRenamed("same", "class"), (F.col("same") == F.col("class")) & (F.col("id") == F.col("class_id")))
-    reps = written(reps.select("id", "size", (F.octet_length("packed") / width).cast("int").alias("dim"), "packed").dropDuplicates(["id"]), "class-vectors")
+    reps = reps.select(F.col("node").alias("id"), "size", (F.octet_length("packed") / width).cast("int").alias("dim"), "packed")
+    reps = written(reps.dropDuplicates(["id"]), "class-vectors")  # rows of a node are equal
     sizes = {r["dim"]: r["count"] for r in reps.groupBy("dim").count().collect()}
 
     def decode(batches):
@@ -179,9 +186,17 @@ def similar(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
     found = groups.groupBy("dim", "filter", "i", "j").applyInArrow(_compare(sizes, similarity, expected_shared, kind), "id long, links long, least long")
     found = written(found, "vector-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    joined = components(found.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")))
-    per_class = classes.join(links, F.col("class_id") == F.col("id"), "left").join(joined, F.col("class_id") == F.col("node"), "left")
-    per_class = per_class.select("same", "class_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "class_id").alias("component_id"))
+    edges = found.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
+    several = rows.where("same IS NOT NULL").groupBy("id").agg(F.min("same").alias("one"), F.max("same").alias("other")).where("one <> other").select("id")
+    several = written(several, "ids-of-several-vectors")
+    if not several.isEmpty():
+        of = rows.join(several, "id").select("id", "same").distinct().join(classes.select("same", "node"), "same")
+        edges = edges.unionByName(of.join(of.groupBy("id").agg(F.min("node").alias("b")), "id").select(F.col("node").alias("a"), "b"))
+    joined = components(edges)
+    per_class = classes.withColumnRenamed("node", "own").join(links, F.col("own") == F.col("id"), "left").drop("id").join(joined, F.col("own") == F.col("node"), "left")
+    per_class = written(per_class.select("same", "class_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "own").alias("root")), "class-links")
+    least = per_class.groupBy("root").agg(F.min("class_id").alias("component_id"))
+    per_class = per_class.join(least, "root").drop("root")
     out = rows.select("id", "same").join(per_class, "same", "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.coalesce("class_id", "id").alias("class_id"))

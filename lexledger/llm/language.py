@@ -30,6 +30,11 @@ def normalised(text: str) -> bytes:
     return (" " + re.sub(r"[\W\d_]+", " ", text.lower()).strip() + " ").encode("utf-8", "replace")
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter: what \\p{L} matches when fitting. Other numerals, such as one half, are none."""
+    return any(map(str.isalpha, text))
+
+
 def fit(training: DataFrame, documents: int = SAMPLE_DOCUMENTS, size: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
     """(language, dictionary), the most frequent language first; languages with equal counts by name.
 
@@ -73,9 +78,9 @@ def predict(model: list[tuple[str, bytes]]):
         return [sum(len(c.compress(piece)) for piece in pieces) for c in made[level]]
 
     def one(text: str | None) -> tuple[str, float]:
-        data = normalised(text or "")
-        if not model or not data.strip():
+        if not model or not has_letter(text or ""):
             return UNKNOWN, 0.0
+        data = normalised(text)
         if len(model) == 1:
             return model[0][0], 1.0
         for level in (LEVEL, *TIE_LEVELS):

@@ -2,7 +2,7 @@
 
 Each source has a mean repetition rate = its target share of the mixture's characters over its own characters. A
 document's number of copies is the inverse of the Poisson distribution with that mean at a uniform number hashed
-from the seed and the document's id, so it is the same on every run and for every partitioning. Copies are exploded
+from the seed and the document's id, whatever the mean, so it is the same on every run and for every partitioning. Copies are exploded
 and dealt to random places of the output.
 """
 
@@ -11,14 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexledger.llm.common import partitions, small_side, written
+from lexledger.llm.common import partitions, row_of, small_side, written
 
 #: Target share of a source without an explicit weight: its characters to this power, then normalised.
 TEMPERATURE = 0.5
 SEED = "mix-1"
-#: Larger means are split into equal parts of at most this mean, each with its own uniform number; their sum is
-#: Poisson with the whole mean, and no table of probabilities grows with the mean.
-PART_MEAN = 64.0
+#: Values from this one on have an accurate logarithm of their factorial in closed form.
+STIRLING_FROM = 64
 
 
 def uniform(*parts: Column) -> Column:
@@ -26,8 +25,15 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("bigint") / F.lit(float(2**52))
 
 
+def log_factorial(n: Column) -> Column:
+    """Stirling's series; from STIRLING_FROM on as accurate as a double."""
+    return n * F.log(n) - n + 0.5 * F.log(2 * F.pi() * n) + 1 / (12 * n) - 1 / (360 * n**3) + 1 / (1260 * n**5)
+
+
 def rates(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, temperature: float = TEMPERATURE) -> DataFrame:
-    """(source, chars, rate, parts, cdf): a row per source. cdf: the Poisson distribution function of one part.
+    """(source, chars, rate, low, cdf): a row per source. cdf: the Poisson distribution function from ``low`` on, where
+    that lies so far below the rate that what is left out has no weight in a double; its length grows with the root
+    of the rate.
 
     Explicit weights need not sum to 1; sources missing from them get none of the mixture. Null is a source of its
     own. A source without characters gets rate 1.
@@ -41,40 +47,41 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, epochs: floa
     total = shares.agg(F.sum("chars").alias("chars"), F.sum("weight").alias("weight")).first()
     per_weight = epochs * (total["chars"] or 0.0) / (total["weight"] or 1.0)
     out = shares.select("source", "chars", F.when(F.col("chars") == 0, 1.0).otherwise(F.lit(per_weight) * F.col("weight") / F.col("chars")).alias("rate"))
-    out = out.withColumn("parts", F.greatest(F.ceil(F.col("rate") / PART_MEAN), F.lit(1)).cast("int")).withColumn("mean", F.col("rate") / F.col("parts"))
-    start = F.struct(F.exp(-F.col("mean")).alias("p"), F.exp(-F.col("mean")).alias("c"), F.array(F.exp(-F.col("mean"))).alias("cdf"))
+    rate, reach = F.col("rate"), 12 * F.sqrt("rate") + 20
+    out = out.withColumn("low", F.when(rate - reach < STIRLING_FROM, F.lit(0)).otherwise(F.floor(rate - reach)).cast("int"))
+    low = F.col("low").cast("double")
+    first = F.when(F.col("low") == 0, F.exp(-rate)).otherwise(F.exp(low * F.log(rate) - rate - log_factorial(low)))
+    start = F.struct(first.alias("p"), first.alias("c"), F.array(first).alias("cdf"))
 
     def step(acc: Column, i: Column) -> Column:
-        p = acc["p"] * F.col("mean") / i
+        p = acc["p"] * rate / i
         return F.struct(p.alias("p"), (acc["c"] + p).alias("c"), F.array_append(acc["cdf"], acc["c"] + p).alias("cdf"))
 
-    top = F.ceil(F.col("mean") + 12 * F.sqrt("mean") + 20).cast("int")
-    return out.withColumn("cdf", F.aggregate(F.sequence(F.lit(1), top), start, step)["cdf"]).drop("mean")
+    top = F.ceil(rate + reach).cast("int")
+    return out.withColumn("cdf", F.aggregate(F.sequence(F.col("low") + 1, top), start, step)["cdf"])
 
 
-def copies(cdf: Column, parts: Column, key: Column, seed: str) -> Column:
-    """Copies of a document: for each part the number of values of its distribution function at or below its uniform."""
-    one = lambda j: F.size(F.filter(cdf, lambda c: c <= uniform(F.lit(seed), j.cast("string"), key)))
-    first = F.size(F.filter(cdf, lambda c: c <= F.col("_u")))
-    return F.when(parts == 1, first).otherwise(F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), lambda acc, j: acc + one(j)))
+def replicated(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, temperature: float = TEMPERATURE, seed: str = SEED) -> DataFrame:
+    """(row, copy, shuffle_key): each row of docs, as a struct, as often as it is drawn; in random order within and
+    over partitions."""
+    spark = docs.sparkSession
+    per_source = small_side(written(rates(docs, weights, epochs, temperature), "rates").select(F.col("source").alias("of"), "low", "cdf"))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
+    drawn = docs.select(row_of(docs).alias("row"), key.alias("key")).withColumn("u", uniform(F.lit(seed), F.lit("1"), F.col("key")))
+    drawn = drawn.join(per_source, F.col("row.source").eqNullSafe(F.col("of"))).withColumn("n", F.col("low") + F.size(F.filter("cdf", lambda c: c <= F.col("u"))))
+    each = drawn.where("n > 0").select("row", "key", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    place = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit("place"), F.col("key"), F.col("copy").cast("string"))), 1, 15), 16, 10).cast("bigint")
+    n = partitions(spark)
+    slot = F.floor(F.col("shuffle_key") / F.lit(2.0**60) * n).cast("int")
+    out = each.select("row", "copy", place.alias("shuffle_key"))
+    return out.repartitionById(n, F.least(slot, F.lit(n - 1))).sortWithinPartitions("shuffle_key")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, temperature: float = TEMPERATURE, seed: str = SEED) -> DataFrame:
     """The mixture: docs' columns plus ``copy`` (from 1) and ``shuffle_key``, in random order within and over partitions.
 
     Rows with equal doc_id (or, where that is null, equal text) draw the same number. Null text is kept and weighs
-    nothing. Empty table: no rows. Columns named copy or shuffle_key in the input are replaced.
+    nothing. Empty table: no rows. Columns named copy or shuffle_key in the input are replaced; other columns are
+    carried along, whatever their names.
     """
-    spark = docs.sparkSession
-    docs = docs.drop("copy", "shuffle_key")
-    table = written(rates(docs, weights, epochs, temperature), "rates")
-    per_source = small_side(table.select(F.col("source").alias("_source"), F.col("parts").alias("_parts"), F.col("cdf").alias("_cdf")))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
-    drawn = docs.withColumn("_key", key).withColumn("_u", uniform(F.lit(seed), F.lit("1"), F.col("_key")))
-    drawn = drawn.join(per_source, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_n", copies(F.col("_cdf"), F.col("_parts"), F.col("_key"), seed))
-    each = drawn.where("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    place = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit("place"), F.col("_key"), F.col("copy").cast("string"))), 1, 15), 16, 10).cast("bigint")
-    n = partitions(spark)
-    out = each.withColumn("shuffle_key", place).select(*docs.columns, "copy", "shuffle_key")
-    slot = F.floor(F.col("shuffle_key") / F.lit(2.0**60) * n).cast("int")
-    return out.repartitionById(n, F.least(slot, F.lit(n - 1))).sortWithinPartitions("shuffle_key")
+    return replicated(docs.drop("copy", "shuffle_key"), weights, epochs, temperature, seed).select("row.*", "copy", "shuffle_key")

@@ -94,4 +94,42 @@ SELECT doc_id, text, lang, source, n_chars, copy::INT AS copy,
 FROM e
 """
 
-ORACLES: dict[str, str] = {"op10_mixing": OP10_SQL}
+#: Packing: token counts, the optimal bounds by a recursion over the number of buckets (of equal cost: fewer buckets,
+#: then the smaller bound), and batches inside shards.
+OP3_SQL = f"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS key, len(regexp_extract_all(coalesce(text, ''), '{packing.TOKEN}')) AS n FROM documents
+), e AS (
+  SELECT doc_id, key, n, unnest(generate_series(0, greatest(ceil(n / {packing.MAX_LEN}.0)::BIGINT - 1, 0))) AS piece FROM t
+), p AS (
+  SELECT doc_id, piece, piece * {packing.MAX_LEN} AS start, least({packing.MAX_LEN}, n - piece * {packing.MAX_LEN}) AS n_tokens,
+         ('0x' || substr(md5(key || ':' || piece::VARCHAR), 1, 15))::BIGINT AS place FROM e
+), h AS (
+  SELECT n_tokens AS length, count(*) AS c FROM p GROUP BY n_tokens
+), g AS (
+  SELECT length, row_number() OVER (ORDER BY length) AS i, (sum(c) OVER (ORDER BY length))::BIGINT AS upto FROM h
+), d AS (
+  SELECT 1 AS k, i, length, upto, length * upto AS cost, [length] AS bounds FROM g
+  UNION ALL
+  SELECT k, i, length, upto, best // 4096, bounds FROM (
+    SELECT d.k + 1 AS k, g.i, g.length, g.upto,
+           min(CASE WHEN d.i = g.i THEN d.cost * 4096 ELSE (d.cost + g.length * (g.upto - d.upto)) * 4096 + d.i END) AS best,
+           arg_min(CASE WHEN d.i = g.i THEN d.bounds ELSE list_append(d.bounds, g.length) END,
+                   CASE WHEN d.i = g.i THEN d.cost * 4096 ELSE (d.cost + g.length * (g.upto - d.upto)) * 4096 + d.i END) AS bounds
+    FROM d JOIN g ON d.i <= g.i WHERE d.k < {packing.BUCKETS} GROUP BY ALL)
+), b AS (
+  SELECT unnest(bounds) AS bucket FROM d WHERE k = {packing.BUCKETS} AND i = (SELECT max(i) FROM g)
+), x AS (
+  SELECT p.*, (SELECT min(bucket) FROM b WHERE bucket >= n_tokens) AS bucket FROM p
+), r AS (
+  SELECT bucket, greatest(1, {packing.TOKEN_BUDGET} // greatest(bucket, 1)) AS room, count(*) AS c FROM x GROUP BY bucket
+), s AS (
+  SELECT bucket, room, greatest(1, (c // room) // greatest(1, least(greatest({packing.SHARD_BATCHES}, least({packing.MOST_BATCHES}, (c // room) // {packing.SHARDS})), {packing.SHARD_PIECES} // room))) AS shards FROM r
+), n AS (
+  SELECT x.*, room, place % shards AS shard, row_number() OVER (PARTITION BY x.bucket, place % shards ORDER BY place, doc_id, piece, n_tokens) - 1 AS pos FROM x JOIN s USING (bucket)
+)
+SELECT doc_id, piece::INT AS piece, start::INT AS start, n_tokens::INT AS n_tokens, bucket::INT AS bucket, (bucket - n_tokens)::INT AS padding,
+       concat_ws('-', bucket, shard, pos // room) AS batch_id, (pos % room)::INT AS slot FROM n
+"""
+
+ORACLES: dict[str, str] = {"op3_packing": OP3_SQL, "op10_mixing": OP10_SQL}
