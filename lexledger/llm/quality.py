@@ -1,13 +1,16 @@
 """Document quality by co-training two views.
 
 The text view sees words, stems and the shape of the text; the page-metadata view sees source, language and length.
-Both start from labelled documents. In each round either view labels the pool documents that it is sure of for the
-other view. At the end both are calibrated on labelled documents that neither was fitted on, and combined.
+Both start from labelled documents. In each round every document outside the labelled sample is scored by both views,
+and either labels those that it is sure of for the other view: what the other learns from them is how often each of its
+features occurs under either label, counted over all of them. At the end both views are calibrated on labelled
+documents that neither was fitted on, and combined.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +20,11 @@ from pyspark.sql import types as T
 
 from lexledger.llm import linear, samples
 
-#: Labelled and unlabelled documents that the models are fitted on, at most.
-LABELLED, POOL = 6000, 6000
-ROUNDS = 3
-#: A view is sure of a document at this calibrated probability; it passes on at most so many of a class in a round.
-SURE, PASSED_ON = 0.95, 300
-PSEUDO_WEIGHT = 0.5
+#: Labelled documents that the models are fitted on, at most. Pseudo-labels come from all others, without a bound.
+LABELLED = 6000
+ROUNDS = 2
+#: A view is sure of a document at this calibrated probability.
+SURE = 0.95
 #: Documents are kept at this score.
 KEEP_AT = 0.5
 _METADATA = ("source", "lang", "n_chars")
@@ -50,36 +52,47 @@ class CoTrained:
         return linear.sigmoid(np.stack(odds, 1) @ w + shift), linear.sigmoid(odds[0]), linear.sigmoid(odds[1])
 
 
-def _merged(x: linear.Sparse, pool: linear.Sparse, picked: dict[int, int]) -> tuple[linear.Sparse, np.ndarray, np.ndarray]:
-    extra = pool.take(np.array(sorted(picked), np.int64))
-    both = linear.Sparse(np.concatenate([x.rows, extra.rows + x.n]), np.concatenate([x.features, extra.features]), x.n + extra.n, np.concatenate([x.dense, extra.dense]))
-    return both, np.array([picked[k] for k in sorted(picked)]), np.concatenate([np.ones(x.n), np.full(extra.n, PSEUDO_WEIGHT)])
+#: Of a view: documents by pseudo-label (0, 1), and those that have each feature (a row for each label).
+Counts = tuple[np.ndarray, np.ndarray]
 
 
-def co_train(views: list[linear.Sparse], y: np.ndarray, pools: list[linear.Sparse], rounds: int = ROUNDS) -> CoTrained:
-    """views: of labelled rows, y: their labels, pools: of unlabelled rows. Every fourth labelled row calibrates."""
+def evidence(counts: Counts) -> np.ndarray:
+    """Log-odds that each feature gives for label 1, of those whose rates differ by five standard errors or more."""
+    n, have = counts
+    rate = (have.sum(0) + 1) / (n.sum() + 2)
+    apart = np.abs(have[1] / max(n[1], 1) - have[0] / max(n[0], 1)) >= 5 * np.sqrt(rate * (1 - rate) * (1 / max(n[0], 1) + 1 / max(n[1], 1)))
+    odds = np.log((have[1] + 1) / (n[1] + 2)) - np.log((have[0] + 1) / (n[0] + 2))
+    return np.where(apart & (have.sum(0) >= 3) & (n.min() > 0), odds, 0.0)
+
+
+def _view(x: linear.Sparse, y: np.ndarray, counts: Counts | None) -> linear.Model:
+    """A view's model. The sum of what the other view's pseudo-labels say of a row's features is one more column; how
+    far to trust it is learned from the labelled rows. It is then folded into the features' weights."""
+    odds = None if counts is None else evidence(counts)
+    if odds is None or not odds.any():
+        return linear.fit(x, y, z=5.0)
+    said = np.bincount(x.rows, odds[x.features], minlength=x.n)[: x.n]
+    scale = said.std() or 1.0
+    model = linear.fit(linear.Sparse(x.rows, x.features, x.n, np.concatenate([x.dense, said[:, None] / scale], 1)), y, z=5.0)
+    return linear.Model((model.weights + model.dense[-1] / scale * odds).astype(np.float32), model.dense[:-1], model.bias)
+
+
+def co_train(views: list[linear.Sparse], y: np.ndarray, exchange: Callable[[list], list[Counts]], rounds: int = ROUNDS) -> CoTrained:
+    """views: of labelled rows, y: their labels; every fourth row calibrates. exchange: counts for each view, by the
+    labels that the other view of those given is sure of."""
     n = views[0].n
     held = np.arange(n) % 4 == 3
     if n < 8 or len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(n, bool)
     fit_on, check = np.nonzero(~held)[0], np.nonzero(held if held.any() else ~held)[0]
-    picked: list[dict[int, int]] = [{}, {}]
 
-    def fitted(v: int):
-        x, extra, weight = _merged(views[v].take(fit_on), pools[v], picked[v])
-        model = linear.fit(x, np.concatenate([y[fit_on], extra]).astype(int), weight, z=5.0)
+    def fitted(v: int, counts: Counts | None):
+        model = _view(views[v].take(fit_on), y[fit_on], counts)
         return model, linear.calibration(views[v].take(check).scores(model), y[check])
 
-    now = [fitted(0), fitted(1)]
+    now = [fitted(0, None), fitted(1, None)]
     for _ in range(rounds):
-        for v in (0, 1):
-            model, (a, b) = now[v]
-            p = linear.sigmoid(a * pools[v].scores(model) + b)
-            free = np.array([k not in picked[1 - v] for k in range(pools[v].n)], bool)
-            for label, sure in ((1, p), (0, 1 - p)):
-                at = np.nonzero(free & (sure >= SURE))[0]
-                picked[1 - v].update({int(k): label for k in at[np.argsort(-sure[at], kind="stable")][:PASSED_ON]})
-        now = [fitted(0), fitted(1)]
+        now = [fitted(v, c) for v, c in enumerate(exchange(now))]
     odds = np.stack([a * views[v].take(check).scores(m) + b for v, (m, (a, b)) in enumerate(now)], 1)
     w, shift = _combination(odds, y[check])
     return CoTrained(now, (w, shift))
@@ -96,19 +109,58 @@ def _combination(odds: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     return np.maximum(w[:2], 0.0), float(w[2])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, pool: int = POOL) -> CoTrained | None:
-    """None without labels. labels: doc_id and a 0/1 column; null labels are not used."""
-    known = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("_y"))
+def views_of(batch: pa.RecordBatch, wanted: np.ndarray | None = None) -> list[linear.Sparse]:
+    """The text view and the metadata view of a batch with text and _METADATA."""
+    texts = batch.column("text").to_pylist()
+    rows, features, shape = samples.view_features(texts, wanted)
+    return [linear.Sparse(rows, features, len(texts), shape), metadata_view([batch.column(c).to_pylist() for c in _METADATA])]
+
+
+def pseudo_counts(docs: DataFrame, views: list) -> list[Counts]:
+    """For each view the counts over all documents by the labels that the other view is sure of. A task sends one row
+    for each feature that it has met, and the driver gets a row for each feature: 2 ** BITS for a view at most."""
+    size = 1 << linear.BITS
+
+    def run(batches):
+        seen, have = np.zeros((2, 2)), np.zeros((2, 2, size))
+        for batch in batches:
+            both = views_of(batch)
+            p = [linear.sigmoid(a * x.scores(m) + b) for x, (m, (a, b)) in zip(both, views, strict=True)]
+            for v, x in enumerate(both):
+                for label, sure in ((0, p[1 - v] <= 1 - SURE), (1, p[1 - v] >= SURE)):
+                    seen[v, label] += sure.sum()
+                    have[v, label] += np.bincount(x.features[sure[x.rows]], minlength=size)
+        for v in (0, 1):
+            at = np.nonzero(have[v].any(0))[0]
+            columns = [np.full(len(at) + 1, v), np.concatenate([[-1], at]), *(np.concatenate([[seen[v, k]], have[v, k, at]]) for k in (0, 1))]
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["view", "feature", "n0", "n1"])
+
+    counted = docs.mapInArrow(run, "view long, feature long, n0 long, n1 long")
+    got = counted.groupBy("view", "feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    view, feature, n0, n1 = (got.column(c).to_numpy() for c in ("view", "feature", "n0", "n1"))
+    out = []
+    for v in (0, 1):
+        n, have = np.zeros(2), np.zeros((2, size))
+        for label, count in ((0, n0), (1, n1)):
+            n[label] = count[(view == v) & (feature < 0)].sum()
+            at = (view == v) & (feature >= 0)
+            have[label, feature[at]] = count[at]
+        out.append((n, have))
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED) -> CoTrained | None:
+    """None without labels. labels: doc_id and a 0/1 column; null labels are not used. A document labelled twice is two
+    training rows, and so is each of two documents with one id."""
     docs = docs.select("doc_id", "text", *_METADATA)
+    known = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("y"))
     marked = samples.smallest_hashes(known, labelled)
-    free = samples.smallest_hashes(docs.select("doc_id").join(known, "doc_id", "left_anti"), pool).withColumn("_y", F.lit(-1))
-    got = samples.text_sample(docs, marked.unionByName(free), ["doc_id", "_y", *_METADATA])
-    y = got.column("_y").to_numpy()
-    if not (y >= 0).any():
+    got = samples.text_sample(docs, marked, ["doc_id", "y", *_METADATA])
+    if not got.num_rows:
         return None
-    text, meta = samples.sparse(got), metadata_view([got.column(c).to_pylist() for c in _METADATA])
-    on, off = np.nonzero(y >= 0)[0], np.nonzero(y < 0)[0]
-    return co_train([text.take(on), meta.take(on)], y[on], [text.take(off), meta.take(off)])
+    rest = docs.join(F.broadcast(marked.select("doc_id").distinct()), "doc_id", "left_anti").select("text", *_METADATA)
+    views = [samples.sparse(got), metadata_view([got.column(c).to_pylist() for c in _METADATA])]
+    return co_train(views, got.column("y").to_numpy(), lambda now: pseudo_counts(rest, now))
 
 
 def score(docs: DataFrame, model: CoTrained | None) -> DataFrame:
@@ -126,9 +178,7 @@ def score(docs: DataFrame, model: CoTrained | None) -> DataFrame:
     def run(batches):
         wanted = model.views[0][0].weights != 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            rows, features, shape = samples.view_features(texts, wanted)
-            both, text, meta = model.scores(linear.Sparse(rows, features, len(texts), shape), metadata_view([batch.column(c).to_pylist() for c in _METADATA]))
+            both, text, meta = model.scores(*views_of(batch, wanted))
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x) for x in (both, text, meta)), pa.array(both >= KEEP_AT)], names=schema.names)
 
     return docs.mapInArrow(run, schema)

@@ -2,13 +2,17 @@
 
 One linear model for each category, in order; each sees the text and the probabilities of the categories before it.
 Those probabilities are out-of-fold in training, so that later models learn how far to trust them.
+
+Where the label table tells several categories, they are the chain's. Where it has one flag only, two kinds of toxic
+documents are learned from the flagged ones: clusters of their telling features. They serve the flag, the chain's last
+category.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,20 +22,42 @@ from lexledger.llm import linear, samples
 LABELLED = 12_000
 FOLDS = 3
 FLAG_AT = 0.5
-#: The label table knows only whether a document is toxic. Two kinds are told apart in its toxic documents by what
-#: they contain; both are weak labels and serve the chain's last category.
-INSULTS = ("idiot", "moron", "stupid", "loser", "clown", "fool", "dumb", "jerk")
-CONTEMPT = ("scum", "trash", "worthless", "pathetic", "disgusting", "garbage", "vermin", "filth")
-CATEGORIES = ("insult", "contempt", "toxic")
-
-
-def with_categories(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, insult, contempt, toxic) of labelled documents."""
-    has = lambda words: F.col("text").rlike(r"(?i)\b(" + "|".join(words) + r")\b").cast("int")
-    both = docs.select("doc_id", "text").join(labels, "doc_id")
-    kind: Column = F.coalesce(has(INSULTS), F.lit(0)) * F.col("toxic")
-    other: Column = F.coalesce(has(CONTEMPT), F.lit(0)) * F.col("toxic")
-    return both.select("doc_id", kind.alias("insult"), other.alias("contempt"), "toxic")
+#: Kinds that are learned for a single flag, and the features by which they are told apart, at most.
+KINDS, KIND_FEATURES = 2, 1000
+FLAG = "toxic"
+CATEGORIES = (*(f"kind_{k + 1}" for k in range(KINDS)), FLAG)
+
+
+def kinds(x: linear.Sparse, flag: np.ndarray, count: int = KINDS, features: int = KIND_FEATURES) -> np.ndarray:
+    """A 0/1 column for each kind: clusters, the largest first, of the flagged rows by the features that tell flagged
+    rows from others. Spherical k-means, from equal parts along the rows' main direction."""
+    out = np.zeros((x.n, count), int)
+    rows = np.nonzero(flag == 1)[0]
+    size = 1 << linear.BITS
+    chosen = np.nonzero(linear.telling(x, flag, 4.0, size))[0]
+    share = np.bincount(x.features, flag[x.rows], minlength=size)[chosen] / np.maximum(np.bincount(x.features, minlength=size)[chosen], 1)
+    chosen = np.sort(chosen[np.argsort(-share, kind="stable")][:features])  # of those, the ones most of whose rows are flagged
+    if len(rows) < count or not len(chosen):
+        return out
+    place, column = np.full(x.n, -1), np.full(size, -1)
+    place[rows], column[chosen] = np.arange(len(rows)), np.arange(len(chosen))
+    at = (place[x.rows] >= 0) & (column[x.features] >= 0)
+    m = np.zeros((len(rows), len(chosen)), np.float32)
+    m[place[x.rows[at]], column[x.features[at]]] = 1
+    m *= np.log((1 + len(rows)) / (1 + m.sum(0)))  # what all flagged rows share tells no kind
+    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+    main = np.linalg.eigh((c := m - m.mean(0)).T @ c)[1][:, -1]
+    along = m @ (main * np.sign(main[np.argmax(np.abs(main))]))
+    kind = np.argsort(np.argsort(along, kind="stable")) * count // len(rows)
+    centres = np.zeros((count, m.shape[1]), np.float32)
+    for _ in range(20):
+        centres = np.array([m[kind == k].sum(0) if (kind == k).any() else centres[k] for k in range(count)])
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
+        kind = np.argmax(m @ centres.T, axis=1)
+    order = np.argsort(-np.bincount(kind, minlength=count), kind="stable")
+    for k in range(count):
+        out[rows[kind == order[k]], k] = 1
+    return out
 
 
 class Chain:
@@ -66,14 +92,20 @@ def fit_chain(x: linear.Sparse, y: np.ndarray, names: tuple[str, ...] = CATEGORI
     return Chain(names, links)
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Chain | None:
-    """None without labels. Null labels are not used; a document labelled twice is two training rows."""
-    chosen = samples.smallest_hashes(labels.where("toxic IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic")), labelled)
-    marked = with_categories(docs.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi"), F.broadcast(chosen))
-    got = samples.text_sample(docs.select("doc_id", "text"), marked, ["doc_id", *CATEGORIES])
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, categories: tuple[str, ...] = (FLAG,)) -> Chain | None:
+    """labels: doc_id and 0/1 columns, the categories, of which the last is the flag; a single one gets kinds before it.
+
+    None without labels. Rows with a null among their labels are not used; a document labelled twice is two training
+    rows, and so is each of two documents with one id.
+    """
+    known = labels.dropna(subset=list(categories)).select("doc_id", *[F.col(c).cast("int").alias(c) for c in categories])
+    got = samples.text_sample(docs.select("doc_id", "text"), samples.smallest_hashes(known, labelled), ["doc_id", *categories])
     if not got.num_rows:
         return None
-    return fit_chain(samples.sparse(got), np.stack([got.column(c).to_numpy() for c in CATEGORIES], 1))
+    x, y = samples.sparse(got), np.stack([got.column(c).to_numpy() for c in categories], 1)
+    if len(categories) > 1:
+        return fit_chain(x, y, categories)
+    return fit_chain(x, np.concatenate([kinds(x, y[:, 0]), y], 1), (*CATEGORIES[:-1], *categories))
 
 
 def score(docs: DataFrame, chain: Chain | None) -> DataFrame:

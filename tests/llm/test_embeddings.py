@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from lexledger.llm import embeddings
 
@@ -59,5 +60,19 @@ def test_recall_at_the_least_similarity():
     assert np.mean([len(p) for p in x]) < 60
 
 
+def test_repeated_ids_keep_their_vectors(spark):
+    rng = np.random.default_rng(2)
+    a, b, c = (rng.standard_normal(32) for _ in range(3))
+    near = lambda x: (x + 0.02 * rng.standard_normal(32)).tolist()
+    rows = [(1, a.tolist()), (1, b.tolist()), (2, near(a)), (3, near(b)), (4, c.tolist()), (4, c.tolist()), (5, near(c)), (6, None)]
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddings.similar(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 2, 4, True), (4, 2, 4, True), (5, 2, 4, False), (6, 0, 6, True)]
+
+
+def test_other_columns_than_arrays_are_an_error(spark):
+    with pytest.raises(TypeError, match="not an array"):
+        embeddings.similar(spark.createDataFrame([(1, "x")], "vec_id long, embedding string"))
+
+
 def test_empty_table(spark):
     assert embeddings.similar(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from lexledger.llm import language
 from tests.llm.test_minhash import brute
@@ -64,3 +66,15 @@ def test_whole_run_and_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 40
     docs.limit(0).write.parquet(str(tmp_path / "none/documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_clashing_columns_keep_their_values(spark):
+    names = ("score", "lang_pred", "n_bytes", "n_removed", "n_spans", "kept_sha256", "Spans", "copy", "shuffle_key", "_h", "_source", "row", "own_score_0")
+    docs = documents(spark)
+    for c in names:
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns, name
+        rows = got.collect()
+        assert rows and all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in names), name
