@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,44 +48,67 @@ def batched(fields: DataFrame, order: list[str], size: int = 8) -> DataFrame:
     return numbered(fields, order, "_at").withColumn("batch", F.floor((F.col("_at") - 1) / size).cast("int")).drop("_at")
 
 
+_MERGED = "struct<notes:string,format_hint:string,sample:string,refs:array<string>,confidence:double>"
+
+
 def merged(fields: DataFrame, updates: DataFrame) -> DataFrame:
-    """Fields with one update each: notes only where missing or inferred, hint and sample only where empty (or
-    suspicious), references appended, the higher confidence; updates of unknown codes are dropped."""
-    u = updates.select("field_code", *[F.col(c).alias(f"u_{c}") for c in ("notes", "format_hint", "sample", "refs", "confidence")])
+    """Fields with their updates, one after the other by ``ord``: notes only where missing or inferred, hint and sample
+    only where empty (or suspicious), references appended, the higher confidence. Updates of unknown codes are
+    dropped; a field stays one row whatever the number of its updates."""
+    names = ("notes", "format_hint", "sample", "refs", "confidence")
+    u = updates.groupBy("field_code").agg(F.array_sort(F.collect_list(F.struct("ord", F.struct(*names).cast(_MERGED).alias("u")))).alias("updates"))
+    has = lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""
+
+    def step(have: Column, entry: Column) -> Column:
+        new = entry["u"]
+        takes_notes = has(new["notes"]) & (notes_missing(have["notes"]) | (F.col("origin") == "inferred"))
+        takes_sample = has(new["sample"]) & (~has(have["sample"]) | sample_suspicious(have["sample"], F.col("origin"), F.col("field_name")))
+        return F.struct(
+            F.when(takes_notes, F.trim(new["notes"])).otherwise(have["notes"]).alias("notes"),
+            F.when(has(new["format_hint"]) & ~has(have["format_hint"]), F.trim(new["format_hint"])).otherwise(have["format_hint"]).alias("format_hint"),
+            F.when(takes_sample, F.trim(new["sample"])).otherwise(have["sample"]).alias("sample"),
+            numbers.appended(have["refs"], F.coalesce(new["refs"], F.array().cast("array<string>"))).alias("refs"),
+            F.greatest(have["confidence"], new["confidence"]).alias("confidence"),
+        ).cast(_MERGED)
+
     both = fields.join(u, "field_code", "left")
-    has = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) != ""
-    notes = F.when(has("u_notes") & (notes_missing(F.col("notes")) | (F.col("origin") == "inferred")), F.trim("u_notes")).otherwise(F.col("notes"))
-    hint = F.when(has("u_format_hint") & ~has("format_hint"), F.trim("u_format_hint")).otherwise(F.col("format_hint"))
-    sample = F.when(has("u_sample") & (~has("sample") | _suspicious()), F.trim("u_sample")).otherwise(F.col("sample"))
-    refs = numbers.appended(F.col("refs"), F.coalesce("u_refs", F.array().cast("array<string>")))
-    out = both.withColumns({"notes": notes, "format_hint": hint, "sample": sample, "refs": refs, "confidence": F.greatest("confidence", "u_confidence")})
-    return out.select(*fields.columns)
+    after = F.when(F.col("updates").isNotNull(), F.aggregate("updates", F.struct(*names).cast(_MERGED), step))
+    both = both.withColumn("after", after)
+    kept = {"confidence": F.col("after.confidence").cast(fields.schema["confidence"].dataType)}
+    return both.select(*[F.when(F.col("updates").isNull(), F.col(c)).otherwise(kept.get(c, F.col(f"after.{c}"))).alias(c) if c in names else F.col(c) for c in fields.columns])
 
 
 def enriched(batches: DataFrame, client: Callable[[list[dict]], list[dict]], schema: str) -> DataFrame:
-    """Updates that a client gives for each batch of fields. The client runs on executors, once for each batch."""
+    """Updates that a client gives for each batch of fields. The client runs on executors and gets whole batches; a
+    task that is run again asks again."""
+    import pandas as pd
 
-    def run(rows: Iterator):
-        import pandas as pd
+    names = [c.split()[0] for c in schema.split(",")]
+    return batches.groupBy("batch").applyInPandas(lambda part: pd.DataFrame(client(part.to_dict("records")), columns=names), schema)
 
-        for pdf in rows:
-            for _, part in pdf.groupby("batch"):
-                yield pd.DataFrame(client(part.to_dict("records")))
 
-    return batches.repartition("batch").sortWithinPartitions("batch").mapInPandas(run, schema)
+#: Fixed pattern: codes as they stand in a page, with or without the prefix of a country's extension.
+CODE = r"(?:HR-)?[A-Z]{2}-\d{1,12}"
 
 
 def evidence_pages(fields: DataFrame, pages: DataFrame, most: int = 3) -> DataFrame:
     """(field_code, page_number, place): the pages of a field's evidence in first-seen order; without evidence the
     pages that contain its code, in page order; without those page 1. At most ``most`` of them.
 
-    fields: field_code, evidence (array of structs with page_number).
+    fields: field_code, evidence (array of structs with page_number). A code is found wherever its text stands, also
+    with more digits behind it: pages give all codes that theirs contain, which are joined with the fields'. Codes of
+    another form, which a catalog does not have, are compared with every page.
     """
     cited = fields.select("field_code", F.array_distinct(F.transform(F.coalesce("evidence", F.array()), lambda e: e["page_number"])).alias("cited")) if "evidence" in fields.columns else fields.select("field_code", F.array().cast("array<int>").alias("cited"))
-    open_ = cited.where(F.size("cited") == 0).select("field_code")
-    # a code is looked for in every page that has its text, with or without more digits behind it
-    codes = open_.agg(F.collect_set("field_code").alias("codes"))  # codes of one catalog's uncited fields: one row
-    hits = pages.crossJoin(F.broadcast(codes)).select("page_number", F.explode(F.filter("codes", lambda c: F.contains(F.col("text"), c))).alias("field_code"))
+    open_ = cited.where(F.size("cited") == 0).select("field_code").distinct()
+    usual = F.col("field_code").rlike(f"^{CODE}$")
+    shown = pages.select("page_number", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(rf"(?=({CODE}))"), F.lit(1)))).alias("code"))
+    digits = F.length(F.substring_index("code", "-", -1))
+    shorter = F.transform(F.sequence(F.lit(0), digits - 1), lambda k: F.expr("code").substr(F.lit(1), F.length("code") - k))
+    within = shown.select("page_number", F.explode(shorter).alias("field_code")).distinct()
+    hits = within.join(open_.where(usual), "field_code").select("page_number", "field_code")
+    odd = open_.where(~usual)
+    hits = hits.unionByName(pages.join(odd, F.contains("text", "field_code")).select("page_number", "field_code"))
     found = hits.groupBy("field_code").agg(F.array_sort(F.collect_set("page_number")).alias("found"))
     chosen = F.when(F.size("cited") > 0, F.col("cited")).otherwise(F.coalesce("found", F.array(F.lit(1))))
     return cited.join(found, "field_code", "left").select("field_code", F.posexplode(F.slice(chosen, 1, most)).alias("place", "page_number"))

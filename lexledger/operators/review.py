@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexledger.operators.lineage import settled
+
 
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """df with 1, 2, ... in a global order: rows are numbered inside ranges, and only the ranges' counts meet."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()).persist()
+    ranged = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
+    ranged = settled(ranged)  # the ranges are drawn once: counts and rows must see the same
     counts = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
     before = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     at = F.row_number().over(Window.partitionBy("_p").orderBy(*order))

@@ -34,9 +34,10 @@ def reversed_cardinality(fields: DataFrame) -> DataFrame:
 
 
 def dangling_references(rules: DataFrame, fields: DataFrame) -> DataFrame:
-    """Rules with references to unknown fields (groups excepted); subject: the rule and the references."""
+    """Rules with references to unknown fields (groups excepted); subject: the rule and the references, in the rule's
+    order (``pos``)."""
     unknown = rules.where(~F.col("ref").rlike("^(HR-)?BG-")).join(fields.select(F.col("field_code").alias("ref")).distinct(), "ref", "left_anti")
-    per_rule = unknown.groupBy("rule_code").agg(F.array_join(F.array_sort(F.collect_set("ref")), ", ").alias("refs"))
+    per_rule = unknown.groupBy("rule_code").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ref"))), lambda x: x["ref"]), ", ").alias("refs"))
     return _issues(per_rule.withColumn("subject", F.concat_ws(": ", "rule_code", "refs")), "warning", "dangling_rule_reference", None, "subject")
 
 
@@ -44,6 +45,10 @@ def rules_without_evidence(rules: DataFrame, evidence: DataFrame) -> DataFrame:
     return _issues(rules.select("rule_code").distinct().join(evidence.select("rule_code"), "rule_code", "left_anti"), "warning", "missing_rule_evidence", None, "rule_code")
 
 
-def all_issues(fields: DataFrame, rules: DataFrame, field_evidence: DataFrame) -> DataFrame:
-    found = (duplicate_codes(fields), missing_paths(fields), missing_evidence(fields, field_evidence), reversed_cardinality(fields), dangling_references(rules, fields))
+def all_issues(fields: DataFrame, rules: DataFrame, field_evidence: DataFrame, rule_evidence: DataFrame) -> DataFrame:
+    """All six checks. rules: rule_code, pos, ref; a rule without references is a row with a null ref."""
+    found = (
+        duplicate_codes(fields), missing_paths(fields), missing_evidence(fields, field_evidence), reversed_cardinality(fields), dangling_references(rules, fields),
+        rules_without_evidence(rules, rule_evidence),
+    )
     return reduce(DataFrame.unionByName, found)

@@ -34,25 +34,27 @@ def artifact_map(artifacts: DataFrame) -> DataFrame:
     return some.groupBy("document_version_id", "bundle_type").agg(F.max(F.struct("created_at", "id", "artifact_uri"))["artifact_uri"].alias("artifact_uri"))
 
 
-def listed(versions: DataFrame, runs: DataFrame, artifacts: DataFrame, most: int = 20) -> DataFrame:
-    """Versions with their latest run and the sorted types of their artifacts, the most recent first, at most ``most``
-    of them. The page is cut before the joins, so that runs and artifacts are only looked up for it."""
+def listed(versions: DataFrame, runs: DataFrame, artifacts: DataFrame, diffs: DataFrame, most: int = 20) -> DataFrame:
+    """Versions with their latest run, their latest diff and the sorted types of their artifacts, the most recent
+    first, at most ``most`` of them. The page is cut before the joins, so that the rest is only looked up for it."""
     if not 1 <= most <= 100:
         raise ValueError("most must be between 1 and 100")
     recent = F.coalesce("published_at", "created_at").desc_nulls_last()
     page = versions.orderBy(recent, F.desc("document_version_id")).limit(most)
     wanted = F.broadcast(page.select("document_version_id"))  # at most 100 rows
     last = first_of(runs.join(wanted, "document_version_id", "left_semi"), ["document_version_id"], F.desc("started_at"), F.desc("run_id"))
+    diff = first_of(diffs.join(wanted, F.col("candidate_version_id") == F.col("document_version_id"), "left_semi"), ["candidate_version_id"], F.desc("created_at"), F.desc("diff_id"))
+    diff = diff.select(F.col("candidate_version_id").alias("document_version_id"), F.col("summary").alias("diff_summary"))
     types = artifacts.join(wanted, "document_version_id", "left_semi").groupBy("document_version_id").agg(F.array_sort(F.collect_set("bundle_type")).alias("types"))
     return (
-        page.join(last.select("document_version_id", "run_id", "stage", "metrics"), "document_version_id", "left").join(types, "document_version_id", "left")
+        page.join(last.select("document_version_id", "run_id", "stage", "metrics"), "document_version_id", "left").join(diff, "document_version_id", "left").join(types, "document_version_id", "left")
         .withColumn("types", F.coalesce("types", F.array().cast("array<string>")))
     )
 
 
 def published_now(versions: DataFrame, version_ids: DataFrame, at: Column) -> DataFrame:
     """The version table after publishing the given ids. Others keep their status, also those published before."""
-    hit = F.broadcast(version_ids.select("document_version_id", F.lit(True).alias("_hit")))
+    hit = version_ids.select("document_version_id", F.lit(True).alias("_hit")).distinct()
     marked = versions.join(hit, "document_version_id", "left")
     return marked.withColumn("status", F.when(F.col("_hit"), "published").otherwise(F.col("status"))).withColumn("published_at", F.when(F.col("_hit"), at).otherwise(F.col("published_at"))).drop("_hit")
 
@@ -110,3 +112,68 @@ def paths_of(rows: DataFrame, *keys: str) -> DataFrame:
     """Path rows put together again: invoice_path, credit_note_path and remark of each field."""
     kind = lambda name: F.max(F.when(F.col("doc_kind") == name, F.col("path_text")))
     return rows.groupBy(*keys, "field_code").agg(kind("invoice").alias("invoice_path"), kind("credit_note").alias("credit_note_path"), F.max("remark").alias("remark"))
+
+
+def latest_diffs(diffs: DataFrame, versions: DataFrame) -> DataFrame:
+    """Of each candidate its latest diff, with the labels of both versions; the base may be missing, a diff whose
+    candidate is not stored is left out."""
+    label = lambda name: versions.select(F.col("document_version_id").alias(f"{name}_version_id"), F.col("version_label").alias(f"{name}_version_label"))
+    last = first_of(diffs, ["candidate_version_id"], F.desc("created_at"), F.desc("diff_id"))
+    return last.join(label("base"), "base_version_id", "left").join(label("candidate"), "candidate_version_id")
+
+
+def review_payload(diffs: DataFrame, items: DataFrame) -> DataFrame:
+    """(candidate_version_id, position, item_id, risk_level): the queue of each candidate, over all its diffs, in the
+    order in which items were made."""
+    of = items.join(diffs.select("diff_id", "candidate_version_id"), "diff_id")
+    order = Window.partitionBy("candidate_version_id").orderBy("created_at", "id")
+    return of.select("candidate_version_id", F.row_number().over(order).alias("position"), "item_id", "risk_level")
+
+
+def diffs_published(diffs: DataFrame, version_ids: DataFrame) -> DataFrame:
+    """The diffs after publishing the given versions: those with one of them as candidate are published."""
+    hit = version_ids.select(F.col("document_version_id").alias("candidate_version_id"), F.lit(True).alias("_hit")).distinct()
+    return diffs.join(hit, "candidate_version_id", "left").withColumn("status", F.when(F.col("_hit"), "published").otherwise(F.col("status"))).drop("_hit")
+
+
+def items_resolved(items: DataFrame, diffs: DataFrame, version_ids: DataFrame) -> DataFrame:
+    """The queue after publishing the given versions: items of their diffs are resolved."""
+    ids = version_ids.select(F.col("document_version_id").alias("candidate_version_id"))
+    hit = diffs.join(ids, "candidate_version_id", "left_semi").select("diff_id", F.lit(True).alias("_hit")).distinct()
+    return items.join(hit, "diff_id", "left").withColumn("status", F.when(F.col("_hit"), "resolved").otherwise(F.col("status"))).drop("_hit")
+
+
+def decisions_of(diffs: DataFrame, version_ids: DataFrame, reviewer: str, comment: str) -> DataFrame:
+    """An approval for each diff of the given versions."""
+    ids = version_ids.select(F.col("document_version_id").alias("candidate_version_id"))
+    some = diffs.join(ids, "candidate_version_id", "left_semi")
+    return some.select("diff_id", F.col("candidate_version_id").alias("document_version_id"), F.lit("approve").alias("decision"), F.lit(reviewer).alias("reviewer"), F.lit(comment).alias("comment"))
+
+
+def nested_rules(rules: DataFrame, refs: DataFrame, citations: DataFrame, *keys: str) -> DataFrame:
+    """Rules with their sorted references and their evidence in (page, id) order."""
+    keys = (*keys, "rule_code")
+    r = refs.groupBy(*keys).agg(F.array_sort(F.collect_set("ref")).alias("refs"))
+    e = citations.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("page_number", "id", "source_kind", "quote_text"))).alias("evidence"))
+    empty = F.array().cast("array<string>")
+    return rules.join(r, list(keys), "left").join(e, list(keys), "left").withColumn("refs", F.coalesce("refs", empty))
+
+
+def nested_code_lists(lists: DataFrame, entries: DataFrame, *keys: str) -> DataFrame:
+    """Code lists with their entries by position; a list without entries has none."""
+    keys = (*keys, "code_list_name")
+    e = entries.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("position", "code", "label"))).alias("entries"))
+    return lists.join(e, list(keys), "left").withColumn("entries", F.coalesce("entries", F.array().cast(e.schema["entries"].dataType)))
+
+
+def with_fallback(summary: DataFrame, artifacts: DataFrame, stored_items: DataFrame, stored_diffs: DataFrame) -> DataFrame:
+    """Versions with what their artifacts say of review and diff; where the review artifact is missing or empty the
+    stored queue counts, where the diff artifact is missing the latest stored diff.
+
+    artifacts: document_version_id, bundle_type, payload. The others: document_version_id and review or diff.
+    """
+    of = lambda kind, name: artifacts.where(F.col("bundle_type") == kind).select("document_version_id", F.col("payload").alias(name))
+    some = summary.join(of("review_items", "own_review"), "document_version_id", "left").join(of("version_diff", "own_diff"), "document_version_id", "left")
+    some = some.join(stored_items, "document_version_id", "left").join(stored_diffs, "document_version_id", "left")
+    own = F.when(F.coalesce("own_review", F.lit("[]")) != "[]", F.col("own_review"))
+    return some.select(*summary.columns, F.coalesce(own, "review", F.lit("[]")).alias("review"), F.coalesce("own_diff", "diff").alias("diff"))

@@ -32,7 +32,7 @@ VIEWS = {
         SELECT * FROM {cand_fields}
         UNION ALL SELECT field_code, concat(field_name, ' again'), field_kind, data_type, occurrence_min, occurrence_max, invoice_path, credit_note_path,
                min_char_length, max_char_length, min_decimal_scale, max_decimal_scale, ord + 1000000000 FROM {cand_fields} WHERE ord % 50 = 0""",
-    "rules": "SELECT DISTINCT concat('BR-', l_orderkey) AS rule_code, concat('BT-', l_partkey) AS ref FROM {lineitem}",
+    "rules": "SELECT concat('BR-', l_orderkey) AS rule_code, concat('BT-', l_partkey) AS ref, min(l_linenumber) AS pos FROM {lineitem} GROUP BY l_orderkey, l_partkey",
     "rule_text": """
         SELECT o_orderkey, concat(CASE o_orderkey % 3 WHEN 0 THEN 'HR-BR-' ELSE 'BR-' END, o_orderkey, ' ',
                CASE o_orderkey % 9 WHEN 0 THEN 'Total = sum of BT-12 and BT-7' WHEN 1 THEN 'BT-1 and HR-BT-2 are mutually exclusive'
@@ -41,7 +41,18 @@ VIEWS = {
         FROM {orders}""",
     "evidence": """
         SELECT DISTINCT concat('BT-', l_partkey) AS field_code, l_linenumber AS page_number, l_orderkey AS id, l_returnflag AS source_kind, l_linestatus AS quote_text
-        FROM {lineitem} WHERE l_orderkey % 32 = 0""",
+        FROM {lineitem} WHERE l_returnflag <> 'N'""",
+    "rule_evidence": """
+        SELECT DISTINCT concat('BR-', l_orderkey) AS rule_code, l_linenumber AS page_number, l_partkey AS id, l_returnflag AS source_kind, l_linestatus AS quote_text
+        FROM {lineitem} WHERE l_returnflag <> 'N'""",
+    "diffs": """
+        SELECT l_orderkey * 10 + l_linenumber AS diff_id, l_orderkey AS candidate_version_id, CASE WHEN l_linenumber > 1 THEN l_orderkey - l_linenumber END AS base_version_id,
+               CASE min(l_linestatus) WHEN 'F' THEN 'auto_approved' ELSE 'pending_review' END AS status, min(l_shipdate) AS created_at, concat('changed: ', CAST(max(l_quantity) AS INT)) AS summary
+        FROM {lineitem} GROUP BY l_orderkey, l_linenumber""",
+    "queue_items": """
+        SELECT (l_orderkey * 10 + l_linenumber) * 1000000000 + l_partkey AS id, l_orderkey * 10 + 1 + l_linenumber % 2 AS diff_id, concat('diff:', l_linenumber, ':BT-', l_partkey) AS item_id,
+               CASE max(l_returnflag) WHEN 'R' THEN 'high' ELSE 'medium' END AS risk_level, 'pending' AS status, min(l_shipdate) AS created_at
+        FROM {lineitem} GROUP BY l_orderkey, l_linenumber, l_partkey""",
     "versions": """
         SELECT o_orderkey AS document_version_id, c_nationkey AS jurisdiction, c_mktsegment AS tax_domain, o_orderpriority AS version_label,
                CASE o_orderstatus WHEN 'F' THEN 'published' WHEN 'O' THEN 'candidate' ELSE 'draft' END AS status,
@@ -58,7 +69,7 @@ VIEWS = {
     "notes_fields": """
         SELECT concat('BT-', d.doc_id) AS field_code, concat('field ', d.doc_id) AS field_name, 'atomic' AS field_kind,
                CASE d.doc_id % 3 WHEN 0 THEN 'Amount' WHEN 1 THEN 'Text' ELSE 'Code' END AS data_type,
-               CASE WHEN quality = 1 THEN 'explicit' ELSE 'inferred' END AS origin, CASE WHEN d.doc_id % 4 = 0 THEN '' ELSE substring(text, 1, 20) END AS notes,
+               CASE WHEN quality = 1 THEN 'explicit' ELSE 'inferred' END AS origin, CASE WHEN d.doc_id % 4 = 0 THEN '' ELSE text END AS notes,
                CASE d.doc_id % 5 WHEN 0 THEN 'true' WHEN 1 THEN '' ELSE 'abc' END AS sample, CASE WHEN d.doc_id % 2 = 0 THEN 'x' END AS format_hint,
                CAST(0.5 + (d.doc_id % 50) / 100.0 AS DOUBLE) AS confidence
         FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id""",

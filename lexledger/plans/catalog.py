@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexledger.operators import diff, profiles, review, validate, versions
+from lexledger.operators.lineage import settled
 from lexledger.plans.registering import registrar
 
 QUERIES, ORACLES, query = registrar()
@@ -41,8 +42,9 @@ _ISSUES = """
     UNION ALL SELECT 'warning', 'missing_field_evidence', field_code, field_code FROM {dup_fields} f
       WHERE NOT EXISTS (SELECT 1 FROM {evidence} e WHERE e.field_code = f.field_code)
     UNION ALL SELECT 'error', 'invalid_cardinality', field_code, field_code FROM {dup_fields} WHERE try_cast(occurrence_max AS INT) < occurrence_min
-    UNION ALL SELECT 'warning', 'dangling_rule_reference', NULL, concat(rule_code, ': ', string_agg(ref, ', ' ORDER BY ref)) FROM {rules}
-      WHERE ref NOT IN (SELECT field_code FROM {dup_fields}) GROUP BY rule_code)"""
+    UNION ALL SELECT 'warning', 'dangling_rule_reference', NULL, concat(rule_code, ': ', string_agg(ref, ', ' ORDER BY pos, ref)) FROM {rules}
+      WHERE ref NOT IN (SELECT field_code FROM {dup_fields}) GROUP BY rule_code
+    UNION ALL SELECT DISTINCT 'warning', 'missing_rule_evidence', NULL, rule_code FROM {rules} r WHERE NOT EXISTS (SELECT 1 FROM {rule_evidence} e WHERE e.rule_code = r.rule_code))"""
 _QUEUE = """
   numbered AS (SELECT *, row_number() OVER (ORDER BY branch, field_code) AS i FROM changes),
   items AS (
@@ -104,13 +106,13 @@ def validate_dangling_refs(v):
     return validate.dangling_references(v["rules"], v["dup_fields"])
 
 
-@query("SELECT DISTINCT 'warning' AS severity, 'missing_rule_evidence' AS code, CAST(NULL AS VARCHAR) AS field_code, rule_code AS subject FROM {rules} WHERE rule_code NOT IN (SELECT concat('BR-', id) FROM {evidence})")
+@query(_issue_sql("missing_rule_evidence"))
 def validate_rule_evidence(v):
-    return validate.rules_without_evidence(v["rules"], v["evidence"].select(F.concat(F.lit("BR-"), F.col("id").cast("string")).alias("rule_code")))
+    return validate.rules_without_evidence(v["rules"], v["rule_evidence"])
 
 
 def _issues(v):
-    return validate.all_issues(v["dup_fields"], v["rules"], v["evidence"])
+    return settled(validate.all_issues(v["dup_fields"], v["rules"], v["evidence"], v["rule_evidence"]))
 
 
 @query(f"WITH {_ISSUES} SELECT * FROM issues")
@@ -129,14 +131,14 @@ def auto_publish_gate(v):
     return review.release_gate(review.queue(issues, diff.field_changes(v["pub_fields"], v["cand_fields"])), issues)
 
 
-@query(f"""WITH {_CHANGES}, conf AS (SELECT concat('BT-', l_partkey) AS field_code, max(1 - l_discount) AS confidence FROM lineitem WHERE l_orderkey % 64 = 0 GROUP BY 1)
+@query(f"""WITH {_CHANGES}, conf AS (SELECT concat('BT-', l_partkey) AS field_code, max(1 - l_discount) AS confidence FROM lineitem GROUP BY 1)
   SELECT c.field_code, reason FROM changes c LEFT JOIN conf USING (field_code),
     (VALUES ('high_risk'), ('low_confidence'), ('no_evidence')) r(reason)
-  WHERE CASE reason WHEN 'high_risk' THEN risk_level = 'high' WHEN 'low_confidence' THEN coalesce(confidence, 0) < 0.97
+  WHERE CASE reason WHEN 'high_risk' THEN risk_level = 'high' WHEN 'low_confidence' THEN coalesce(confidence, 0) < 0.99
     ELSE c.field_code NOT IN (SELECT field_code FROM {{evidence}}) END""".replace("{{", "{").replace("}}", "}"))
 def release_policy(v):
-    confidence = v["lineitem"].where("l_orderkey % 64 = 0").groupBy(F.concat(F.lit("BT-"), F.col("l_partkey").cast("string")).alias("field_code")).agg(F.max(1 - F.col("l_discount")).alias("confidence"))
-    return review.policy_gate(diff.field_changes(v["pub_fields"], v["cand_fields"]), confidence, v["evidence"], least=0.97)
+    confidence = v["lineitem"].groupBy(F.concat(F.lit("BT-"), F.col("l_partkey").cast("string")).alias("field_code")).agg(F.max(1 - F.col("l_discount")).alias("confidence"))
+    return review.policy_gate(diff.field_changes(v["pub_fields"], v["cand_fields"]), confidence, v["evidence"], least=0.99)
 
 
 @query(f"""WITH {_ISSUES}, {_CHANGES}, {_QUEUE} SELECT 'fields' AS metric, count(*) AS value FROM {{dup_fields}} UNION ALL SELECT 'issues', count(*) FROM issues

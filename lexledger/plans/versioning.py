@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexledger.functions import numbers
@@ -33,15 +36,15 @@ def recent_candidates(v):
     return some.orderBy(F.coalesce("published_at", "created_at").desc_nulls_last(), F.desc("document_version_id")).limit(100).select("jurisdiction", "tax_domain", "document_version_id", "created_at")
 
 
-@query(f"""WITH page AS (SELECT * FROM {{versions}} WHERE document_version_id <= 150 ORDER BY coalesce(published_at, created_at) DESC NULLS LAST, document_version_id DESC LIMIT 100),
+@query(f"""WITH page AS (SELECT * FROM {{versions}} ORDER BY coalesce(published_at, created_at) DESC NULLS LAST, document_version_id DESC LIMIT 100),
   r AS (SELECT * FROM {{runs}} {_first("document_version_id", "started_at DESC, run_id DESC")}),
-  a AS (SELECT document_version_id, string_agg(bundle_type, ',' ORDER BY bundle_type) AS types FROM (SELECT DISTINCT document_version_id, bundle_type FROM {{artifacts}}) GROUP BY 1)
-  SELECT page.document_version_id, page.status, r.run_id, r.stage, coalesce(a.types, '') AS types, coalesce(try_cast(json_extract_string(r.metrics, '$.k') AS INT), 0) AS counter
-  FROM page LEFT JOIN r USING (document_version_id) LEFT JOIN a USING (document_version_id)""")
+  a AS (SELECT document_version_id, string_agg(bundle_type, ',' ORDER BY bundle_type) AS types FROM (SELECT DISTINCT document_version_id, bundle_type FROM {{artifacts}}) GROUP BY 1),
+  d AS (SELECT * FROM {{diffs}} {_first("candidate_version_id", "created_at DESC, diff_id DESC")})
+  SELECT page.document_version_id, page.status, r.run_id, r.stage, d.summary AS diff_summary, coalesce(a.types, '') AS types, coalesce(try_cast(json_extract_string(r.metrics, '$.k') AS INT), 0) AS counter
+  FROM page LEFT JOIN r USING (document_version_id) LEFT JOIN a USING (document_version_id) LEFT JOIN d ON d.candidate_version_id = page.document_version_id""")
 def list_versions(v):
-    known = v["versions"].where("document_version_id <= 150")
-    page = versions.listed(known, v["runs"], v["artifacts"], most=100)
-    return page.select("document_version_id", "status", "run_id", "stage", F.array_join("types", ",").alias("types"), numbers.json_counter(F.col("metrics"), "k").alias("counter"))
+    page = versions.listed(v["versions"], v["runs"], v["artifacts"], v["diffs"], most=100)
+    return page.select("document_version_id", "status", "run_id", "stage", "diff_summary", F.array_join("types", ",").alias("types"), numbers.json_counter(F.col("metrics"), "k").alias("counter"))
 
 
 @query("SELECT document_version_id, bundle_type, artifact_uri FROM {artifacts} WHERE artifact_uri IS NOT NULL AND artifact_uri <> '' " + _first("document_version_id, bundle_type", "created_at DESC, id DESC, artifact_uri DESC"))
@@ -107,13 +110,84 @@ def upsert_state(v):
     return versions.upserted(two("pub_fields"), two("cand_fields"), ["field_code"])
 
 
-_CITES = "SELECT DISTINCT l_orderkey % 100 AS document_version_id, concat('BT-', l_partkey) AS field_code FROM {lineitem} WHERE l_linenumber "
+_CITES = "SELECT DISTINCT l_suppkey AS document_version_id, concat('BT-', l_partkey) AS field_code FROM {lineitem}"
+_NEWER = "SELECT DISTINCT l_suppkey AS document_version_id, concat('BT-', l_partkey, l_returnflag) AS field_code FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey WHERE s_acctbal < 0"
 
 
-@query(f"WITH a AS ({_CITES} = 1), b AS ({_CITES} = 2 AND l_orderkey % 100 < 10) SELECT * FROM a WHERE document_version_id >= 10 UNION ALL SELECT * FROM b")
+@query(f"WITH a AS ({_CITES}), b AS ({_NEWER}) SELECT * FROM a WHERE document_version_id NOT IN (SELECT document_version_id FROM b) UNION ALL SELECT * FROM b")
 def snapshot_replace(v):
-    cut = lambda test: v.spark.sql(_CITES + test, lineitem=v["lineitem"])
-    return versions.snapshot_replaced(cut("= 1"), cut("= 2 AND l_orderkey % 100 < 10"))
+    """All stored citations; suppliers in debt are versions whose snapshot is stored anew."""
+    return versions.snapshot_replaced(v.spark.sql(_CITES, lineitem=v["lineitem"]), v.spark.sql(_NEWER, lineitem=v["lineitem"], supplier=v["supplier"]))
+
+
+@query("""WITH d AS (SELECT * FROM {diffs} QUALIFY row_number() OVER (PARTITION BY candidate_version_id ORDER BY created_at DESC, diff_id DESC) = 1)
+  SELECT d.diff_id, d.candidate_version_id, d.summary, b.version_label AS base_version_label, c.version_label AS candidate_version_label
+  FROM d LEFT JOIN {versions} b ON b.document_version_id = d.base_version_id JOIN {versions} c ON c.document_version_id = d.candidate_version_id""")
+def latest_diff(v):
+    return versions.latest_diffs(v["diffs"], v["versions"]).select("diff_id", "candidate_version_id", "summary", "base_version_label", "candidate_version_label")
+
+
+@query("""SELECT candidate_version_id, CAST(row_number() OVER (PARTITION BY candidate_version_id ORDER BY i.created_at, i.id) AS INT) AS position, item_id, risk_level
+  FROM {queue_items} i JOIN {diffs} d USING (diff_id)""")
+def review_payload(v):
+    return versions.review_payload(v["diffs"], v["queue_items"])
+
+
+_OUT = "(SELECT document_version_id FROM {versions} WHERE status = 'candidate' AND effective_to IS NOT NULL)"
+
+
+@query(f"""SELECT 'diff' AS kind, diff_id AS id, CASE WHEN candidate_version_id IN {_OUT} THEN 'published' ELSE status END AS status FROM {{diffs}}
+  UNION ALL SELECT 'item', id, CASE WHEN diff_id IN (SELECT diff_id FROM {{diffs}} WHERE candidate_version_id IN {_OUT}) THEN 'resolved' ELSE status END FROM {{queue_items}}
+  UNION ALL SELECT 'decision', diff_id, 'approve' FROM {{diffs}} WHERE candidate_version_id IN {_OUT}
+  UNION ALL SELECT 'bundle', document_version_id, 'published' FROM {_OUT} o""")
+def publish_effects(v):
+    """What publishing all candidates that have an end changes: diffs, queue items, decisions, bundles."""
+    ids = v["versions"].where("status = 'candidate' AND effective_to IS NOT NULL").select("document_version_id")
+    row = lambda df, kind, id_, status: df.select(F.lit(kind).alias("kind"), F.col(id_).alias("id"), (F.lit(status) if status else F.col("status")).alias("status"))
+    parts = (
+        row(versions.diffs_published(v["diffs"], ids), "diff", "diff_id", None), row(versions.items_resolved(v["queue_items"], v["diffs"], ids), "item", "id", None),
+        row(versions.decisions_of(v["diffs"], ids, "me", ""), "decision", "diff_id", "approve"), row(ids, "bundle", "document_version_id", "published"),
+    )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("""SELECT r.rule_code, r.expression_text, coalesce(f.refs, '') AS refs, coalesce(e.quotes, '') AS quotes FROM (SELECT concat('BR-', o_orderkey) AS rule_code, expression_text FROM {rule_text}) r
+  LEFT JOIN (SELECT rule_code, string_agg(ref, ',' ORDER BY ref) AS refs FROM {rules} WHERE ref IN (SELECT field_code FROM {base_fields}) GROUP BY rule_code) f USING (rule_code)
+  LEFT JOIN (SELECT rule_code, string_agg(concat(page_number, '/', id, '/', source_kind, '/', quote_text), ';' ORDER BY page_number, id, source_kind, quote_text) AS quotes FROM {rule_evidence} GROUP BY rule_code) e USING (rule_code)""")
+def rule_citations(v):
+    """All rules with their references to known fields and their evidence."""
+    rules = v["rule_text"].select(F.concat(F.lit("BR-"), F.col("o_orderkey").cast("string")).alias("rule_code"), "expression_text")
+    refs = v["rules"].join(v["base_fields"].select(F.col("field_code").alias("ref")), "ref", "left_semi")
+    nested = versions.nested_rules(rules, refs, v["rule_evidence"])
+    one = lambda e: F.concat_ws("/", e["page_number"].cast("string"), e["id"].cast("string"), e["source_kind"], e["quote_text"])
+    return nested.select("rule_code", "expression_text", F.array_join("refs", ",").alias("refs"), F.coalesce(F.array_join(F.transform("evidence", one), ";"), F.lit("")).alias("quotes"))
+
+
+@query("""SELECT r_name AS code_list_name, coalesce(e.entries, '') AS entries FROM region LEFT JOIN (SELECT code_list_name, string_agg(concat(ord, '=', code, '=', label), ';' ORDER BY ord) AS entries
+  FROM {code_entries} WHERE ord > 0 GROUP BY code_list_name) e ON e.code_list_name = r_name""")
+def code_list_rows(v):
+    entries = v["code_entries"].where("ord > 0").withColumnRenamed("ord", "position")
+    nested = versions.nested_code_lists(v["region"].select(F.col("r_name").alias("code_list_name")), entries)
+    one = lambda e: F.concat_ws("=", e["position"].cast("string"), e["code"], e["label"])
+    return nested.select("code_list_name", F.array_join(F.transform("entries", one), ";").alias("entries"))
+
+
+_PAYLOADS = """SELECT o_orderkey AS document_version_id, 'review_items' AS bundle_type, CASE WHEN o_orderkey % 3 = 0 THEN '[]' ELSE concat('["', o_custkey, '"]') END AS payload FROM {orders} WHERE o_orderpriority <> '1-URGENT'
+  UNION ALL SELECT o_orderkey, 'version_diff', concat('["of", "', o_custkey, '"]') FROM {orders} WHERE o_orderpriority <> '2-HIGH'"""
+
+
+@query(f"""WITH p AS ({_PAYLOADS}),
+  i AS (SELECT candidate_version_id, string_agg(item_id, ',' ORDER BY i.created_at, i.id) AS review FROM {{queue_items}} i JOIN {{diffs}} d USING (diff_id) GROUP BY 1),
+  d AS (SELECT candidate_version_id, summary FROM {{diffs}} {_first("candidate_version_id", "created_at DESC, diff_id DESC")})
+  SELECT v.document_version_id, v.status, coalesce(nullif(a.payload, '[]'), i.review, '[]') AS review, coalesce(b.payload, d.summary) AS diff FROM {{versions}} v
+  LEFT JOIN p a ON a.document_version_id = v.document_version_id AND a.bundle_type = 'review_items' LEFT JOIN p b ON b.document_version_id = v.document_version_id AND b.bundle_type = 'version_diff'
+  LEFT JOIN i ON i.candidate_version_id = v.document_version_id LEFT JOIN d ON d.candidate_version_id = v.document_version_id""")
+def version_record(v):
+    """Every version's record: its artifacts, or else what the store has."""
+    payload = versions.review_payload(v["diffs"], v["queue_items"])
+    queue = payload.groupBy(F.col("candidate_version_id").alias("document_version_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "item_id"))), lambda x: x["item_id"]), ",").alias("review"))
+    last = versions.latest_diffs(v["diffs"], v["versions"]).select(F.col("candidate_version_id").alias("document_version_id"), F.col("summary").alias("diff"))
+    return versions.with_fallback(v["versions"].select("document_version_id", "status"), v.spark.sql(_PAYLOADS, orders=v["orders"]), queue, last)
 
 
 @query("SELECT field_code, page_number, source_kind, quote_text, CAST(min(id) AS BIGINT) AS first_id FROM {evidence} GROUP BY ALL")
@@ -145,15 +219,23 @@ def llm_batches(v):
     return enrich.batched(enrich.due(v["notes_fields"]), ["confidence", "field_code"]).select("field_code", "batch")
 
 
-_UPDATES = """SELECT field_code, CASE WHEN confidence > 0.6 THEN ' new notes ' END AS notes, 'hint ' AS format_hint, CASE WHEN confidence < 0.9 THEN ' smp' END AS sample, confidence + CAST(0.1 AS DOUBLE) AS confidence, field_name
-  FROM {notes_fields} WHERE confidence <> 0.75 UNION ALL SELECT 'BT-unknown', 'x', 'x', 'x', CAST(1.0 AS DOUBLE), 'x'"""
+_UPDATES = """SELECT field_code, CASE WHEN confidence > 0.6 THEN ' new notes ' END AS notes, 'hint ' AS format_hint, CASE WHEN confidence < 0.9 THEN ' smp' END AS sample, confidence + CAST(0.1 AS DOUBLE) AS confidence, field_name, 1 AS ord
+  FROM {notes_fields} WHERE confidence <> 0.75 UNION ALL SELECT field_code, 'second notes', 'second hint', 'second', CAST(0.7 AS DOUBLE), 'more', 2 FROM {notes_fields} WHERE sample = ''
+  UNION ALL SELECT 'BT-unknown', 'x', 'x', 'x', CAST(1.0 AS DOUBLE), 'x', 1"""
+
+
+def _applied(table: str, ord_: int) -> str:
+    """SQL of fields after the updates of one place in the order."""
+    return f"""SELECT f.* EXCLUDE (notes, format_hint, sample, confidence, refs),
+    CASE WHEN trim(coalesce(u.notes, '')) <> '' AND (trim(coalesce(f.notes, '')) = '' OR trim(f.notes) = 'Recovered from rule reference fallback.' OR f.origin = 'inferred') THEN trim(u.notes) ELSE f.notes END AS notes,
+    CASE WHEN coalesce(u.format_hint, '') <> '' AND trim(coalesce(f.format_hint, '')) = '' THEN trim(u.format_hint) ELSE f.format_hint END AS format_hint,
+    CASE WHEN coalesce(u.sample, '') <> '' AND (trim(coalesce(f.sample, '')) = '' OR (f.origin = 'inferred' AND lower(trim(coalesce(f.sample, ''))) IN ('true', 'false'))) THEN trim(u.sample) ELSE f.sample END AS sample,
+    greatest(f.confidence, coalesce(u.confidence, f.confidence)) AS confidence, CASE WHEN u.field_name IS NULL OR list_contains(f.refs, trim(u.field_name)) THEN f.refs ELSE list_append(f.refs, trim(u.field_name)) END AS refs
+  FROM {table} f LEFT JOIN (SELECT * FROM u WHERE ord = {ord_}) u ON f.field_code = u.field_code"""
 
 
-@query(f"""WITH u AS ({_UPDATES}), f AS (SELECT f.*, u.notes AS un, u.format_hint AS uh, u.sample AS us, u.confidence AS uc, u.field_name AS ur FROM {{notes_fields}} f LEFT JOIN u USING (field_code))
-  SELECT field_code, CASE WHEN trim(coalesce(un, '')) <> '' AND ({_MISSING} OR origin = 'inferred') THEN trim(un) ELSE notes END AS notes,
-    CASE WHEN coalesce(uh, '') <> '' AND trim(coalesce(format_hint, '')) = '' THEN trim(uh) ELSE format_hint END AS format_hint,
-    CASE WHEN coalesce(us, '') <> '' AND (trim(coalesce(sample, '')) = '' OR {_ODD}) THEN trim(us) ELSE sample END AS sample,
-    CASE WHEN ur IS NULL THEN 'a;a' ELSE concat('a;a;', trim(ur)) END AS refs, greatest(confidence, coalesce(uc, confidence)) AS confidence FROM f""")
+@query(f"""WITH u AS ({_UPDATES}), f AS (SELECT *, ['a', 'a'] AS refs FROM {{notes_fields}}), g AS ({_applied("f", 1)}), h AS ({_applied("g", 2)})
+  SELECT field_code, notes, format_hint, sample, array_to_string(refs, ';') AS refs, confidence FROM h""")
 def llm_apply(v):
     updates = v.spark.sql(_UPDATES, notes_fields=v["notes_fields"]).withColumn("refs", F.array(F.lit("a"), F.lit(" "), F.col("field_name"))).drop("field_name")
     fields = v["notes_fields"].withColumn("refs", F.array(F.lit("a"), F.lit("a")))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexledger.operators import diff, extract, folds, review, validate
+from lexledger.operators.lineage import settled as _settled
 from lexledger.sources import bundles, pages
 from lexledger.sources.store import Store
 
@@ -19,7 +20,7 @@ class Steps:
     """Replaceable steps, each a function of DataFrames."""
 
     enrich: Callable[[DataFrame, DataFrame], DataFrame] = lambda fields, pages: fields
-    validate: Callable[[DataFrame, DataFrame, DataFrame], DataFrame] = validate.all_issues
+    validate: Callable[[DataFrame, DataFrame, DataFrame, DataFrame], DataFrame] = validate.all_issues
     compare: Callable[[DataFrame, DataFrame], DataFrame] = diff.field_changes
     review: Callable[[DataFrame, DataFrame], DataFrame] = review.queue
     publish_when_clean: bool = False
@@ -37,12 +38,6 @@ class Result:
     folders: dict[str, str] = field(default_factory=dict)
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    """df with its plan cut off: extraction makes large expressions, which later plans need not carry along. Without
-    a checkpoint folder it is only kept."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
-
-
 def extracted(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(fields, rules) of decoded pages, fields that only rules know of included. One document's pages."""
     records = _settled(extract.with_text(_settled(folds.table_records(pages.table_rows(found))), pages.lines(found)))
@@ -60,9 +55,9 @@ def run(found: DataFrame, published: DataFrame | None, steps: Steps | None = Non
     steps = steps or Steps()
     fields, rules = extracted(found)
     fields = _settled(steps.enrich(fields, found.select("page_number", "text")))
-    refs = rules.select("rule_code", F.explode("refs").alias("ref"))
+    refs = rules.select("rule_code", F.posexplode_outer("refs").alias("pos", "ref"))
     evidence = fields.where(F.size("evidence") > 0).select("field_code")
-    issues = _settled(steps.validate(fields, refs, evidence))
+    issues = _settled(steps.validate(fields, refs, evidence, rules.select("rule_code")))  # a rule cites its record
     changes = steps.compare(fields.limit(0) if published is None else published, fields)
     changes = _settled(changes.limit(0) if published is None else changes)
     items = _settled(steps.review(issues, changes))
@@ -96,9 +91,11 @@ def execute(spark: SparkSession, source: str, decoder, document: dict, out: str,
     if store:
         evidence = result.fields.select("field_code", F.explode("evidence").alias("e")).select("field_code", "e.*")
         refs = result.rules.select("rule_code", F.explode("refs").alias("ref"))
-        result.version_id = store.persist(files.first()["checksum_sha256"], document, result.fields, refs, evidence, result.issues, result.changes, result.items)
+        result.version_id = store.persist(
+            files.first()["checksum_sha256"], document, result.fields, refs, evidence, result.issues, result.changes, result.items, rules=result.rules, artifacts=result.folders, published=result.published,
+        )
         if result.published:
-            store.publish(result.version_id, "automatic", "no issues, no review items")
+            store.publish(result.version_id, "automatic", "no issues, no review items", result.folders["fields"])
     return result
 
 

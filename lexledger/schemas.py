@@ -16,8 +16,13 @@ BUNDLE = f"document struct<{DOCUMENT}>, fields array<struct<{FIELD}>>, rules arr
 
 VERSION = "document_version_id bigint, checksum_sha256 string, version_label string, jurisdiction string, tax_domain string, language_code string, status string, issued_on date, effective_from date, effective_to date, created_at timestamp, published_at timestamp"
 RUN = "run_id string, document_version_id bigint, stage string, started_at timestamp, metrics string"
-DECISION = "document_version_id bigint, decision string, reviewer string, comment string, decided_at timestamp"
+DECISION = "document_version_id bigint, diff_id string, decision string, reviewer string, comment string, decided_at timestamp"
 ARTIFACT = "document_version_id bigint, bundle_type string, bundle_status string, artifact_uri string, checksum_sha256 string, created_at timestamp"
-QUEUE_ITEM = "document_version_id bigint, item_id string, risk_level string, source string"
+QUEUE_ITEM = "document_version_id bigint, diff_id string, item_id string, risk_level string, source string, status string, created_at timestamp"
+DIFF = "diff_id string, base_version_id bigint, candidate_version_id bigint, status string, summary string, created_at timestamp"
+RULE_ROW = "document_version_id bigint, rule_code string, rule_type string, expression_text string, severity string, confidence double"
+RULE_CITATION = "document_version_id bigint, rule_code string, id bigint, page_number int, source_kind string, quote_text string"
+CODE_LIST_ROW = "document_version_id bigint, code_list_name string"
+CODE_ENTRY = "document_version_id bigint, code_list_name string, position int, code string, label string"
 CHANGE = "document_version_id bigint, field_code string, change_type string, risk_level string, auto_approved boolean"
 ISSUE = "document_version_id bigint, severity string, code string, field_code string, subject string"

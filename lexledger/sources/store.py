@@ -1,87 +1,129 @@
-"""The version store: Parquet tables under one folder, rewritten a version at a time.
+"""The version store: Parquet tables under one folder.
 
-Spark has no transaction over several tables. A run therefore writes its tables under a new generation folder and
-appends one row to the manifest last; readers take the generation that the manifest names, so a run that fails
-halfway changes nothing.
+Spark has no transaction over several tables. A run therefore writes the tables that it changes under a new
+generation's folder and names the folders of all tables in the manifest last; readers take what the last generation
+names, so a run that fails halfway changes nothing. Tables that a run doesn't change stay where they are. A second
+writer of the same generation is refused.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexledger import schemas
 from lexledger.operators import versions
+from lexledger.sources import bundles
 
 TABLES = {
     "version": schemas.VERSION, "run": schemas.RUN, "decision": schemas.DECISION, "artifact": schemas.ARTIFACT, "queue_item": schemas.QUEUE_ITEM, "change": schemas.CHANGE, "issue": schemas.ISSUE,
     "field": f"document_version_id bigint, {', '.join(x.replace(':', ' ', 1) for x in ('field_code:string', 'field_name:string', 'field_kind:string', 'data_type:string', 'occurrence_min:int', 'occurrence_max:string', 'min_char_length:int', 'max_char_length:int', 'min_decimal_scale:int', 'max_decimal_scale:int', 'origin:string', 'confidence:decimal(4,3)', 'ord:bigint'))}",
     "path": "document_version_id bigint, field_code string, doc_kind string, path_text string, remark string",
     "citation": "document_version_id bigint, field_code string, page_number int, source_kind string, quote_text string",
+    "rule": schemas.RULE_ROW, "rule_citation": schemas.RULE_CITATION, "code_list": schemas.CODE_LIST_ROW, "code_entry": schemas.CODE_ENTRY, "diff": schemas.DIFF,
     "rule_link": "document_version_id bigint, rule_code string, ref string",
 }
-_MANIFEST = "generation bigint, folder string, committed_at timestamp"
+_MANIFEST = "folders map<string,string>, committed_at timestamp, generation bigint"
+
+
+def shaped(name: str, df: DataFrame) -> DataFrame:
+    """df with the columns of a table, missing ones null."""
+    fields = df.sparkSession.createDataFrame([], TABLES[name]).schema.fields
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        spark.createDataFrame([], _MANIFEST).write.mode("append").parquet(f"{self.root}/manifest")
 
-    def current(self) -> tuple[int, str | None]:
-        row = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest").orderBy(F.desc("generation")).first()
-        return (row["generation"], row["folder"]) if row else (0, None)
+    def current(self) -> tuple[int, dict[str, str]]:
+        """The last generation and the folders of its tables."""
+        try:
+            rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest")
+        except AnalysisException as none:
+            if none.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0, {}
+        row = rows.orderBy(F.desc("generation")).first()
+        return (row["generation"], row["folders"]) if row else (0, {})
 
     def table(self, name: str) -> DataFrame:
-        _, folder = self.current()
-        return self.spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}") if folder else self.spark.createDataFrame([], TABLES[name])
+        _, folders = self.current()
+        return self.spark.read.schema(TABLES[name]).parquet(folders[name]) if name in folders else self.spark.createDataFrame([], TABLES[name])
 
     def commit(self, changed: dict[str, DataFrame]) -> None:
-        """Write a new generation: changed tables as given, the others as they are; then name it in the manifest."""
-        generation, _ = self.current()
-        folder = f"{self.root}/generation-{generation + 1}-{uuid.uuid4().hex}"
-        for name, schema in TABLES.items():
-            df = changed.get(name)
-            df = self.table(name) if df is None else df
-            fields = self.spark.createDataFrame([], schema).schema.fields
-            df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]).write.parquet(f"{folder}/{name}")
-        row = self.spark.createDataFrame([(generation + 1, folder)], "generation bigint, folder string")
-        row.withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/manifest")
-
-    def persist(self, checksum: str, document: dict, fields: DataFrame, rule_refs: DataFrame, evidence: DataFrame, issues: DataFrame, changes: DataFrame, items: DataFrame, stage: str = "extract") -> int:
+        """Write the changed tables as a new generation, then name it in the manifest."""
+        generation, folders = self.current()
+        place = f"{self.root}/generation-{generation + 1}-{uuid.uuid4().hex}"
+        for name, df in changed.items():
+            shaped(name, df).write.parquet(f"{place}/{name}")
+            folders = folders | {name: f"{place}/{name}"}
+        row = self.spark.createDataFrame([(folders,)], "folders map<string,string>").withColumn("committed_at", F.current_timestamp())
+        row.write.mode("errorifexists").parquet(f"{self.root}/manifest/generation={generation + 1}")
+
+    def persist(
+        self, checksum: str, document: dict, fields: DataFrame, rule_refs: DataFrame, evidence: DataFrame, issues: DataFrame, changes: DataFrame, items: DataFrame, stage: str = "extract",
+        rules: DataFrame | None = None, rule_evidence: DataFrame | None = None, code_entries: DataFrame | None = None, artifacts: dict[str, str] | None = None, published: bool = False,
+    ) -> int:
         """Store one version under (checksum, label): its snapshot replaces what was stored for it, its status goes
         back to candidate, and runs are appended. Of fields with one code the last is stored; references to unknown
-        fields and empty paths are not; a remark is stored with a path only."""
+        fields and empty paths are not; a remark is stored with a path only. The diff is pending while items wait for
+        a review. artifacts: the place of each kind of file that the run wrote."""
         spark = self.spark
         key = F.pmod(F.xxhash64(F.lit(checksum), F.lit(document["version_label"])), F.lit(2**62))
         vid = spark.range(1).select(key.alias("k")).first()["k"]
-        tag = lambda df: df.withColumn("document_version_id", F.lit(vid))
+        one = lambda **columns: spark.range(1).select(*[c.alias(n) for n, c in columns.items()])
+        empty = lambda name: spark.createDataFrame([], TABLES[name])
         stored = versions.first_of(fields, ["field_code"], F.desc("ord"))
-        paths = versions.path_rows(stored)
-        old = self.table("version").where(F.col("document_version_id") == vid)
-        created = F.coalesce(F.lit(old.agg(F.min("created_at")).first()[0]).cast("timestamp"), F.current_timestamp())
+        known = self.table("version")
+        created = F.coalesce(F.lit(known.where(F.col("document_version_id") == vid).agg(F.min("created_at")).first()[0]).cast("timestamp"), F.current_timestamp())
         values = {c: F.lit(document.get(c)) for c in ("version_label", "jurisdiction", "tax_domain", "language_code", "issued_on", "effective_from", "effective_to")}
-        version = spark.range(1).select(F.lit(vid).alias("document_version_id"), F.lit(checksum).alias("checksum_sha256"), *[v.alias(c) for c, v in values.items()], F.lit("candidate").alias("status"), created.alias("created_at"), F.lit(None).alias("published_at"))
-        fields_of = lambda name: self.spark.createDataFrame([], TABLES[name]).schema.fields
-        shaped = lambda name, df: df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields_of(name)])
-        metrics = F.to_json(F.struct(*[F.lit(n).alias(k) for k, n in (("fields", stored.count()), ("issues", issues.count()), ("review_items", items.count()))]))
-        run = spark.range(1).select(F.lit(uuid.uuid4().hex).alias("run_id"), F.lit(vid).alias("document_version_id"), F.lit(stage).alias("stage"), F.current_timestamp().alias("started_at"), metrics.alias("metrics"))
+        version = one(document_version_id=F.lit(vid), checksum_sha256=F.lit(checksum), **values, status=F.lit("candidate"), created_at=created, published_at=F.lit(None))
+        base = known.where((F.col("jurisdiction") == document.get("jurisdiction")) & (F.col("tax_domain") == document.get("tax_domain")) & (F.col("version_label") == document.get("base_version_label")))
+        base = base.orderBy(F.desc("created_at")).first()
+        waiting, counts = items.count(), {r["change_type"]: r["count"] for r in changes.groupBy("change_type").count().collect()}
+        diff_id = uuid.uuid4().hex
+        diff = one(diff_id=F.lit(diff_id), base_version_id=F.lit(base["document_version_id"] if base else None).cast("bigint"), candidate_version_id=F.lit(vid), status=F.lit("pending_review" if waiting else "auto_approved"), summary=F.lit(json.dumps(counts, sort_keys=True)), created_at=F.current_timestamp())
+        cites = evidence.dropDuplicates(["field_code", "page_number", "source_kind", "quote_text"])
+        entries = empty("code_entry") if code_entries is None else code_entries
+        rules = empty("rule") if rules is None else versions.first_of(rules, ["rule_code"], F.col("expression_text"))
+        metrics = {
+            "field_count": stored.count(), "rule_count": rules.count(), "code_list_count": entries.select("code_list_name").distinct().count(), "validation_issue_count": issues.count(),
+            "review_item_count": waiting, "citation_count": cites.count(), "artifact_count": len(artifacts or {}), "published": published, "diff_summary": counts,
+        }
+        run = one(run_id=F.lit(uuid.uuid4().hex), document_version_id=F.lit(vid), stage=F.lit(stage), started_at=F.current_timestamp(), metrics=F.lit(json.dumps(metrics, sort_keys=True)))
+        files = spark.createDataFrame([(k, "published" if published else "draft", v) for k, v in (artifacts or {}).items()], "bundle_type string, bundle_status string, artifact_uri string").withColumn("created_at", F.current_timestamp())
         snapshot = {
-            "field": stored, "path": paths, "citation": evidence.dropDuplicates(["field_code", "page_number", "source_kind", "quote_text"]), "rule_link": rule_refs.join(stored.select(F.col("field_code").alias("ref")), "ref", "left_semi").distinct(),
-            "issue": issues, "change": changes.withColumn("auto_approved", F.col("risk_level") == "low"), "queue_item": items,
+            "field": stored, "path": versions.path_rows(stored), "citation": cites, "rule_link": rule_refs.join(stored.select(F.col("field_code").alias("ref")), "ref", "left_semi").distinct(),
+            "rule": rules, "rule_citation": empty("rule_citation") if rule_evidence is None else rule_evidence, "code_list": entries.select("code_list_name").distinct(), "code_entry": entries,
+            "issue": issues, "change": changes.withColumn("auto_approved", F.col("risk_level") == "low"), "artifact": files,
+            "queue_item": items.withColumns({"diff_id": F.lit(diff_id), "status": F.lit("pending"), "created_at": F.current_timestamp()}),
         }
         # a version without rows in a table is cleared there as well
-        cleared = {n: self.table(n).where(F.col("document_version_id") != vid).unionByName(shaped(n, tag(df))) for n, df in snapshot.items()}
-        self.commit(cleared | {"version": versions.upserted(self.table("version"), shaped("version", version), ["document_version_id"]), "run": self.table("run").unionByName(shaped("run", run))})
+        anew = lambda name, df: self.table(name).where(F.col("document_version_id") != vid).unionByName(shaped(name, df.withColumn("document_version_id", F.lit(vid))))
+        cleared = {n: anew(n, df) for n, df in snapshot.items()}
+        cleared["diff"] = self.table("diff").where(F.col("candidate_version_id") != vid).unionByName(shaped("diff", diff))
+        self.commit(cleared | {"version": versions.upserted(known, shaped("version", version), ["document_version_id"]), "run": self.table("run").unionByName(shaped("run", run))})
         return vid
 
-    def publish(self, document_version_id: int, reviewer: str, comment: str = "") -> None:
-        """Publish a version whatever its issues. Versions published before stay so; each call adds a decision."""
+    def publish(self, document_version_id: int, reviewer: str, comment: str = "", bundle_uri: str | None = None, bundle_checksum: str | None = None) -> None:
+        """Publish a version whatever its issues: its diffs are published, their queue items resolved, each diff gets
+        an approval, and its bundle is registered. Versions published before stay so; each call adds decisions."""
         ids = self.spark.createDataFrame([(document_version_id,)], "document_version_id bigint")
-        decision = ids.withColumns({"decision": F.lit("approve"), "reviewer": F.lit(reviewer), "comment": F.lit(comment), "decided_at": F.current_timestamp()})
-        self.commit({"version": versions.published_now(self.table("version"), ids, F.current_timestamp()), "decision": self.table("decision").unionByName(decision)})
+        diffs = self.table("diff")
+        decisions = versions.decisions_of(diffs, ids, reviewer, comment).withColumn("decided_at", F.current_timestamp())
+        changed = {
+            "version": versions.published_now(self.table("version"), ids, F.current_timestamp()), "decision": self.table("decision").unionByName(shaped("decision", decisions)),
+            "diff": versions.diffs_published(diffs, ids), "queue_item": versions.items_resolved(self.table("queue_item"), diffs, ids),
+        }
+        if bundle_uri:
+            row = ids.withColumns({"bundle_type": F.lit("published_bundle"), "bundle_status": F.lit("published"), "artifact_uri": F.lit(bundle_uri), "checksum_sha256": F.lit(bundle_checksum), "created_at": F.current_timestamp()})
+            changed["artifact"] = versions.upserted(self.table("artifact"), shaped("artifact", row), ["document_version_id", "bundle_type", "bundle_status"])
+        self.commit(changed)
 
     def latest_fields(self, jurisdiction: str, tax_domain: str) -> DataFrame:
         """Fields of the latest published version, paths put back."""
@@ -89,3 +131,20 @@ class Store:
         latest = versions.latest_published(known).select("document_version_id")
         paths = versions.paths_of(self.table("path"), "document_version_id")
         return self.table("field").join(latest, "document_version_id", "left_semi").join(paths, ["document_version_id", "field_code"], "left")
+
+    def bundle(self, document_version_id: int) -> dict[str, DataFrame]:
+        """A stored version as it was: its document row, its fields with paths and evidence, its rules with references
+        and evidence, its code lists with entries."""
+        of = lambda name: self.table(name).where(F.col("document_version_id") == document_version_id)
+        cites = of("citation").groupBy("field_code").agg(F.array_sort(F.collect_list(F.struct("page_number", "source_kind", "quote_text"))).alias("evidence"))
+        return {
+            "document": of("version"), "fields": of("field").join(versions.paths_of(of("path")), "field_code", "left").join(cites, "field_code", "left"),
+            "rules": versions.nested_rules(of("rule"), of("rule_link"), of("rule_citation")), "code_lists": versions.nested_code_lists(of("code_list"), of("code_entry")),
+        }
+
+    def materialise(self, document_version_id: int, folder: str) -> dict[str, str]:
+        """Write a stored version's parts as JSON lines, each part below ``folder``."""
+        places = {name: f"{folder}/{name}" for name in ("document", "fields", "rules", "code_lists")}
+        for name, df in self.bundle(document_version_id).items():
+            bundles.write(df, places[name])
+        return places

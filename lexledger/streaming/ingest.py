@@ -17,7 +17,8 @@ def documents(spark: SparkSession, folder: str, pattern: str = "*.pdf", per_trig
 
 def ingest(stream: DataFrame, registry: str, checkpoint: str, handle: Callable[[DataFrame], None]) -> StreamingQuery:
     """Hands every document whose checksum is not in the registry (a Parquet folder) to ``handle``, then registers
-    it. A repeated batch finds its checksums registered, so a restart hands nothing on twice."""
+    it. A repeated batch finds its checksums registered. A job that dies between the two hands the batch on again
+    after its restart: ``handle`` sees every document at least once, and should be idempotent as the store is."""
 
     def step(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession

@@ -124,11 +124,79 @@ def test_store_state_machine(spark, bundle, tmp_path):
     store.publish(vid, "me")
     store.publish(vid, "me")
     assert store.table("decision").count() == 2 and store.table("version").first()["status"] == "published"
+    assert {r["status"] for r in store.table("diff").collect()} == {"published"} and {r["status"] for r in store.table("queue_item").collect()} == {"resolved"}
     assert {r["field_code"]: r["invoice_path"] for r in store.latest_fields("HR", "einvoice").collect()} == {"BT-1": "/Invoice/cbc:ID", "BT-2": None}
     save()
     assert store.table("version").first()["status"] == "candidate" and store.table("run").count() == 3
 
 
+def test_stored_bundle_is_loaded_back(spark, bundle, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    fields = bundles.fields(bundle)
+    changes = diff.field_changes(fields.limit(0), fields)
+    none = spark.createDataFrame([], "severity string, code string, field_code string, subject string")
+    rules = spark.createDataFrame([("BR-1", "formula", "BT-1 = BT-2", "error", 0.95), ("BR-2", "text", "plain", "error", 0.95)], "rule_code string, rule_type string, expression_text string, severity string, confidence double")
+    cites = spark.createDataFrame([("BR-1", 2, 7, "table", "q"), ("BR-1", 1, 3, "table", "p")], "rule_code string, id long, page_number int, source_kind string, quote_text string")
+    entries = spark.createDataFrame([("ISO", 2, "B", "b"), ("ISO", 1, "A", "a")], "code_list_name string, position int, code string, label string")
+    vid = store.persist("abc", BUNDLE["document"] | {"issued_on": None}, fields, bundles.rule_refs(bundle), bundles.evidence(fields), none, changes, none.select(F.lit("x").alias("item_id"), F.lit("high").alias("risk_level"), F.lit("diff").alias("source")), rules=rules, rule_evidence=cites, code_entries=entries, artifacts={"fields": "/out/fields"})
+    got = store.bundle(vid)
+    assert {r["field_code"]: (r["invoice_path"], len(r["evidence"] or [])) for r in got["fields"].collect()} == {"BT-1": ("/Invoice/cbc:ID", 1), "BT-2": (None, 0)}
+    assert {r["rule_code"]: (r["refs"], [e["page_number"] for e in r["evidence"] or []]) for r in got["rules"].collect()} == {"BR-1": (["BT-1"], [3, 7]), "BR-2": ([], [])}
+    assert [[(e["code"], e["label"]) for e in r["entries"]] for r in got["code_lists"].collect()] == [[("A", "a"), ("B", "b")]]
+    run = json.loads(store.table("run").first()["metrics"])
+    assert (run["field_count"], run["rule_count"], run["code_list_count"], run["artifact_count"], run["diff_summary"]) == (2, 2, 1, 1, {"added": 2})
+    assert store.table("diff").first()["status"] == "auto_approved" and store.table("artifact").first()["bundle_status"] == "draft"
+    kept = store.current()[1]["rule"]
+    store.publish(vid, "me", bundle_uri="/out/bundle")
+    assert store.current()[1]["rule"] == kept  # unchanged tables stay where they are
+    assert {(r["bundle_type"], r["bundle_status"]) for r in store.table("artifact").collect()} == {("fields", "draft"), ("published_bundle", "published")}
+    places = store.materialise(vid, str(tmp_path / "bundle"))
+    assert len(spark.read.text(places["rules"]).collect()) == 2
+
+
+def test_a_taken_generation_is_refused(spark, tmp_path):
+    one, two = Store(spark, str(tmp_path / "s")), Store(spark, str(tmp_path / "s"))
+    rows = spark.createDataFrame([("r", 1, "x", None, None)], "run_id string, document_version_id long, stage string, started_at timestamp, metrics string")
+    two.current = lambda: (0, {})
+    one.commit({"run": rows})
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        two.commit({"run": rows})
+    assert one.table("run").count() == 1
+
+
+def test_updates_of_a_field_apply_in_order(spark):
+    fields = spark.createDataFrame([("BT-1", "Name", "explicit", "", "", "true", ["a"], 0.5), ("BT-2", "Other", "inferred", "old", "h", "", [], 0.5), ("BT-3", "None", "explicit", "n", "h", "s", ["b"], 0.9)], "field_code string, field_name string, origin string, notes string, format_hint string, sample string, refs array<string>, confidence double")
+    updates = spark.createDataFrame([("BT-1", 2, "second", "h2", "s2", ["b"], 0.9), ("BT-1", 1, "first", None, None, ["a", "c"], 0.7), ("BT-2", 1, "one", None, "x", None, 0.1), ("BT-2", 2, "two", None, "y", ["z"], None), ("BT-9", 1, "no", None, None, None, 1.0)], "field_code string, ord int, notes string, format_hint string, sample string, refs array<string>, confidence double")
+    got = {r.field_code: tuple(r)[3:] for r in enrich.merged(fields, updates).collect()}
+    assert got == {"BT-1": ("first", "h2", "true", ["a", "c", "b"], 0.9), "BT-2": ("two", "h", "x", ["z"], 0.5), "BT-3": ("n", "h", "s", ["b"], 0.9)}
+
+
+def test_client_gets_whole_batches_whatever_the_partitions(spark):
+    fields = spark.range(60_000).select(F.format_string("BT-%05d", "id").alias("field_code"))
+    sizes = lambda rows: [{"field_code": rows[0]["field_code"], "n": len(rows)}]
+    got = enrich.enriched(enrich.batched(fields, ["field_code"], 700), sizes, "field_code string, n int").groupBy("n").count().collect()
+    assert {(r["n"], r["count"]) for r in got} == {(700, 85), (500, 1)}
+
+
+def test_pages_of_codes_equal_brute_force(spark):
+    codes = ["BT-1", "BT-12", "HR-BT-1", "HR-BT-12", "BG-3", "BT-777", "odd code", "BT-"]
+    texts = ["x BT-123 y", "HR-BT-1", "XBT-1 BG-30", "an odd code", "nothing", None, "HR-BT-129 BT-9", "BT-12BT-1"]
+    pages_ = spark.createDataFrame(list(enumerate(texts, 1)), "page_number int, text string")
+    got = {}
+    for r in enrich.evidence_pages(spark.createDataFrame([(c,) for c in codes], "field_code string"), pages_, 9).orderBy("place").collect():
+        got.setdefault(r.field_code, []).append(r.page_number)
+    assert got == {c: [k for k, t in enumerate(texts, 1) if c in (t or "")] or [1] for c in codes}
+
+
+def test_all_six_checks(spark):
+    from lexledger.operators import validate
+
+    fields = spark.createDataFrame([("BT-1", "atomic", "/p", None, 1, "0", 1), ("BT-1", "atomic", "", "", 0, "n", 2)], "field_code string, field_kind string, invoice_path string, credit_note_path string, occurrence_min int, occurrence_max string, ord long")
+    rules = spark.createDataFrame([("BR-1", 1, "BT-9"), ("BR-1", 2, "BT-8"), ("BR-1", 3, "BG-7"), ("BR-1", 4, "HR-BG-2"), ("BR-2", None, None), ("BR-3", 1, "BT-1")], "rule_code string, pos int, ref string")
+    got = validate.all_issues(fields, rules, fields.limit(0), spark.createDataFrame([("BR-3",)], "rule_code string"))
+    assert sorted((r.code, r.subject) for r in got.collect()) == [("dangling_rule_reference", "BR-1: BT-9, BT-8"), ("duplicate_field_code", "BT-1"), ("invalid_cardinality", "BT-1"), ("missing_field_evidence", "BT-1"), ("missing_field_evidence", "BT-1"), ("missing_field_path", "BT-1"), ("missing_rule_evidence", "BR-1"), ("missing_rule_evidence", "BR-2")]
+
+
 def test_exports(spark, tmp_path):
     fields = spark.createDataFrame([("BT-2", "b", None), ("BT-1", "a", "s")], "field_code string, field_name string, sample string")
     exports.csv(fields, str(tmp_path / "csv"))
