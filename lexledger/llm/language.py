@@ -7,7 +7,7 @@ import re
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,14 +42,23 @@ def fit(training: DataFrame, documents: int = SAMPLE_DOCUMENTS, size: int = DICT
     bounded sample: of each language the ``documents`` distinct texts with the smallest hashes, cut at ``size`` bytes.
     """
     rows = training.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not counts:
-        return []
     # repeated texts count once before the smallest hashes are taken, however many copies there are
     hashed = rows.withColumn("h", F.xxhash64("text"))
-    order = Window.partitionBy("lang").orderBy("h")
-    least = hashed.select("lang", "h").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= documents).select("lang", "h")
-    picked = hashed.join(F.broadcast(least), ["lang", "h"]).select("lang", "h", F.substring("text", 1, size).alias("text")).distinct().collect()
+    seen = hashed.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("h").alias("texts")).collect()
+    counts = {r["lang"]: r["rows"] for r in seen}
+    if not counts:
+        return []
+    # hashes are even, so a share of them holds the smallest; where it holds too few it is doubled
+    share, least = {r["lang"]: 8 * documents / max(r["texts"], 1) for r in seen}, {}
+    while share:
+        limit = F.create_map(*[F.lit(x) for lang, s in share.items() for x in (lang, -(2**63) + min(int(s * 2**64), 2**64 - 1))])
+        low: dict[str, list[int]] = {lang: [] for lang in share}
+        for r in hashed.where(F.col("h") <= limit[F.col("lang")]).select("lang", "h").distinct().collect():
+            low[r["lang"]].append(r["h"])
+        least |= {lang: sorted(h)[:documents] for lang, h in low.items()}
+        share = {lang: 2 * s for lang, s in share.items() if s < 1 and len(low[lang]) < documents}
+    chosen = training.sparkSession.createDataFrame([(lang, h) for lang, hs in least.items() for h in hs], "lang string, h long")
+    picked = hashed.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", F.substring("text", 1, size).alias("text")).distinct().collect()
     found = []
     for lang in sorted(counts, key=lambda k: (-counts[k], k)):
         texts = sorted((r["h"], r["text"]) for r in picked if r["lang"] == lang)[:documents]

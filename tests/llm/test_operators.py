@@ -163,6 +163,15 @@ def test_dictionaries_of_languages_that_are_nearly_all_copies(spark):
     assert len(re.findall(b"own|hot", found["yy"])) == language.SAMPLE_DOCUMENTS
 
 
+def test_dictionaries_hold_the_texts_with_the_smallest_hashes(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
+    hashes = {}
+    for r in docs.select("lang", F.xxhash64("text").alias("h"), "text").collect():
+        hashes.setdefault(r.lang, set()).add((r.h, r.text))
+    for lang, sample in language.fit(docs):
+        assert sample == b"".join(language.normalised(t) for _, t in sorted(hashes[lang])[: language.SAMPLE_DOCUMENTS])[: language.DICTIONARY_BYTES]
+
+
 # mixing
 
 
