@@ -150,10 +150,10 @@ def html_examples(v):
     return v["pages"].select("page_id", F.array_join(t.examples(F.col("html")), "\n").alias("examples"))
 
 
-_HEADED = "SELECT doc_id, concat('BT-', doc_id, ' head', chr(10), 'no BT-1', chr(10), substring(text, 1, 40), chr(10), ' HR-BR-7: x', chr(10), 'TB-2y') AS text FROM {documents}"
+_HEADED = "SELECT doc_id, concat('BT-', doc_id, ' head', chr(10), 'no BT-1', chr(10), replace(text, '. ', concat('.', chr(10), 'BT-7 ')), chr(10), ' HR-BR-7: x', chr(10), 'TB-2y') AS text FROM {documents}"
 
 
-@query(rf"SELECT doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: regexp_matches(x, '^(?:HR-)?(?:BT|BG|BR|TB)-\d+\b')), '|') AS headings FROM ({_HEADED})")
+@query(rf"SELECT doc_id, array_to_string(list_slice(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: regexp_matches(x, '^(?:HR-)?(?:BT|BG|BR|TB)-\d+\b')), 1, 50), '|') AS headings FROM ({_HEADED})")
 def html_headings(v):
     return v.spark.sql(_HEADED, documents=v["documents"]).select("doc_id", F.array_join(t.headings(F.col("text")), "|").alias("headings"))
 
