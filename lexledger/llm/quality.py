@@ -25,6 +25,8 @@ LABELLED = 6000
 ROUNDS = 2
 #: A view is sure of a document at this calibrated probability.
 SURE = 0.95
+#: Documents whose features are held at a time when all of them are counted.
+ROWS = 2000
 #: Documents are kept at this score.
 KEEP_AT = 0.5
 _METADATA = ("source", "lang", "n_chars")
@@ -123,13 +125,13 @@ def pseudo_counts(docs: DataFrame, views: list) -> list[Counts]:
 
     def run(batches):
         seen, have = np.zeros((2, 2)), np.zeros((2, 2, size))
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             both = views_of(batch)
             p = [linear.sigmoid(a * x.scores(m) + b) for x, (m, (a, b)) in zip(both, views, strict=True)]
             for v, x in enumerate(both):
                 for label, sure in ((0, p[1 - v] <= 1 - SURE), (1, p[1 - v] >= SURE)):
                     seen[v, label] += sure.sum()
-                    have[v, label] += np.bincount(x.features[sure[x.rows]], minlength=size)
+                    np.add.at(have[v, label], x.features[sure[x.rows]], 1)
         for v in (0, 1):
             at = np.nonzero(have[v].any(0))[0]
             columns = [np.full(len(at) + 1, v), np.concatenate([[-1], at]), *(np.concatenate([[seen[v, k]], have[v, k, at]]) for k in (0, 1))]
