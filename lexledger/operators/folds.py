@@ -115,6 +115,13 @@ def best_blocks(blocks: DataFrame, score: Column, doc: str = "doc") -> DataFrame
     return ranked.where("_r = 1").drop("_r")
 
 
+def described(blocks: DataFrame, doc: str = "doc") -> DataFrame:
+    """(doc, code, detail, table_block): of each code the block that tells most and the one that shows its path, the
+    first of equals; both in one aggregation."""
+    best = lambda score: F.trim(F.max_by("block", F.struct(score, -F.col("start"))))
+    return blocks.groupBy(doc, "code").agg(best(detail_score(F.col("block"))).alias("detail"), best(table_score(F.col("block"))).alias("table_block"))
+
+
 def rules_of(block: Column) -> Column:
     """Rule texts of a block, in order, each once: a state machine over its lines."""
     state = F.struct(F.lit("").alias("cur"), F.lit(False).alias("started"), F.lit(False).alias("done"), F.array().cast("array<string>").alias("out"))

@@ -65,7 +65,29 @@ VIEWS = {
         SELECT l_orderkey AS document_version_id, l_shipmode_kind AS bundle_type, uri AS artifact_uri, l_shipdate AS created_at, id FROM (
           SELECT DISTINCT l_orderkey, concat(l_returnflag, l_linestatus) AS l_shipmode_kind,
                  CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN '' ELSE concat('/out/', l_partkey) END AS uri, l_shipdate, l_partkey * 10 + l_linenumber AS id FROM {lineitem}) x""",
-    "doc_lines": "SELECT doc_id AS doc, text FROM {documents}",
+    # documents as specifications: frequent words of each language stand for what marks fields, rules, paths and samples
+    "spec_text": """
+        SELECT doc_id AS doc, concat('BT-', doc_id, ' Entry of ', source, CASE WHEN doc_id % 3 = 0 THEN ' ........ 12' ELSE '' END, chr(10),
+          replace(replace(replace(replace(replace(replace(replace(replace(replace(text, '. ', concat('.', chr(10), 'BT-', doc_id % 90 * 11, ' ')),
+            ' de ', concat(chr(10), 'Business Rule', chr(10), 'BR-', doc_id % 7, ' BT-5 must have ')), ' the ', concat(chr(10), 'Business Rule', chr(10), 'HR-BR-', doc_id % 7, ' total = BT-8 ')),
+            ' la ', concat(chr(10), 'Example of use:', chr(10), '<cbc:ID> ', doc_id, ' </cbc:ID><hrextac:Right>', doc_id, '</hrextac:Right>', chr(10))), ' and ', concat(chr(10), 'Example of use:', chr(10), '<cbc:Name>', source, '</cbc:Name>', chr(10), '17', chr(10))),
+            ' le ', concat(chr(10), '/Invoice/cac:A/', chr(10), 'cbc:ID', chr(10))), ' of ', concat(chr(10), '/CreditNote/cbc:', chr(10), 'Name', chr(10), 'maximum of 20 characters ')),
+            ' in ', concat(chr(10), 'BT-2 ')), ' und ', concat(chr(10), '380 - Commercial', chr(10), '• two', chr(10), 'HR-BT-5', chr(10)))) AS text
+        FROM {documents}""",
+    "spec_rows": """
+        SELECT doc_id AS doc, 1 AS page, 1 AS table_no, 1 AS row_no, 'ID' AS c0, 'Business term' AS c1, 'Description' AS c2, 'Note on use' AS c3, 'Type' AS c4, 'Card.' AS c5 FROM {documents}
+        UNION ALL SELECT doc_id, 1, 1, 2, concat(' BT-', doc_id), 'Invoice number', 'A unique', 'Note  a', CASE doc_id % 4 WHEN 0 THEN ' At' WHEN 1 THEN 'Unit  price' WHEN 2 THEN 'Amount' ELSE 'Boolean (true)' END, '1..1' FROM {documents}
+        UNION ALL SELECT doc_id, 1, 1, 3, '', '(continued)', lang, '', '', '' FROM {documents}
+        UNION ALL SELECT doc_id, 1, 1, 4, '', 'UBL Invoice Path', '', '', '', 'Remark' FROM {documents}
+        UNION ALL SELECT doc_id, 1, 1, 5, '', concat('/Invoice/cbc:ID', chr(10), '/CreditNote/cbc:ID'), '', '', '', concat('R', doc_id % 10) FROM {documents}
+        UNION ALL SELECT doc_id, 1, 2, 1, 'BT-9', 'no header', 'ignored', '', '', '' FROM {documents}
+        UNION ALL SELECT doc_id, 2, 1, 1, 'ID', 'Business term', 'Description', 'Note on use', 'Type', 'Card.' FROM {documents}
+        UNION ALL SELECT doc_id, 2, 1, 2, '', '', 'text tail', NULL, '', '0..1' FROM {documents}
+        UNION ALL SELECT doc_id, 2, 1, 3, concat('BT-', doc_id % 90 * 11), source, 'd', '', '', '' FROM {documents}
+        UNION ALL SELECT doc_id, 2, 1, 4, 'BG-2', 'Group', 'grp', '', 'Date', '' FROM {documents}
+        UNION ALL SELECT doc_id, 3, 1, 1, 'ID', CASE WHEN doc_id % 7 = 0 THEN 'Term' ELSE 'Business term' END, '', '', '', '' FROM {documents}
+        UNION ALL SELECT doc_id, 3, 1, 2, 'HR-BT-5', 'Mark', '', 'ISO 4217', 'Code', '0..n' FROM {documents}
+        UNION ALL SELECT doc_id, 3, 1, 3, '', '/Invoice/ext:Ext/hrextac:Wrong', '', '', '', '' FROM {documents}""",
     "notes_fields": """
         SELECT concat('BT-', d.doc_id) AS field_code, concat('field ', d.doc_id) AS field_name, 'atomic' AS field_kind,
                CASE d.doc_id % 3 WHEN 0 THEN 'Amount' WHEN 1 THEN 'Text' ELSE 'Code' END AS data_type,

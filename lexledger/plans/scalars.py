@@ -168,21 +168,25 @@ def first_pages(v):
     return v["lineitem"].groupBy("l_partkey").agg(F.array_join(numbers.first_pages(F.collect_list("l_linenumber")), ",").alias("pages"))
 
 
-CONSTRAINT_CASES = [
-    ("Text", "maximum of 20 characters", "", "20", "", ""), ("Text", "Maximum of 20 characters; last 2 to 4 digits", "2", "4", "", ""), ("Date", "", "10", "10", "", ""), ("Date", "maximum of 8 characters", "", "8", "", ""),
-    ("Text", "Format YYYY-MM-DD", "10", "10", "", ""), ("Text", "maximum of 8 characters, format hh:mm:ss", "8", "8", "", ""), ("Text", "use yyyy-MM-d.d", "10", "10", "", ""), ("Time", "", "8", "8", "", ""), ("Boolean (true)", "", "4", "5", "", ""),
-    ("Amount", "", "", "", "", "2"), ("Amount", "rounded to two decimal places", "", "", "2", "2"), ("Amount", "rounded to 2 decimal places; multiple decimals", "", "", "", "2"), ("Unit price amount", "multiple decimals", "", "", "", ""),
-]
-_COLUMNS = ("min_char_length", "max_char_length", "min_decimal_scale", "max_decimal_scale")
+_HINTS = """SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'Text' WHEN 1 THEN 'Date' WHEN 2 THEN 'Time' WHEN 3 THEN 'Boolean (true)' WHEN 4 THEN 'Amount' ELSE 'Unit price amount' END AS data_type,
+  concat(CASE p_size % 3 WHEN 0 THEN concat('Maximum of ', p_size, ' characters; ') ELSE '' END, CASE p_size % 5 WHEN 0 THEN concat('last ', p_size % 4, ' to ', p_size, ' digits ') ELSE '' END,
+    CASE p_partkey % 7 WHEN 0 THEN 'Format YYYY-MM-DD' WHEN 1 THEN 'format hh:mm:ss' WHEN 2 THEN 'use yyyy-MM-d.d' WHEN 3 THEN 'rounded to two decimal places' WHEN 4 THEN 'written to 2 decimal places; multiple decimals' ELSE p_name END) AS hint FROM {part}"""
+LIMITS = ("min_char_length", "max_char_length", "min_decimal_scale", "max_decimal_scale")
 
 
-def values_sql(rows: list[tuple], names: tuple[str, ...]) -> str:
-    """A VALUES table of text and numbers as DuckDB SQL."""
-    cell = lambda x: "NULL" if x is None else str(x) if isinstance(x, (int, float)) else "'" + x.replace("'", "''") + "'"
-    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) AS t({', '.join(names)})"
+def limits_sql(source: str, text: str) -> str:
+    """source plus the four limits that the column ``text`` and data_type give."""
+    return rf"""SELECT * EXCLUDE (digits, top, dated, timed, two, several, bottom_, top_, scale_), CASE WHEN top_ <> '' THEN bottom_ WHEN data_type = 'Date' THEN '10' WHEN data_type = 'Time' THEN '8' WHEN starts_with(data_type, 'Boolean') THEN '4' ELSE bottom_ END AS min_char_length,
+        CASE WHEN top_ <> '' THEN top_ WHEN data_type = 'Date' THEN '10' WHEN data_type = 'Time' THEN '8' WHEN starts_with(data_type, 'Boolean') THEN '5' ELSE '' END AS max_char_length,
+        scale_ AS min_decimal_scale, CASE WHEN scale_ = '' AND data_type = 'Amount' THEN '2' ELSE scale_ END AS max_decimal_scale
+      FROM (SELECT *, coalesce(nullif(digits, ''), CASE WHEN dated THEN '10' WHEN timed THEN '8' ELSE '' END) AS bottom_, coalesce(nullif(top, ''), CASE WHEN dated THEN '10' WHEN timed THEN '8' ELSE '' END) AS top_,
+          CASE WHEN two AND NOT several THEN '2' ELSE '' END AS scale_
+        FROM (SELECT *, regexp_extract({text}, '(?i)last (\d+) to \d+ digits', 1) AS digits, CASE WHEN digits <> '' THEN regexp_extract({text}, '(?i)last \d+ to (\d+) digits', 1) ELSE regexp_extract({text}, '(?i)maximum of (\d+) characters', 1) END AS top,
+            regexp_matches({text}, '(?i)format\s+yyyy[-/]mm[-/]dd') OR contains({text}, 'yyyy-MM-d.d') AS dated, regexp_matches({text}, '(?i)format\s+hh:mm:ss') AS timed,
+            regexp_matches({text}, '(?i)(?:written to|rounded to)\s+(?:2|two)\s+decimal places') AS two, regexp_matches({text}, '(?i)multiple decimals') AS several FROM {source}))"""
 
 
-@query(values_sql(CONSTRAINT_CASES, ("data_type", "hint", *_COLUMNS)))
+@query(f"SELECT p_partkey, {', '.join(LIMITS)} FROM ({limits_sql(f'({_HINTS})', 'hint')})")
 def infer_constraints(v):
-    cases = v.spark.createDataFrame([c[:2] for c in CONSTRAINT_CASES], "data_type string, hint string")
-    return cases.withColumns(numbers.constraints(F.col("data_type"), F.col("hint"))).select("data_type", "hint", *_COLUMNS)
+    cases = v.spark.sql(_HINTS, part=v["part"])
+    return cases.withColumns(numbers.constraints(F.col("data_type"), F.col("hint"))).select("p_partkey", *LIMITS)

@@ -1,4 +1,5 @@
-"""Queries of the ordered folds and of whole extraction, over small specifications written out below."""
+"""Queries of the ordered folds and of whole extraction. Documents stand in for specifications (views spec_text and
+spec_rows); the SQL works on windows of lines where the operators fold."""
 
 from __future__ import annotations
 
@@ -7,138 +8,247 @@ from pyspark.sql import functions as F
 from lexledger.functions import text as t
 from lexledger.operators import extract, folds
 from lexledger.plans.registering import registrar
-from lexledger.plans.scalars import values_sql
+from lexledger.plans.scalars import LIMITS, limits_sql
 
 QUERIES, ORACLES, query = registrar()
 
-HEADER = ("ID", "Business term", "Description", "Note on use", "Type", "Card.")
-#: page, table_no, row_no, six cells
-TABLE_ROWS = [
-    (1, 1, 1, *HEADER), (1, 1, 2, "BT-1", "Invoice number", "A unique", "Note a", "Identifier", "1..1"), (1, 1, 3, "", "(continued)", "identification", "", "", ""),
-    (1, 1, 4, "", "UBL Invoice Path", "", "", "", "Remark"), (1, 1, 5, "", "/Invoice/cbc:ID\n/CreditNote/cbc:ID", "", "", "", "R1"), (1, 2, 1, "x", "y", "table without header: ignored", "", "", ""),
-    (2, 1, 1, *HEADER), (2, 1, 2, "", "", "text tail", "", "", "0..1"), (2, 1, 3, "BG-2", "Group", "grp", "", "", ""), (2, 1, 4, "HR-BT-5", "Mark", "d", "", "At", "0..n"),
-]
-ROW_SCHEMA = "doc int, page int, table_no int, row_no int, c0 string, c1 string, c2 string, c3 string, c4 string, c5 string"
-LINES = ["BT-1 Invoice number ........ 12", "BT-2 Date ........ 13", "BT-1 Invoice number", "Business Rule", "BR-1 x", "17", "BT-1 more", "BT-2 Date", "/Invoice/cbc:IssueDate"]
-RULE_LINES = ["BT-1 Invoice number", "Business Rule", "Description", "BR-1 The invoice shall have", "a number.", "Next sentence not part.", "BR-2 Two", "BR-1 The invoice shall have a number.", "Example of use:", "BR-9 hidden"]
-PATH_LINES = ["BT-2 Date", "/Invoice/cac:A/", "cbc:IssueDate", "/CreditNote/cbc:IssueDate", "not a path"]
+_H, _R = t.HEADING, t.RULE
 
 
-def table_rows(v):
-    return v.spark.createDataFrame([(1, *r) for r in TABLE_ROWS], ROW_SCHEMA)
+def _strip(x: str) -> str:
+    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
 
 
-def lines(v, some: list[str] = LINES):
-    return v.spark.createDataFrame([(1, i + 1, x) for i, x in enumerate(some)], "doc int, line_no int, line string")
+def _squash(x: str) -> str:
+    return rf"trim(regexp_replace({x}, '\s+', ' ', 'g'))"
 
 
-_RECORDS = [
-    ("BT-1", "Invoice number (continued) Group", "A unique identification text tail grp", "Note a", "Identifier", "1..1", "/Invoice/cbc:ID", "/CreditNote/cbc:ID", "R1", "1,1,1,2,2"),
-    ("HR-BT-5", "Mark", "d", "", "Code", "0..n", "", "", "", "2"),
-]
-_RECORD_COLUMNS = ("field_code", "field_name", "description", "note", "data_type", "cardinality", "invoice_path", "credit_note_path", "remark", "pages")
+def _lines_of(source: str, column: str) -> str:
+    """The rows of source for each stripped line of a column, with its number i from 1."""
+    return f"SELECT * EXCLUDE parts, {_strip('parts[i]')} AS line FROM (SELECT *, unnest(generate_series(1, len(parts))) AS i FROM (SELECT * EXCLUDE {column}, string_split({column}, chr(10)) AS parts FROM {source}))"
 
 
-@query(values_sql(_RECORDS, _RECORD_COLUMNS))
+def _count(what: str) -> str:
+    return f"(len(block) - len(replace(block, '{what}', ''))) // {len(what)}"
+
+
+_DOTS = r"CASE WHEN regexp_matches(split_part(block, chr(10), 1), '\.{5,}') THEN 3 ELSE 0 END"
+_HAS_PATH = r"regexp_matches(block, '(?:^|\n)(?:/Invoice|/invoice|/CreditNote)')"
+_DETAIL = f"CAST(3 * ({_count('Business Rule')}) + 2 * ({_count('Example of use:')}) - {_DOTS} - CASE WHEN {_HAS_PATH} THEN 2 ELSE 0 END AS INT)"
+_TABLE = f"CASE WHEN {_HAS_PATH} THEN 5 ELSE 0 END + CASE WHEN contains(block, 'Example of use:') THEN 1 ELSE 0 END - CASE WHEN contains(block, 'Business Rule') THEN 2 ELSE 0 END - {_DOTS}"
+
+
+def _best(score: str) -> str:
+    return f"SELECT * EXCLUDE r FROM (SELECT *, row_number() OVER (PARTITION BY doc, code ORDER BY score DESC, start) AS r FROM (SELECT *, {score} AS score FROM blocks)) WHERE r = 1"
+
+
+#: lines, blocks of lines, and of each code the block that tells most and the one that shows paths
+_BLOCKS = rf"""
+  lines AS ({_lines_of('{spec_text}', 'text')}),
+  heads AS (SELECT *, regexp_extract(line, '{_H}') AS code FROM lines WHERE regexp_matches(line, '{_H}')),
+  starts AS (SELECT a.doc, a.code, a.i AS start, min(b.i) AS stop FROM heads a LEFT JOIN heads b ON a.doc = b.doc AND b.i > a.i AND NOT (b.code = a.code AND starts_with(b.line, concat(b.code, ' ')))
+    WHERE starts_with(a.line, concat(a.code, ' ')) GROUP BY a.doc, a.code, a.i),
+  blocks AS (SELECT s.doc, s.code, s.start - 1 AS start, string_agg(l.line, chr(10) ORDER BY l.i) AS block FROM starts s JOIN lines l ON l.doc = s.doc AND l.i >= s.start AND (s.stop IS NULL OR l.i < s.stop)
+    WHERE NOT regexp_full_match(l.line, '\d+') GROUP BY s.doc, s.code, s.start),
+  detail AS ({_best(_DETAIL)}), shows AS ({_best(_TABLE)})"""
+
+#: rules (doc, code, pos, rule) of the telling blocks
+_RULES = rf"""
+  told AS ({_lines_of('(SELECT doc, code, block FROM detail)', 'block')}),
+  counted AS (SELECT *, regexp_matches(line, '{_H}') AS head, sum(CASE WHEN regexp_matches(line, '{_H}') THEN 1 ELSE 0 END) OVER (PARTITION BY doc, code ORDER BY i) AS heads FROM told),
+  closed AS (SELECT *, max(CASE WHEN heads > 1 OR starts_with(line, 'Example of use:') THEN 1 ELSE 0 END) OVER (PARTITION BY doc, code ORDER BY i) AS after FROM counted),
+  live AS (SELECT doc, code, i, line, regexp_matches(line, '{_R}') AS opens, lag(line) OVER (PARTITION BY doc, code ORDER BY i) AS before FROM closed WHERE after = 0 AND NOT head AND NOT starts_with(line, '<')),
+  grouped AS (SELECT *, sum(CASE WHEN opens OR line IN ('', 'Business Rule', 'Description') OR (before LIKE '%.' AND NOT regexp_matches(line, '^[a-z(]')) THEN 1 ELSE 0 END) OVER (PARTITION BY doc, code ORDER BY i) AS g FROM live),
+  every_rule AS (SELECT doc, code, min(i) AS place, {_squash("string_agg(line, ' ' ORDER BY i)")} AS rule FROM grouped GROUP BY doc, code, g HAVING bool_or(opens)),
+  rules_of AS (SELECT doc, code, CAST(row_number() OVER (PARTITION BY doc, code ORDER BY min(place)) - 1 AS INT) AS pos, rule FROM every_rule GROUP BY doc, code, rule)"""
+
+_CLEAN = r"replace(replace(replace(replace(regexp_replace(path, '\s+', '', 'g'), 'HRFISK20dana', 'HRFISK20Data'), 'HRFISK20data', 'HRFISK20Data'), '/invoice/', '/Invoice/'), '/creditnote/', '/CreditNote/')"
+_SPLIT = f"regexp_extract({_CLEAN}, '(/Invoice/.*?)(?:/CreditNote/|$)', 1) AS invoice, regexp_extract({_CLEAN}, '(/CreditNote/.*)$', 1) AS credit_note"
+#: paths (doc, code, invoice, credit_note) of the blocks that show them
+_PATHS = rf"""
+  shown AS ({_lines_of('(SELECT doc, code, block FROM shows)', 'block')}),
+  kinds AS (SELECT *, regexp_matches(line, '^(?:/Invoice|/invoice|/CreditNote)') AS p, line NOT IN ('', 'Business Rule', 'Description', 'Example of use:') AND NOT contains(line, ' ') AND NOT regexp_matches(line, '{_H}|{_R}|^(?:<|ID|UBL|Remark|Table)') AS goes_on FROM shown),
+  runs_of AS (SELECT *, sum(CASE WHEN p OR NOT goes_on THEN 1 ELSE 0 END) OVER (PARTITION BY doc, code ORDER BY i) AS g FROM kinds),
+  paths AS (SELECT doc, code, {_SPLIT} FROM (SELECT doc, code, coalesce(string_agg(line, '' ORDER BY i) FILTER (kept), '') AS path FROM (SELECT *, bool_or(p) OVER (PARTITION BY doc, code, g) AS kept FROM runs_of) GROUP BY doc, code))"""
+
+
+def _sampled(source: str) -> str:
+    """source (with block and path) plus its sample."""
+    return rf"""SELECT * EXCLUDE (shows_, invoice_, credit_, p_, attribute_, tag_), coalesce(nullif(CASE WHEN attribute_ <> '' THEN {_strip("regexp_extract(shows_, concat(attribute_, '=\"([^\"]+)\"'), 1)")} END, ''),
+        nullif(CASE WHEN tag_ <> '' THEN {_squash(r"regexp_extract(shows_, concat('(?s)<(?:[A-Za-z0-9_]+:)?', tag_, '(?:\s[^>]*)?>\s*([^<\n]+?)\s*</(?:[A-Za-z0-9_]+:)?', tag_, '>'), 1)")} END, ''),
+        list_filter(list_transform(regexp_extract_all(shows_, '>\s*([^<\n]+?)\s*<', 1), lambda x: {_squash('x')}), lambda x: x NOT IN ('', '...', '…'))[1], '') AS sample
+      FROM (SELECT *, regexp_extract(p_, '/@([A-Za-z0-9_:-]+)$', 1) AS attribute_, split_part(coalesce(split_part(p_, '/', CASE WHEN attribute_ <> '' THEN -2 ELSE -1 END), ''), ':', -1) AS tag_
+        FROM (SELECT *, replace(regexp_replace(CASE WHEN contains(block, 'Example of use:') THEN substring(block, strpos(block, 'Example of use:') + 15) ELSE block END, '(?m)^\d+$', '', 'g'), '…', '') AS shows_,
+            {_SPLIT.replace('AS invoice', 'AS invoice_').replace('AS credit_note', 'AS credit_')}, coalesce(nullif(invoice_, ''), credit_) AS p_ FROM {source}))"""
+
+
+def _repaired(path: str, report: str, block: str) -> str:
+    """A path whose last hrextac: name is that of the only element of the block that holds the sample."""
+    pattern = lambda at: rf"regexp_extract_all({block}, concat('(?s)<\s*hrextac:([A-Za-z0-9]+)[^>]*>\s*\Q', sample, '\E\s*</\s*hrextac:([A-Za-z0-9]+)\s*>'), {at})"
+    names = f"list_distinct(list_transform(list_filter(generate_series(1, len({pattern(1)})), lambda k: {pattern(1)}[k] = {pattern(2)}[k]), lambda k: {pattern(1)}[k]))"
+    return f"CASE WHEN contains({report}, 'hrextac:') AND sample <> '' AND len({names}) = 1 THEN regexp_replace({path}, 'hrextac:[^/]+$', concat('hrextac:', {names}[1])) ELSE {path} END"
+
+
+_AT = "ORDER BY page, table_no, row_no"
+#: field records of the tables
+_RECORDS = rf"""
+  cells AS (SELECT doc, page, table_no, row_no, {', '.join(f"{_strip(f"coalesce(c{k}, '')")} AS c{k}" for k in range(6))} FROM {{spec_rows}}),
+  headed AS (SELECT *, bool_or(c0 = 'ID' AND c1 = 'Business term' AND n <= 5) OVER (PARTITION BY doc, page, table_no) AS headed FROM (SELECT *, row_number() OVER (PARTITION BY doc, page, table_no ORDER BY row_no) AS n FROM cells)),
+  opened AS (SELECT *, regexp_matches(c0, '{t.FIELD_ID}') AS o, NOT o AND starts_with(c1, '/') AS p, sum(CASE WHEN regexp_matches(c0, '{t.FIELD_ID}') THEN 1 ELSE 0 END) OVER (PARTITION BY doc {_AT}) AS record
+    FROM headed WHERE headed AND NOT (c0 = 'ID' AND c1 = 'Business term') AND c1 NOT IN ('UBL Invoice Path', 'UBL CreditNote Path (Approval)') AND concat(c0, c1, c2, c3, c4, c5) <> ''),
+  split AS (SELECT * EXCLUDE path, {_SPLIT} FROM (SELECT *, c1 AS path FROM opened WHERE record > 0)),
+  records AS (SELECT doc, CAST(record AS INT) AS record, max(c0) FILTER (o) AS field_code,
+      {', '.join(_squash(f"coalesce(string_agg(c{k}, ' ' {_AT}) FILTER (NOT p AND c{k} <> ''), '')") + f' AS {name}' for k, name in ((1, 'field_name'), (2, 'description'), (3, 'note')))},
+      CASE {_squash(f"coalesce(first(c4 {_AT}) FILTER (NOT p AND c4 <> ''), '')")} WHEN 'At' THEN 'Code' WHEN 'Unit price' THEN 'Unit price amount' ELSE {_squash(f"coalesce(first(c4 {_AT}) FILTER (NOT p AND c4 <> ''), '')")} END AS data_type,
+      {_squash(f"coalesce(first(c5 {_AT}) FILTER (NOT p AND c5 <> ''), '')")} AS cardinality, coalesce(last(invoice {_AT}) FILTER (p AND invoice <> ''), '') AS invoice_path, coalesce(last(credit_note {_AT}) FILTER (p AND credit_note <> ''), '') AS credit_note_path,
+      {_squash(f"coalesce(string_agg(c5, ' ' {_AT}) FILTER (p AND c5 <> ''), '')")} AS remark, list(page {_AT}) AS pages FROM split GROUP BY doc, record)"""
+_RECORD_COLUMNS = ("doc", "record", "field_code", "field_name", "description", "note", "data_type", "cardinality", "invoice_path", "credit_note_path", "remark", "pages")
+
+
+def spec_lines(v):
+    return v["spec_text"].select("doc", F.posexplode(t.lines(F.col("text"))).alias("line_no", "line"))
+
+
+def _best_blocks(v, score):
+    return folds.best_blocks(folds.line_blocks(spec_lines(v)), score(F.col("block")))
+
+
+@query(f"WITH {_RECORDS} SELECT * REPLACE (array_to_string(pages, ',') AS pages) FROM records")
 def table_fold(v):
-    found = folds.table_records(table_rows(v))
-    return found.withColumn("pages", F.array_join("pages", ",")).select(*_RECORD_COLUMNS)
+    return folds.table_records(v["spec_rows"]).withColumn("pages", F.array_join("pages", ",")).withColumn("record", F.col("record").cast("int")).select(*_RECORD_COLUMNS)
 
 
-@query(values_sql([("BT-1", 3, 3, "BT-1 Invoice number\nBusiness Rule\nBR-1 x\nBT-1 more"), ("BT-2", 8, -2, "BT-2 Date\n/Invoice/cbc:IssueDate")], ("code", "start", "score", "block")))
+@query(f"WITH {_BLOCKS} SELECT doc, code, start, score, block FROM detail")
 def detail_blocks(v):
-    return folds.best_blocks(folds.line_blocks(lines(v)), folds.detail_score(F.col("block"))).select("code", "start", "score", "block")
+    return _best_blocks(v, folds.detail_score).select("doc", "code", "start", "score", "block")
 
 
-@query(values_sql([("BT-1", 7, 0, "BT-1 more"), ("BT-2", 8, 5, "BT-2 Date\n/Invoice/cbc:IssueDate")], ("code", "start", "score", "block")))
+@query(f"WITH {_BLOCKS} SELECT doc, code, start, score, block FROM shows")
 def table_blocks(v):
-    return folds.best_blocks(folds.line_blocks(lines(v)), folds.table_score(F.col("block"))).select("code", "start", "score", "block")
+    return _best_blocks(v, folds.table_score).select("doc", "code", "start", "score", "block")
 
 
-def _cases(v, rows, schema):
-    return v.spark.createDataFrame(rows, schema)
-
-
-@query(values_sql([(0, "BR-1 The invoice shall have a number."), (1, "BR-2 Two")], ("pos", "rule")))
+@query(f"WITH {_BLOCKS}, {_RULES} SELECT doc, code, pos, rule FROM rules_of")
 def extract_rules(v):
-    return _cases(v, [("\n".join(RULE_LINES),)], "block string").select(F.posexplode(folds.rules_of(F.col("block"))).alias("pos", "rule"))
+    return _best_blocks(v, folds.detail_score).select("doc", "code", F.posexplode(folds.rules_of(F.col("block"))).alias("pos", "rule"))
 
 
-@query(values_sql([("/Invoice/cac:A/cbc:IssueDate", "/CreditNote/cbc:IssueDate")], ("invoice", "credit_note")))
+@query(f"WITH {_BLOCKS}, {_PATHS} SELECT doc, code, invoice, credit_note FROM paths")
 def path_fragments(v):
-    joined = folds.path_text(F.col("block"))
-    return _cases(v, [("\n".join(PATH_LINES),)], "block string").select(t.invoice_path(joined).alias("invoice"), t.credit_note_path(joined).alias("credit_note"))
+    joined = _best_blocks(v, folds.table_score).withColumn("path", folds.path_text(F.col("block")))
+    return joined.select("doc", "code", t.invoice_path(F.col("path")).alias("invoice"), t.credit_note_path(F.col("path")).alias("credit_note"))
 
 
-_SHOWN = "BT-1 x\nExample of use:\n<cbc:ID>  380 </cbc:ID>\n<cbc:Name>z</cbc:Name>"
-_TWO_PATHS = "Invoice: /Invoice/cbc:ID\nCreditNote: /CreditNote/cbc:ID"
+_SHOWN = """SELECT page_id, CASE WHEN page_id % 2 = 0 THEN replace(html, '<article', concat('Example of use:', chr(10), page_id, chr(10), '<article')) ELSE html END AS block,
+  CASE page_id % 5 WHEN 0 THEN '/Invoice/cbc:title' WHEN 1 THEN '/Invoice/cbc:a/@href' WHEN 2 THEN '' WHEN 3 THEN concat('Invoice: /Invoice/cac:x/cbc:h1', chr(10), 'CreditNote: /CreditNote/cbc:p') ELSE '/CreditNote/cbc:li' END AS path FROM {pages}"""
 
 
-@query(values_sql([(1, "z"), (2, "380"), (3, "EUR"), (4, "")], ("id", "sample")))
+@query(f"SELECT page_id, sample FROM ({_sampled(f'({_SHOWN})')})")
 def example_value(v):
-    rows = [(1, _SHOWN, "/Invoice/cbc:Name"), (2, _SHOWN, _TWO_PATHS), (3, '<cbc:Amt currencyID="EUR">5</cbc:Amt>', "/Invoice/cbc:Amt/@currencyID"), (4, "no tags", "")]
-    return _cases(v, rows, "id int, block string, path string").select("id", t.example_value(F.col("block"), F.col("path")).alias("sample"))
+    return v.spark.sql(_SHOWN, pages=v["pages"]).select("page_id", t.example_value(F.col("block"), F.col("path")).alias("sample"))
+
 
+_EXTENDED = """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '/Invoice/cbc:ID' ELSE '/Invoice/ext:E/hrextac:Wrong' END AS path, CASE WHEN p_partkey % 9 = 0 THEN '' ELSE CAST(p_size % 7 AS STRING) END AS sample,
+  concat('<hrextac:T', p_size, '> ', p_size % 7, ' </hrextac:T', p_size, '> <hrextac:U a="1">', p_size % 5, '</ hrextac:U> <hrextac:V>', p_size % 7, '</hrextac:W> <hrextac:T', p_size, '>', p_size % 3, '</hrextac:T', p_size, '>') AS block FROM {part}"""
 
-@query(values_sql([(1, "/Invoice/hrextac:Right"), (2, "/Invoice/hrextac:Wrong"), (3, "/Invoice/cbc:ID")], ("id", "path")))
+
+@query(f"SELECT p_partkey, {_repaired('path', 'path', 'block')} AS path FROM ({_EXTENDED})")
 def extension_repair(v):
-    block = "<hrextac:Right>5</hrextac:Right> <hrextac:Other>6</hrextac:Other>"
-    rows = [(1, "/Invoice/hrextac:Wrong", "5", block), (2, "/Invoice/hrextac:Wrong", "7", block), (3, "/Invoice/cbc:ID", "5", block)]
     fixed = t.repaired_extension(F.col("path"), F.concat(F.lit("Invoice: "), F.col("path")), F.col("sample"), F.col("block"))
-    return _cases(v, rows, "id int, path string, sample string, block string").select("id", fixed.alias("path"))
+    return v.spark.sql(_EXTENDED, part=v["part"]).select("p_partkey", fixed.alias("path"))
+
 
+_SET_SOURCES = """SELECT doc, CASE doc % 5 WHEN 0 THEN 'Use untdid 1001 or ISO 4217' WHEN 1 THEN '' WHEN 2 THEN 'True | false' WHEN 3 THEN 'EACT' ELSE 'ISO 11649:2009, HR-TB-2' END AS note,
+  CASE doc % 3 WHEN 0 THEN '' ELSE concat('R  ', doc) END AS remark, text AS block, CASE doc % 7 WHEN 0 THEN 'Boolean (true)' ELSE 'Code' END AS data_type FROM {spec_text}"""
+_LISTED = rf"list_transform(list_filter(list_transform(string_split(block, chr(10)), lambda x: {_strip('x')}), lambda x: x <> '' AND NOT starts_with(x, '<') AND NOT regexp_matches(x, '{_R}') AND regexp_matches(x, '^[•\-]\s*|^\d{{1,4}}\s*[–-]\s*')), lambda x: {_squash(r"regexp_replace(x, '^[•\- ]+', '')")})"
+_KNOWN = ", ".join(f"CASE WHEN contains(low, '{r.lower()}') THEN '{r}' END" for r in t.REFERENCES)
 
-@query(values_sql([(1, "UNTDID 1001; 380 – Commercial invoice; bullet; two; Remark: R"), (2, "true|false"), (3, "")], ("id", "value_set")))
+
+@query(f"""SELECT doc, array_to_string(list_filter(every, lambda x, k: list_position(every, x) = k), '; ') AS value_set FROM (
+  SELECT doc, list_filter(list_concat([CASE WHEN contains(low, 'true | false') OR starts_with(lower(data_type), 'boolean') THEN 'true|false' END, {_KNOWN}], {_LISTED}, [CASE WHEN remark <> '' THEN concat('Remark: ', {_squash('remark')}) END]), lambda x: x IS NOT NULL AND x <> '') AS every
+  FROM (SELECT *, lower(concat_ws(chr(10), note, remark, block, data_type)) AS low FROM ({_SET_SOURCES})))""")
 def value_set(v):
-    rows = [(1, "Use UNTDID 1001", "R", "BT-3 Type\n380 – Commercial invoice\n• bullet; two", "Code"), (2, "", "", "", "Boolean (true)"), (3, "", "", "BR-1 - rule\n<x>", "Text")]
-    return _cases(v, rows, "id int, note string, remark string, block string, data_type string").select("id", t.value_set(F.col("note"), F.col("remark"), F.col("block"), F.col("data_type")).alias("value_set"))
+    return v.spark.sql(_SET_SOURCES, spec_text=v["spec_text"]).select("doc", t.value_set(F.col("note"), F.col("remark"), F.col("block"), F.col("data_type")).alias("value_set"))
+
+
+_NAMED = "SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN ' - ' WHEN doc_id % 3 = 0 THEN text ELSE replace(replace(text, '. ', ' The '), ', ', ' Description ') END AS raw FROM {documents}"
+
+
+def _name(x: str, otherwise: str) -> str:
+    cut = " ".join(f"WHEN contains({_squash(x)}, '{end}') THEN trim(split_part({_squash(x)}, '{end}', 1))" for end in t.NAME_ENDS)
+    return f"coalesce(nullif(trim(left(CASE {cut} ELSE {_squash(x)} END, 120), ' -:'), ''), {otherwise})"
 
 
-@query(values_sql([(1, "Payment code"), (2, "A The B"), (3, "x" * 120), (4, " - ")], ("id", "name")))
+@query(f"SELECT doc_id, {_name('raw', 'raw')} AS name FROM ({_NAMED})")
 def infer_name(v):
-    return _cases(v, [(1, "Payment code The seller must"), (2, "A The B Description c"), (3, "x" * 130), (4, " - ")], "id int, raw string").select("id", t.inferred_name(F.col("raw")).alias("name"))
+    return v.spark.sql(_NAMED, documents=v["documents"]).select("doc_id", t.inferred_name(F.col("raw")).alias("name"))
 
 
-@query(values_sql([(1, '{"updates": []}'), (2, "[1]")], ("id", "answer")))
+_ANSWERS = "SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN concat('```json', chr(10), text, chr(10), '```') WHEN 1 THEN concat('``` ', text, '```', chr(10)) ELSE concat('  ', text, chr(10)) END AS raw FROM {conversations}"
+
+
+@query(rf"SELECT conv_id, turn, trim(regexp_replace(regexp_replace({_strip('raw')}, '^```(?:json)?\s*', ''), '\s*```$', '')) AS answer FROM ({_ANSWERS})")
 def response_cleanup(v):
-    return _cases(v, [(1, '```json\n{"updates": []}\n```'), (2, " [1] ")], "id int, raw string").select("id", t.response_json(F.col("raw")).alias("answer"))
+    return v.spark.sql(_ANSWERS, conversations=v["conversations"]).select("conv_id", "turn", t.response_json(F.col("raw")).alias("answer"))
+
+
+def _heading(block: str) -> str:
+    first = _strip(f"split_part({block}, chr(10), 1)")
+    return f"CASE WHEN starts_with({first}, concat(code, ' ')) THEN {_squash(f'substring({first}, length(code) + 2)')} END"
+
 
+def _report(invoice: str, credit_note: str) -> str:
+    return f"concat_ws(chr(10), 'Invoice: ' || nullif({invoice}, ''), 'CreditNote: ' || nullif({credit_note}, ''))"
 
-_PAGES = [
-    (1, "BT-7 Tax point ..... 9\nBT-8 Other"), (2, "BT-7 Tax point date The seller\nBusiness Rule\nBR-7 BT-7 must have a value\nExample of use:\n<cbc:TaxPointDate>2020-01-01</cbc:TaxPointDate>\n/Invoice/cbc:TaxPointDate"),
-    (3, "BT-7 Tax point date The seller\nBusiness Rule\nBR-7 BT-7 must have a value\nExample of use:\n<cbc:TaxPointDate>2021-02-02</cbc:TaxPointDate>\n/Invoice/cbc:TaxPointDate"),
-]
 
+def _one_if(*what: str) -> str:
+    return "CASE WHEN " + " OR ".join(f"contains(merged, '{w}')" for w in what) + " THEN 1 ELSE 0 END"
 
-@query(values_sql([("BT-7", "Tax point date", "/Invoice/cbc:TaxPointDate", None, "2021-02-02", 3, 16)], ("field_code", "field_name", "invoice_path", "credit_note_path", "sample", "page_number", "score")).replace("NULL", "NULL::VARCHAR"))
+
+_PAGES = f"""
+  missing AS (SELECT DISTINCT ref AS code FROM {{rules}} WHERE regexp_matches(ref, '^(?:HR-)?BT-') AND ref NOT IN (SELECT field_code FROM {{pub_fields}})),
+  merged AS (SELECT d.doc, d.code, trim(s.block) AS shown_block, trim(d.block) AS told_block, concat_ws(chr(10), nullif(trim(s.block), ''), nullif(trim(d.block), '')) AS merged FROM detail d JOIN shows s ON d.doc = s.doc AND d.code = s.code WHERE d.code IN (SELECT code FROM missing)),
+  scored AS (SELECT *, 5 * {_one_if('Example of use:')} + 4 * {_one_if('Business Rule')} + 4 * {_one_if('/Invoice/', '/CreditNote/')} + 3 * {_one_if('<cbc:', '<cac:')}
+      - 6 * CASE WHEN regexp_matches(split_part(merged, chr(10), 1), '\\.{{5,}}') THEN 1 ELSE 0 END - 2 * CASE WHEN length(merged) < 120 THEN 1 ELSE 0 END AS score FROM merged),
+  chosen AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY code ORDER BY score DESC, doc DESC) = 1),
+  pathed AS (SELECT c.*, p.invoice, p.credit_note, told_block AS block, {_report('p.invoice', 'p.credit_note')} AS path, coalesce(nullif({_heading('told_block').replace('code', 'c.code')}, ''), nullif({_heading('shown_block').replace('code', 'c.code')}, ''), c.code) AS name FROM chosen c JOIN paths p ON c.doc = p.doc AND c.code = p.code)"""
+
+
+@query(f"""WITH {_BLOCKS}, {_PATHS}, {_PAGES} SELECT code AS field_code, {_name('name', 'name')} AS field_name, nullif(invoice, '') AS invoice_path, nullif(credit_note, '') AS credit_note_path,
+  nullif(sample, '') AS sample, doc AS page_number, score FROM ({_sampled('pathed')})""")
 def fallback_fields(v):
-    pages = _cases(v, _PAGES, "page_number int, text string")
-    rules = _cases(v, [("BR-7", "BT-7"), ("BR-7", "BT-1"), ("BR-8", "BG-4"), ("BR-8", "BT-99")], "rule_code string, ref string")
-    found = extract.fallback_fields(pages, rules, _cases(v, [("BT-1",)], "field_code string"))
+    pages = v["spec_text"].select(F.col("doc").alias("page_number"), "text")
+    found = extract.fallback_fields(pages, v["rules"], v["pub_fields"])
     return found.select("field_code", "field_name", "invoice_path", "credit_note_path", "sample", "page_number", "score")
 
 
-SPECIFICATION = [
-    "BT-1 Invoice number ........ 12", "BT-1 Invoice number", "Business Rule", "BR-1 BT-1 must have a value. See BT-9", "and BT-3.", "Example of use:", "<cbc:ID>33445566</cbc:ID>", "maximum of 20 characters",
-    "HR-BT-5 Mark", "/Invoice/ext:Ext/hrextac:Wrong",
-]
-_DEFINED = [
-    ("BT-1", "Invoice number", "Identifier", 1, "1", "/Invoice/cbc:ID", "/CreditNote/cbc:ID", "33445566", None, 20, "A unique identification text tail grp Note a Remark: R1", "1,2"),
-    ("HR-BT-5", "Mark", "Code", 0, "n", "/Invoice/ext:Ext/hrextac:Wrong", None, None, None, None, "d", "2"),
-]
-_DEFINED_COLUMNS = ("field_code", "field_name", "data_type", "occurrence_min", "occurrence_max", "invoice_path", "credit_note_path", "sample", "min_char_length", "max_char_length", "notes", "pages")
+_DEFINED_COLUMNS = ("doc", "record", "field_code", "field_name", "data_type", "occurrence_min", "occurrence_max", "invoice_path", "credit_note_path", "sample", "min_char_length", "max_char_length", "min_decimal_scale", "max_decimal_scale", "notes", "pages")
+_WITH_TEXT = f"""
+  joined AS (SELECT r.*, r.field_code AS code, coalesce(trim(d.block), '') AS block, coalesce(nullif(p.invoice, ''), r.invoice_path) AS inv, coalesce(nullif(p.credit_note, ''), r.credit_note_path) AS cre, {_report('inv', 'cre')} AS path
+    FROM records r LEFT JOIN detail d ON r.doc = d.doc AND r.field_code = d.code LEFT JOIN paths p ON r.doc = p.doc AND r.field_code = p.code),
+  sampled AS ({_sampled('joined')}),
+  hinted AS (SELECT *, concat_ws(chr(10), nullif(note, ''), nullif(remark, ''), nullif(block, '')) AS hints FROM sampled),
+  limited AS ({limits_sql('hinted', 'hints')})"""
 
 
 def _extracted(v):
-    return extract.with_text(folds.table_records(table_rows(v)), lines(v, SPECIFICATION))
+    return extract.with_text(folds.table_records(v["spec_rows"]), spec_lines(v))
 
 
-@query(values_sql(_DEFINED, _DEFINED_COLUMNS).replace("NULL, 20", "NULL::INT, 20"))
+@query(f"""WITH {_RECORDS}, {_BLOCKS}, {_PATHS}, {_WITH_TEXT} SELECT doc, record, field_code, CASE WHEN contains(block, 'Example of use:') OR contains(block, 'Business Rule') THEN coalesce(nullif({_heading('block')}, ''), field_name) ELSE field_name END AS field_name,
+  nullif(data_type, '') AS data_type, CASE WHEN contains(cardinality, '..') THEN try_cast(split_part(cardinality, '..', 1) AS INT) END AS occurrence_min, CASE WHEN contains(cardinality, '..') THEN nullif(split_part(cardinality, '..', 2), '') END AS occurrence_max,
+  nullif({_repaired('inv', 'path', 'block')}, '') AS invoice_path, nullif({_repaired('cre', 'path', 'block')}, '') AS credit_note_path, nullif(sample, '') AS sample, {', '.join(f'try_cast({c} AS INT) AS {c}' for c in LIMITS)},
+  nullif(trim(concat_ws(' ', nullif(description, ''), nullif(note, ''), 'Remark: ' || nullif(remark, ''))), '') AS notes, array_to_string(list_slice(list_sort(list_distinct(pages)), 1, 3), ',') AS pages FROM limited""")
 def extract_fields(v):
-    found = extract.field_definitions(_extracted(v))
+    found = extract.field_definitions(_extracted(v)).withColumn("record", F.col("ord").cast("int"))
     return found.withColumn("pages", F.array_join(F.transform("evidence", lambda e: e["page_number"].cast("string")), ",")).select(*_DEFINED_COLUMNS)
 
 
-@query(values_sql([("BR-1", "presence", "BR-1 BT-1 must have a value. See BT-9 and BT-3.", "BT-1,BT-3,BT-9", "error")], ("rule_code", "rule_type", "expression_text", "refs", "severity")))
+_CLASSES = " ".join("WHEN " + " OR ".join([f"contains(lower(rule), '{m}')" for m in marks] + {"arithmetic": ["contains(rule, '=')"], "dependency": ["starts_with(lower(rule), 'if ')"]}.get(name, [])) + f" THEN '{name}'" for name, marks in t.RULE_CLASSES)
+
+
+@query(rf"""WITH {_RECORDS}, {_BLOCKS}, {_RULES}, coded AS (SELECT q.doc, record, pos, rule, regexp_extract(rule, '{_R}') AS rule_code FROM records r JOIN rules_of q ON r.doc = q.doc AND r.field_code = q.code)
+  SELECT doc, rule_code, CASE {_CLASSES} ELSE 'other' END AS rule_type, rule AS expression_text, array_to_string(list_sort(list_distinct(regexp_extract_all(rule, '{t.FIELD_REF}'))), ',') AS refs, 'error' AS severity
+  FROM coded WHERE rule_code <> '' QUALIFY row_number() OVER (PARTITION BY doc, rule_code ORDER BY record, pos) = 1""")
 def extract_rule_definitions(v):
-    return extract.rule_definitions(_extracted(v)).select("rule_code", "rule_type", "expression_text", F.array_join("refs", ",").alias("refs"), "severity")
+    return extract.rule_definitions(_extracted(v)).select("doc", "rule_code", "rule_type", "expression_text", F.array_join("refs", ",").alias("refs"), "severity")

@@ -8,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexledger.operators import diff, enrich, folds, review
-from lexledger.plans import registry, structure, versioning
+from lexledger.plans import registry, versioning
 from lexledger.plans.adapters import TABLES, Views
 from lexledger.sources import bundles, exports, pages
 from lexledger.sources.store import Store
 from lexledger.streaming import ingest, metrics
+from tests import test_structure as structure
 
 SF = "/root/testdata/sf0.001"
 
