@@ -6,6 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Height of the tree of days: 2 ** HEIGHT days hold the years 1 to 9999, the range of a Spark date.
+HEIGHT = 22
+
+#: Days from the first one of the year 1 to 1970.
+DAY_ONE = 719162
+
+
 def first_of(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key. The planner drops later rows before the shuffle as well."""
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_r = 1").drop("_r")
@@ -21,11 +28,34 @@ def by_label(versions: DataFrame, label: str) -> DataFrame:
     return first_of(versions.where(F.col("version_label") == label), ["jurisdiction", "tax_domain"], F.desc("created_at"), F.desc("document_version_id"))
 
 
+def _leaf(day: str) -> Column:
+    return F.unix_date(F.col(day).cast("date")).cast("long") + DAY_ONE + 2**HEIGHT
+
+
 def in_force(versions: DataFrame, dates: DataFrame) -> DataFrame:
-    """For each (jurisdiction, tax_domain, on_date) the published version whose period holds the date, the latest start first."""
-    v = versions.where("status = 'published' AND effective_from IS NOT NULL")
-    held = dates.join(v, ["jurisdiction", "tax_domain"]).where("effective_from <= on_date AND (effective_to IS NULL OR on_date <= effective_to)")
-    return first_of(held, ["jurisdiction", "tax_domain", "on_date"], F.desc("effective_from"), F.desc("document_version_id"))
+    """For each (jurisdiction, tax_domain, on_date) the published version whose period holds the date: its id and
+    effective_from, the latest start first, then the largest id. Periods are of whole days; one that ends before it
+    starts holds none.
+
+    Days are the leaves of a binary tree. A period is cut into at most two nodes a level and each node keeps its best
+    version, so a date looks into HEIGHT + 1 nodes, however many versions its domain has.
+    """
+    keys = ["jurisdiction", "tax_domain"]
+    some = versions.where("status = 'published' AND effective_from IS NOT NULL")
+    low, high = _leaf("effective_from"), F.coalesce(_leaf("effective_to") + 1, F.lit(2 ** (HEIGHT + 1)))
+    nodes = F.expr(
+        f"""filter(flatten(transform(transform(sequence(0, {HEIGHT}),
+              k -> struct(shiftright(low + shiftleft(1L, k) - 1, k) AS l, shiftright(high, k) AS r)),
+              x -> array(CASE WHEN x.l < x.r AND x.l % 2 = 1 THEN x.l END, CASE WHEN x.l < x.r AND x.r % 2 = 1 THEN x.r - 1 END))),
+              n -> n IS NOT NULL)"""
+    )
+    best = F.max(F.struct("effective_from", "document_version_id")).alias("best")
+    cut = some.select(*keys, "effective_from", "document_version_id", low.alias("low"), high.alias("high"))
+    cut = cut.select(*keys, "effective_from", "document_version_id", F.explode(nodes).alias("node"))
+    above = F.array(*(F.shiftright(_leaf("on_date"), level) for level in range(HEIGHT + 1)))
+    asked = dates.where("on_date IS NOT NULL").select(*keys, "on_date", F.explode(above).alias("node"))
+    held = asked.join(cut.groupBy(*keys, "node").agg(best), [*keys, "node"])
+    return held.groupBy(*keys, "on_date").agg(F.max("best").alias("best")).select(*keys, "on_date", "best.*")
 
 
 def artifact_map(artifacts: DataFrame) -> DataFrame:

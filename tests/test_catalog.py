@@ -1,13 +1,15 @@
 """Every catalog query against DuckDB, and the behaviour that SQL does not show."""
 
+import datetime
 import json
 import math
+import random
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from lexledger.operators import diff, enrich, folds, review
+from lexledger.operators import diff, enrich, folds, review, versions
 from lexledger.plans import registry, versioning
 from lexledger.plans.adapters import TABLES, Views
 from lexledger.sources import bundles, exports, pages
@@ -189,6 +191,29 @@ def test_pages_of_codes_equal_brute_force(spark):
     assert got == {c: [k for k, t in enumerate(texts, 1) if c in (t or "")] or [1] for c in codes}
 
 
+def test_version_in_force_equals_brute_force(spark):
+    day = lambda n: datetime.date(2020, 1, 1) + datetime.timedelta(n)
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        start = rng.choice([None, *range(0, 90, 3)])
+        end = rng.choice([None, -5, 0, 1, 2, 30, 1000])
+        rows.append((i, rng.choice([1, 1, 1, 2, None]), "a", rng.choice(["published", "published", "draft"]), start, None if None in (start, end) else start + end))
+    given = [(1, datetime.date(1, 1, 1), None), (1, day(0), day(0)), (2, None, day(4)), (2, datetime.date(9999, 12, 31), None)]
+    table = [(i, j, d, s, day(a) if a is not None else None, day(b) if b is not None else None) for i, j, d, s, a, b in rows]
+    table += [(1000 + i, j, "a", "published", a, b) for i, (j, a, b) in enumerate(given)]
+    asked = [(j, "a", d) for j in (1, 2, 3) for d in [None, datetime.date(1, 1, 1), datetime.date(9999, 12, 31), *map(day, range(-3, 130))]]
+    schema = "document_version_id int, jurisdiction int, tax_domain string, status string, effective_from date, effective_to date"
+    got = versions.in_force(spark.createDataFrame(table, schema), spark.createDataFrame(asked + asked[:40], "jurisdiction int, tax_domain string, on_date date"))
+    want = {}
+    for j, d, on in asked:
+        held = [(a, i) for i, k, e, s, a, b in table if on and (k, e, s) == (j, d, "published") and a and a <= on and (b is None or on <= b)]
+        if held:
+            want[j, d, on] = max(held)
+    assert {(r[0], r[1], r[2]): (r[3], r[4]) for r in got.collect()} == want and got.count() == len(want)
+    assert versions.in_force(spark.createDataFrame([], schema), spark.createDataFrame(asked, "jurisdiction int, tax_domain string, on_date date")).count() == 0
+
+
 def test_all_six_checks(spark):
     from lexledger.operators import validate
 
