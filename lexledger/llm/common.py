@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,16 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders of local sessions without the setting, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A folder of this application below the one that all executors share, spark.checkpoint.dir; it can be deleted
     when the application has ended. Where the setting is missing, a local master (as in tests) gets a folder of its
-    own, a cluster an error, as it has no folder that survives a lost executor."""
+    own, a cluster an error, as it has no folder that survives a lost executor. No setting is changed."""
     where = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not where:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set")
-        where = tempfile.mkdtemp(prefix="lexledger-")
-        spark.sparkContext.setCheckpointDir(where)
+        app = spark.sparkContext.applicationId
+        where = _LOCAL[app] = _LOCAL.get(app) or tempfile.mkdtemp(prefix="lexledger-")
     return f"{where.rstrip('/')}/lexledger-{spark.sparkContext.applicationId}"
 
 
@@ -94,25 +98,33 @@ def attached(pairs: DataFrame, rows: DataFrame, side: DataFrame, key: str, other
     return left.join(right, (F.col(key) == F.col("id")) & (F.col("group") == F.col("g"))).drop("id", "group", "g")
 
 
+def column(name: str) -> Column:
+    """The column of this very name, whatever characters are in it."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def keeping(docs: DataFrame, added: tuple[str, ...], apply: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """apply(docs) with docs' columns only, those included that have the names of columns that apply adds."""
+    """apply(docs) with docs' columns only, those included that have the names of columns that apply adds. Names that
+    Python functions on DataFrames can't take (with dots or backticks) are replaced meanwhile."""
     taken = {c.lower() for c in docs.columns} | set(added)
     own = {}
     for c in docs.columns:
-        if c.lower() in added:
-            own[c] = next(x for k in range(len(taken) + 1) if (x := f"own_{c}_{k}").lower() not in taken)
+        if c.lower() in added or "`" in c or "." in c:
+            plain = c.replace("`", "_").replace(".", "_")
+            own[c] = next(x for k in range(len(taken) + 1) if (x := f"own_{plain}_{k}").lower() not in taken)
+            taken.add(own[c].lower())
     out = apply(docs.withColumnsRenamed(own))
-    return out.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])
+    return out.select(*[column(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def row_of(docs: DataFrame):
     """All columns of docs as one struct, in which names clash with nothing."""
-    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])
+    return F.struct(*[column(c) for c in docs.columns])
 
 
 def row_hash(docs: DataFrame):
     """A 64-bit hash of all columns, of maps and other unhashable ones by their JSON: an order that holds on every run."""
-    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema])
+    return F.xxhash64(*[F.to_json(F.struct(column(f.name))) if "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() else column(f.name) for f in docs.schema])
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -30,23 +30,33 @@ def log_factorial(n: Column) -> Column:
     return n * F.log(n) - n + 0.5 * F.log(2 * F.pi() * n) + 1 / (12 * n) - 1 / (360 * n**3) + 1 / (1260 * n**5)
 
 
-def rates(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, temperature: float = TEMPERATURE) -> DataFrame:
+def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, epochs: float = 1.0, temperature: float = TEMPERATURE) -> DataFrame:
     """(source, chars, rate, low, cdf): a row per source. cdf: the Poisson distribution function from ``low`` on, where
     that lies so far below the rate that what is left out has no weight in a double; its length grows with the root
     of the rate.
 
     Explicit weights need not sum to 1; sources missing from them get none of the mixture. Null is a source of its
-    own. A source without characters gets rate 1.
+    own, with None as its key, and so is the empty string. A source without characters has no share of the mixture; it
+    gets rate 1 unless weights leave it out. Weights that are negative, or that give a corpus with characters none of
+    them, are an error.
     """
+    if weights is not None and (min(weights.values(), default=0.0) < 0 or not any(weights.values())):
+        raise ValueError("weights must not be negative, and one of them must be more than 0")
     chars = docs.groupBy("source").agg(F.sum(F.length(F.coalesce("text", F.lit(""))).cast("double")).alias("chars"))
     if weights is None:
-        weight = F.pow(F.col("chars"), F.lit(temperature))
+        weight, listed = F.pow(F.col("chars"), F.lit(temperature)), F.lit(True)
     else:
-        weight = F.coalesce(F.element_at(F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))]), F.coalesce("source", F.lit(""))), F.lit(0.0))
-    shares = written(chars.withColumn("weight", weight), "source-sizes")
+        named = [x for k, v in weights.items() if k is not None for x in (F.lit(k), F.lit(float(v)))]
+        given = F.try_element_at(F.create_map(*named), F.col("source")) if named else F.lit(None).cast("double")
+        given = F.when(F.col("source").isNull(), F.lit(weights.get(None))).otherwise(given).cast("double")
+        weight, listed = F.when(F.col("chars") == 0, 0.0).otherwise(F.coalesce(given, F.lit(0.0))), given.isNotNull()
+    shares = written(chars.withColumns({"weight": weight, "listed": listed}), "source-sizes")
     total = shares.agg(F.sum("chars").alias("chars"), F.sum("weight").alias("weight")).first()
+    if total["chars"] and not total["weight"]:
+        raise ValueError("no source with characters has a weight")
     per_weight = epochs * (total["chars"] or 0.0) / (total["weight"] or 1.0)
-    out = shares.select("source", "chars", F.when(F.col("chars") == 0, 1.0).otherwise(F.lit(per_weight) * F.col("weight") / F.col("chars")).alias("rate"))
+    bare = F.when(F.col("listed"), 1.0).otherwise(0.0)
+    out = shares.select("source", "chars", F.when(F.col("chars") == 0, bare).otherwise(F.lit(per_weight) * F.col("weight") / F.col("chars")).alias("rate"))
     rate, reach = F.col("rate"), 12 * F.sqrt("rate") + 20
     out = out.withColumn("low", F.when(rate - reach < STIRLING_FROM, F.lit(0)).otherwise(F.floor(rate - reach)).cast("int"))
     low = F.col("low").cast("double")
@@ -61,7 +71,7 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, epochs: floa
     return out.withColumn("cdf", F.aggregate(F.sequence(F.col("low") + 1, top), start, step)["cdf"])
 
 
-def replicated(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, temperature: float = TEMPERATURE, seed: str = SEED) -> DataFrame:
+def replicated(docs: DataFrame, weights: dict[str | None, float] | None = None, epochs: float = 1.0, temperature: float = TEMPERATURE, seed: str = SEED) -> DataFrame:
     """(row, copy, shuffle_key): each row of docs, as a struct, as often as it is drawn; in random order within and
     over partitions."""
     spark = docs.sparkSession
@@ -77,7 +87,7 @@ def replicated(docs: DataFrame, weights: dict[str, float] | None = None, epochs:
     return out.repartitionById(n, F.least(slot, F.lit(n - 1))).sortWithinPartitions("shuffle_key")
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, temperature: float = TEMPERATURE, seed: str = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, epochs: float = 1.0, temperature: float = TEMPERATURE, seed: str = SEED) -> DataFrame:
     """The mixture: docs' columns plus ``copy`` (from 1) and ``shuffle_key``, in random order within and over partitions.
 
     Rows with equal doc_id (or, where that is null, equal text) draw the same number. Null text is kept and weighs

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexledger.llm.common import partitions, written
+from lexledger.llm.common import partitions, shared_dir, written
 
 WINDOW = 200
 #: A perfect difference set: every residue mod V is a difference of two of D (checked in tests).
@@ -327,7 +327,10 @@ def repeated_bytes(docs: DataFrame, with_text: bool = False) -> DataFrame:
     buckets = max(1, math.ceil(math.log2(max(2 * n, 8 * samples / BUCKET_BYTES))))
     bits = min(64, max(buckets + 8, math.ceil(math.log2(samples)) + 10))
     blocks = max(1, math.ceil(total / min(BLOCK_BYTES_MOST, max(BLOCK_BYTES, (8 << 10) << buckets))))
-    name = f"lexledger_blocks_{uuid.uuid4().hex}"
+    # the bucketed table of blocks is in a database of its own, whose place is the shared folder
+    database = f"lexledger_{uuid.uuid4().hex}"
+    name = f"{database}.blocks"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_dir(spark)}/{database}'")
     try:
         _deal(docs, blocks, n, name)
         copied = written(_copies(spark.table(name)), "copies")
@@ -337,7 +340,7 @@ def repeated_bytes(docs: DataFrame, with_text: bool = False) -> DataFrame:
                 return found
         raise RuntimeError("different strings have had equal keys in every run")
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def _deal(docs: DataFrame, blocks: int, n: int, name: str) -> None:

@@ -215,6 +215,18 @@ def test_large_means_equal_sql(spark):
     assert got == want
 
 
+def test_mixing_weights(spark):
+    rows = [(k, "abcd", "en", source, 4) for k, source in enumerate([None, None, "", "", "a", "b", "b", "b"])] + [(9, "", "en", "bare", 0), (10, None, "en", "listed", 0)]
+    docs = spark.createDataFrame(rows, DOC)
+    found = {r.source: r.rate for r in mixing.rates(docs, {None: 3.0, "": 1.0, "a": 4.0, "gone": 9.0, "listed": 5.0}).collect()}
+    assert found == {None: 3 / 8 * 32 / 8, "": 1 / 8 * 32 / 8, "a": 4 / 8 * 32 / 4, "b": 0.0, "bare": 0.0, "listed": 1.0}
+    assert {r.source for r in mixing.mix(docs, {None: 1.0}, epochs=4.0).collect()} == {None}
+    for bad in ({}, {"a": 0.0}, {"a": -1.0, "b": 2.0}, {"gone": 1.0}, {"bare": 1.0}):
+        with pytest.raises(ValueError, match="weight"):
+            mixing.rates(docs, bad)
+    assert mixing.mix(docs.limit(0), {"a": 1.0}).count() == 0
+
+
 def test_mixing_carries_clashing_columns(spark):
     names = ("_source", "_parts", "_cdf", "_n", "_u", "_key", "row", "of", "low", "cdf", "n", "u", "key")
     df = spark.createDataFrame([(1, "abc", "s", *names), (2, "abcd", "t", *names)], f"doc_id long, text string, source string, {', '.join(f'{c} string' for c in names)}")

@@ -69,7 +69,7 @@ def test_whole_run_and_empty_table(spark, tmp_path):
 
 
 def test_clashing_columns_keep_their_values(spark):
-    names = ("score", "lang_pred", "n_bytes", "n_removed", "n_spans", "kept_sha256", "Spans", "copy", "shuffle_key", "_h", "_source", "row", "own_score_0")
+    names = ("score", "lang_pred", "n_bytes", "n_removed", "n_spans", "kept_sha256", "Spans", "copy", "shuffle_key", "_h", "_source", "row", "own_score_0", "back`tick", "a.b", "Back``Tick ")
     docs = documents(spark)
     for c in names:
         docs = docs.withColumn(c, F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")))
@@ -78,3 +78,9 @@ def test_clashing_columns_keep_their_values(spark):
         assert got.columns == docs.columns, name
         rows = got.collect()
         assert rows and all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in names), name
+
+
+def test_blocks_are_written_to_the_shared_folder(spark):
+    before = {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
+    assert corpus_pipeline.suffix_dedup(spark, documents(spark), "").count() > 0
+    assert {r.namespace for r in spark.sql("SHOW DATABASES").collect()} == before  # dropped, and its tables with it
