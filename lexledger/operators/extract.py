@@ -45,10 +45,14 @@ def with_text(records: DataFrame, lines: DataFrame, doc: str = "doc") -> DataFra
     return found.drop("_path", "_report", "table_block")
 
 
+def table_evidence(pages: Column, quote: Column) -> Column:
+    """The quote, cited from at most three pages."""
+    return F.transform(numbers.first_pages(pages), lambda p: F.struct(p.alias("page_number"), F.lit("table").alias("source_kind"), quote.alias("quote_text")))
+
+
 def field_definitions(records: DataFrame) -> DataFrame:
     """Definitions: empty text becomes null, the cardinality is split, evidence quotes at most three pages."""
-    quote = t.quote(F.col("detail"), F.col("description"), F.col("field_name"))
-    evidence = F.transform(numbers.first_pages(F.col("pages")), lambda p: F.struct(p.alias("page_number"), F.lit("table").alias("source_kind"), quote.alias("quote_text")))
+    evidence = table_evidence(F.col("pages"), t.quote(F.col("detail"), F.col("description"), F.col("field_name")))
     return records.select(
         "doc", "field_code", "field_name", F.lit("atomic").alias("field_kind"), *[t.or_null(F.col(c)).alias(c) for c in ("description", "data_type", "invoice_path", "credit_note_path", "remark", "sample", "notes")],
         numbers.cardinality_min(F.col("cardinality")).alias("occurrence_min"), numbers.cardinality_max(F.col("cardinality")).alias("occurrence_max"),
@@ -58,10 +62,11 @@ def field_definitions(records: DataFrame) -> DataFrame:
 
 
 def rule_definitions(records: DataFrame) -> DataFrame:
-    """Rules with a code, each code once: the first of a document's records and rules."""
-    each = records.select("doc", "record", F.posexplode("rules").alias("pos", "expression_text")).withColumn("rule_code", t.rule_code(F.col("expression_text"))).where("rule_code <> ''")
+    """Rules with a code, each code once: the first of a document's records and rules. A rule is quoted from its record's
+    pages."""
+    each = records.select("doc", "record", "pages", F.posexplode("rules").alias("pos", "expression_text")).withColumn("rule_code", t.rule_code(F.col("expression_text"))).where("rule_code <> ''")
     first = first_of(each, ["doc", "rule_code"], F.col("record"), F.col("pos"))
-    return first.select("doc", "rule_code", t.classify_rule(F.col("expression_text")).alias("rule_type"), "expression_text", t.field_refs(F.col("expression_text")).alias("refs"), F.lit("error").alias("severity"), F.lit(RULE_CONFIDENCE).alias("confidence"))
+    return first.select("doc", "rule_code", t.classify_rule(F.col("expression_text")).alias("rule_type"), "expression_text", t.field_refs(F.col("expression_text")).alias("refs"), F.lit("error").alias("severity"), F.lit("explicit").alias("origin"), F.lit(RULE_CONFIDENCE).alias("confidence"), table_evidence(F.col("pages"), F.left(t.squash(F.col("expression_text")), F.lit(280))).alias("evidence"))
 
 
 def fallback_fields(pages: DataFrame, rules: DataFrame, fields: DataFrame) -> DataFrame:

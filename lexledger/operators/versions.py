@@ -119,22 +119,40 @@ def missing_references(rules: DataFrame, fields: DataFrame) -> DataFrame:
     return refs.join(fields.select(F.col("field_code").alias("ref")), "ref", "left_anti").select(F.col("ref").alias("field_code"))
 
 
-def code_lists(refs: DataFrame) -> DataFrame:
-    """(code_list_name, code, label, position): entries of each reference, a code's first label wins, in first-seen order.
+def code_lists(refs: DataFrame, *keys: str) -> DataFrame:
+    """(keys, code_list_name, code, label, position): entries of each reference, a code's first label wins, in first-seen
+    order.
 
-    refs: record_ord, pos, ref. Every reference name of a record gets all other values of that record as entries.
+    refs: keys, record_ord, pos, ref. Every reference name of a record gets all other values of that record as entries.
     """
     from lexledger.functions import text as t
 
-    named = refs.where(t.is_reference_name(F.col("ref"))).select("record_ord", F.col("ref").alias("code_list_name")).distinct()
-    entries = refs.where(~t.is_reference_name(F.col("ref"))).select("record_ord", "pos", t.entry_code(F.col("ref")).alias("code"), t.entry_label(F.col("ref")).alias("label")).where("code <> ''")
-    first = first_of(named.join(entries, "record_ord"), ["code_list_name", "code"], F.col("record_ord"), F.col("pos"))
-    return first.select("code_list_name", "code", "label", F.row_number().over(Window.partitionBy("code_list_name").orderBy("record_ord", "pos")).alias("position"))
+    keys = list(keys)
+    named = refs.where(t.is_reference_name(F.col("ref"))).select(*keys, "record_ord", F.col("ref").alias("code_list_name")).distinct()
+    entries = refs.where(~t.is_reference_name(F.col("ref"))).select(*keys, "record_ord", "pos", t.entry_code(F.col("ref")).alias("code"), t.entry_label(F.col("ref")).alias("label")).where("code <> ''")
+    first = first_of(named.join(entries, [*keys, "record_ord"]), [*keys, "code_list_name", "code"], F.col("record_ord"), F.col("pos"))
+    return first.select(*keys, "code_list_name", "code", "label", F.row_number().over(Window.partitionBy(*keys, "code_list_name").orderBy("record_ord", "pos")).alias("position"))
 
 
-def path_rows(fields: DataFrame) -> DataFrame:
-    """(field_code, remark, doc_kind, path_text): a row for each path that is not empty."""
-    each = fields.select("field_code", "remark", F.expr("stack(2, 'invoice', invoice_path, 'credit_note', credit_note_path) AS (doc_kind, path_text)"))
+def code_list_definitions(fields: DataFrame, *keys: str) -> DataFrame:
+    """(keys, code_list_name, entries, origin, confidence, evidence) of all lists that fields' value sets name, those
+    without entries included. The evidence is that of the first field that names the list.
+
+    fields: keys, ord, value_set_refs, evidence.
+    """
+    from lexledger.functions import text as t
+
+    keys = list(keys)
+    refs = fields.select(*keys, F.col("ord").alias("record_ord"), F.posexplode("value_set_refs").alias("pos", "ref"))
+    entries = code_lists(refs, *keys).withColumn("description", F.lit(None).cast("string"))
+    named = fields.select(*keys, "ord", "evidence", F.posexplode("value_set_refs").alias("pos", "code_list_name")).where(t.is_reference_name(F.col("code_list_name")))
+    first = first_of(named, [*keys, "code_list_name"], F.col("ord"), F.col("pos")).select(*keys, "code_list_name", "evidence", F.lit("explicit").alias("origin"), F.lit(0.9).alias("confidence"))
+    return with_entries(first, entries, *keys)
+
+
+def path_rows(fields: DataFrame, *keys: str) -> DataFrame:
+    """(keys, field_code, remark, doc_kind, path_text): a row for each path that is not empty."""
+    each = fields.select(*keys, "field_code", "remark", F.expr("stack(2, 'invoice', invoice_path, 'credit_note', credit_note_path) AS (doc_kind, path_text)"))
     return each.where("path_text IS NOT NULL AND path_text <> ''")
 
 
@@ -180,19 +198,24 @@ def decisions_of(diffs: DataFrame, version_ids: DataFrame, reviewer: str, commen
     return some.select("diff_id", F.col("candidate_version_id").alias("document_version_id"), F.lit("approve").alias("decision"), F.lit(reviewer).alias("reviewer"), F.lit(comment).alias("comment"))
 
 
-def nested_rules(rules: DataFrame, refs: DataFrame, citations: DataFrame, *keys: str) -> DataFrame:
-    """Rules with their sorted references and their evidence in (page, id) order."""
+def with_references(rules: DataFrame, refs: DataFrame, *keys: str) -> DataFrame:
+    """Rules with their sorted references."""
     keys = (*keys, "rule_code")
     r = refs.groupBy(*keys).agg(F.array_sort(F.collect_set("ref")).alias("refs"))
-    e = citations.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("page_number", "id", "source_kind", "quote_text"))).alias("evidence"))
-    empty = F.array().cast("array<string>")
-    return rules.join(r, list(keys), "left").join(e, list(keys), "left").withColumn("refs", F.coalesce("refs", empty))
+    return rules.join(r, list(keys), "left").withColumn("refs", F.coalesce("refs", F.array().cast("array<string>")))
+
+
+def nested_rules(rules: DataFrame, refs: DataFrame, citations: DataFrame, *keys: str) -> DataFrame:
+    """Rules with their sorted references and their evidence in (page, id) order."""
+    e = citations.groupBy(*keys, "rule_code").agg(F.array_sort(F.collect_list(F.struct("page_number", "id", "source_kind", "quote_text"))).alias("evidence"))
+    return with_references(rules, refs, *keys).join(e, [*keys, "rule_code"], "left")
 
 
-def nested_code_lists(lists: DataFrame, entries: DataFrame, *keys: str) -> DataFrame:
+def with_entries(lists: DataFrame, entries: DataFrame, *keys: str) -> DataFrame:
     """Code lists with their entries by position; a list without entries has none."""
     keys = (*keys, "code_list_name")
-    e = entries.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("position", "code", "label"))).alias("entries"))
+    said = [c for c in ("position", "code", "label", "description") if c in entries.columns]
+    e = entries.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*said))).alias("entries"))
     return lists.join(e, list(keys), "left").withColumn("entries", F.coalesce("entries", F.array().cast(e.schema["entries"].dataType)))
 
 

@@ -41,7 +41,7 @@ VIEWS = {
         FROM {orders}""",
     "evidence": """
         SELECT DISTINCT concat('BT-', l_partkey) AS field_code, l_linenumber AS page_number, l_orderkey AS id, l_returnflag AS source_kind, l_linestatus AS quote_text
-        FROM {lineitem} WHERE l_returnflag <> 'N'""",
+        FROM {lineitem} WHERE l_returnflag = 'R' AND l_quantity > 45""",
     "rule_evidence": """
         SELECT DISTINCT concat('BR-', l_orderkey) AS rule_code, l_linenumber AS page_number, l_partkey AS id, l_returnflag AS source_kind, l_linestatus AS quote_text
         FROM {lineitem} WHERE l_returnflag <> 'N'""",
@@ -72,7 +72,7 @@ VIEWS = {
             ' de ', concat(chr(10), 'Business Rule', chr(10), 'BR-', doc_id % 7, ' BT-5 must have ')), ' the ', concat(chr(10), 'Business Rule', chr(10), 'HR-BR-', doc_id % 7, ' total = BT-8 ')),
             ' la ', concat(chr(10), 'Example of use:', chr(10), '<cbc:ID> ', doc_id, ' </cbc:ID><hrextac:Right>', doc_id, '</hrextac:Right>', chr(10))), ' and ', concat(chr(10), 'Example of use:', chr(10), '<cbc:Name>', source, '</cbc:Name>', chr(10), '17', chr(10))),
             ' le ', concat(chr(10), '/Invoice/cac:A/', chr(10), 'cbc:ID', chr(10))), ' of ', concat(chr(10), '/CreditNote/cbc:', chr(10), 'Name', chr(10), 'maximum of 20 characters ')),
-            ' in ', concat(chr(10), 'BT-2 ')), ' und ', concat(chr(10), '380 - Commercial', chr(10), '• two', chr(10), 'HR-BT-5', chr(10)))) AS text
+            ' in ', concat(chr(10), 'BT-2 ')), ' und ', concat(chr(10), 'HR-BT-5 Mark', chr(10), '380 - Commercial', chr(10), doc_id % 5, ' - Kind of ', source, chr(10), '• two', chr(10), 'HR-BT-5', chr(10)))) AS text
         FROM {documents}""",
     "spec_rows": """
         SELECT doc_id AS doc, 1 AS page, 1 AS table_no, 1 AS row_no, 'ID' AS c0, 'Business term' AS c1, 'Description' AS c2, 'Note on use' AS c3, 'Type' AS c4, 'Card.' AS c5 FROM {documents}

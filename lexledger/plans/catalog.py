@@ -8,7 +8,7 @@ from lexledger.operators import diff, profiles, review, validate, versions
 from lexledger.operators.lineage import settled
 from lexledger.plans.registering import registrar
 
-QUERIES, ORACLES, query = registrar()
+QUERIES, ORACLES, query, _ = registrar()
 
 _PAIRS = """
   c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY field_code ORDER BY ord DESC) AS rn FROM {%s}) WHERE rn = 1),

@@ -8,7 +8,7 @@ from lexledger.functions import numbers
 from lexledger.functions import text as t
 from lexledger.plans.registering import registrar
 
-QUERIES, ORACLES, query = registrar()
+QUERIES, ORACLES, query, _ = registrar()
 
 
 @query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS squashed FROM documents")

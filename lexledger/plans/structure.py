@@ -3,14 +3,18 @@ spec_rows); the SQL works on windows of lines where the operators fold."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lexledger.functions import text as t
-from lexledger.operators import extract, folds
+from lexledger.operators import extract, folds, versions
+from lexledger.operators.lineage import settled, shared_folder
 from lexledger.plans.registering import registrar
 from lexledger.plans.scalars import LIMITS, limits_sql
+from lexledger.sources.store import Store, rows_of
 
-QUERIES, ORACLES, query = registrar()
+QUERIES, ORACLES, query, SOURCES = registrar()
 
 _H, _R = t.HEADING, t.RULE
 
@@ -164,9 +168,14 @@ _LISTED = rf"list_transform(list_filter(list_transform(string_split(block, chr(1
 _KNOWN = ", ".join(f"CASE WHEN contains(low, '{r.lower()}') THEN '{r}' END" for r in t.REFERENCES)
 
 
-@query(f"""SELECT doc, array_to_string(list_filter(every, lambda x, k: list_position(every, x) = k), '; ') AS value_set FROM (
-  SELECT doc, list_filter(list_concat([CASE WHEN contains(low, 'true | false') OR starts_with(lower(data_type), 'boolean') THEN 'true|false' END, {_KNOWN}], {_LISTED}, [CASE WHEN remark <> '' THEN concat('Remark: ', {_squash('remark')}) END]), lambda x: x IS NOT NULL AND x <> '') AS every
-  FROM (SELECT *, lower(concat_ws(chr(10), note, remark, block, data_type)) AS low FROM ({_SET_SOURCES})))""")
+def _valued(source: str) -> str:
+    """source (with note, remark, block and data_type) plus its value_set."""
+    return f"""SELECT * EXCLUDE (every, low), array_to_string(list_filter(every, lambda x, k: list_position(every, x) = k), '; ') AS value_set FROM (
+  SELECT *, list_filter(list_concat([CASE WHEN contains(low, 'true | false') OR starts_with(lower(data_type), 'boolean') THEN 'true|false' END, {_KNOWN}], {_LISTED}, [CASE WHEN remark <> '' THEN concat('Remark: ', {_squash('remark')}) END]), lambda x: x IS NOT NULL AND x <> '') AS every
+  FROM (SELECT *, lower(concat_ws(chr(10), note, remark, block, data_type)) AS low FROM {source}))"""
+
+
+@query(f"SELECT doc, value_set FROM ({_valued(f'({_SET_SOURCES})')})")
 def value_set(v):
     return v.spark.sql(_SET_SOURCES, spec_text=v["spec_text"]).select("doc", t.value_set(F.col("note"), F.col("remark"), F.col("block"), F.col("data_type")).alias("value_set"))
 
@@ -252,3 +261,64 @@ _CLASSES = " ".join("WHEN " + " OR ".join([f"contains(lower(rule), '{m}')" for m
   FROM coded WHERE rule_code <> '' QUALIFY row_number() OVER (PARTITION BY doc, rule_code ORDER BY record, pos) = 1""")
 def extract_rule_definitions(v):
     return extract.rule_definitions(_extracted(v)).select("doc", "rule_code", "rule_type", "expression_text", F.array_join("refs", ",").alias("refs"), "severity")
+
+
+#: Catalogs: the specifications of a source together, a version for each source; of a code's definitions the last counts.
+_CATALOGS = "SELECT DISTINCT source, dense_rank() OVER (ORDER BY source) AS document_version_id FROM {documents}"
+_OF_DOC = f"SELECT doc_id AS doc, CAST(document_version_id AS BIGINT) AS document_version_id FROM {{documents}} d JOIN ({_CATALOGS}) s ON d.source = s.source"
+_KEPT = "QUALIFY row_number() OVER (PARTITION BY document_version_id, field_code ORDER BY doc DESC, record DESC) = 1"
+
+
+def _catalog(v) -> tuple:
+    """(ids, fields, rules, code lists) of all catalogs, each row with its document_version_id."""
+    of_doc = v.spark.sql(_OF_DOC, documents=v["documents"])
+    records = settled(_extracted(v).join(of_doc, "doc"))
+    place = F.col("doc").cast("bigint") * F.lit(1 << 24) + F.col("record")  # a document has fewer records than that
+    found = extract.field_definitions(records).join(of_doc, "doc").withColumn("record", F.col("ord"))
+    fields = settled(found.withColumn("ord", place))
+    rules = extract.rule_definitions(records).join(of_doc, "doc")
+    lists = versions.code_list_definitions(fields, "document_version_id")
+    return of_doc.select("document_version_id").distinct(), fields, rules, lists
+
+
+def _stored(v, *tables: str) -> dict:
+    """The catalogs after they have been stored and loaded: what went through the named tables."""
+    ids, fields, rules, lists = _catalog(v)
+    store = Store(v.spark, f"{shared_folder(v.spark)}/catalogs-{uuid.uuid4().hex}")
+    rows = rows_of(fields, rules, lists, "document_version_id")
+    store.save_snapshots(ids, {name: rows[name] for name in tables})
+    return store.load_snapshots()
+
+
+_FIELD_COLUMNS = tuple(c for c in _DEFINED_COLUMNS if c not in ("doc", "record", "pages"))
+
+
+@query(f"""SELECT document_version_id, {', '.join(_FIELD_COLUMNS)}, pages FROM ({SOURCES["extract_fields"]}) f JOIN ({_OF_DOC}) USING (doc) {_KEPT}""")
+def stored_fields(v):
+    """Fields of all catalogs as the store gives them back, paths and evidence with them."""
+    got = _stored(v, "field", "path", "citation")["fields"]
+    pages = F.array_join(F.transform("evidence", lambda e: e["page_number"].cast("string")), ",")
+    return got.select("document_version_id", *_FIELD_COLUMNS, pages.alias("pages"))
+
+
+@query(f"""SELECT document_version_id, rule_code, rule_type, expression_text, concat('{{"referenced_fields":', CASE WHEN refs = '' THEN '[]' ELSE concat('["', replace(refs, ',', '","'), '"]') END, '}}') AS normalized_expression, severity,
+    coalesce((SELECT string_agg(DISTINCT field_code, ',' ORDER BY field_code) FROM ({SOURCES["extract_fields"]}) f JOIN ({_OF_DOC}) o ON f.doc = o.doc WHERE o.document_version_id = r.document_version_id AND list_contains(string_split(r.refs, ','), field_code)), '') AS refs
+  FROM (SELECT * FROM ({SOURCES["extract_rule_definitions"]}) x JOIN ({_OF_DOC}) USING (doc) QUALIFY row_number() OVER (PARTITION BY document_version_id, rule_code ORDER BY expression_text) = 1) r""")
+def stored_rules(v):
+    """Rules of all catalogs as the store gives them back, with references to fields that their catalog knows."""
+    got = _stored(v, "rule", "rule_link", "rule_citation")["rules"]
+    return got.select("document_version_id", "rule_code", "rule_type", "expression_text", "normalized_expression", "severity", F.array_join("refs", ",").alias("refs"))
+
+
+@query(rf"""WITH {_RECORDS}, {_BLOCKS}, {_PATHS}, {_WITH_TEXT}, valued AS ({_valued('hinted')}),
+  refs AS (SELECT document_version_id, doc, record, unnest(generate_series(1, len(parts))) AS pos, unnest(parts) AS ref
+    FROM (SELECT document_version_id, doc, record, list_filter(list_transform(string_split(value_set, ';'), lambda x: {_strip('x')}), lambda x: x <> '' AND NOT starts_with(x, 'Remark:')) AS parts FROM valued JOIN ({_OF_DOC}) USING (doc))),
+  named AS (SELECT DISTINCT document_version_id, doc, record, ref AS code_list_name FROM refs WHERE regexp_matches(ref, '{t.REFERENCE_NAME}')),
+  entries AS (SELECT *, trim(regexp_extract(ref, '^([^-–]+?)\s*[–-]\s*(.+)$', 1)) AS code, trim(regexp_extract(ref, '^([^-–]+?)\s*[–-]\s*(.+)$', 2)) AS label FROM refs WHERE NOT regexp_matches(ref, '{t.REFERENCE_NAME}') AND regexp_matches(ref, '^([^-–]+?)\s*[–-]\s*(.+)$')),
+  one AS (SELECT document_version_id, code_list_name, code, label, doc, record, pos FROM named JOIN entries USING (document_version_id, doc, record) QUALIFY row_number() OVER (PARTITION BY document_version_id, code_list_name, code ORDER BY doc, record, pos) = 1)
+  SELECT l.document_version_id, l.code_list_name, coalesce(string_agg(code || '=' || label, ';' ORDER BY o.doc, o.record, o.pos), '') AS entries
+  FROM (SELECT DISTINCT document_version_id, code_list_name FROM named) l LEFT JOIN one o ON o.document_version_id = l.document_version_id AND o.code_list_name = l.code_list_name GROUP BY 1, 2""")
+def stored_code_lists(v):
+    """Code lists of all catalogs as the store gives them back."""
+    got = _stored(v, "code_list", "code_entry", "code_list_citation")["code_lists"]
+    return got.select("document_version_id", "code_list_name", F.array_join(F.transform("entries", lambda e: F.concat_ws("=", e["code"], e["label"])), ";").alias("entries"))

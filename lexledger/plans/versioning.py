@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from lexledger.functions import numbers
 from lexledger.operators import enrich, versions
+from lexledger.operators.lineage import shared_folder
 from lexledger.plans.registering import registrar
+from lexledger.sources.store import Store
 from lexledger.streaming import metrics
 
-QUERIES, ORACLES, query = registrar()
+QUERIES, ORACLES, query, _ = registrar()
 
 
 def _first(keys: str, order: str) -> str:
@@ -120,6 +122,20 @@ def snapshot_replace(v):
     return versions.snapshot_replaced(v.spark.sql(_CITES, lineitem=v["lineitem"]), v.spark.sql(_NEWER, lineitem=v["lineitem"], supplier=v["supplier"]))
 
 
+_STORED_CITES = "SELECT DISTINCT l_suppkey AS document_version_id, concat('BT-', l_partkey) AS field_code, CAST(l_linenumber AS INT) AS page_number, l_returnflag AS source_kind, l_linestatus AS quote_text FROM {lineitem}"
+_STORED_AGAIN = "SELECT DISTINCT l_suppkey AS document_version_id, concat('BT-', l_partkey, l_returnflag) AS field_code, CAST(l_linenumber AS INT) AS page_number, l_returnflag AS source_kind, l_linestatus AS quote_text FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey WHERE s_acctbal < 0 AND l_quantity > 25"
+
+
+@query(f"WITH a AS ({_STORED_CITES}), b AS ({_STORED_AGAIN}) SELECT * FROM a WHERE document_version_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0) UNION ALL SELECT * FROM b")
+def stored_citations(v):
+    """A store of all suppliers as versions, of which those in debt are stored anew: their partitions only are replaced."""
+    store = Store(v.spark, f"{shared_folder(v.spark)}/citations-{uuid.uuid4().hex}")
+    ids = v["supplier"].select(F.col("s_suppkey").alias("document_version_id"), "s_acctbal")
+    store.save_snapshots(ids, {"citation": v.spark.sql(_STORED_CITES, lineitem=v["lineitem"])})
+    store.save_snapshots(ids.where("s_acctbal < 0"), {"citation": v.spark.sql(_STORED_AGAIN, lineitem=v["lineitem"], supplier=v["supplier"])})
+    return store.table("citation").drop("id", "section_title")
+
+
 @query("""WITH d AS (SELECT * FROM {diffs} QUALIFY row_number() OVER (PARTITION BY candidate_version_id ORDER BY created_at DESC, diff_id DESC) = 1)
   SELECT d.diff_id, d.candidate_version_id, d.summary, b.version_label AS base_version_label, c.version_label AS candidate_version_label
   FROM d LEFT JOIN {versions} b ON b.document_version_id = d.base_version_id JOIN {versions} c ON c.document_version_id = d.candidate_version_id""")
@@ -163,11 +179,15 @@ def rule_citations(v):
     return nested.select("rule_code", "expression_text", F.array_join("refs", ",").alias("refs"), F.coalesce(F.array_join(F.transform("evidence", one), ";"), F.lit("")).alias("quotes"))
 
 
-@query("""SELECT r_name AS code_list_name, coalesce(e.entries, '') AS entries FROM region LEFT JOIN (SELECT code_list_name, string_agg(concat(ord, '=', code, '=', label), ';' ORDER BY ord) AS entries
-  FROM {code_entries} WHERE ord > 0 GROUP BY code_list_name) e ON e.code_list_name = r_name""")
+_LISTS = "SELECT r_name AS code_list_name FROM {region} UNION SELECT c_mktsegment FROM {customer}"
+
+
+@query(f"""SELECT code_list_name, coalesce(e.entries, '') AS entries FROM ({_LISTS}) LEFT JOIN (SELECT code_list_name, string_agg(concat(ord, '=', code, '=', label), ';' ORDER BY ord) AS entries
+  FROM {{code_entries}} GROUP BY code_list_name) e USING (code_list_name)""")
 def code_list_rows(v):
-    entries = v["code_entries"].where("ord > 0").withColumnRenamed("ord", "position")
-    nested = versions.nested_code_lists(v["region"].select(F.col("r_name").alias("code_list_name")), entries)
+    """Code lists with their entries; segments are lists without any."""
+    entries = v["code_entries"].withColumnRenamed("ord", "position")
+    nested = versions.with_entries(v.spark.sql(_LISTS, region=v["region"], customer=v["customer"]), entries)
     one = lambda e: F.concat_ws("=", e["position"].cast("string"), e["code"], e["label"])
     return nested.select("code_list_name", F.array_join(F.transform("entries", one), ";").alias("entries"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +46,36 @@ def write(rows: DataFrame, path: str) -> None:
 def parsed(c, schema: str, fallback):
     """A JSON document of a known form, or the fallback where it is missing or of another form."""
     return F.coalesce(F.from_json(c, schema), fallback)
+
+
+#: The parts of a bundle that is written as JSON lines, and their columns.
+PARTS = {
+    "document": "checksum_sha256 string, source_uri string, version_label string, jurisdiction string, tax_domain string, language_code string, issued_on date, effective_from date, effective_to date",
+    "fields": f"{schemas.FIELD_ROW.partition(', ')[2]}, invoice_path string, credit_note_path string, remark string, evidence {schemas.EVIDENCE}",
+    "rules": f"rule_code string, rule_type string, expression_text string, refs array<string>, severity string, origin string, confidence double, evidence {schemas.EVIDENCE}",
+    "code_lists": f"code_list_name string, entries array<struct<code:string,label:string,description:string>>, origin string, confidence double, evidence {schemas.EVIDENCE}",
+}
+
+
+def write_parts(parts: dict[str, DataFrame], folder: str) -> dict[str, str]:
+    """A bundle as JSON lines, a folder for each part; a large catalog is written by many tasks."""
+    places = {name: f"{folder.rstrip('/')}/{name}" for name in PARTS}
+    for name, place in places.items():
+        write(parts[name], place)
+    return places
+
+
+def read_parts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The parts of write_parts(); what they don't hold is null. Evidence is read without its ids."""
+    return {name: spark.read.schema(ddl).option("mode", "FAILFAST").json(f"{folder.rstrip('/')}/{name}") for name, ddl in PARTS.items()}
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a bundle of parts is there."""
+    try:
+        spark.read.text(f"{folder.rstrip('/')}/fields")
+    except AnalysisException as none:
+        if none.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True

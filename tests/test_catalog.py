@@ -46,6 +46,7 @@ def test_query_equals_its_oracle(spark, duck, name):
     want = duck.execute(registry.ORACLES[name])
     names = [d[0] for d in want.description]
     assert sorted(got.columns) == sorted(names)
+    assert not got.isEmpty(), "the data never reach what the query looks for"
     assert table(got.columns, [tuple(r) for r in got.collect()]) == table(names, want.fetchall())
 
 
@@ -109,19 +110,36 @@ def test_bundle_written_with_nulls(bundle, tmp_path, spark):
     assert line["fields"][1]["data_type"] is None and line["fields"][0]["paths"]["invoice"] == "/Invoice/cbc:ID"
 
 
+def parts(spark, bundle):
+    """Fields, rules and code lists of a bundle file, as a run has them."""
+    fields = bundles.fields(bundle)
+    rules = bundle.select(F.explode("rules").alias("r")).select("r.rule_code", F.lit("other").alias("rule_type"), F.lit("x").alias("expression_text"), F.col("r.referenced_fields").alias("refs"), F.lit("error").alias("severity"), "r.evidence")
+    lists = bundle.select(F.explode("code_lists").alias("c")).select("c.*")
+    return fields, rules, lists
+
+
+def nothing(spark):
+    none = spark.createDataFrame([], "severity string, code string, field_code string, subject string")
+    return none, none.select(F.lit("x").alias("item_id"), F.lit("high").alias("risk_level"), F.lit("diff").alias("source"))
+
+
+def files(root):
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in root.rglob("part-*")}
+
+
 def test_store_state_machine(spark, bundle, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
-    fields, refs = bundles.fields(bundle), bundles.rule_refs(bundle)
-    cites = bundles.evidence(fields)
+    fields, rules, lists = parts(spark, bundle)
     issues = spark.createDataFrame([("error", "duplicate_field_code", "BT-2", "BT-2")], "severity string, code string, field_code string, subject string")
     changes = diff.field_changes(fields.limit(0), fields)
     items = review.queue(issues, changes)
-    save = lambda: store.persist("abc", BUNDLE["document"] | {"issued_on": None}, fields, refs, cites, issues, changes, items)
+    save = lambda: store.persist("abc", BUNDLE["document"] | {"issued_on": None}, fields, rules, lists, issues, changes, items)
     vid = save()
     assert save() == vid and store.table("version").count() == 1 and store.table("run").count() == 2
     assert {(r["field_code"], r["field_name"], float(r["confidence"])) for r in store.table("field").collect()} == {("BT-1", "Number", 0.988), ("BT-2", "Date again", 0.5)}
     assert [tuple(r)[1:] for r in store.table("path").collect()] == [("BT-1", "invoice", "/Invoice/cbc:ID", "R")]
     assert [r["ref"] for r in store.table("rule_link").collect()] == ["BT-1"]
+    assert json.loads(store.table("rule").first()["normalized_expression"]) == {"referenced_fields": ["BT-1", "BT-99", "BG-1"]}
     assert store.table("citation").count() == 1
     assert store.latest_fields("HR", "einvoice").count() == 0
     store.publish(vid, "me")
@@ -131,40 +149,99 @@ def test_store_state_machine(spark, bundle, tmp_path):
     assert {r["field_code"]: r["invoice_path"] for r in store.latest_fields("HR", "einvoice").collect()} == {"BT-1": "/Invoice/cbc:ID", "BT-2": None}
     save()
     assert store.table("version").first()["status"] == "candidate" and store.table("run").count() == 3
+    row = store.summary(vid).first()
+    assert (row["field_count"], row["rule_count"], row["issue_count"], row["queue_item_count"], row["status"]) == (2, 1, 1, store.table("queue_item").count(), "candidate")
+    assert store.summary(vid + 1).count() == 0
+
+
+FULL = {
+    "document": {"jurisdiction": "HR", "tax_domain": "einvoice", "version_label": "v1"},
+    "fields": [
+        {"field_code": "BT-1", "field_name": "Number", "field_kind": "atomic", "parent_group_code": "BG-1", "field_description": "described", "data_type": "Code", "occurrence_min": 1, "occurrence_max": "n", "sample_value": "s", "value_set_refs": ["ISO 1", "A - a"], "semantic_notes": "notes",
+         "paths": {"invoice": "/Invoice/cbc:ID", "credit_note": "/CreditNote/cbc:ID", "remark": "R"}, "constraints": {"min_char_length": 1, "max_char_length": 20, "min_decimal_scale": 0, "max_decimal_scale": 2, "format_hint": "x"}, "origin": "inferred", "confidence": 0.5,
+         "evidence": [{"page_number": 3, "source_kind": "table", "quote_text": "q", "section_title": "1"}, {"page_number": 2, "source_kind": "paragraph", "quote_text": "p", "section_title": None}]},
+        {"field_code": "BT-2", "field_name": "Date", "field_kind": "group", "confidence": 0.75},
+    ],
+    "rules": [{"rule_code": "BR-1", "referenced_fields": ["BT-1"], "evidence": [{"page_number": 9, "source_kind": "table", "quote_text": "rule", "section_title": None}]}],
+    "code_lists": [
+        {"code_list_name": "ISO 1", "entries": [{"code": "B", "label": "b", "description": "last"}, {"code": "A", "label": "a", "description": None}], "origin": "explicit", "confidence": 0.9, "evidence": [{"page_number": 4, "source_kind": "table", "quote_text": "list", "section_title": None}]},
+        {"code_list_name": "ISO 2", "entries": [], "origin": "explicit", "confidence": 0.9, "evidence": []},
+    ],
+}
 
 
-def test_stored_bundle_is_loaded_back(spark, bundle, tmp_path):
+def test_a_stored_bundle_gives_back_what_went_in(spark, tmp_path):
+    (tmp_path / "b.json").write_text(json.dumps(FULL))
+    fields, rules, lists = parts(spark, bundles.read(spark, str(tmp_path / "b.json")))
     store = Store(spark, str(tmp_path / "store"))
-    fields = bundles.fields(bundle)
-    changes = diff.field_changes(fields.limit(0), fields)
-    none = spark.createDataFrame([], "severity string, code string, field_code string, subject string")
-    rules = spark.createDataFrame([("BR-1", "formula", "BT-1 = BT-2", "error", 0.95), ("BR-2", "text", "plain", "error", 0.95)], "rule_code string, rule_type string, expression_text string, severity string, confidence double")
-    cites = spark.createDataFrame([("BR-1", 2, 7, "table", "q"), ("BR-1", 1, 3, "table", "p")], "rule_code string, id long, page_number int, source_kind string, quote_text string")
-    entries = spark.createDataFrame([("ISO", 2, "B", "b"), ("ISO", 1, "A", "a")], "code_list_name string, position int, code string, label string")
-    vid = store.persist("abc", BUNDLE["document"] | {"issued_on": None}, fields, bundles.rule_refs(bundle), bundles.evidence(fields), none, changes, none.select(F.lit("x").alias("item_id"), F.lit("high").alias("risk_level"), F.lit("diff").alias("source")), rules=rules, rule_evidence=cites, code_entries=entries, artifacts={"fields": "/out/fields"})
+    none, items = nothing(spark)
+    vid = store.persist("abc", FULL["document"], fields, rules, lists, none, diff.field_changes(fields.limit(0), fields), items, artifacts={"fields": "/out/fields"})
     got = store.bundle(vid)
-    assert {r["field_code"]: (r["invoice_path"], len(r["evidence"] or [])) for r in got["fields"].collect()} == {"BT-1": ("/Invoice/cbc:ID", 1), "BT-2": (None, 0)}
-    assert {r["rule_code"]: (r["refs"], [e["page_number"] for e in r["evidence"] or []]) for r in got["rules"].collect()} == {"BR-1": (["BT-1"], [3, 7]), "BR-2": ([], [])}
-    assert [[(e["code"], e["label"]) for e in r["entries"]] for r in got["code_lists"].collect()] == [[("A", "a"), ("B", "b")]]
+    said = lambda e: [tuple(x[c] for c in ("page_number", "source_kind", "quote_text", "section_title")) for x in sorted(e or [], key=lambda x: x["page_number"])]
+    compared = [c for c in fields.columns if c not in ("jurisdiction", "tax_domain", "version_label", "evidence", "refs", "confidence")]
+    row = lambda r, refs: ([r[c] for c in compared], list(r[refs]), float(r["confidence"]), said(r["evidence"]))
+    assert sorted(map(str, (row(r, "value_set_refs") for r in got["fields"].collect()))) == sorted(map(str, (row(r, "refs") for r in fields.collect())))
+    assert [(r["rule_code"], r["refs"], said(r["evidence"])) for r in got["rules"].collect()] == [("BR-1", ["BT-1"], [(9, "table", "rule", None)])]
+    assert {r["code_list_name"]: ([tuple(e)[1:] for e in r["entries"]], said(r["evidence"]), r["origin"], float(r["confidence"])) for r in got["code_lists"].collect()} == {"ISO 1": ([("B", "b", "last"), ("A", "a", None)], [(4, "table", "list", None)], "explicit", 0.9), "ISO 2": ([], [], "explicit", 0.9)}
     run = json.loads(store.table("run").first()["metrics"])
-    assert (run["field_count"], run["rule_count"], run["code_list_count"], run["artifact_count"], run["diff_summary"]) == (2, 2, 1, 1, {"added": 2})
+    assert (run["field_count"], run["rule_count"], run["code_list_count"], run["artifact_count"], run["diff_summary"]) == (2, 1, 2, 1, {"added": 2})
     assert store.table("diff").first()["status"] == "auto_approved" and store.table("artifact").first()["bundle_status"] == "draft"
-    kept = store.current()[1]["rule"]
     store.publish(vid, "me", bundle_uri="/out/bundle")
-    assert store.current()[1]["rule"] == kept  # unchanged tables stay where they are
     assert {(r["bundle_type"], r["bundle_status"]) for r in store.table("artifact").collect()} == {("fields", "draft"), ("published_bundle", "published")}
     places = store.materialise(vid, str(tmp_path / "bundle"))
-    assert len(spark.read.text(places["rules"]).collect()) == 2
+    assert len(spark.read.text(places["rules"]).collect()) == 1
+    again = bundles.read_parts(spark, str(tmp_path / "bundle"))
+    assert {r["field_code"]: r["notes"] for r in again["fields"].collect()} == {"BT-1": "notes", "BT-2": None}
 
 
-def test_a_taken_generation_is_refused(spark, tmp_path):
-    one, two = Store(spark, str(tmp_path / "s")), Store(spark, str(tmp_path / "s"))
-    rows = spark.createDataFrame([("r", 1, "x", None, None)], "run_id string, document_version_id long, stage string, started_at timestamp, metrics string")
-    two.current = lambda: (0, {})
-    one.commit({"run": rows})
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        two.commit({"run": rows})
-    assert one.table("run").count() == 1
+def test_storing_a_version_leaves_other_versions_files(spark, bundle, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    fields, rules, lists = parts(spark, bundle)
+    none, items = nothing(spark)
+    save = lambda label, f, r: store.persist(label, BUNDLE["document"] | {"issued_on": None, "version_label": label}, f, r, lists, none, diff.field_changes(f.limit(0), f), items)
+    one, two = save("v1", fields, rules), save("v2", fields, rules)
+    before = files(tmp_path / "store")
+    save("v2", fields.where("field_code = 'BT-1'"), rules.limit(0))
+    after = files(tmp_path / "store")
+    others = {p for p in before if f"document_version_id={one}/" in p}
+    assert len(others) >= 14 and all(after.get(p) == before[p] for p in others)
+    assert {p for p in before if f"document_version_id={two}/" in p}.isdisjoint(after)
+    assert store.of("field", two).count() == 1 and store.of("rule", two).count() == 0 and store.table("rule").count() == 1  # cleared as well
+    scan = store.table("field").where(F.col("document_version_id") == one)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(document_version_id" in scan
+
+
+def test_half_a_version_is_not_read(spark, bundle, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    fields, rules, lists = parts(spark, bundle)
+    none, items = nothing(spark)
+    save = lambda: store.persist("a", BUNDLE["document"] | {"issued_on": None}, fields, rules, lists, none, diff.field_changes(fields.limit(0), fields), items)
+    vid = save()
+    store.publish(vid, "me")
+    whole, store.append = store.append, lambda *_: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        save()
+    assert store.table("version").first()["status"] == "storing" and store.latest_fields("HR", "einvoice").isEmpty()
+    with pytest.raises(LookupError, match="being stored"):
+        store.bundle(vid)
+    store.append = whole
+    assert save() == vid and store.table("version").first()["status"] == "candidate" and store.bundle(vid)["fields"].count() == 2
+    with pytest.raises(LookupError, match="not stored"):
+        store.bundle(1)
+
+
+def test_published_bundle_is_found_copied_or_made(spark, bundle, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    fields, rules, lists = parts(spark, bundle)
+    none, items = nothing(spark)
+    vid = store.persist("a", BUNDLE["document"] | {"issued_on": None}, fields, rules, lists, none, diff.field_changes(fields.limit(0), fields), items, artifacts={"candidate_bundle": str(tmp_path / "out/candidate_bundle")})
+    made = store.published_bundle(vid, str(tmp_path / "made"))
+    assert made == f"{tmp_path}/made/{vid}/published_bundle" and bundles.read_parts(spark, made)["fields"].count() == 2
+    store.materialise(vid, str(tmp_path / "out/candidate_bundle"))
+    copy = store.published_bundle(vid, str(tmp_path / "made"))
+    assert copy == f"{tmp_path}/out/published_bundle" and bundles.read_parts(spark, copy)["rules"].first()["refs"] == ["BT-1"]
+    store.publish(vid, "me", bundle_uri=made)
+    assert store.published_bundle(vid, str(tmp_path / "other")) == made
 
 
 def test_updates_of_a_field_apply_in_order(spark):
@@ -224,11 +301,21 @@ def test_all_six_checks(spark):
 
 
 def test_exports(spark, tmp_path):
-    fields = spark.createDataFrame([("BT-2", "b", None), ("BT-1", "a", "s")], "field_code string, field_name string, sample string")
-    exports.csv(fields, str(tmp_path / "csv"))
+    records = spark.createDataFrame(
+        [("BT-2", "b", None, "", "", None, [], None), ("BT-1", "a", "s", "/Invoice/x", "/CreditNote/x", "R", ["BR-1 one", "BR-2 two"], [3, 1, 3])],
+        "field_code string, field_name string, sample string, invoice_path string, credit_note_path string, remark string, rules array<string>, pages array<int>",
+    )
+    exports.csv(records.coalesce(1), str(tmp_path / "csv"), "spec.pdf")
     text = "".join(p.read_text(encoding="utf-8") for p in sorted((tmp_path / "csv").glob("part-*")))
-    assert text.startswith("﻿字段标识,") and "BT-1,a,s" in text
-    assert "- Fields: 2" in exports.note(fields)
+    assert text.startswith("\ufeff字段标识,字段描述,字段名称,") and len(text.splitlines()[0].split(",")) == 16
+    row = exports.csv_rows(records, "spec.pdf").where("`字段标识` = 'BT-1'").first()
+    assert (row["报送税局字段层级"], row["交叉校验规则"], row["来源文档"], row["来源页码"], row["数据类型"]) == ("Invoice: /Invoice/x\nCreditNote: /CreditNote/x", "BR-1 one | BR-2 two", "spec.pdf", "1,3", "")
+    exports.json(records, str(tmp_path / "json"), "spec.pdf")
+    lines = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "json")).collect()]
+    one = next(x for x in lines if x["字段标识"] == "BT-1")
+    assert list(one)[8:11] == ["报送税局字段层级", "Remark", "交叉校验规则"] and len(one) == 17
+    assert (one["报送税局字段层级"], one["交叉校验规则"], one["来源页码"], one["Remark"]) == ({"Invoice": "/Invoice/x", "CreditNote": "/CreditNote/x"}, ["BR-1 one", "BR-2 two"], [1, 3], "R")
+    assert "- Fields: 2" in exports.note(records)
 
 
 def test_documents_are_ingested_once(spark, tmp_path):

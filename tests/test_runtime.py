@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from lexledger import runtime
-from lexledger.operators import enrich, profiles
+from lexledger.operators import enrich, profiles, versions
 from lexledger.sources.store import Store
 from tests import test_structure as structure
 
@@ -34,8 +34,33 @@ def test_a_run_from_files_to_a_published_version(spark, tmp_path):
     second = runtime.execute(spark, str(tmp_path / "in"), lambda _: changed, document | {"version_label": "v2"}, str(tmp_path / "out2"), store)
     assert {(r["field_code"], r["change_type"]) for r in second.changes.collect()} == {("BT-1", "cardinality_changed")}
     assert second.version_id != first.version_id and store.table("version").count() == 2
-    lines = [json.loads(r["value"]) for r in spark.read.text(second.folders["changes"]).collect()]
-    assert lines[0]["risk_level"] == "high"
+    read = lambda place: [json.loads(r["value"]) for r in spark.read.text(place).collect()]
+    assert read(f"{second.folders['version_diff']}/changes")[0]["risk_level"] == "high"
+    assert read(f"{second.folders['version_diff']}/header")[0]["summary"] == {"added": 0, "removed": 0, "changed": 1}
+    assert read(f"{first.folders['version_diff']}/header")[0]["summary"]["baseline"] == "none"
+    assert read(second.folders["run_summary"])[0]["database"]["document_version_id"] == second.version_id
+    stored = store.bundle(first.version_id)
+    assert {r["rule_code"]: (r["refs"], [e["page_number"] for e in r["evidence"]]) for r in stored["rules"].collect()} == {r["rule_code"]: ([x for x in r["refs"] if x in got], [e["page_number"] for e in r["evidence"]]) for r in first.rules.collect()}
+    assert first.rules.count() > 0 and first.code_lists.count() == stored["code_lists"].count()
+    kept = {r["field_code"]: (r["description"], r["notes"], r["value_set_refs"], r["sample"], r["remark"]) for r in stored["fields"].collect()}
+    assert kept == {r["field_code"]: (r["description"], r["notes"], r["value_set_refs"], r["sample"], r["remark"] if r["invoice_path"] or r["credit_note_path"] else None) for r in first.fields.collect()}
+
+
+def test_steps_are_replaceable(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/spec.pdf").write_bytes(b"any")
+    fields = spark.createDataFrame([("BT-1", "Name", "atomic", 1, "1", "/Invoice/x", None, [(1, "table", "q")], 1)], "field_code string, field_name string, field_kind string, occurrence_min int, occurrence_max string, invoice_path string, credit_note_path string, evidence array<struct<page_number:int,source_kind:string,quote_text:string>>, ord long")
+    fields = fields.withColumns({c: F.lit(None).cast("string") for c in ("data_type", "remark", "min_char_length", "max_char_length", "min_decimal_scale", "max_decimal_scale", "description", "sample", "notes", "origin")} | {"value_set_refs": F.array(F.lit("ISO 1"), F.lit("A - a")), "confidence": F.lit(0.5)})
+    rules = spark.createDataFrame([], "rule_code string, rule_type string, expression_text string, refs array<string>, severity string, origin string, confidence double, evidence array<struct<page_number:int,source_kind:string,quote_text:string>>")
+    called = []
+    steps = runtime.Steps(
+        parse=lambda files, decoder: called.append("parse") or files.select("path", F.lit(1).alias("page_number"), F.lit("x").alias("text"), F.array().cast("array<array<array<string>>>").alias("tables")),
+        extract=lambda found: called.append("extract") or (fields, rules, versions.code_list_definitions(fields)), publish=lambda parts, folder: called.append("publish") or f"{folder}/mine", publish_when_clean=True,
+    )
+    store = Store(spark, str(tmp_path / "store"))
+    got = runtime.execute(spark, str(tmp_path / "in"), None, {"jurisdiction": "HR", "tax_domain": "e", "version_label": "v"}, str(tmp_path / "out"), store, steps)
+    assert called == ["parse", "extract", "publish"] and not got.published or got.folders["published_bundle"].endswith("/mine")
+    assert [[(e["code"], e["label"]) for e in r["entries"]] for r in store.bundle(got.version_id)["code_lists"].collect()] == [[("A", "a")]]
 
 
 def test_command_line(spark, tmp_path, capsys):
