@@ -22,10 +22,10 @@ def report_path(invoice: Column, credit_note: Column) -> Column:
 def with_text(records: DataFrame, lines: DataFrame, doc: str = "doc") -> DataFrame:
     """Records with what the running text says of them: heading names, paths, rules, samples, value sets, lengths.
 
-    All blocks of all codes are cut once and joined, instead of a search of the lines for every field.
+    The best blocks of all codes are found at once and joined, instead of a search of the lines for every field.
     """
-    blocks = folds.line_blocks(lines, doc).join(records.select(doc, F.col("field_code").alias("code")).distinct(), [doc, "code"], "left_semi")
-    both = records.join(folds.described(blocks, doc).withColumnRenamed("code", "field_code"), [doc, "field_code"], "left")
+    blocks = folds.described(lines, doc, records.select(doc, F.col("field_code").alias("code")).distinct())
+    both = records.join(blocks.withColumnRenamed("code", "field_code"), [doc, "field_code"], "left")
     both = both.withColumns({c: F.coalesce(c, F.lit("")) for c in ("detail", "table_block")})
     marked = F.contains("detail", F.lit("Example of use:")) | F.contains("detail", F.lit("Business Rule"))
     heading = F.when(marked, t.or_null(t.heading_name(F.col("detail"), F.col("field_code"))))
@@ -78,7 +78,7 @@ def fallback_fields(pages: DataFrame, rules: DataFrame, fields: DataFrame) -> Da
     """
     missing = missing_references(rules, fields).select(F.col("field_code").alias("code"))
     lines = pages.select(F.col("page_number").alias("doc"), F.posexplode(t.lines(F.col("text"))).alias("line_no", "line"))
-    both = folds.described(folds.line_blocks(lines).join(missing, "code", "left_semi"))
+    both = folds.described(lines, codes=missing)
     merged = F.concat_ws("\n", t.or_null(F.col("table_block")), t.or_null(F.col("detail")))
     best = first_of(both.withColumn("score", folds.fallback_score(merged)), ["code"], F.desc("score"), F.desc("doc"))
     name = F.coalesce(t.or_null(t.heading_name(F.col("detail"), F.col("code"))), t.or_null(t.heading_name(F.col("table_block"), F.col("code"))), F.col("code"))

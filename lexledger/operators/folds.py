@@ -67,15 +67,10 @@ def _is_path(x: Column) -> Column:
     return F.startswith(x, F.lit("/Invoice")) | F.startswith(x, F.lit("/invoice")) | F.startswith(x, F.lit("/CreditNote"))
 
 
-def detail_score(block: Column) -> Column:
-    dots = F.substring_index(block, "\n", 1).rlike(r"\.{5,}")
-    return 3 * _count(block, "Business Rule") + 2 * _count(block, "Example of use:") - F.when(dots, 3).otherwise(0) - F.when(_any_line(block, _is_path), 2).otherwise(0)
-
-
-def table_score(block: Column) -> Column:
-    dots = F.substring_index(block, "\n", 1).rlike(r"\.{5,}")
-    has = lambda what: F.contains(block, F.lit(what))
-    return F.when(_any_line(block, _is_path), 5).otherwise(0) + F.when(has("Example of use:"), 1).otherwise(0) - F.when(has("Business Rule"), 2).otherwise(0) - F.when(dots, 3).otherwise(0)
+_DOTS = r"\.{5,}"
+#: Scores of a block as (counted phrases, points if any line is a path, points if its first line has leader dots,
+#: whether a phrase counts once only). A phrase stands in one line, so a block's score is known from sums over its lines.
+SCORES = {"detail": ({"Business Rule": 3, "Example of use:": 2}, -2, -3, False), "table": ({"Business Rule": -2, "Example of use:": 1}, 5, -3, True)}
 
 
 def fallback_score(block: Column) -> Column:
@@ -85,13 +80,10 @@ def fallback_score(block: Column) -> Column:
     return 5 * has("Example of use:") + 4 * has("Business Rule") + 4 * has("/Invoice/", "/CreditNote/") + 3 * has("<cbc:", "<cac:") - 6 * dots - 2 * (F.length(block) < 120).cast("int")
 
 
-def line_blocks(lines: DataFrame, doc: str = "doc") -> DataFrame:
-    """(doc, code, start, block): from each line that begins with a code and a blank up to the next heading of
-    another code; digit-only lines left out. lines: doc, line_no, line. Lines are stripped.
-
-    Runs of headings of one code are islands: a block that starts in an island ends where the island does, so every
-    line is joined only with the starts of its own island.
-    """
+def islands(lines: DataFrame, doc: str = "doc") -> DataFrame:
+    """(doc, line_no, line, code, opens, island): lines, stripped, with the run of headings of one code that they
+    belong to. A block starts at a line that ``opens`` (it begins with a code and a blank) and ends where its island
+    does, at the next heading of another code. lines: doc, line_no, line."""
     stripped = lines.select(doc, "line_no", t.stripped("line").alias("line"))
     code = F.when(F.col("line").rlike(t.HEADING), F.regexp_extract("line", rf"({t.HEADING})", 1))
     order = Window.partitionBy(doc).orderBy("line_no")
@@ -101,25 +93,52 @@ def line_blocks(lines: DataFrame, doc: str = "doc") -> DataFrame:
     marked = marked.withColumn("key", key)
     before = F.last("key", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
     changed = F.col("key").isNotNull() & ~F.col("key").eqNullSafe(before)
-    islands = marked.withColumn("island", F.sum(changed.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    starts = islands.where("opens").select(doc, "island", "code", F.col("line_no").alias("start"))
-    body = islands.where(~F.col("line").rlike(r"^\d+$")).select(doc, "island", "line_no", "line")
-    joined = starts.join(body, [doc, "island"]).where("line_no >= start")
-    parts = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    return joined.groupBy(doc, "code", "start").agg(F.array_join(F.transform(parts, lambda s: s["line"]), "\n").alias("block"))
+    return marked.withColumn("island", F.sum(changed.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("key")
+
 
+def block_scores(cut: DataFrame, doc: str = "doc") -> DataFrame:
+    """(doc, island, code, start, detail, table): the scores of every block, from sums over the lines that follow its
+    start, without any block being put together. cut: the islands."""
+    body = ~F.col("line").rlike(r"^\d+$")
+    # sums up to the end of the island, taken from there, since Spark sums a frame anew that shrinks from its start
+    rest = Window.partitionBy(doc, "island").orderBy(F.desc("line_no")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    phrases = sorted({p for counted, *_ in SCORES.values() for p in counted})
+    known = cut.where(F.col("code").isNotNull() | (F.col("island") > 0)).withColumns({f"n{k}": F.when(body, _count(F.col("line"), p)).otherwise(0) for k, p in enumerate(phrases)} | {"shows": F.when(body & _is_path(F.col("line")), 1).otherwise(0)})
+    known = known.withColumns({f"n{k}": F.sum(f"n{k}").over(rest) for k in range(len(phrases))} | {"shows": F.max("shows").over(rest)})
 
-def best_blocks(blocks: DataFrame, score: Column, doc: str = "doc") -> DataFrame:
-    """Of each code the block with the highest score; the first of equals."""
-    ranked = blocks.withColumn("score", score).withColumn("_r", F.row_number().over(Window.partitionBy(doc, "code").orderBy(F.desc("score"), "start")))
-    return ranked.where("_r = 1").drop("_r")
+    def score(counted: dict[str, int], path: int, dots: int, once: bool) -> Column:
+        total = F.when(F.col("shows") > 0, path).otherwise(0) + F.when(F.col("line").rlike(_DOTS), dots).otherwise(0)
+        for k, p in enumerate(phrases):
+            total = total + counted[p] * (F.least(F.col(f"n{k}"), F.lit(1)) if once else F.col(f"n{k}"))
+        return total.cast("int")
+
+    return known.where("opens").select(doc, "island", "code", F.col("line_no").alias("start"), *[score(*how).alias(name) for name, how in SCORES.items()])
+
+
+def best_blocks(lines: DataFrame, doc: str = "doc", codes: DataFrame | None = None) -> DataFrame:
+    """(doc, code, kind, start, score, block): of each code the block with the highest score of each kind, the first of
+    equals; digit-only lines are left out. codes: only these (doc, code) or (code) are wanted.
+
+    Blocks are chosen by their scores, and only the chosen ones are put together: the work is linear in the lines,
+    however many headings of a code follow each other.
+    """
+    cut = islands(lines, doc)
+    scored = block_scores(cut, doc)
+    if codes is not None:
+        scored = scored.join(codes, [c for c in (doc, "code") if c in codes.columns], "left_semi")
+    best = [F.max(F.struct(F.col(kind).alias("score"), (-F.col("start")).alias("first"), "island")).alias(kind) for kind in SCORES]
+    per = scored.groupBy(doc, "code").agg(*best)
+    chosen = per.select(doc, "code", F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), f"{kind}.score", (-F.col(f"{kind}.first")).alias("start"), f"{kind}.island") for kind in SCORES])).alias("x")).select(doc, "code", "x.*")
+    body = cut.where(~F.col("line").rlike(r"^\d+$")).select(doc, "island", "line_no", "line")
+    parts = F.array_sort(F.collect_list(F.struct("line_no", "line")))
+    joined = chosen.join(body, [doc, "island"]).where("line_no >= start")
+    return joined.groupBy(doc, "code", "kind", "start", "score").agg(F.array_join(F.transform(parts, lambda s: s["line"]), "\n").alias("block"))
 
 
-def described(blocks: DataFrame, doc: str = "doc") -> DataFrame:
-    """(doc, code, detail, table_block): of each code the block that tells most and the one that shows its path, the
-    first of equals; both in one aggregation."""
-    best = lambda score: F.trim(F.max_by("block", F.struct(score, -F.col("start"))))
-    return blocks.groupBy(doc, "code").agg(best(detail_score(F.col("block"))).alias("detail"), best(table_score(F.col("block"))).alias("table_block"))
+def described(lines: DataFrame, doc: str = "doc", codes: DataFrame | None = None) -> DataFrame:
+    """(doc, code, detail, table_block): of each code the block that tells most and the one that shows its path."""
+    of = lambda kind: F.trim(F.max(F.when(F.col("kind") == kind, F.col("block"))))
+    return best_blocks(lines, doc, codes).groupBy(doc, "code").agg(of("detail").alias("detail"), of("table").alias("table_block"))
 
 
 def rules_of(block: Column) -> Column:

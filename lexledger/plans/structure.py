@@ -113,8 +113,8 @@ def spec_lines(v):
     return v["spec_text"].select("doc", F.posexplode(t.lines(F.col("text"))).alias("line_no", "line"))
 
 
-def _best_blocks(v, score):
-    return folds.best_blocks(folds.line_blocks(spec_lines(v)), score(F.col("block")))
+def _best_blocks(v, kind):
+    return folds.best_blocks(spec_lines(v)).where(F.col("kind") == kind)
 
 
 @query(f"WITH {_RECORDS} SELECT * REPLACE (array_to_string(pages, ',') AS pages) FROM records")
@@ -124,22 +124,22 @@ def table_fold(v):
 
 @query(f"WITH {_BLOCKS} SELECT doc, code, start, score, block FROM detail")
 def detail_blocks(v):
-    return _best_blocks(v, folds.detail_score).select("doc", "code", "start", "score", "block")
+    return _best_blocks(v, "detail").select("doc", "code", "start", "score", "block")
 
 
 @query(f"WITH {_BLOCKS} SELECT doc, code, start, score, block FROM shows")
 def table_blocks(v):
-    return _best_blocks(v, folds.table_score).select("doc", "code", "start", "score", "block")
+    return _best_blocks(v, "table").select("doc", "code", "start", "score", "block")
 
 
 @query(f"WITH {_BLOCKS}, {_RULES} SELECT doc, code, pos, rule FROM rules_of")
 def extract_rules(v):
-    return _best_blocks(v, folds.detail_score).select("doc", "code", F.posexplode(folds.rules_of(F.col("block"))).alias("pos", "rule"))
+    return _best_blocks(v, "detail").select("doc", "code", F.posexplode(folds.rules_of(F.col("block"))).alias("pos", "rule"))
 
 
 @query(f"WITH {_BLOCKS}, {_PATHS} SELECT doc, code, invoice, credit_note FROM paths")
 def path_fragments(v):
-    joined = _best_blocks(v, folds.table_score).withColumn("path", folds.path_text(F.col("block")))
+    joined = _best_blocks(v, "table").withColumn("path", folds.path_text(F.col("block")))
     return joined.select("doc", "code", t.invoice_path(F.col("path")).alias("invoice"), t.credit_note_path(F.col("path")).alias("credit_note"))
 
 

@@ -1,5 +1,9 @@
 """The folds and whole extraction over small specifications with results worked out by hand."""
 
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,12 +71,46 @@ def test_table_rows_become_records(spark):
 
 
 def test_best_blocks(spark):
-    blocks = folds.line_blocks(lines(spark))
     told = [("BT-1", 3, 3, "BT-1 Invoice number\nBusiness Rule\nBR-1 x\nBT-1 more"), ("BT-2", 8, -2, "BT-2 Date\n/Invoice/cbc:IssueDate")]
     shows = [("BT-1", 7, 0, "BT-1 more"), ("BT-2", 8, 5, "BT-2 Date\n/Invoice/cbc:IssueDate")]
-    assert rows_of(folds.best_blocks(blocks, folds.detail_score(F.col("block"))), "code", "start", "score", "block") == told
-    assert rows_of(folds.best_blocks(blocks, folds.table_score(F.col("block"))), "code", "start", "score", "block") == shows
-    assert rows_of(folds.described(blocks), "code", "detail", "table_block") == [(a[0], a[3], b[3]) for a, b in zip(told, shows)]
+    found = folds.best_blocks(lines(spark))
+    assert rows_of(found.where("kind = 'detail'"), "code", "start", "score", "block") == told
+    assert rows_of(found.where("kind = 'table'"), "code", "start", "score", "block") == shows
+    assert rows_of(folds.described(lines(spark)), "code", "detail", "table_block") == [(a[0], a[3], b[3]) for a, b in zip(told, shows)]
+    assert {r.code for r in folds.best_blocks(lines(spark), codes=spark.createDataFrame([("BT-2",)], "code string")).collect()} == {"BT-2"}
+
+
+def test_best_blocks_equal_brute_force(spark):
+    rng = random.Random(11)
+    parts = ["BT-1 x", "BT-1 y .......... 4", "BT-1", "BT-2 z", "HR-BT-3 q", "Business Rule", "a Business Rule Business Rule", "Example of use:", "/Invoice/cbc:ID", "/CreditNote/x", "12", "words", ""]
+    texts = {doc: [rng.choice(parts) for _ in range(rng.randrange(60))] for doc in range(40)}
+    want = {}
+    for doc, every in texts.items():
+        head = [re.match(t.HEADING, x) for x in every]
+        for at, x in enumerate(every):
+            if not head[at] or not x.startswith(head[at].group() + " "):
+                continue
+            code = head[at].group()
+            stop = next((k for k in range(at + 1, len(every)) if head[k] and not every[k].startswith(code + " ")), len(every))
+            block = [y for y in every[at:stop] if not y.isdigit()]
+            text, path = "\n".join(block), any(y.startswith(("/Invoice", "/CreditNote")) for y in block)
+            dots = 3 * ("....." in block[0])
+            detail = 3 * text.count("Business Rule") + 2 * text.count("Example of use:") - dots - 2 * path
+            table = 5 * path + ("Example of use:" in text) - 2 * ("Business Rule" in text) - dots
+            for kind, score in (("detail", detail), ("table", table)):
+                best = want.get((doc, code, kind))
+                if best is None or score > best[1]:
+                    want[doc, code, kind] = (at, score, text)
+    df = spark.createDataFrame([(d, k, x) for d, every in texts.items() for k, x in enumerate(every)], "doc int, line_no int, line string")
+    assert {(r.doc, r.code, r.kind): (r.start, r.score, r.block) for r in folds.best_blocks(df).collect()} == want
+
+
+def test_many_headings_in_a_row_are_linear(spark):
+    n = 100_000
+    df = spark.range(n).selectExpr("1 AS doc", "id AS line_no", "CASE WHEN id = 60000 THEN 'BT-1 the one' WHEN id = 60001 THEN 'Business Rule' ELSE 'BT-1 again' END AS line")
+    began = time.perf_counter()
+    got = {r.kind: (r.start, r.score, r.block.count("\n")) for r in folds.best_blocks(df).collect()}
+    assert got == {"detail": (0, 3, n - 1), "table": (60002, 0, n - 60003)} and time.perf_counter() - began < 60
 
 
 def test_rules_and_paths_of_a_block(spark):
