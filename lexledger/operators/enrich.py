@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexledger.functions import numbers
+from lexledger.operators.contain import found_in
 from lexledger.operators.review import numbered
 
 SENTINEL = "Recovered from rule reference fallback."
@@ -97,7 +98,7 @@ def evidence_pages(fields: DataFrame, pages: DataFrame, most: int = 3) -> DataFr
 
     fields: field_code, evidence (array of structs with page_number). A code is found wherever its text stands, also
     with more digits behind it: pages give all codes that theirs contain, which are joined with the fields'. Codes of
-    another form, which a catalog does not have, are compared with every page.
+    another form are found by one reading of the pages for all of them.
     """
     cited = fields.select("field_code", F.array_distinct(F.transform(F.coalesce("evidence", F.array()), lambda e: e["page_number"])).alias("cited")) if "evidence" in fields.columns else fields.select("field_code", F.array().cast("array<int>").alias("cited"))
     open_ = cited.where(F.size("cited") == 0).select("field_code").distinct()
@@ -108,7 +109,7 @@ def evidence_pages(fields: DataFrame, pages: DataFrame, most: int = 3) -> DataFr
     within = shown.select("page_number", F.explode(shorter).alias("field_code")).distinct()
     hits = within.join(open_.where(usual), "field_code").select("page_number", "field_code")
     odd = open_.where(~usual)
-    hits = hits.unionByName(pages.join(odd, F.contains("text", "field_code")).select("page_number", "field_code"))
+    hits = hits.unionByName(found_in(pages, odd, "page_number", pattern="field_code"))
     found = hits.groupBy("field_code").agg(F.array_sort(F.collect_set("page_number")).alias("found"))
     chosen = F.when(F.size("cited") > 0, F.col("cited")).otherwise(F.coalesce("found", F.array(F.lit(1))))
     return cited.join(found, "field_code", "left").select("field_code", F.posexplode(F.slice(chosen, 1, most)).alias("place", "page_number"))

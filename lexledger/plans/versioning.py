@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lexledger.functions import numbers
 from lexledger.operators import enrich, versions
+from lexledger.operators.contain import found_in
 from lexledger.operators.lineage import shared_folder
 from lexledger.plans.registering import registrar
 from lexledger.sources.store import Store
@@ -283,9 +284,18 @@ def session_metrics(v):
   SELECT code, doc_id FROM codes JOIN pages ON contains(lower(text), code)""")
 def page_containment(v):
     codes = v["nation"].select(F.lower("n_name").alias("code")).distinct().unionAll(v.spark.createDataFrame([("license",), ("rights",), ("idiot",), ("http",)], "code string"))
-    listed = codes.agg(F.collect_set("code").alias("codes"))  # the catalog's code list: one row
-    pages = v["documents"].select("doc_id", F.lower("text").alias("t")).crossJoin(F.broadcast(listed))
-    return pages.select("doc_id", F.explode(F.filter("codes", lambda c: F.contains(F.col("t"), c))).alias("code")).select("code", "doc_id")
+    return found_in(v["documents"].select("doc_id", F.lower("text").alias("text")), codes, "doc_id", pattern="code").select("code", "doc_id")
+
+
+_TERMS = "SELECT DISTINCT p_name AS term FROM {part} UNION SELECT DISTINCT lower(word) FROM (SELECT explode(split(text, ' ')) AS word FROM {benchmark}) WHERE length(word) > 3"
+
+
+@query("""WITH terms AS (SELECT DISTINCT p_name AS term FROM part UNION SELECT DISTINCT lower(word) FROM (SELECT unnest(string_split(text, ' ')) AS word FROM benchmark) WHERE length(word) > 3)
+  SELECT doc_id, term FROM documents JOIN terms ON contains(lower(text), term)""")
+def term_containment(v):
+    """All names of parts and words of the benchmark that documents contain, wherever they stand."""
+    terms = v.spark.sql(_TERMS, part=v["part"], benchmark=v["benchmark"])
+    return found_in(v["documents"].select("doc_id", F.lower("text").alias("text")), terms, "doc_id", pattern="term")
 
 
 @query("""WITH o AS (SELECT *, CASE WHEN role = 'user' THEN 1 ELSE 0 END AS opens FROM conversations), g AS (SELECT *, sum(opens) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS record FROM o)
