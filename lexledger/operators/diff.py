@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexledger.operators.likeness import alike
+
 #: Attributes that are compared; a difference in the first group that has one names the change.
 CARDINALITY = ("occurrence_min", "occurrence_max")
 TYPE = ("data_type",)
@@ -86,3 +88,13 @@ def rename_suggestions(published: DataFrame, candidate: DataFrame, most: int = 3
     b = new.select(F.col("field_code").alias("new_code"), F.col("field_name").alias("new_name"), "data_type", "invoice_path")
     near = a.join(b, ["data_type", "invoice_path"]).withColumn("distance", F.levenshtein("old_name", "new_name", most))
     return near.where("distance >= 0").select("old_code", "new_code", "distance")
+
+
+def renamed_by_likeness(published: DataFrame, candidate: DataFrame, most: int = 3) -> DataFrame:
+    """(old_code, new_code, distance): removed and added fields whose names are at most ``most`` edits apart, whatever
+    their types and paths; suggestions only, nothing is merged."""
+    changes = field_changes(published, candidate)
+    of = lambda side, branch, code, name: last_wins(side).join(changes.where(F.col("branch") == branch).select("field_code"), "field_code", "left_semi").select(F.col("field_code").alias(code), F.col("field_name").alias(name))
+    gone, new = of(published, 2, "old_code", "left_name"), of(candidate, 1, "new_code", "right_name")
+    pairs = alike(gone.withColumnRenamed("left_name", "name"), new.withColumnRenamed("right_name", "name"), most)
+    return pairs.join(gone, "left_name").join(new, "right_name").select("old_code", "new_code", "distance")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexledger.operators import diff, profiles, review, validate, versions
+from lexledger.operators.likeness import alike
 from lexledger.operators.lineage import settled
 from lexledger.plans.registering import registrar
 
@@ -182,6 +183,28 @@ def rename_suggestions(v):
     return diff.rename_suggestions(v["pub_fields"], v["cand_fields"], most=8)
 
 
+def _named(view: str) -> str:
+    """A catalog whose names tell its fields apart, with slips in those of the published one."""
+    name = "concat(field_name, ' ', data_type)"
+    return f"SELECT * EXCLUDE (field_name), {name if view == 'cand_fields' else f"replace({name}, 'ECONOMY', 'ECNOMY')"} AS field_name FROM {{{view}}}"
+
+
+@query(f"""WITH {_CHANGES}, o AS ({_named("pub_fields")}), n AS ({_named("cand_fields")}), a AS (SELECT o.* FROM o JOIN changes USING (field_code) WHERE branch = 2), b AS (SELECT n.* FROM n JOIN changes USING (field_code) WHERE branch = 1)
+  SELECT a.field_code AS old_code, b.field_code AS new_code, CAST(levenshtein(a.field_name, b.field_name) AS INT) AS distance FROM a JOIN b ON levenshtein(a.field_name, b.field_name) <= 3""")
+def renames_by_likeness(v):
+    """Fields that may have been renamed, of whatever type and path."""
+    some = {name: v.spark.sql(_named(name).replace("EXCLUDE", "EXCEPT"), **{name: v[name]}) for name in ("pub_fields", "cand_fields")}
+    return diff.renamed_by_likeness(some["pub_fields"], some["cand_fields"])
+
+
+@query("""WITH w AS (SELECT DISTINCT name FROM (SELECT regexp_replace(lower(unnest(string_split(text, ' '))), '[^a-z]', '', 'g') AS name FROM benchmark) WHERE name <> ''), p AS (SELECT DISTINCT name FROM w UNION SELECT p_name FROM part)
+  SELECT w.name AS left_name, p.name AS right_name, CAST(levenshtein(w.name, p.name) AS INT) AS distance FROM w JOIN p ON levenshtein(w.name, p.name) <= 2""")
+def alike_names(v):
+    """Words of the benchmark, and the words or names of parts that are at most two edits away."""
+    words = v["benchmark"].select(F.explode(F.split("text", " ")).alias("word")).select(F.regexp_replace(F.lower("word"), "[^a-z]", "").alias("name")).where("name <> ''")
+    return alike(words, words.unionByName(v["part"].select(F.col("p_name").alias("name"))), 2)
+
+
 _RECORDS = """SELECT CASE WHEN ord % 37 = 0 THEN concat('BG-', ord) ELSE field_code END AS field_code, CASE WHEN ord % 41 = 0 THEN '' WHEN ord % 43 = 0 THEN concat(field_name, ' ........ 5') ELSE field_name END AS field_name,
   CASE WHEN ord % 3 = 0 THEN '' ELSE data_type END AS description, CASE WHEN ord % 47 = 0 THEN 'BR-1' ELSE invoice_path END AS invoice_path, credit_note_path FROM {cand_fields}"""
 
