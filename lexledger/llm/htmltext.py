@@ -28,7 +28,8 @@ _HUGE = re.compile(r"&#0*[1-9][0-9]{7,};?")
 _HIDES = re.compile(r"(?:^|;)\s*visibility\s*:\s*(?:hidden|collapse)", re.I)
 _REMOVES = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _SHOWS = re.compile(r"(?:^|;)\s*visibility\s*:\s*visible", re.I)
-_SELECTOR = re.compile(r"[\w-]*[.#]?[\w-]+")
+#: A compound selector of tag, classes and ids.
+_COMPOUND = re.compile(r"([\w-]*)((?:[.#][\w-]+)*)")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is text up to their end tag; of the second kind with character references.
@@ -253,22 +254,74 @@ def rules(sheet: str):
                 yield selectors, piece
 
 
-def hidden_selectors(root: Element) -> dict[str, bool]:
-    """Simple selectors (tag, .class, #id, tag.class, tag#id) that the page's style sheets hide: True if they are not
-    laid out, False if they are only invisible."""
-    hidden: dict[str, bool] = {}
-    stack = [root]
-    while stack:
-        e = stack.pop()
-        if e.tag == "style":
-            for selectors, body in rules("".join(c for c in e.children if isinstance(c, str))):
-                removed = bool(_REMOVES.search(body))
-                if removed or _HIDES.search(body):
-                    for s in selectors.split(","):
-                        if _SELECTOR.fullmatch(s := s.strip()):
-                            hidden[s] = hidden.get(s, False) or removed
-        stack.extend(c for c in e.children if isinstance(c, Element))
-    return hidden
+class Sheet:
+    """The selectors by which a page's style sheets hide elements: compounds of tag, classes and ids, joined as
+    descendants (blank) or children (>). Selectors with anything else (siblings, attributes, states) hide nothing.
+
+    Every compound of every selector has a bit, those of one selector next to each other. What an element and those
+    around it match is one number, and an element's own bits follow from its parent's by shifting the bits of those
+    selectors whose next compound it matches: the work for an element does not grow with the number of elements around
+    it.
+    """
+
+    def __init__(self, root: Element):
+        self.bits, self.removes, self.hides = 0, 0, 0
+        #: compounds by tag, class or id: (the others that they need, what starts here, what goes on after a
+        #: descendant's and after a child's combinator)
+        self.compounds: dict[str, dict[frozenset, list[int]]] = defaultdict(dict)
+        stack = [root]
+        while stack:
+            e = stack.pop()
+            if e.tag == "style":
+                for selectors, body in rules("".join(c for c in e.children if isinstance(c, str))):
+                    removed = bool(_REMOVES.search(body))
+                    if removed or _HIDES.search(body):
+                        for selector in selectors.split(","):
+                            self._add(selector, removed)
+            stack.extend(c for c in e.children if isinstance(c, Element))
+
+    def _add(self, selector: str, removed: bool) -> None:
+        parts = selector.replace(">", " > ").split()
+        while len(parts) > 1 and parts[0] in ("html", "body") and parts[1] != ">":
+            parts = parts[1:]  # everything is in these
+        found, child = [], False
+        for k, part in enumerate(parts):
+            if part == ">":
+                if child or k in (0, len(parts) - 1):
+                    return
+                child = True
+                continue
+            m = _COMPOUND.fullmatch(part)
+            if not m or not part:
+                return
+            names = re.findall(r"[.#][\w-]+", m[2])
+            key = next((x for x in names if x[0] == "#"), names[0] if names else m[1])
+            found.append((key, frozenset({*names, *([m[1]] if m[1] else [])} - {key}), child))
+            child = False
+        for k, (key, needs, child) in enumerate(found):
+            masks = self.compounds[key].setdefault(needs, [0, 0, 0])
+            if k == 0:
+                masks[0] |= 1 << self.bits
+            else:
+                masks[2 if child else 1] |= 1 << (self.bits - 1)
+            self.bits += 1
+        if found:
+            last = 1 << (self.bits - 1)
+            self.removes, self.hides = self.removes | (last if removed else 0), self.hides | last
+
+    def match(self, e: Element, around: int, parent: int) -> int:
+        """The element's own bits. around: the bits of all elements that it is in; parent: those of its parent."""
+        names = {e.tag}
+        if e.attributes:
+            names.update(f".{c}" for c in (e.attribute("class") or "").lower().split())
+            if i := (e.attribute("id") or "").lower():
+                names.add(f"#{i}")
+        own = 0
+        for name in names & self.compounds.keys():
+            for needs, (starts, within, below) in self.compounds[name].items():
+                if needs <= names:
+                    own |= starts | (around & within) << 1 | (parent & below) << 1
+        return own
 
 
 class Flow:
@@ -341,32 +394,34 @@ class Flow:
             self.verbatim_end()
 
 
-def _shown(e: Element, sheet: dict[str, bool], visible: bool) -> tuple[bool, bool]:
-    """(laid out, visible) of an element within something visible or not. What is not laid out is gone with all that
-    it holds; what is invisible may hold something visible."""
+#: What is known where an element stands: whether text is visible, and the bits of the sheet's selectors that match
+#: elements around it and its parent.
+Sight = tuple[bool, int, int]
+
+
+def _shown(e: Element, sheet: Sheet, sight: Sight) -> tuple[bool, Sight]:
+    """Whether an element is laid out, and the sight inside it. What is not laid out is gone with all that it holds;
+    what is invisible may hold something visible."""
     if e.tag in _NEVER_SHOWN:
-        return False, False
+        return False, sight
+    visible, around, parent = sight
+    style = ""
     if e.attributes:
         style = e.attribute("style") or ""
         if "hidden" in e.attributes or _REMOVES.search(style) or (e.tag == "input" and (e.attribute("type") or "").lower() == "hidden"):
-            return False, False
-    if sheet:
-        names = [e.tag]
-        if e.attributes:
-            names += [x for c in (e.attribute("class") or "").lower().split() for x in (f".{c}", f"{e.tag}.{c}")]
-            if i := (e.attribute("id") or "").lower():
-                names += [f"#{i}", f"{e.tag}#{i}"]
-        found = [sheet[x] for x in names if x in sheet]
-        if any(found):
-            return False, False
-        if found:
+            return False, sight
+    if sheet.bits:
+        own = sheet.match(e, around, parent)
+        if own & sheet.removes:
+            return False, sight
+        if own & sheet.hides:
             visible = False
-    if e.attributes:
-        if _HIDES.search(style):
-            return True, False
-        if _SHOWS.search(style):
-            return True, True
-    return True, visible
+        around, parent = around | own, own
+    if _HIDES.search(style):
+        visible = False
+    elif _SHOWS.search(style):
+        visible = True
+    return True, (visible, around, parent)
 
 
 def walked(task):
@@ -382,12 +437,13 @@ def walked(task):
     return value
 
 
-def _render(e: Element, flow: Flow, sheet: dict[str, bool], pre: bool, visible: bool, tables: int):
+def _render(e: Element, flow: Flow, sheet: Sheet, pre: bool, sight: Sight, tables: int):
+    step = -1 if "reversed" in e.attributes else 1
     number = _start_number(e) if e.tag == "ol" else 0
     closed = e.tag == "details" and "open" not in e.attributes
     for c in e.children:
         if isinstance(c, str):
-            if not visible or closed:
+            if not sight[0] or closed:
                 continue
             if pre:
                 first, *more = c.replace("\r\n", "\n").split("\n")
@@ -400,7 +456,7 @@ def _render(e: Element, flow: Flow, sheet: dict[str, bool], pre: bool, visible:
             continue
         if closed and c.tag != "summary":
             continue
-        shown, seen = _shown(c, sheet, visible)
+        shown, seen = _shown(c, sheet, sight)
         if not shown:
             continue
         if c.tag == "br":
@@ -417,8 +473,9 @@ def _render(e: Element, flow: Flow, sheet: dict[str, bool], pre: bool, visible:
                 continue
             indent, marker = flow.indent, flow.marker
             if c.tag == "li":
+                number = _integer(c, "value", number)
                 flow.mark("- " if e.tag != "ol" else f"{number}. ")
-                number += 1
+                number += step
             elif c.tag in ("dd", "blockquote"):
                 flow.mark("  ")
             yield _render(c, flow, sheet, pre or c.tag in ("pre", "xmp", "listing"), seen, tables)
@@ -429,34 +486,37 @@ def _render(e: Element, flow: Flow, sheet: dict[str, bool], pre: bool, visible:
             else:
                 flow.indent, flow.marker = indent + (marker[2] if marker else 0), None
         else:
-            if c.tag in ("input", "button") and seen and (value := c.attribute("value")) and (c.attribute("type") or "text").lower() in _VALUED:
+            if c.tag in ("input", "button") and seen[0] and (value := c.attribute("value")) and (c.attribute("type") or "text").lower() in _VALUED:
                 flow.words(value)
             yield _render(c, flow, sheet, pre or c.tag == "textarea", seen, tables)
 
 
+def _integer(e: Element, name: str, otherwise: int) -> int:
+    value = (e.attribute(name) or "").strip()
+    return int(value) if re.fullmatch(r"[-+]?[0-9]{1,9}", value) else otherwise
+
+
 def _start_number(e: Element) -> int:
-    value = e.attribute("start") or ""
-    return int(value) if re.fullmatch(r"-?[0-9]{1,9}", value) else 1
+    return _integer(e, "start", sum(isinstance(c, Element) and c.tag == "li" for c in e.children) if "reversed" in e.attributes else 1)
 
 
 def _span(e: Element, name: str) -> int:
-    value = e.attribute(name) or ""
-    return min(max(int(value), 1), SPAN) if re.fullmatch(r"[0-9]{1,9}", value) else 1
+    return min(max(_integer(e, name, 1), 1), SPAN)
 
 
-def _lines(e: Element, sheet: dict[str, bool], visible: bool, tables: int):
+def _lines(e: Element, sheet: Sheet, sight: Sight, tables: int):
     flow = Flow()
-    yield _render(e, flow, sheet, False, visible, tables)
+    yield _render(e, flow, sheet, False, sight, tables)
     flow.block(1)
     return flow.lines
 
 
-def _table(table: Element, sheet: dict[str, bool], visible: bool, tables: int):
+def _table(table: Element, sheet: Sheet, sight: Sight, tables: int):
     """A table's lines, its cells padded to columns; captions and stray content come first."""
     out: list[str] = []
-    rows: list[list[tuple[Element, bool]]] = []
+    rows: list[list[tuple[Element, Sight]]] = []
     stray = Element("div")
-    todo = [(c, visible) for c in reversed(table.children)]
+    todo = [(c, sight) for c in reversed(table.children)]
     while todo:
         c, seen = todo.pop()
         if isinstance(c, str):
@@ -475,19 +535,22 @@ def _table(table: Element, sheet: dict[str, bool], visible: bool, tables: int):
             out.extend((yield _lines(c, sheet, inner, tables)))
         else:
             stray.children.append(c)
-    out.extend((yield _lines(stray, sheet, visible, tables)))
-    until: dict[int, int] = {}  # the row from which on a column is free of cells from above
+    out.extend((yield _lines(stray, sheet, sight, tables)))
+    taken: list[tuple[int, int, int]] = []  # columns that cells from above reach into: first, behind the last, up to which row
     grid: list[list[tuple[int, int, list[str]]]] = []
     for r, row in enumerate(rows):
-        at, cells = 0, []
+        taken = [x for x in taken if x[2] > r]
+        at, cells, k, more = 0, [], 0, []
         for cell, seen in row:
-            while until.get(at, 0) > r:
-                at += 1
+            while k < len(taken) and taken[k][0] <= at:
+                at = max(at, taken[k][1])
+                k += 1
             wide, high = _span(cell, "colspan"), _span(cell, "rowspan")
             if high > 1:
-                until.update((at + j, r + high) for j in range(wide))
+                more.append((at, at + wide, r + high))
             cells.append((at, wide, (yield _lines(cell, sheet, seen, tables))))
             at += wide
+        taken = sorted(taken + more) if more else taken
         grid.append(cells)
     widths: dict[int, int] = {}
     for cells in grid:
@@ -495,7 +558,7 @@ def _table(table: Element, sheet: dict[str, bool], visible: bool, tables: int):
             if wide == 1:
                 widths[at] = max(widths.get(at, 0), *(min(len(x), COLUMN) for x in lines), 0)
     left, x = {}, 0
-    for c in range(max((at for cells in grid for at, _, _ in cells), default=-1) + 1):
+    for c in sorted({at for cells in grid for at, _, _ in cells}):
         left[c] = min(x, ALIGNED)
         x += widths.get(c, 0) + 2 if widths.get(c, 0) else 0
     for cells in grid:
@@ -520,7 +583,9 @@ def to_text(source: str | None) -> str | None:
         return None
     root = parse(source)
     flow = Flow()
-    walked(_render(root, flow, hidden_selectors(root), False, True, 0))
+    sheet = Sheet(root)
+    own = sheet.match(root, 0, 0) | sheet.match(Element("body"), 0, 0) if sheet.bits else 0
+    walked(_render(root, flow, sheet, False, (True, own, own), 0))
     flow.block(1)
     return "\n".join(flow.lines)
 
@@ -529,8 +594,11 @@ def extract(pages: DataFrame, column: str = "html") -> DataFrame:
     """pages, its HTML column replaced by ``text``. One row per input row; null HTML: null text; a column named text
     in the input is replaced. Repeated rows give repeated rows. Empty table: no rows.
 
-    Not laid out: elements with ``hidden`` or display:none (inline or by a simple selector of the page's style sheets)
-    with all that they hold. Invisible: visibility:hidden, but for elements inside that are made visible again.
+    Not laid out: elements with ``hidden`` or display:none (inline or by a selector of the page's style sheets that is
+    made of tags, classes, ids, descendants and children) with all that they hold. Invisible: visibility:hidden, but for
+    elements inside that are made visible again. Layout only, no text is lost: lines are indented up to INDENT columns,
+    cells are aligned up to ALIGNED columns and by widths up to COLUMN, cells span up to SPAN rows or columns, and
+    tables more than TABLES deep in each other are laid out cell under cell.
     """
     names = [c for c in pages.columns if c not in (column, "text")]
     schema = T.StructType([*(pages.schema[c] for c in names), T.StructField("text", T.StringType())])

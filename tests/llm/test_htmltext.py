@@ -33,6 +33,15 @@ CASES = {
     "nothing": ("", ""),
     "invisible by a class": ("<style>.x{visibility:hidden} .y{visibility:visible}</style><div class=x>no<b style='visibility:visible'>yes</b></div>", "yes"),
     "rules of print": ("<style>@media print {.x{display:none} .y{display:none}} @media screen{.z{display:none}}</style><i class=x>a</i><i class=y>b</i><i class=z>no</i>", "ab"),
+    "descendants": ("<style>div p.x, html body .m i{display:none}</style><div><section><p class='x'>no</section></div><p class=x>yes<u class=m><b><i>no</i></b></u></p>", "yes"),
+    "children": ("<style>div > p, .a>.b > i {display:none} ul > b{display:none}</style><div><p>no</p><section><p>yes</section></div><u class=a><u class=b><i>no</i><s><i>, too</i></s></u></u>", "yes\n\n, too"),
+    "body's children": ("<style>body > div{display:none}</style><div>no</div><p><b>yes</b></p>", "yes"),
+    "compounds": ("<style>.a.b, i#k.c, div .a.b.c u{display:none}</style><i class='b a'>no</i><i class=a>x</i><i id=k class=c>no</i><b id=k class=c>y</b>", "xy"),
+    "child of a descendant": ("<style>.r td > i{visibility:hidden}</style><table class=r><tr><td><i>no</i><td>b<td><u><i>c</i></u></table>", "b  c"),
+    "other selectors hide nothing": ("<style>p + p, p ~ i, a[x], b:hover, * , > u, u >, i > > b{display:none}</style><p>a<p>b<i>c</i><a x>d</a><b>e</b><u>f</u>", "a\n\nbcdef"),
+    "a sibling's selector does not reach": ("<style>.x .y{display:none}</style><i class=x>a</i><i class=y>b</i><i class=x><b>c<u class=y>no</u></b></i>", "abc"),
+    "list values": ("<ol><li>a<li value=7>b<li>c<li value=x>d</ol>", "1. a\n7. b\n8. c\n9. d"),
+    "reversed lists": ("<ol reversed><li>a<li>b<li value=9>c</ol><ol reversed start=5><li>d<li>e</ol>", "3. a\n2. b\n9. c\n\n5. d\n4. e"),
     "unclosed tag": ("a<b title='x", "a"),
     "quote in a tag": ("<p don't>a<p it's>b", "a\n\nb"),
     "attribute signs": ("<p = hidden>no</p><p a=hidden>yes</p>", "yes"),
@@ -81,6 +90,7 @@ def test_hidden_stays_hidden_at_any_depth():
 PAGES = {
     "unclosed tags": "<a " * 300_000, "deep lists": "<ul><li>x" * 20_000, "deep tables": "<table><tr><td>x<td>" * 5_000, "sections": "<![CDATA[>" * 100_000, "style": "<style>" + "a" * 2_000_000 + "</style>",
     "comments": "<style>" + "/*" * 1_000_000, "spans": "<table>" + "<tr>" + "<td colspan=1000 rowspan=1000>x" * 3_000, "wide": "<table><tr><td>" + "w" * 500_000 + "<td>y" + "<tr><td>a<td>b" * 20_000, "quotes": "<p a='" * 100_000,
+    "large spans": "<table>" + ("<tr>" + "<td colspan=100 rowspan=100>x" * 20) * 600, "selectors": "<style>" + "".join(f".a{k} .b, .b > .c{k}" + "{display:none}" for k in range(20_000)) + "</style>" + "<i class=b>x" * 20_000,
 }
 
 
