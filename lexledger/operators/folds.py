@@ -16,20 +16,38 @@ def continuation_groups(rows: DataFrame, keys: list[str], order: list[str], open
     return rows.withColumn("record", F.sum(opens.cast("int")).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
 
 
+#: Rows of a table, or lines, that are scanned together are those that agree in all but so many low bits of their number.
+SEGMENT_BITS = 14
+
+
+def scanned(rows: DataFrame, keys: list[str], segment: Column, order: list[str], opens: Column, name: str = "record") -> DataFrame:
+    """continuation_groups() in two levels: rows are counted inside segments, and a segment starts from what those before
+    it have counted, so that a long document is not one task.
+
+    segment: a column whose order goes with the rows' order; only one row for each segment is gathered by keys.
+    """
+    cut = rows.withColumns({"_segment": segment, "_opens": F.coalesce(opens, F.lit(False)).cast("long")})
+    counts = cut.groupBy(*keys, "_segment").agg(F.sum("_opens").alias("_n"))
+    before = counts.select(*keys, "_segment", F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    own = F.sum("_opens").over(Window.partitionBy(*keys, "_segment").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return cut.join(before, [*keys, "_segment"]).withColumn(name, F.col("_before") + own).drop("_segment", "_opens", "_before")
+
+
 def table_records(rows: DataFrame, doc: str = "doc") -> DataFrame:
     """Field records of specification tables: a row with a field id opens a record, the rows after it continue it,
     over tables and pages.
 
-    rows: doc, page, table_no, row_no, c0..c5. Only tables with a header (ID, Business term) in their first five rows
-    count. A document's rows are folded together; documents are independent of each other.
+    rows: doc, page, table_no, row_no, c0..c5; doc is not null. Only tables with a header (ID, Business term) in their
+    first five rows count. Rows are scanned table by table, long tables in segments; a record's rows are gathered.
     """
     cells = rows.select(doc, "page", "table_no", "row_no", *[t.stripped(F.coalesce(c, F.lit(""))).alias(c) for c in _CELLS])
     head = (F.col("c0") == "ID") & (F.col("c1") == "Business term")
-    of_table = Window.partitionBy(doc, "page", "table_no")
-    first = F.row_number().over(of_table.orderBy("row_no")) <= 5
-    cells = cells.withColumn("_first", first).withColumn("_headed", F.max(head & F.col("_first")).over(of_table))
-    kept = cells.where(F.col("_headed") & ~head & ~F.col("c1").isin(*_SKIPPED) & (F.concat(*_CELLS) != ""))
-    opened = continuation_groups(kept, [doc], ["page", "table_no", "row_no"], F.col("c0").rlike(t.FIELD_ID)).where("record > 0")
+    place = [doc, "page", "table_no"]
+    # the first rows of each table are all that moves for this
+    first = cells.select(*place, "row_no", head.alias("_head")).withColumn("_r", F.row_number().over(Window.partitionBy(*place).orderBy("row_no"))).where("_r <= 5")
+    kept = cells.where(~head & ~F.col("c1").isin(*_SKIPPED) & (F.concat(*_CELLS) != "")).join(first.where("_head").select(*place).distinct(), place, "left_semi")
+    segment = F.struct("page", "table_no", F.shiftright("row_no", SEGMENT_BITS).alias("part"))
+    opened = scanned(kept, [doc], segment, ["page", "table_no", "row_no"], F.col("c0").rlike(t.FIELD_ID)).where("record > 0")
     opens, path = F.col("c0").rlike(t.FIELD_ID), ~F.col("c0").rlike(t.FIELD_ID) & F.startswith("c1", F.lit("/"))
     more = ~opens & ~path
     marked = opened.select("*", opens.alias("o"), path.alias("p"), F.struct("page", "table_no", "row_no").alias("at"), t.invoice_path(F.col("c1")).alias("ip"), t.credit_note_path(F.col("c1")).alias("cp"))
@@ -86,14 +104,18 @@ def islands(lines: DataFrame, doc: str = "doc") -> DataFrame:
     does, at the next heading of another code. lines: doc, line_no, line."""
     stripped = lines.select(doc, "line_no", t.stripped("line").alias("line"))
     code = F.when(F.col("line").rlike(t.HEADING), F.regexp_extract("line", rf"({t.HEADING})", 1))
-    order = Window.partitionBy(doc).orderBy("line_no")
     # a heading without a blank after its code ends other codes' blocks and its own, but starts none
     marked = stripped.withColumn("code", code).withColumn("opens", F.col("code").isNotNull() & F.startswith("line", F.concat("code", F.lit(" "))))
     key = F.when(F.col("code").isNotNull(), F.when(F.col("opens"), F.col("code")).otherwise(F.concat(F.lit("\x00"), F.col("line_no").cast("string"))))
-    marked = marked.withColumn("key", key)
-    before = F.last("key", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    changed = F.col("key").isNotNull() & ~F.col("key").eqNullSafe(before)
-    return marked.withColumn("island", F.sum(changed.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("key")
+    marked = marked.withColumns({"key": key, "_segment": F.shiftright("line_no", SEGMENT_BITS)})
+    # the last key of each segment is carried over to those after it
+    ends = marked.where("key IS NOT NULL").groupBy(doc, "_segment").agg(F.max_by("key", "line_no").alias("_last"))
+    every = marked.select(doc, "_segment").distinct().join(ends, [doc, "_segment"], "left")
+    carried = every.select(doc, "_segment", F.last("_last", ignorenulls=True).over(Window.partitionBy(doc).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
+    order = Window.partitionBy(doc, "_segment").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.last("key", ignorenulls=True).over(order), F.col("_carried"))
+    changed = marked.join(carried, [doc, "_segment"]).withColumn("_changed", F.col("key").isNotNull() & ~F.col("key").eqNullSafe(before)).drop("_carried")
+    return scanned(changed, [doc], F.col("_segment"), ["line_no"], F.col("_changed"), "island").drop("key", "_changed")
 
 
 def block_scores(cut: DataFrame, doc: str = "doc") -> DataFrame:

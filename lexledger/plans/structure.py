@@ -122,6 +122,19 @@ def table_fold(v):
     return folds.table_records(v["spec_rows"]).withColumn("pages", F.array_join("pages", ",")).withColumn("record", F.col("record").cast("int")).select(*_RECORD_COLUMNS)
 
 
+#: All events as the tables of one document: a page for forty of them, each with a header.
+_LEDGER = """SELECT 1 AS doc, CAST(floor(event_id / 40) AS INT) AS page, 1 AS table_no, CAST(event_id % 40 + 2 AS INT) AS row_no, CASE event_type WHEN 'signup' THEN concat('BT-', event_id) ELSE '' END AS c0,
+    CASE event_type WHEN 'error' THEN '' ELSE event_type END AS c1, props AS c2, '' AS c3, CASE event_type WHEN 'click' THEN 'At' ELSE '' END AS c4, '' AS c5 FROM {events}
+  UNION ALL SELECT DISTINCT 1, CAST(floor(event_id / 40) AS INT), 1, 1, 'ID', 'Business term', 'Description', '', '', '' FROM {events}"""
+
+
+@query(f"WITH {_RECORDS.replace('{spec_rows}', f'({_LEDGER})')} SELECT * REPLACE (array_to_string(pages, ',') AS pages) FROM records")
+def one_long_document(v):
+    """Records of one document whose tables run over very many pages."""
+    found = folds.table_records(v.spark.sql(_LEDGER, events=v["events"]))
+    return found.withColumn("pages", F.array_join("pages", ",")).withColumn("record", F.col("record").cast("int")).select(*_RECORD_COLUMNS)
+
+
 @query(f"WITH {_BLOCKS} SELECT doc, code, start, score, block FROM detail")
 def detail_blocks(v):
     return _best_blocks(v, "detail").select("doc", "code", "start", "score", "block")

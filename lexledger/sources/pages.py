@@ -33,9 +33,9 @@ def decoded(documents: DataFrame, decoder: Callable[[bytes], list[tuple[str, lis
 
 
 def lines(pages: DataFrame, doc: str = "path") -> DataFrame:
-    """(doc, line_no, line) in the order of pages."""
+    """(doc, line_no, line) in the order of pages; a page has fewer than 2^32 lines."""
     each = pages.select(F.col(doc).alias("doc"), "page_number", F.posexplode(t.lines(F.col("text"))).alias("n", "line"))
-    return each.select("doc", (F.col("page_number").cast("long") * F.lit(1 << 20) + F.col("n")).alias("line_no"), "line")
+    return each.select("doc", (F.col("page_number").cast("long") * F.lit(1 << 32) + F.col("n")).alias("line_no"), "line")
 
 
 def table_rows(pages: DataFrame, doc: str = "path") -> DataFrame:

@@ -113,6 +113,29 @@ def test_many_headings_in_a_row_are_linear(spark):
     assert got == {"detail": (0, 3, n - 1), "table": (60002, 0, n - 60003)} and time.perf_counter() - began < 60
 
 
+def test_one_long_document_is_folded_in_segments(spark):
+    n = 200_000
+    rows = spark.range(n).selectExpr("1 AS doc", "id div 60000 AS page", "1 AS table_no", "id % 60000 AS row_no", "CASE WHEN id % 60000 = 3 THEN 'ID' WHEN id % 7 = 0 THEN concat('BT-', id) ELSE '' END AS c0",
+                                     "CASE WHEN id % 60000 = 3 THEN 'Business term' ELSE concat('n', id) END AS c1", *[f"'' AS c{k}" for k in range(2, 6)])
+    found = folds.table_records(rows)
+    got = {r.record: (r.field_code, r.field_name) for r in found.select("record", "field_code", "field_name").collect()}
+    want, open_ = {}, []
+    for k in range(n):
+        if k % 60000 == 3:
+            continue
+        if k % 7 == 0:
+            open_ = [f"BT-{k}", []]
+            want[len(want) + 1] = open_
+        open_[1].append(f"n{k}")
+    assert got == {r: (code, " ".join(names)) for r, (code, names) in want.items()}
+    lines_ = spark.range(n).selectExpr("1 AS doc", "id AS line_no", "CASE WHEN id % 50000 = 7 THEN concat('BT-', id, ' x') WHEN id % 50000 = 9 THEN concat('BT-', id - 2, ' y') ELSE 'z' END AS line")
+    ends = {r.island: (r.a, r.b) for r in folds.islands(lines_).groupBy("island").agg(F.min("line_no").alias("a"), F.max("line_no").alias("b")).collect()}
+    assert ends == {k: (max(0, k * 50000 - 49993), min(n, k * 50000 + 7) - 1) for k in range(5)}
+    for df in (found, folds.islands(lines_)):  # no window over rows is by document alone
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert all("_segment" in w for w in re.findall(r"windowspecdefinition\(.*", plan) if "_n#" not in w and "_last#" not in w and "_r#" not in w and "row_number" not in w)
+
+
 def test_rules_and_paths_of_a_block(spark):
     rules = one(spark, "block string", "\n".join(RULE_LINES)).select(folds.rules_of(F.col("block"))).first()[0]
     assert rules == ["BR-1 The invoice shall have a number.", "BR-2 Two"]
