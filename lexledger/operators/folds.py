@@ -11,6 +11,12 @@ _CELLS = ("c0", "c1", "c2", "c3", "c4", "c5")
 _SKIPPED = ("UBL Invoice Path", "UBL CreditNote Path (Approval)")
 
 
+def canonical_header(c: Column, aliases: dict[str, list[str]]) -> Column:
+    """The column that a header cell names, by a profile's aliases; null for others."""
+    pairs = [x for key, names in aliases.items() for n in names for x in (F.lit(n.lower()), F.lit(key))]
+    return F.try_element_at(F.create_map(*pairs), F.lower(F.trim(c))) if pairs else F.lit(None).cast("string")
+
+
 def continuation_groups(rows: DataFrame, keys: list[str], order: list[str], opens: Column) -> DataFrame:
     """rows plus ``record``: how many opening rows come up to each row within its keys; 0 before the first."""
     return rows.withColumn("record", F.sum(opens.cast("int")).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
@@ -33,6 +39,36 @@ def scanned(rows: DataFrame, keys: list[str], segment: Column, order: list[str],
     return cut.join(before, [*keys, "_segment"]).withColumn(name, F.col("_before") + own).drop("_segment", "_opens", "_before")
 
 
+#: What the columns of table_records() are called in its header, in their order.
+HEADER = ("ID", "Business term", "Description", "Note on use", "Type", "Card.")
+#: Names of the same columns in other documents' headers, by the keys that profiles use for them.
+ALIASES = {"field_id": ["ID"], "business_term": ["Business term"], "description": ["Description"], "note_on_use": ["Note on use"], "data_type": ["Type"], "cardinality": ["Card."]}
+
+
+def by_header(rows: DataFrame, aliases: dict[str, list[str]] = ALIASES, doc: str = "doc", cells: tuple[str, ...] = _CELLS) -> DataFrame:
+    """rows with the cells of each table in the order of table_records(), c0..c5, whatever their order and number in
+    the document: a table's columns are named by the first of its first five rows that names a field id and a business
+    term, in any of their aliases. Columns that it doesn't name are left out, those that are missing are empty. Tables
+    without such a row stay as they are.
+
+    aliases: names of a column by key, one for each of HEADER in their order; cells: the columns of rows.
+    """
+    place, keys = [doc, "page", "table_no"], list(aliases)
+    named = F.transform(F.array(*[F.coalesce(c, F.lit("")) for c in cells]), lambda c: canonical_header(t.stripped(c), aliases))
+    is_head = F.array_contains("_named", keys[0]) & F.array_contains("_named", keys[1])
+    first = rows.select(*place, "row_no", named.alias("_named")).withColumn("_r", F.row_number().over(Window.partitionBy(*place).orderBy("row_no"))).where("_r <= 5")
+    heads = first.where(is_head).groupBy(*place).agg(F.min_by("_named", "row_no").alias("_columns"))
+    both = rows.withColumn("_named", named).join(heads, place, "left")
+    every = F.array(*[F.coalesce(c, F.lit("")) for c in cells])
+
+    def cell(k: int) -> Column:
+        at = F.array_position("_columns", keys[k])
+        found = F.when(is_head, F.lit(HEADER[k])).when(at > 0, F.element_at(every, at.cast("int"))).otherwise(F.lit(""))
+        return F.when(F.col("_columns").isNull(), F.col(cells[k]) if k < len(cells) else F.lit("")).otherwise(found).alias(_CELLS[k])
+
+    return both.select(*place, "row_no", *[cell(k) for k in range(len(HEADER))])
+
+
 def table_records(rows: DataFrame, doc: str = "doc") -> DataFrame:
     """Field records of specification tables: a row with a field id opens a record, the rows after it continue it,
     over tables and pages.

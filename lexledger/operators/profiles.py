@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexledger.operators.folds import canonical_header  # noqa: F401  (a profile's aliases name columns)
 from lexledger.operators.versions import first_of
 
 
@@ -55,12 +56,6 @@ def replaced_paths(c, rules: list[tuple[str, str]]):
 HEADER_KEYS = ("field_id", "business_term", "description", "note_on_use", "data_type", "cardinality", "invoice_path", "credit_note_path", "remark")
 
 
-def canonical_header(c, aliases: dict[str, list[str]]):
-    """The column that a header cell names, by a profile's aliases; null for others."""
-    pairs = [x for key, names in aliases.items() for n in names for x in (F.lit(n.lower()), F.lit(key))]
-    return F.element_at(F.create_map(*pairs), F.lower(F.trim(c))) if pairs else F.lit(None).cast("string")
-
-
 def block_score(block, signals: dict[str, int]):
     """Sum of the weights of a profile's signals: contains:<text> for each occurrence, first_line_regex:<pattern>,
     line_startswith_path."""

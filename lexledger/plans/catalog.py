@@ -113,7 +113,7 @@ def validate_rule_evidence(v):
 
 
 def _issues(v):
-    return settled(validate.all_issues(v["dup_fields"], v["rules"], v["evidence"], v["rule_evidence"]))
+    return validate.all_issues(v["dup_fields"], v["rules"], v["evidence"], v["rule_evidence"])
 
 
 @query(f"WITH {_ISSUES} SELECT * FROM issues")
@@ -128,7 +128,7 @@ def review_queue(v):
 
 @query(f"WITH {_ISSUES}, {_CHANGES}, {_QUEUE}, n AS (SELECT (SELECT count(*) FROM items) AS review_items, (SELECT count(*) FROM issues) AS issues) SELECT *, review_items = 0 AND n.issues = 0 AS publish FROM n")
 def auto_publish_gate(v):
-    issues = _issues(v)
+    issues = settled(_issues(v))
     return review.release_gate(review.queue(issues, diff.field_changes(v["pub_fields"], v["cand_fields"])), issues)
 
 
@@ -145,7 +145,7 @@ def release_policy(v):
 @query(f"""WITH {_ISSUES}, {_CHANGES}, {_QUEUE} SELECT 'fields' AS metric, count(*) AS value FROM {{dup_fields}} UNION ALL SELECT 'issues', count(*) FROM issues
   UNION ALL SELECT 'review_items', count(*) FROM items UNION ALL SELECT 'rules', count(*) FROM {{rules}} UNION ALL SELECT 'citations', count(*) FROM {{evidence}}""")
 def run_metrics(v):
-    issues = _issues(v)
+    issues = settled(_issues(v))
     return review.run_metrics(fields=v["dup_fields"], rules=v["rules"], citations=v["evidence"], issues=issues, review_items=review.queue(issues, diff.field_changes(v["pub_fields"], v["cand_fields"])))
 
 

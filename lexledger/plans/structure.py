@@ -122,6 +122,22 @@ def table_fold(v):
     return folds.table_records(v["spec_rows"]).withColumn("pages", F.array_join("pages", ",")).withColumn("record", F.col("record").cast("int")).select(*_RECORD_COLUMNS)
 
 
+_SHIFT = "(doc + page) % 6"
+#: The tables of specifications with full headers in other words, and their columns moved on by a number that depends on
+#: document and page.
+_MOVED = f"""SELECT doc, page, table_no, row_no, {', '.join(f"CASE {_SHIFT} {' '.join(f'WHEN {s} THEN {f"n{(k + s) % 6}"}' for s in range(6))} END AS c{k}" for k in range(6))} FROM (
+  SELECT *, CASE WHEN c0 = 'ID' AND c1 = 'Business term' THEN ' id ' ELSE c0 END AS n0, CASE WHEN c0 = 'ID' AND c1 = 'Business term' THEN 'NAME' ELSE c1 END AS n1, CASE WHEN c0 = 'ID' THEN 'Meaning' ELSE c2 END AS n2,
+    CASE WHEN c0 = 'ID' THEN 'Use' ELSE c3 END AS n3, CASE WHEN c0 = 'ID' THEN 'Semantic type' ELSE c4 END AS n4, CASE WHEN c0 = 'ID' THEN 'Cardinality' ELSE c5 END AS n5 FROM {{spec_rows}}) x"""
+_OTHER_NAMES = {"field_id": ["ID", "No."], "business_term": ["Name"], "description": ["Meaning"], "note_on_use": ["Use"], "data_type": ["Semantic type"], "cardinality": ["Card.", "Cardinality"]}
+
+
+@query(f"WITH {_RECORDS} SELECT * REPLACE (array_to_string(pages, ',') AS pages) FROM records")
+def headed_tables(v):
+    """The records of tables whose columns stand in another order on every page, under other names."""
+    found = folds.table_records(folds.by_header(v.spark.sql(_MOVED, spec_rows=v["spec_rows"]), _OTHER_NAMES))
+    return found.withColumn("pages", F.array_join("pages", ",")).withColumn("record", F.col("record").cast("int")).select(*_RECORD_COLUMNS)
+
+
 #: All events as the tables of one document: a page for forty of them, each with a header.
 _LEDGER = """SELECT 1 AS doc, CAST(floor(event_id / 40) AS INT) AS page, 1 AS table_no, CAST(event_id % 40 + 2 AS INT) AS row_no, CASE event_type WHEN 'signup' THEN concat('BT-', event_id) ELSE '' END AS c0,
     CASE event_type WHEN 'error' THEN '' ELSE event_type END AS c1, props AS c2, '' AS c3, CASE event_type WHEN 'click' THEN 'At' ELSE '' END AS c4, '' AS c5 FROM {events}

@@ -113,6 +113,16 @@ def test_many_headings_in_a_row_are_linear(spark):
     assert got == {"detail": (0, 3, n - 1), "table": (60002, 0, n - 60003)} and time.perf_counter() - began < 60
 
 
+def test_columns_are_found_by_headers(spark):
+    order = [5, 2, 0, 4, 1, 3]  # and a column more
+    moved = [(p, n, r, *[cells[k] for k in order], "extra") for p, n, r, *cells in TABLE_ROWS]
+    rows = spark.createDataFrame([(1, *r) for r in moved], "doc int, page int, table_no int, row_no int, " + ", ".join(f"c{k} string" for k in range(7)))
+    found = folds.table_records(folds.by_header(rows, cells=tuple(f"c{k}" for k in range(7)))).withColumn("pages", F.array_join("pages", ","))
+    assert rows_of(found, *RECORD_COLUMNS) == RECORDS
+    bare = rows.where("page = 1 AND table_no = 2")
+    assert [(r.c0, r.c1) for r in folds.by_header(bare, cells=tuple(f"c{k}" for k in range(7))).collect()] == [(r.c0, r.c1) for r in bare.collect()]
+
+
 def test_one_long_document_is_folded_in_segments(spark):
     n = 200_000
     rows = spark.range(n).selectExpr("1 AS doc", "id div 60000 AS page", "1 AS table_no", "id % 60000 AS row_no", "CASE WHEN id % 60000 = 3 THEN 'ID' WHEN id % 7 = 0 THEN concat('BT-', id) ELSE '' END AS c0",
