@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexledger.operators.folds import canonical_header  # noqa: F401  (a profile's aliases name columns)
@@ -104,3 +104,43 @@ def generated_checks(fields: DataFrame) -> DataFrame:
         )
     )
     return fields.select("field_code", F.explode(tests).alias("predicate"))
+
+
+def _entry_hash(path: Column, value: Column) -> Column:
+    """60 bits of what a profile holds at a path; 0 for nothing."""
+    return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(F.conv(F.substring(F.md5(F.concat_ws("=", path, value)), 1, 15), 16, 10).cast("bigint"))
+
+
+def patch_effects(patches: DataFrame) -> DataFrame:
+    """(profile_id, ord, path, value, content_hash, effective): what every patch makes of its profile.
+
+    patches: profile_id, ord, path, value; value is JSON, null (or no JSON) removes the path. Values are compared as
+    VARIANTs, so that their spelling does not matter. A profile's content is known by the exclusive or of the hashes of
+    what it holds, which a patch changes by what it puts in and what it takes out, so no content is put together for a
+    patch. ``effective``: whether the content differs from that before; patches without effect make no version.
+    Patches of a profile apply in the order of ``ord`` (then path and value).
+    """
+    value = F.to_json(F.try_parse_json("value"))
+    order = ("ord", "path", "value")
+    given = patches.select("profile_id", "ord", "path", value.alias("value"))
+    before = F.lag("value").over(Window.partitionBy("profile_id", "path").orderBy(*order))
+    change = given.withColumn("_change", _entry_hash(F.col("path"), F.col("value")).bitwiseXOR(_entry_hash(F.col("path"), before)))
+    upto = Window.partitionBy("profile_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return change.withColumn("content_hash", F.bit_xor("_change").over(upto)).withColumn("effective", F.col("_change") != 0).drop("_change")
+
+
+def profile_versions(patches: DataFrame) -> DataFrame:
+    """(profile_id, content_hash, first_ord, uses): the versions of each profile. A version is a content, so one that
+    comes back is the version that it was; uses: how many effective patches led to it."""
+    found = patch_effects(patches).where("effective")
+    return found.groupBy("profile_id", "content_hash").agg(F.min("ord").alias("first_ord"), F.count("*").alias("uses"))
+
+
+def current_profiles(patches: DataFrame) -> DataFrame:
+    """(profile_id, config): what each profile holds after all patches, as a VARIANT object by path; profiles that hold
+    nothing are empty objects."""
+    value = F.to_json(F.try_parse_json("value"))
+    last = patches.groupBy("profile_id", "path").agg(F.max(F.struct("ord", F.coalesce(value, F.lit("")).alias("v")))["v"].alias("v"))
+    quoted = F.concat(F.to_json(F.array("path")).substr(F.lit(2), F.length(F.to_json(F.array("path"))) - 2), F.lit(":"), F.col("v"))
+    per = last.groupBy("profile_id").agg(F.array_sort(F.collect_list(F.when(F.col("v") != "", quoted))).alias("entries"))
+    return per.select("profile_id", F.parse_json(F.concat(F.lit("{"), F.array_join("entries", ","), F.lit("}"))).alias("config"))

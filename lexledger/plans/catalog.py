@@ -267,3 +267,28 @@ def roundtrip_loss(v):
     fields = v.spark.sql(_STORED, base_fields=v["base_fields"])
     stored = versions.path_rows(fields)
     return fields.select("field_code").join(versions.paths_of(stored), "field_code", "left")
+
+
+#: Patches of parser profiles: events set what their type says, with values of few kinds and spellings, and errors take
+#: out what clicks have set.
+_PATCHES = """SELECT user_id % 20 AS profile_id, event_id AS ord, CASE event_type WHEN 'error' THEN 'click' ELSE event_type END AS path, kind, CASE WHEN event_type = 'error' THEN NULL WHEN kind % 2 = 0 THEN concat(' ', kind, ' ') ELSE concat(chr(123), '"n": ', kind, chr(125)) END AS value
+  FROM (SELECT *, CAST(floor(value / 130) AS INT) AS kind FROM {events}) x"""
+_EFFECTS = f"""p AS (SELECT profile_id, ord, path, CASE WHEN value IS NULL THEN NULL WHEN kind % 2 = 0 THEN CAST(kind AS VARCHAR) ELSE concat(chr(123), '"n":', kind, chr(125)) END AS value FROM ({_PATCHES})),
+  c AS (SELECT *, CASE WHEN value IS NULL THEN 0 ELSE CAST(('0x' || substr(md5(path || '=' || value), 1, 15)) AS BIGINT) END AS h FROM p),
+  d AS (SELECT *, xor(h, coalesce(lag(h) OVER (PARTITION BY profile_id, path ORDER BY ord), 0)) AS change FROM c),
+  e AS (SELECT *, bit_xor(change) OVER (PARTITION BY profile_id ORDER BY ord) AS content_hash, change <> 0 AS effective FROM d)"""
+
+
+@query(f"WITH {_EFFECTS} SELECT profile_id, content_hash, min(ord) AS first_ord, count(*) AS uses FROM e WHERE effective GROUP BY profile_id, content_hash")
+def profile_versions(v):
+    """Versions of profiles under very many patches, of which those without effect make none."""
+    return profiles.profile_versions(v.spark.sql(_PATCHES, events=v["events"]))
+
+
+@query(f"""WITH {_EFFECTS}, l AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY profile_id, path ORDER BY ord DESC) = 1)
+  SELECT profile_id, CAST(count(value) AS INT) AS paths, CAST(max(CASE WHEN path = 'view' THEN try_cast(value AS INT) END) AS INT) AS view, CAST(max(CASE WHEN path = 'view' THEN json_extract(value, '$.n')::INT END) AS INT) AS view_n FROM l GROUP BY profile_id""")
+def profile_configs(v):
+    """What profiles hold at last: how many paths, and what is at one of them."""
+    got = profiles.current_profiles(v.spark.sql(_PATCHES, events=v["events"]))
+    at = lambda path, kind: F.try_variant_get("config", path, kind)
+    return got.select("profile_id", F.size(F.map_keys(F.from_json(F.to_json("config"), "map<string,string>"))).alias("paths"), at("$.view", "int").alias("view"), at("$.view.n", "int").alias("view_n"))

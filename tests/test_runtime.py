@@ -109,3 +109,15 @@ def test_generated_checks_run(spark):
     checks = [r["predicate"] for r in profiles.generated_checks(fields).collect()]
     invoices = spark.createDataFrame([("abc",), (None,), ("x",), ("long one",), ("1.5",), ("1.255",)], "`BT-1` string")
     assert [r[0] for r in invoices.where(" AND ".join(f"({c})" for c in checks)).collect()] == ["abc", "1.5"]
+
+
+def test_patches_without_effect_make_no_version(spark):
+    rows = [("a", 1, "x", "1"), ("a", 2, "x", " 1 "), ("a", 3, "y", '{"q": 1, "p": [2]}'), ("a", 4, "y", '{"p":[2],"q":1}'), ("a", 5, "x", None), ("a", 6, "x", "1"), ("a", 7, "z", "no json"), ("b", 1, 'o"dd', "null"), ("c", 1, "x", None)]
+    patches = spark.createDataFrame(rows, "profile_id string, ord int, path string, value string").repartition(3)
+    effects = {(r.profile_id, r.ord): (r.content_hash, r.effective) for r in profiles.patch_effects(patches).collect()}
+    assert {k for k, (_, e) in effects.items() if e} == {("a", 1), ("a", 3), ("a", 5), ("a", 6), ("b", 1)}
+    assert effects["a", 6][0] == effects["a", 4][0] == effects["a", 7][0] and effects["c", 1][0] == 0
+    found = {(r.profile_id, r.first_ord): r.uses for r in profiles.profile_versions(patches).collect()}
+    assert found == {("a", 1): 1, ("a", 3): 2, ("a", 5): 1, ("b", 1): 1}
+    got = {r.profile_id: json.loads(r.c) for r in profiles.current_profiles(patches).select("profile_id", F.to_json("config").alias("c")).collect()}
+    assert got == {"a": {"x": 1, "y": {"p": [2], "q": 1}}, "b": {'o"dd': None}, "c": {}}
