@@ -221,3 +221,28 @@ def value_set(note: Column, remark: Column, block: Column, data_type: Column) ->
 def response_json(c: Column) -> Column:
     """A model's answer without its code fence."""
     return F.trim(F.regexp_replace(F.regexp_replace(stripped(c), r"^```(?:json)?\s*", ""), r"\s*```$", ""))
+
+
+def _string_at(v: Column, path: str) -> Column:
+    """What a VARIANT holds at a path if that is a string."""
+    found = F.try_variant_get(v, path, "variant")
+    return F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(v, path, "string"))
+
+
+def response_text(content: Column) -> Column:
+    """A model's answer as one text. content: VARIANT; a string, or a list of parts: strings, objects with a text, or of
+    type text with a content. Parts of other kinds and empty ones are left out, the rest joined by line ends; anything
+    else is taken as its JSON."""
+    kind = lambda p: F.when(_string_at(p, "$.type") == "text", _string_at(p, "$.content"))
+    part = lambda p: F.coalesce(_string_at(p, "$"), _string_at(p, "$.text"), kind(p), F.lit(""))
+    parts = F.filter(F.transform(F.try_variant_get(content, "$", "array<variant>"), part), lambda x: x != "")
+    return F.coalesce(_string_at(content, "$"), F.array_join(parts, "\n"), F.to_json(content))
+
+
+def field_updates(content: Column, schema: str) -> Column:
+    """The updates of a model's answer (see response_text), an array of ``schema``: what stands under field_updates, or
+    else under updates. Null if the answer is no JSON or has neither."""
+    answer = F.try_parse_json(response_json(response_text(content)))
+    at = lambda name: F.try_variant_get(answer, f"$.{name}", f"array<{schema}>")
+    has = F.try_variant_get(answer, "$.field_updates", "variant").isNotNull()
+    return F.when(has, at("field_updates")).otherwise(at("updates"))

@@ -52,3 +52,39 @@ def all_issues(fields: DataFrame, rules: DataFrame, field_evidence: DataFrame, r
         rules_without_evidence(rules, rule_evidence),
     )
     return reduce(DataFrame.unionByName, found)
+
+
+#: Paths: a document, then elements with or without a prefix, at last maybe an attribute.
+PATH = r"^/(Invoice|CreditNote)(/([A-Za-z][A-Za-z0-9]*:)?[A-Za-z][A-Za-z0-9_]*)*(/@[A-Za-z][A-Za-z0-9_:-]*)?$"
+
+
+def odd_paths(fields: DataFrame) -> DataFrame:
+    """Fields with a path that is none, or that leads into the other kind of document; subject: the path."""
+    each = fields.select("field_code", F.expr("stack(2, 'Invoice', invoice_path, 'CreditNote', credit_note_path) AS (kind, path)")).where("coalesce(path, '') <> ''")
+    bad = each.where(~F.col("path").rlike(PATH) | (F.regexp_extract("path", PATH, 1) != F.col("kind")))
+    return _issues(bad, "warning", "odd_field_path", "field_code", "path")
+
+
+def missing_columns(fields: DataFrame, required: tuple[str, ...] = ("field_name", "data_type", "occurrence_max")) -> DataFrame:
+    """Fields without a required value; subject: the names of what is missing."""
+    missing = F.array_compact(F.array(*[F.when(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == "", F.lit(c)) for c in required]))
+    bad = fields.withColumn("_missing", F.array_join(missing, ", ")).where("_missing <> ''")
+    return _issues(bad, "error", "missing_required_value", "field_code", "_missing")
+
+
+def normal_code(code):
+    """A code without blanks, in capitals: what entries of a code list are compared by."""
+    return F.upper(F.regexp_replace(F.coalesce(code, F.lit("")), r"\s+", ""))
+
+
+def colliding_codes(entries: DataFrame) -> DataFrame:
+    """Entries of a code list whose codes are the same but for blanks and case; subject: the list and the codes, each
+    spelling once. entries: code_list_name, code."""
+    each = entries.where("code IS NOT NULL").select("code_list_name", "code").distinct()
+    same = each.groupBy("code_list_name", normal_code(F.col("code")).alias("normal")).agg(F.array_sort(F.collect_list("code")).alias("codes")).where(F.size("codes") > 1)
+    return _issues(same.withColumn("subject", F.concat_ws(": ", "code_list_name", F.array_join("codes", ", "))), "warning", "colliding_codes", None, "subject")
+
+
+def extra_issues(fields: DataFrame, entries: DataFrame) -> DataFrame:
+    """The three further checks of a catalog and its code lists."""
+    return odd_paths(fields).unionByName(missing_columns(fields)).unionByName(colliding_codes(entries))

@@ -292,3 +292,19 @@ def profile_configs(v):
     got = profiles.current_profiles(v.spark.sql(_PATCHES, events=v["events"]))
     at = lambda path, kind: F.try_variant_get("config", path, kind)
     return got.select("profile_id", F.size(F.map_keys(F.from_json(F.to_json("config"), "map<string,string>"))).alias("paths"), at("$.view", "int").alias("view"), at("$.view.n", "int").alias("view_n"))
+
+
+_ODD_FIELDS = """SELECT field_code, CASE WHEN ord % 53 = 0 THEN ' ' ELSE field_name END AS field_name, CASE WHEN ord % 59 = 0 THEN '' ELSE data_type END AS data_type, CASE occurrence_max WHEN '0' THEN NULL ELSE occurrence_max END AS occurrence_max,
+  CASE ord % 7 WHEN 0 THEN replace(invoice_path, 'Brand#', 'cbc:Brand') WHEN 1 THEN '/Invoice/cac:A/cbc:ID/@schemeID' WHEN 2 THEN '/CreditNote/cbc:ID' ELSE invoice_path END AS invoice_path, CASE ord % 5 WHEN 0 THEN '/CreditNote/cbc:ID' WHEN 1 THEN 'cbc:ID' ELSE credit_note_path END AS credit_note_path
+  FROM {cand_fields}"""
+_ODD_ENTRIES = "SELECT c_mktsegment AS code_list_name, CASE c_custkey % 3 WHEN 0 THEN concat('c ', c_custkey % 97) WHEN 1 THEN concat('C', c_custkey % 97) ELSE concat('d', c_custkey) END AS code FROM {customer}"
+
+
+@query(f"""WITH f AS ({_ODD_FIELDS}), p AS (SELECT field_code, 'Invoice' AS kind, invoice_path AS path FROM f UNION ALL SELECT field_code, 'CreditNote', credit_note_path FROM f),
+  e AS (SELECT DISTINCT code_list_name, code FROM ({_ODD_ENTRIES}) x WHERE code IS NOT NULL)
+  SELECT 'warning' AS severity, 'odd_field_path' AS code, field_code, path AS subject FROM p WHERE coalesce(path, '') <> '' AND NOT regexp_matches(path, concat('^/', kind, '(/([A-Za-z][A-Za-z0-9]*:)?[A-Za-z][A-Za-z0-9_]*)*(/@[A-Za-z][A-Za-z0-9_:-]*)?$'))
+  UNION ALL SELECT 'error', 'missing_required_value', field_code, subject FROM (SELECT field_code, concat_ws(', ', CASE WHEN trim(field_name) = '' THEN 'field_name' END, CASE WHEN coalesce(trim(data_type), '') = '' THEN 'data_type' END, CASE WHEN coalesce(occurrence_max, '') = '' THEN 'occurrence_max' END) AS subject FROM f) WHERE subject <> ''
+  UNION ALL SELECT 'warning', 'colliding_codes', NULL, concat(code_list_name, ': ', string_agg(code, ', ' ORDER BY code)) FROM e GROUP BY code_list_name, upper(replace(code, ' ', '')) HAVING count(*) > 1""")
+def validate_extra(v):
+    """Paths that are none, missing values, and codes that differ in blanks and case only."""
+    return validate.extra_issues(v.spark.sql(_ODD_FIELDS, cand_fields=v["cand_fields"]), v.spark.sql(_ODD_ENTRIES, customer=v["customer"]))

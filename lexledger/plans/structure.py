@@ -230,6 +230,21 @@ def response_cleanup(v):
     return v.spark.sql(_ANSWERS, conversations=v["conversations"]).select("conv_id", "turn", t.response_json(F.col("raw")).alias("answer"))
 
 
+@query("SELECT conv_id, turn, concat('BT-', turn) AS field_code, text AS notes FROM conversations")
+def answer_updates(v):
+    """Updates out of model answers that come as a text, or as parts of several kinds, in a fence."""
+    key = F.when(F.col("turn") % 2 == 0, F.lit("updates")).otherwise(F.lit("field_updates"))
+    one = F.struct(F.concat(F.lit("BT-"), F.col("turn").cast("string")).alias("field_code"), F.col("text").alias("notes"))
+    body = F.to_json(F.map_from_arrays(F.array(key), F.array(F.array(one))), {"ignoreNullFields": "false"})
+    fenced = F.concat(F.lit("```json\n"), body, F.lit("\n```"))
+    whole = F.to_json(F.array(fenced))
+    object_ = lambda **c: F.to_json(F.struct(*[x.alias(k) for k, x in c.items()]))
+    split = F.concat(F.lit('["```json",'), object_(text=body), F.lit(','), object_(type=F.lit("text"), content=F.lit("```")), F.lit(',{"type":"image","content":"x"},"",7]'))
+    content = F.when(F.col("turn") % 3 == 0, whole).when(F.col("turn") % 3 == 1, F.substring(whole, F.lit(2), F.length(whole) - 2)).otherwise(split)
+    found = v["conversations"].select("conv_id", "turn", F.explode(t.field_updates(F.parse_json(content), "struct<field_code:string,notes:string>")).alias("u"))
+    return found.select("conv_id", "turn", "u.*")
+
+
 def _heading(block: str) -> str:
     first = _strip(f"split_part({block}, chr(10), 1)")
     return f"CASE WHEN starts_with({first}, concat(code, ' ')) THEN {_squash(f'substring({first}, length(code) + 2)')} END"

@@ -34,4 +34,5 @@ CODE_LIST_ROW = "document_version_id bigint, code_list_name string, origin strin
 CODE_ENTRY = "document_version_id bigint, code_list_name string, position int, code string, label string, description string"
 CODE_LIST_CITATION = CITATION.replace("field_code", "code_list_name")
 CHANGE = "document_version_id bigint, field_code string, change_type string, risk_level string, auto_approved boolean"
+BASELINE = "jurisdiction string, tax_domain string, profile string, document_version_id bigint, promoted_at timestamp"
 ISSUE = "document_version_id bigint, severity string, code string, field_code string, subject string"

@@ -35,7 +35,7 @@ TABLES: dict[str, tuple[str, str, list[str]]] = {
     "rule": (schemas.RULE_ROW, "rule_code", BY_VERSION), "rule_link": (schemas.RULE_LINK, "rule_code", BY_VERSION), "rule_citation": (schemas.RULE_CITATION, "rule_code", BY_VERSION),
     "code_list": (schemas.CODE_LIST_ROW, "code_list_name", BY_VERSION), "code_entry": (schemas.CODE_ENTRY, "code_list_name", BY_VERSION), "code_list_citation": (schemas.CODE_LIST_CITATION, "code_list_name", BY_VERSION),
     "issue": (schemas.ISSUE, "code", BY_VERSION), "change": (schemas.CHANGE, "field_code", BY_VERSION), "diff": (schemas.DIFF, "diff_id", BY_VERSION), "queue_item": (schemas.QUEUE_ITEM, "item_id", BY_VERSION),
-    "artifact": (schemas.ARTIFACT, "bundle_type", BY_VERSION),
+    "artifact": (schemas.ARTIFACT, "bundle_type", BY_VERSION), "baseline": (schemas.BASELINE, "document_version_id", []),
 }
 _EVIDENCE = "array<struct<id:bigint,page_number:int,section_title:string,source_kind:string,quote_text:string>>"
 
@@ -171,7 +171,24 @@ class Store:
         """Fields of the latest published version, paths put back."""
         known = self.table("version").where((F.col("jurisdiction") == jurisdiction) & (F.col("tax_domain") == tax_domain))
         latest = versions.latest_published(known).first()
-        of = (lambda name: self.of(name, latest["document_version_id"])) if latest else (lambda name: self.table(name).limit(0))
+        return self._fields(latest["document_version_id"] if latest else None)
+
+    def promote(self, document_version_id: int, profile: str) -> None:
+        """Make a published version the baseline that runs of a profile in its domain are compared with, from now on.
+        Promotions are appended, so what was the baseline before can be read."""
+        row = self.table("version").where((F.col("document_version_id") == document_version_id) & (F.col("status") == "published"))
+        if row.isEmpty():
+            raise LookupError(f"version {document_version_id} is not published")
+        self.append("baseline", settled(row.select(*BY_DOMAIN, "document_version_id").withColumns({"profile": F.lit(profile), "promoted_at": F.current_timestamp()})))
+
+    def baseline_fields(self, jurisdiction: str, tax_domain: str, profile: str) -> DataFrame:
+        """Fields of the last version that was promoted for a profile, paths put back; none without one."""
+        known = self.table("baseline").where((F.col("jurisdiction") == jurisdiction) & (F.col("tax_domain") == tax_domain) & (F.col("profile") == profile))
+        last = known.orderBy(F.desc("promoted_at"), F.desc("document_version_id")).first()
+        return self._fields(last["document_version_id"] if last else None)
+
+    def _fields(self, document_version_id: int | None) -> DataFrame:
+        of = (lambda name: self.table(name).limit(0)) if document_version_id is None else (lambda name: self.of(name, document_version_id))
         return of("field").join(versions.paths_of(of("path"), "document_version_id"), ["document_version_id", "field_code"], "left")
 
     def summary(self, document_version_id: int) -> DataFrame:

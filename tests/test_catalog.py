@@ -246,6 +246,24 @@ def test_published_bundle_is_found_copied_or_made(spark, bundle, tmp_path):
     assert store.published_bundle(vid, str(tmp_path / "other")) == made
 
 
+def test_baselines_are_promoted(spark, bundle, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    fields, rules, lists = parts(spark, bundle)
+    none, items = nothing(spark)
+    save = lambda label, f: store.persist(label, BUNDLE["document"] | {"issued_on": None, "version_label": label}, f, rules, lists, none, diff.field_changes(f.limit(0), f), items)
+    one, two = save("v1", fields), save("v2", fields.where("field_code = 'BT-1'"))
+    with pytest.raises(LookupError, match="not published"):
+        store.promote(one, "p")
+    assert store.baseline_fields("HR", "einvoice", "p").count() == 0
+    for vid in (one, two):
+        store.publish(vid, "me")
+    store.promote(one, "p")
+    store.promote(two, "q")
+    assert store.baseline_fields("HR", "einvoice", "p").count() == 2 and store.baseline_fields("HR", "einvoice", "q").count() == 1
+    store.promote(two, "p")
+    assert store.baseline_fields("HR", "einvoice", "p").count() == 1 and store.table("baseline").count() == 3
+
+
 def test_updates_of_a_field_apply_in_order(spark):
     fields = spark.createDataFrame([("BT-1", "Name", "explicit", "", "", "true", ["a"], 0.5), ("BT-2", "Other", "inferred", "old", "h", "", [], 0.5), ("BT-3", "None", "explicit", "n", "h", "s", ["b"], 0.9)], "field_code string, field_name string, origin string, notes string, format_hint string, sample string, refs array<string>, confidence double")
     updates = spark.createDataFrame([("BT-1", 2, "second", "h2", "s2", ["b"], 0.9), ("BT-1", 1, "first", None, None, ["a", "c"], 0.7), ("BT-2", 1, "one", None, "x", None, 0.1), ("BT-2", 2, "two", None, "y", ["z"], None), ("BT-9", 1, "no", None, None, None, 1.0)], "field_code string, ord int, notes string, format_hint string, sample string, refs array<string>, confidence double")

@@ -196,3 +196,18 @@ def test_whole_extraction(spark):
     rules = extract.rule_definitions(records).withColumn("refs", F.array_join("refs", ","))
     assert rows_of(rules, "rule_code", "rule_type", "expression_text", "refs", "severity") == [("BR-1", "presence", "BR-1 BT-1 must have a value. See BT-9 and BT-3.", "BT-1,BT-3,BT-9", "error")]
     assert extract.with_text(folds.table_records(table_rows(spark)), lines(spark, [])).count() == 2
+
+
+@pytest.mark.parametrize("content, want", [
+    ('"plain"', "plain"), ('["a", {"text": "b"}, {"type": "text", "content": "c"}, {"type": "x", "content": "no"}, "", {"text": 5}, null, 7]', "a\nb\nc"), ("[]", ""), ('{"a":1}', '{"a":1}'), ("5", "5"),
+])
+def test_answers_of_parts(spark, content, want):
+    assert one(spark, "c string", content).select(t.response_text(F.parse_json("c"))).first()[0] == want
+
+
+@pytest.mark.parametrize("answer, want", [
+    ('{"updates":[{"a":1}]}', [1]), ('```json\n{"field_updates":[{"a":2}],"updates":[{"a":1}]}\n```', [2]), ("no json", None), ('{"other":[]}', None), ('{"updates":[]}', []),
+])
+def test_updates_of_answers(spark, answer, want):
+    got = one(spark, "c string", answer).select(t.field_updates(F.parse_json(F.to_json(F.array("c"))), "struct<a:int>")).first()[0]
+    assert (got if got is None else [u.a for u in got]) == want
