@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexledger.streaming.replay import partitions_for, settings
+
 VERSIONS = "document_version_id long, owner long, created_at timestamp"
 RUNS = "run_id long, owner long, started_at timestamp"
 
@@ -29,12 +31,14 @@ def replayed(arrivals: list[tuple[DataFrame, DataFrame]], within: str, late: str
     """What the streams give when tables of versions and runs arrive one after the other, the stream being started on
     each and continued from its checkpoint."""
     spark = arrivals[0][0].sparkSession
-    for pair in arrivals:
-        sides = []
-        for rows, ddl, name in zip(pair, (VERSIONS, RUNS), ("versions", "runs"), strict=True):
-            columns = [x.split() for x in ddl.split(", ")]
-            rows.select(*[F.col(c).cast(kind).alias(c) for c, kind in columns]).write.mode("append").parquet(f"{folder}/{name}")
-            sides.append(spark.readStream.schema(ddl).parquet(f"{folder}/{name}"))
-        out = with_runs(*sides, within, late).writeStream.format("parquet").option("path", f"{folder}/joined").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
-        out.start().awaitTermination()
+    n = partitions_for(spark, sum(rows.count() for pair in arrivals for rows in pair))
+    with settings(spark, spark__sql__shuffle__partitions=n):
+        for pair in arrivals:
+            sides = []
+            for rows, ddl, name in zip(pair, (VERSIONS, RUNS), ("versions", "runs"), strict=True):
+                columns = [x.split() for x in ddl.split(", ")]
+                rows.select(*[F.col(c).cast(kind).alias(c) for c, kind in columns]).write.mode("append").parquet(f"{folder}/{name}")
+                sides.append(spark.readStream.schema(ddl).parquet(f"{folder}/{name}"))
+            out = with_runs(*sides, within, late).writeStream.format("parquet").option("path", f"{folder}/joined").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+            out.start().awaitTermination()
     return spark.read.schema("document_version_id long, owner long, created_at timestamp, run_id long, started_at timestamp").parquet(f"{folder}/joined")

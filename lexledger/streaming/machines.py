@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from lexledger.streaming.replay import partitions_for, settings
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -129,14 +131,11 @@ def replayed(arrivals: list[DataFrame], machine: Machine, late: str, folder: str
     """The moves that a stream finds when tables of events arrive one after the other: each is put into the stream's
     input and the stream is started on it, ended and continued from its checkpoint."""
     spark = arrivals[0].sparkSession
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    try:
+    n = partitions_for(spark, sum(rows.count() for rows in arrivals))
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB, spark__sql__shuffle__partitions=n):
         for rows in arrivals:
             rows.select("key", "event_id", "ts", "event").write.mode("append").parquet(f"{folder}/events")
             stream = spark.readStream.schema(rows.select("key", "event_id", "ts", "event").schema).parquet(f"{folder}/events")
             query = moves(stream, machine, late).writeStream.format("parquet").option("path", f"{folder}/moves").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
             query.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     return spark.read.schema(MOVES).parquet(f"{folder}/moves")
