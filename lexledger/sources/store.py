@@ -16,7 +16,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ from lexledger.operators import versions
 from lexledger.operators.lineage import settled
 from lexledger.sources import bundles
 
+TABLES_AT_A_TIME = 6
 BY_VERSION, BY_DOMAIN = ["document_version_id"], ["jurisdiction", "tax_domain"]
 #: Of each table its columns, a column that no row lacks, and what it is partitioned by.
 TABLES: dict[str, tuple[str, str, list[str]]] = {
@@ -93,9 +96,11 @@ class Store:
 
     def save_snapshots(self, ids: DataFrame, snapshot: dict[str, DataFrame]) -> None:
         """Replace what is stored for all versions of ``ids`` (document_version_id) by the tables of a snapshot, each
-        with its document_version_id; tables that it doesn't name stay."""
-        for name, rows in snapshot.items():
-            self.replace(name, rows, ids)
+        with its document_version_id; tables that it doesn't name stay. Tables are written side by side: most of them
+        are short jobs."""
+        with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
+            for done in [pool.submit(inheritable_thread_target(self.spark)(self.replace), name, rows, ids) for name, rows in snapshot.items()]:
+                done.result()
 
     def load_snapshots(self, ids: DataFrame | None = None) -> dict[str, DataFrame]:
         """(fields, rules, code_lists) of all versions, or of those of ``ids``, put together again."""
