@@ -113,6 +113,23 @@ def test_many_headings_in_a_row_are_linear(spark):
     assert got == {"detail": (0, 3, n - 1), "table": (60002, 0, n - 60003)} and time.perf_counter() - began < 60
 
 
+def test_lines_are_read_once_and_numbered_without_their_text(spark):
+    df = spark.range(3000).selectExpr("id % 3 AS doc", "(id div 1000 << 32) + id AS line_no", "CASE WHEN id % 100 < 3 THEN concat('BT-', id % 3, ' of page') WHEN id % 100 = 9 THEN 'Business Rule' ELSE concat('\u2003text ', id, ' ') END AS line")
+    found = folds.best_blocks(df)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in plan  # the lines have been taken apart, once
+    assert not re.search(r"\bline#", plan[plan.index("Window") :].partition("Relation")[0])  # what windows sort has no text
+    got = {(r.doc, r.kind): (r.start, r.score, r.block) for r in found.collect()}
+    for doc in range(3):  # one island, over three pages
+        mine = [((k // 1000 << 32) + k, f"BT-{doc} of page" if k % 100 < 3 else "Business Rule" if k % 100 == 9 else f"text {k}") for k in range(3000) if k % 3 == doc]
+        first = next(n for n, x in mine if x.startswith("BT-"))
+        rules = lambda at: sum(x == "Business Rule" for n, x in mine if n >= at)  # noqa: E731, B023
+        shown = next((n for n, x in mine if x.startswith("BT-") and not rules(n)), None)
+        table = (shown, 0) if shown is not None else (first, -2)
+        assert got[doc, "detail"] == (first, 3 * rules(first), "\n".join(x for n, x in mine if n >= first))
+        assert got[doc, "table"] == (*table, "\n".join(x for n, x in mine if n >= table[0]))
+
+
 def test_columns_are_found_by_headers(spark):
     order = [5, 2, 0, 4, 1, 3]  # and a column more
     moved = [(p, n, r, *[cells[k] for k in order], "extra") for p, n, r, *cells in TABLE_ROWS]
