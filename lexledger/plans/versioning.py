@@ -69,11 +69,11 @@ def effective_bundle(v):
 
 
 @query("""SELECT f.field_code, f.invoice_path AS invoice, f.credit_note_path AS credit_note, coalesce(e.quotes, '') AS quotes FROM {base_fields} f LEFT JOIN (
-    SELECT field_code, string_agg(concat(page_number, '/', id, '/', source_kind, '/', quote_text), ';' ORDER BY page_number, id, source_kind, quote_text) AS quotes FROM {evidence} GROUP BY field_code) e USING (field_code)""")
+    SELECT field_code, string_agg(concat(page_number, '/', id, '/', source_kind, '/', quote_text), ';' ORDER BY page_number, id, source_kind, quote_text) AS quotes FROM {all_evidence} GROUP BY field_code) e USING (field_code)""")
 def bundle_fields_nested(v):
     fields = v["base_fields"]
     paths = fields.select("field_code", F.expr("stack(2, 'invoice', invoice_path, 'credit_note', credit_note_path) AS (doc_kind, path_text)")).where("path_text IS NOT NULL")
-    nested = versions.nested_fields(fields.select("field_code"), paths, v["evidence"])
+    nested = versions.nested_fields(fields.select("field_code"), paths, v["all_evidence"])
     one = lambda e: F.concat_ws("/", e["page_number"].cast("string"), e["id"].cast("string"), e["source_kind"], e["quote_text"])
     return nested.select("field_code", "invoice", "credit_note", F.coalesce(F.array_join(F.transform("evidence", one), ";"), F.lit("")).alias("quotes"))
 
@@ -211,9 +211,9 @@ def version_record(v):
     return versions.with_fallback(v["versions"].select("document_version_id", "status"), v.spark.sql(_PAYLOADS, orders=v["orders"]), queue, last)
 
 
-@query("SELECT field_code, page_number, source_kind, quote_text, CAST(min(id) AS BIGINT) AS first_id FROM {evidence} GROUP BY ALL")
+@query("SELECT field_code, page_number, source_kind, quote_text, CAST(min(id) AS BIGINT) AS first_id FROM {all_evidence} GROUP BY ALL")
 def citation_dedup(v):
-    return v["evidence"].groupBy("field_code", "page_number", "source_kind", "quote_text").agg(F.min("id").alias("first_id"))
+    return v["all_evidence"].groupBy("field_code", "page_number", "source_kind", "quote_text").agg(F.min("id").alias("first_id"))
 
 
 @query("""WITH t AS (SELECT document_version_id, max(coalesce(effective_from, created_at)) AS newest FROM {versions} WHERE status <> 'draft' GROUP BY 1)

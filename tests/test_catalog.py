@@ -367,3 +367,11 @@ def test_streamed_metrics_equal_batch(spark, tmp_path):
     q.awaitTermination()
     key = lambda df: sorted((str(r["window_start"]), r["event_type"], r["runs"]) for r in df.collect())
     assert key(spark.table("daily")) == key(metrics.tumbling(events, "1 day"))
+
+
+def test_all_lines_are_evidence(spark):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    said = lines.select("l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_orderkey")
+    assert registry.QUERIES["citation_dedup"](spark, SF).count() == said.drop("l_orderkey").distinct().count()
+    quotes = registry.QUERIES["bundle_fields_nested"](spark, SF).where("quotes <> ''").agg(F.sum(F.size(F.split("quotes", ";")))).first()[0]
+    assert quotes == said.distinct().count()
