@@ -90,11 +90,21 @@ def rename_suggestions(published: DataFrame, candidate: DataFrame, most: int = 3
     return near.where("distance >= 0").select("old_code", "new_code", "distance")
 
 
+#: Keys that the removed fields of one name are spread over.
+SPREAD = 16
+
+
 def renamed_by_likeness(published: DataFrame, candidate: DataFrame, most: int = 3) -> DataFrame:
     """(old_code, new_code, distance): removed and added fields whose names are at most ``most`` edits apart, whatever
-    their types and paths; suggestions only, nothing is merged."""
+    their types and paths; suggestions only, nothing is merged.
+
+    Fields of alike names all go with each other, so that the rows are many times their input: fields of one name are
+    spread over SPREAD keys, and the join has as many tasks as the session gives a shuffle, however small its input."""
     changes = field_changes(published, candidate)
     of = lambda side, branch, code, name: last_wins(side).join(changes.where(F.col("branch") == branch).select("field_code"), "field_code", "left_semi").select(F.col("field_code").alias(code), F.col("field_name").alias(name))
     gone, new = of(published, 2, "old_code", "left_name"), of(candidate, 1, "new_code", "right_name")
     pairs = alike(gone.withColumnRenamed("left_name", "name"), new.withColumnRenamed("right_name", "name"), most)
-    return pairs.join(gone, "left_name").join(new, "right_name").select("old_code", "new_code", "distance")
+    tasks = int(published.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    near = pairs.join(gone, "left_name").withColumn("_key", F.pmod(F.xxhash64("old_code"), F.lit(SPREAD))).repartition(tasks, "right_name", "_key")
+    spread = new.withColumn("_key", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))))
+    return near.join(spread.repartition(tasks, "right_name", "_key"), ["right_name", "_key"]).select("old_code", "new_code", "distance")
