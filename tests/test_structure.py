@@ -228,3 +228,9 @@ def test_answers_of_parts(spark, content, want):
 def test_updates_of_answers(spark, answer, want):
     got = one(spark, "c string", answer).select(t.field_updates(F.parse_json(F.to_json(F.array("c"))), "struct<a:int>")).first()[0]
     assert (got if got is None else [u.a for u in got]) == want
+
+
+def test_a_text_is_searched_once_for_each_hint(spark):
+    found = one(spark, "kind string, text string", "Date", "maximum of 7 characters").select(*[c.alias(n) for n, c in numbers.constraints(F.col("kind"), F.col("text")).items()])
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("maximum of (") <= len(found.columns) and tuple(found.first()) == ("", "7", "", "")
