@@ -27,6 +27,8 @@ ROUNDS = 2
 SURE = 0.95
 #: Documents whose features are held at a time when all of them are counted.
 ROWS = 2000
+#: Features whose counts travel in one row.
+BLOCK = 1 << 12
 #: Documents are kept at this score.
 KEEP_AT = 0.5
 _METADATA = ("source", "lang", "n_chars")
@@ -118,13 +120,36 @@ def views_of(batch: pa.RecordBatch, wanted: np.ndarray | None = None) -> list[li
     return [linear.Sparse(rows, features, len(texts), shape), metadata_view([batch.column(c).to_pylist() for c in _METADATA])]
 
 
-def pseudo_counts(docs: DataFrame, views: list) -> list[Counts]:
-    """For each view the counts over all documents by the labels that the other view is sure of. A task sends one row
-    for each feature that it has met, and the driver gets a row for each feature: 2 ** BITS for a view at most."""
+def _summed(batches):
+    """Adds up the rows of each view and block: a row for each."""
+    have = {}
+    for batch in batches:
+        for view, block, feature, n0, n1 in zip(*(batch.column(c) for c in ("view", "block", "feature", "n0", "n1")), strict=True):
+            sums = have.setdefault((view.as_py(), block.as_py()), np.zeros((2, BLOCK), np.int64))
+            at = feature.values.to_numpy() % BLOCK  # no feature comes twice in a row
+            sums[0, at] += n0.values.to_numpy()
+            sums[1, at] += n1.values.to_numpy()
+    for (view, block), sums in have.items():
+        at = np.nonzero(sums.any(0))[0]
+        yield _packed([view], [block], [at + block * BLOCK], [sums[0, at]], [sums[1, at]])
+
+
+def _packed(view: list, block: list, *arrays: list[np.ndarray]) -> pa.RecordBatch:
+    lists = [pa.array(x, pa.list_(kind)) for x, kind in zip(arrays, (pa.int32(), pa.int64(), pa.int64()), strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(view, pa.int32()), pa.array(block, pa.int32()), *lists], names=["view", "block", "feature", "n0", "n1"])
+
+
+#: Of a view and a block: features, and the documents of either pseudo-label that have them.
+_PACKED = "view int, block int, feature array<int>, n0 array<long>, n1 array<long>"
+
+
+def task_counts(docs: DataFrame, views: list) -> DataFrame:
+    """The counts of each task by the labels that the other view is sure of: a row for each block of features of which
+    it has met any, however many these are, and one for the documents themselves (block -1, feature -1)."""
     size = 1 << linear.BITS
 
     def run(batches):
-        seen, have = np.zeros((2, 2)), np.zeros((2, 2, size))
+        seen, have = np.zeros((2, 2), np.int64), np.zeros((2, 2, size), np.int64)
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             both = views_of(batch)
             p = [linear.sigmoid(a * x.scores(m) + b) for x, (m, (a, b)) in zip(both, views, strict=True)]
@@ -134,20 +159,26 @@ def pseudo_counts(docs: DataFrame, views: list) -> list[Counts]:
                     np.add.at(have[v, label], x.features[sure[x.rows]], 1)
         for v in (0, 1):
             at = np.nonzero(have[v].any(0))[0]
-            columns = [np.full(len(at) + 1, v), np.concatenate([[-1], at]), *(np.concatenate([[seen[v, k]], have[v, k, at]]) for k in (0, 1))]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["view", "feature", "n0", "n1"])
-
-    counted = docs.mapInArrow(run, "view long, feature long, n0 long, n1 long")
-    got = counted.groupBy("view", "feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
-    view, feature, n0, n1 = (got.column(c).to_numpy() for c in ("view", "feature", "n0", "n1"))
-    out = []
-    for v in (0, 1):
-        n, have = np.zeros(2), np.zeros((2, size))
-        for label, count in ((0, n0), (1, n1)):
-            n[label] = count[(view == v) & (feature < 0)].sum()
-            at = (view == v) & (feature >= 0)
-            have[label, feature[at]] = count[at]
-        out.append((n, have))
+            blocks, starts = np.unique(at // BLOCK, return_index=True)
+            cut = lambda x: np.split(x, starts[1:]) if len(x) else []  # noqa: B023, E731
+            yield _packed([v] * (len(blocks) + 1), [-1, *blocks], [np.array([-1]), *cut(at)], *([seen[v, k : k + 1], *cut(have[v, k, at])] for k in (0, 1)))
+
+    return docs.mapInArrow(run, _PACKED)
+
+
+def pseudo_counts(docs: DataFrame, views: list) -> list[Counts]:
+    """For each view the counts over all documents. Rows of a block are added up as they come; the driver gets a row for
+    each block, with counts of 2 ** BITS features for a view at most."""
+    size = 1 << linear.BITS
+    got = task_counts(docs, views).repartition("view", "block").mapInArrow(_summed, _PACKED).toArrow()
+    out = [(np.zeros(2), np.zeros((2, size))) for _ in (0, 1)]
+    for row in got.to_pylist():
+        n, have = out[row["view"]]
+        for label, counts in enumerate((row["n0"], row["n1"])):
+            if row["block"] < 0:
+                n[label] = sum(counts)
+            else:
+                have[label, row["feature"]] = counts
     return out
 
 

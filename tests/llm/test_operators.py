@@ -354,6 +354,16 @@ def test_pseudo_counts_equal_brute_force(spark):
     assert n.sum() > 0
 
 
+def test_a_task_sends_a_row_for_each_block_of_features(spark):
+    """However many features it has met: their number times that of the tasks is not what moves."""
+    docs = spark.range(6).select("id", F.expr("concat_ws(' ', transform(sequence(1, 20000), k -> translate(id * 20000 + k, '0123456789', 'abcdefghij')))").alias("text"), F.lit("s").alias("source"), F.lit("en").alias("lang"), F.lit(9).alias("n_chars"))
+    sure = (linear.Model(np.zeros(1 << linear.BITS), np.zeros(len(linear.SHAPES)), 9.0), (1.0, 0.0)), (linear.Model(np.zeros(1 << linear.BITS), np.zeros(0), 9.0), (1.0, 0.0))
+    rows = quality.task_counts(docs.drop("id").repartition(6), sure).collect()
+    assert sum(len(r.feature) for r in rows) > 6 * 10_000 and len(rows) <= 6 * 2 * (1 + (1 << linear.BITS) // quality.BLOCK)
+    (n, have), (m, _) = quality.pseudo_counts(docs.drop("id").repartition(6), sure)
+    assert n.tolist() == m.tolist() == [0, 6] and have[0].sum() == 0 and have[1].sum() == sum(sum(r.n1) for r in rows if r.view == 0 and r.block >= 0)
+
+
 def test_evidence_of_pseudo_labels():
     have = np.zeros((2, 4))
     have[:, 0], have[:, 1], have[:, 2] = (90, 10), (10, 90), (50, 50)
