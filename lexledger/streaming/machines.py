@@ -48,40 +48,70 @@ REVIEWS = Machine("pending", {("pending", "approve"): "approved", ("pending", "r
 
 EVENTS = "key long, event_id long, ts timestamp, event string"
 MOVES = "key long, seq int, moved_at timestamp, event string, from_state string, state string"
-_WAITING, _NOW = "at long, event_id long, event string", "state string, since long, seq int, upto long"
+#: Rows of state hold the values of up to CHUNK events, or keys.
+_WAITING = "key array<long>, at array<long>, event_id array<long>, event array<string>"
+_NOW = "key array<long>, state array<string>, since array<long>, seq array<int>, upto array<long>"
+CHUNK = 1000
+
+
+def _chunks(rows: list[tuple]) -> list[tuple]:
+    return [tuple(list(c) for c in zip(*rows[at : at + CHUNK], strict=True)) for at in range(0, len(rows), CHUNK)]
 
 
 class _Processor(StatefulProcessor):
+    """Keys are handled bucket by bucket: calls of the state store cost as much as hundreds of events."""
+
     def __init__(self, machine: Machine):
         self.machine = machine
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", _WAITING)
-        self.now = handle.getValueState("now", _NOW)
+        self.now = handle.getListState("now", _NOW)
 
     def handleInputRows(self, key, rows, timerValues):
-        new = [r for batch in rows for r in zip(batch["at"].tolist(), batch["event_id"].tolist(), batch["event"].tolist(), strict=True)]
-        return self._step(key, new, timerValues.getCurrentWatermarkInMs())
+        columns = ("key", "at", "event_id", "event")
+        return self._step([r for batch in rows for r in zip(*(batch[c].tolist() for c in columns), strict=True)], timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        return self._step(key, [], timerValues.getCurrentWatermarkInMs())
+        return self._step([], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
 
-    def _step(self, key, new: list[tuple], watermark_ms: int) -> Iterator[pd.DataFrame]:
-        state, since, seq, upto = self.now.get() or (self.machine.initial, 0, 0, -1)
-        known = [tuple(w) for w in self.waiting.get()] if self.waiting.exists() else []
-        reached = max(upto, 1000 * watermark_ms)
+    def _step(self, new: list[tuple], watermark_ms: int) -> Iterator[pd.DataFrame]:
+        now = {row[0]: row[1:] for chunk in self.now.get() for row in zip(*chunk, strict=True)}
+        waiting: dict[int, dict] = {}
+        for rows in (new, (row for chunk in self.waiting.get() for row in zip(*chunk, strict=True))):
+            for key, at, event_id, event in rows:
+                waiting.setdefault(key, {})[at, event_id] = event
+        out, rest, next_ = [], [], []
+        for key in now.keys() | waiting.keys():
+            now[key], left, then = self._moved(key, now.get(key, (self.machine.initial, 0, 0, -1)), waiting.get(key, {}), 1000 * watermark_ms, out)
+            rest += left
+            next_ += then
+        self.waiting.put(_chunks(rest)) if rest else self.waiting.clear()
+        self.now.put(_chunks([(key, *x) for key, x in now.items()]))
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        if next_:
+            self.handle.registerTimer(-(-min(next_) // 1000))
+        if out:
+            kinds = {"key": "int64", "seq": "int32", "moved_at": "int64", "event": object, "from_state": object, "state": object}
+            yield pd.DataFrame({c: pd.Series(values, dtype=kind) for values, (c, kind) in zip(zip(*out, strict=True), kinds.items(), strict=True)})
+
+    def _moved(self, key: int, before: tuple, waiting: dict, watermark: int, out: list) -> tuple[tuple, list[tuple], list[int]]:
+        """A key's state, the events that still wait and the next time at which something happens by itself. Moves up to
+        the watermark are added to ``out``."""
+        state, since, seq, upto = before
+        reached = max(upto, watermark)
         # what is not later than what has been applied is late, or repeated
-        events = sorted({(at, i): (at, i, e) for at, i, e in [*new, *known] if at > upto}.values(), key=lambda e: e[:2])
-        out = []
+        events = sorted((at, i, e) for (at, i), e in waiting.items() if at > upto)
 
         def move(at: int, event: str, to: str) -> None:
             nonlocal state, since, seq
             seq += 1
-            out.append((key[0], seq, at, event, state, to))
+            out.append((key, seq, at, event, state, to))
             state, since = to, at
 
         def end_before(time: int) -> None:
@@ -90,37 +120,37 @@ class _Processor(StatefulProcessor):
             if end is not None and end < time:
                 move(end, "timeout", self.machine.timeouts[state][1])
 
-        done = [e for e in events if e[0] <= reached]
-        for at, _, event in done:
+        done = 0
+        for at, _, event in events:
+            if at > reached:
+                break
+            done += 1
             end_before(at)
             if (state, event) in self.machine.moves:
                 move(at, event, self.machine.moves[state, event])
             elif (state, event) in self.machine.touches:
                 since = at
         end_before(reached + 1)
-        rest = events[len(done) :]
-        self.waiting.put(rest) if rest else self.waiting.clear()
-        self.now.update((state, since, seq, reached))
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        next_ = [x for x in (rest[0][0] if rest else None, self.machine.deadline(state, since)) if x is not None]
-        if next_:
-            self.handle.registerTimer(-(-min(next_) // 1000))
-        kinds = {"key": "int64", "seq": "int32", "moved_at": "int64", "event": object, "from_state": object, "state": object}
-        yield pd.DataFrame({c: pd.Series([o[k] for o in out], dtype=kind) for k, (c, kind) in enumerate(kinds.items())})
+        rest = [(key, *e) for e in events[done:]]
+        return (state, since, seq, reached), rest, [x for x in (rest[0][1] if rest else None, self.machine.deadline(state, since)) if x is not None]
+
+
+#: Rows of a replay for which a bucket of keys is worth its calls of the state store.
+ROWS_OF_BUCKET = 2000
 
 
-def moves(events: DataFrame, machine: Machine, late: str) -> DataFrame:
+def moves(events: DataFrame, machine: Machine, late: str, buckets: int = 1024) -> DataFrame:
     """The moves of every key of a stream of events (key, event_id, ts, event), as far as the watermark has come: each
     as soon as it has passed them. late: how long events may come out of order.
 
     Events without a key, a time or an id are left out. Events of one time apply in the order of their ids. State is a
-    few numbers for a key, and the events that the watermark has not passed. Needs the state store of RocksDB.
+    few numbers for a key, and the events that the watermark has not passed; it is kept by buckets of keys, whose number
+    is fixed for the life of a stream. Needs the state store of RocksDB.
     """
     some = events.where("key IS NOT NULL AND ts IS NOT NULL AND event_id IS NOT NULL").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
-    some = some.select("key", "event_id", "ts", F.unix_micros("ts").alias("at"), "event")
+    some = some.select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), "key", "event_id", "ts", F.unix_micros("ts").alias("at"), "event")
     out = T.StructType.fromDDL(MOVES.replace("moved_at timestamp", "moved_at long"))
-    found = some.groupBy("key").transformWithStateInPandas(_Processor(machine), outputStructType=out, outputMode="append", timeMode="eventTime")
+    found = some.groupBy("bucket").transformWithStateInPandas(_Processor(machine), outputStructType=out, outputMode="append", timeMode="eventTime")
     return found.withColumn("moved_at", F.timestamp_micros("moved_at"))
 
 
@@ -131,11 +161,13 @@ def replayed(arrivals: list[DataFrame], machine: Machine, late: str, folder: str
     """The moves that a stream finds when tables of events arrive one after the other: each is put into the stream's
     input and the stream is started on it, ended and continued from its checkpoint."""
     spark = arrivals[0].sparkSession
-    n = partitions_for(spark, sum(rows.count() for rows in arrivals))
+    count = sum(rows.count() for rows in arrivals)
+    n = partitions_for(spark, count)
+    buckets = max(n, 64, count // ROWS_OF_BUCKET)
     with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB, spark__sql__shuffle__partitions=n):
         for rows in arrivals:
             rows.select("key", "event_id", "ts", "event").write.mode("append").parquet(f"{folder}/events")
             stream = spark.readStream.schema(rows.select("key", "event_id", "ts", "event").schema).parquet(f"{folder}/events")
-            query = moves(stream, machine, late).writeStream.format("parquet").option("path", f"{folder}/moves").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+            query = moves(stream, machine, late, buckets).writeStream.format("parquet").option("path", f"{folder}/moves").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
             query.awaitTermination()
     return spark.read.schema(MOVES).parquet(f"{folder}/moves")

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 #: Rows of a replay for which a partition of state is worth its files.
-ROWS_OF_STATE = 50_000
+ROWS_OF_STATE = 200_000
 
 
 def partitions_for(spark: SparkSession, rows: int) -> int:

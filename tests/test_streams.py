@@ -7,7 +7,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from lexledger.streaming import joins, machines
+from lexledger.streaming import joins, machines, replay
 
 T0 = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
 
@@ -79,3 +79,20 @@ def test_joined_streams_equal_the_batch_join(spark, tmp_path):
     upto = min(max(r[2] for r in rows if r[2]) for rows in (made, runs)) - datetime.timedelta(minutes=10)
     assert sorted(map(str, got)) == sorted(str(r) for r in want if r.run_id is not None or r.created_at.astimezone(datetime.timezone.utc) + datetime.timedelta(hours=2) < upto)
     assert {r.document_version_id for r in want} == set(range(120)) and any(r.run_id is None for r in got) and any(r.run_id is not None for r in got)
+
+
+def test_state_is_kept_by_buckets_of_keys(spark, tmp_path):
+    """A row of state, and calls of the state store, for each bucket, not for each key."""
+    rows = spark.range(3000).selectExpr("id % 1500 AS key", "id AS event_id", "timestamp_seconds(1704067200 + id) AS ts", "'queue' AS event")
+    rows.write.parquet(str(tmp_path / "in"))
+    with machines.settings(spark, spark__sql__streaming__stateStore__providerClass=machines.ROCKSDB):
+        stream = machines.moves(spark.readStream.schema(machines.EVENTS).parquet(str(tmp_path / "in")), machines.RUNS, "1 minute", buckets=8)
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8 * 10
+    assert spark.read.parquet(str(tmp_path / "out")).where("seq = 1 AND state = 'queued'").count() == 1500
+
+
+def test_partitions_of_state_grow_no_faster_than_the_rows(spark):
+    with replay.settings(spark, spark__sql__shuffle__partitions=10_000):
+        assert replay.partitions_for(spark, 15_000_000) <= 100 and replay.partitions_for(spark, 90_000_000) <= 6 * replay.partitions_for(spark, 15_000_000) and replay.partitions_for(spark, 10) == 4
