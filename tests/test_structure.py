@@ -234,3 +234,11 @@ def test_a_text_is_searched_once_for_each_hint(spark):
     found = one(spark, "kind string, text string", "Date", "maximum of 7 characters").select(*[c.alias(n) for n, c in numbers.constraints(F.col("kind"), F.col("text")).items()])
     plan = found._jdf.queryExecution().analyzed().toString()
     assert plan.count("maximum of (") <= len(found.columns) and tuple(found.first()) == ("", "7", "", "")
+
+
+def test_rows_of_records_are_made_once(spark):
+    """What makes the rows is not repeated where they are read."""
+    made = spark.range(4).selectExpr("id DIV 4 AS doc", "1 AS page", "1 AS table_no", "CAST(id AS INT) AS row_no", "CASE id WHEN 0 THEN 'ID' ELSE concat('BT-', reverse(CAST(id AS STRING))) END AS c0", "IF(id = 0, 'Business term', 'name') AS c1", "'' AS c2", "'' AS c3", "'' AS c4", "'' AS c5")
+    found = folds.table_records(made)
+    assert "reverse(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.field_code for r in found.collect()) == ["BT-1", "BT-2", "BT-3"]
