@@ -96,3 +96,10 @@ def test_state_is_kept_by_buckets_of_keys(spark, tmp_path):
 def test_partitions_of_state_grow_no_faster_than_the_rows(spark):
     with replay.settings(spark, spark__sql__shuffle__partitions=10_000):
         assert replay.partitions_for(spark, 15_000_000) <= 100 and replay.partitions_for(spark, 90_000_000) <= 6 * replay.partitions_for(spark, 15_000_000) and replay.partitions_for(spark, 10) == 4
+
+
+def test_pairs_of_partitions_of_state_grow_no_faster_than_the_rows(spark):
+    """Each task of a stateful operator reports on all partitions of state, so what is sent goes with their square."""
+    with replay.settings(spark, spark__sql__shuffle__partitions=10_000):
+        few, many = replay.partitions_for(spark, 15_000_000), replay.partitions_for(spark, 90_000_000)
+        assert few < many and many**2 <= 6.5 * few**2
