@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexledger.functions import numbers
 from lexledger.functions import text as t
-from lexledger.operators import extract, folds
+from lexledger.operators import extract, folds, lineage
 
 HEADER = ("ID", "Business term", "Description", "Note on use", "Type", "Card.")
 #: page, table_no, row_no, six cells
@@ -242,3 +242,14 @@ def test_rows_of_records_are_made_once(spark):
     found = folds.table_records(made)
     assert "reverse(" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(r.field_code for r in found.collect()) == ["BT-1", "BT-2", "BT-3"]
+
+
+def test_blocks_are_put_together_in_tasks_of_bounded_rows(spark, monkeypatch):
+    """However few partitions the session has for a shuffle; codes are looked up when their headings have been summed up."""
+    made = spark.range(400).selectExpr("id % 40 AS doc", "CAST(id DIV 40 AS INT) AS line_no", "concat('BT-', id DIV 40 % 3, ' heading ', id) AS line")
+    codes = spark.createDataFrame([("BT-2",)], "code string")
+    want = rows_of(folds.best_blocks(made, codes=codes), "doc", "code", "kind", "start", "score", "block")
+    monkeypatch.setattr(lineage, "ROWS_OF_TASK", 20)
+    found = folds.best_blocks(made, codes=codes)
+    assert found.rdd.getNumPartitions() == 20
+    assert rows_of(found, "doc", "code", "kind", "start", "score", "block") == want and len(want) == 80
