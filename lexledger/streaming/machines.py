@@ -8,9 +8,11 @@ from before the watermark come too late. Timers end states that nothing has touc
 from __future__ import annotations
 
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -71,7 +73,7 @@ class _Processor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         columns = ("key", "at", "event_id", "event")
-        return self._step([r for batch in rows for r in zip(*(batch[c].tolist() for c in columns), strict=True)], timerValues.getCurrentWatermarkInMs())
+        return self._step([tuple(batch[c].tolist() for c in columns) for batch in rows], timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         return self._step([], timerValues.getCurrentWatermarkInMs())
@@ -79,16 +81,23 @@ class _Processor(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _step(self, new: list[tuple], watermark_ms: int) -> Iterator[pd.DataFrame]:
+    def _step(self, new: list[tuple[list, ...]], watermark_ms: int) -> Iterator[pd.DataFrame]:
         now = {row[0]: row[1:] for chunk in self.now.get() for row in zip(*chunk, strict=True)}
-        waiting: dict[int, dict] = {}
-        for rows in (new, (row for chunk in self.waiting.get() for row in zip(*chunk, strict=True))):
-            for key, at, event_id, event in rows:
-                waiting.setdefault(key, {})[at, event_id] = event
+        chunks = [*new, *self.waiting.get()]
+        *places, event = [[x for c in chunks for x in c[k]] for k in range(4)]
+        places = np.array(places, dtype="int64")
+        order = np.lexsort(places[::-1])  # by key, time and id
+        places = places[:, order]
+        once = np.append((places[:, 1:] != places[:, :-1]).any(axis=0), True)[: len(order)]
+        key, at, event_id = places[:, once].tolist()
+        event = [event[k] for k in order[once].tolist()]
+        cuts = [0, *(np.flatnonzero(np.diff(places[0, once])) + 1).tolist(), len(key)]
+        mine = {key[a]: (a, b) for a, b in zip(cuts, cuts[1:]) if a < b}
         out, rest, next_ = [], [], []
-        for key in now.keys() | waiting.keys():
-            now[key], left, then = self._moved(key, now.get(key, (self.machine.initial, 0, 0, -1)), waiting.get(key, {}), 1000 * watermark_ms, out)
-            rest += left
+        for one in now.keys() | mine.keys():
+            begin, end = mine.get(one, (0, 0))
+            now[one], left, then = self._moved(one, now.get(one, (self.machine.initial, 0, 0, -1)), at, event, begin, end, 1000 * watermark_ms, out)
+            rest += zip(key[left:end], at[left:end], event_id[left:end], event[left:end])
             next_ += then
         self.waiting.put(_chunks(rest)) if rest else self.waiting.clear()
         self.now.put(_chunks([(key, *x) for key, x in now.items()]))
@@ -100,39 +109,38 @@ class _Processor(StatefulProcessor):
             kinds = {"key": "int64", "seq": "int32", "moved_at": "int64", "event": object, "from_state": object, "state": object}
             yield pd.DataFrame({c: pd.Series(values, dtype=kind) for values, (c, kind) in zip(zip(*out, strict=True), kinds.items(), strict=True)})
 
-    def _moved(self, key: int, before: tuple, waiting: dict, watermark: int, out: list) -> tuple[tuple, list[tuple], list[int]]:
-        """A key's state, the events that still wait and the next time at which something happens by itself. Moves up to
-        the watermark are added to ``out``."""
+    def _moved(self, key: int, before: tuple, at: list[int], event: list[str], begin: int, end: int, watermark: int, out: list) -> tuple[tuple, int, list[int]]:
+        """A key's state, where the events begin that still wait and the next times at which something happens by itself.
+        Its events are those from begin to end, in order. Moves up to the watermark are added to ``out``."""
         state, since, seq, upto = before
         reached = max(upto, watermark)
         # what is not later than what has been applied is late, or repeated
-        events = sorted((at, i, e) for (at, i), e in waiting.items() if at > upto)
+        begin = bisect_right(at, upto, begin, end)
+        done = bisect_right(at, reached, begin, end)
+        moves, touches, timeouts = self.machine.moves, self.machine.touches, self.machine.timeouts
 
-        def move(at: int, event: str, to: str) -> None:
+        def move(when: int, what: str, to: str) -> None:
             nonlocal state, since, seq
             seq += 1
-            out.append((key, seq, at, event, state, to))
-            state, since = to, at
+            out.append((key, seq, when, what, state, to))
+            state, since = to, when
 
         def end_before(time: int) -> None:
             """Ends the state by its timeout if that is before a time."""
-            end = self.machine.deadline(state, since)
-            if end is not None and end < time:
-                move(end, "timeout", self.machine.timeouts[state][1])
-
-        done = 0
-        for at, _, event in events:
-            if at > reached:
-                break
-            done += 1
-            end_before(at)
-            if (state, event) in self.machine.moves:
-                move(at, event, self.machine.moves[state, event])
-            elif (state, event) in self.machine.touches:
-                since = at
+            over = self.machine.deadline(state, since)
+            if over is not None and over < time:
+                move(over, "timeout", timeouts[state][1])
+
+        for k in range(begin, done):
+            if state in timeouts:
+                end_before(at[k])
+            to = moves.get((state, event[k]))
+            if to is not None:
+                move(at[k], event[k], to)
+            elif (state, event[k]) in touches:
+                since = at[k]
         end_before(reached + 1)
-        rest = [(key, *e) for e in events[done:]]
-        return (state, since, seq, reached), rest, [x for x in (rest[0][1] if rest else None, self.machine.deadline(state, since)) if x is not None]
+        return (state, since, seq, reached), done, [x for x in (at[done] if done < end else None, self.machine.deadline(state, since)) if x is not None]
 
 
 #: Rows of a replay for which a bucket of keys is worth its calls of the state store.
@@ -149,6 +157,11 @@ def moves(events: DataFrame, machine: Machine, late: str, buckets: int = 1024) -
     """
     some = events.where("key IS NOT NULL AND ts IS NOT NULL AND event_id IS NOT NULL").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
     some = some.select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), "key", "event_id", "ts", F.unix_micros("ts").alias("at"), "event")
+    if machine.initial not in machine.timeouts:
+        # events that change nothing in any state go no further; the watermark counts them, so this must not be decided
+        # before it, as a condition without the time would be
+        told = F.col("event").isin(*sorted({e for _, e in [*machine.moves, *machine.touches]}))
+        some = some.where(told | (F.unix_micros("ts") < F.lit(-(1 << 62))))
     out = T.StructType.fromDDL(MOVES.replace("moved_at timestamp", "moved_at long"))
     found = some.groupBy("bucket").transformWithStateInPandas(_Processor(machine), outputStructType=out, outputMode="append", timeMode="eventTime")
     return found.withColumn("moved_at", F.timestamp_micros("moved_at"))
